@@ -1,0 +1,14 @@
+"""Keyed primitives: latest per key, semantic dedup, merges, top-k with remainder."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key under a total order; one shuffle on the key, pruned by the window group limit."""
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where("_rank = 1").drop("_rank")

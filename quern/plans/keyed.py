@@ -1,0 +1,35 @@
+"""Queries of the keyed operators: latest, dedup, merge, top-k, set comparison."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quern.operators import keyed
+from quern.session import table
+
+QUERIES: dict = {}
+ORACLES: dict = {}
+
+
+def query(sql: str | None = None):
+    """Registers the decorated function under its name, with its oracle if there is one."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return put
+
+
+@query("""
+SELECT user_id, event_type, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS rn FROM events
+) WHERE rn = 1
+""")
+def latest_event_per_user_type(spark, sf_dir):
+    latest = keyed.latest_per_key(
+        table(spark, sf_dir, "events"), ["user_id", "event_type"], [F.desc("ts"), F.asc("event_id")]
+    )
+    return latest.select("user_id", "event_type", "event_id", "value")
