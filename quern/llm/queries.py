@@ -4,23 +4,65 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.llm import simhash
+from quern.llm import licenses, mixing, oracles, secrets, simhash, warc
+from quern.llm.common import stage
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def _query(f):
-    QUERIES[f.__name__] = f
-    return f
+def _query(sql: str | None = None):
+    """Registers the query under its name, with its SQL if there is one."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return put
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@_query
+@_query()
 def op1_simhash_near_dedup(spark, sf_dir):
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@_query(oracles.SECRETS)
+def op2_secret_scans(spark, sf_dir):
+    """Spans of each kind in every document, through a new ledger."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.findings(docs, secrets.scan(docs))
+    kind = lambda n: F.size(F.filter("_q_spans", lambda s: s.kind == n)).cast("long")
+    spans = secrets.joined_spans(F.col("_q_spans"))
+    counts = [kind(i).alias(f"n_{rule.kind}") for i, rule in enumerate(secrets.RULES)]
+    return found.select("doc_id", *counts, F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
+
+
+@_query(oracles.MIXING)
+def op8_source_mixing(spark, sf_dir):
+    """Words that the mix takes of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    sized = stage(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("words")))
+    return mixing.mix(sized, F.col("words")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query(oracles.WARC)
+def op9_warc(spark, sf_dir):
+    """Every page as a WARC record, written and read back."""
+    path = warc.write(_table(spark, sf_dir, "pages"))
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query(oracles.LICENSES)
+def op10_license_scans(spark, sf_dir):
+    """Licenses in every document, as name:found/total."""
+    found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = F.transform(F.array_sort("matches"), lambda m: F.concat(m["name"], F.lit(":"), m["found"], F.lit("/"), m["total"]))
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_licenses"), F.array_join(names, ",").alias("licenses"))
