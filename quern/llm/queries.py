@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.llm import licenses, mixing, oracles, secrets, simhash, warc
+from quern.llm import licenses, mixing, oracles, packing, secrets, simhash, transport, warc
 from quern.llm.common import stage
 
 QUERIES: dict = {}
@@ -45,6 +45,19 @@ def op2_secret_scans(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
 
 
+@_query()
+def op6_media_columns(spark, sf_dir):
+    """Every document as an MPEG transport stream, stored and read back."""
+    return transport.features(transport.store(_table(spark, sf_dir, "documents")))
+
+
+@_query()
+def op7_packing(spark, sf_dir):
+    """Every document's pieces in sequences of 2048 tokens."""
+    found = packing.pack(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @_query(oracles.MIXING)
 def op8_source_mixing(spark, sf_dir):
     """Words that the mix takes of every document."""
