@@ -51,8 +51,8 @@ WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w
 g AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS s, w FROM w WHERE len(w) >= 20),
 h AS (SELECT doc_id, s, array_to_string(w[s:s+19], ' ') AS gram FROM g),
 d AS (SELECT doc_id, s, row_number() OVER (PARTITION BY gram ORDER BY doc_id, s) AS n FROM h),
-c AS (SELECT DISTINCT doc_id, s + j AS at FROM d, range(0, 20) AS r(j) WHERE n > 1),
-k AS (SELECT doc_id, list(at) AS gone FROM c GROUP BY doc_id)
+c AS (SELECT DISTINCT doc_id, s + j AS pos FROM d, range(0, 20) AS r(j) WHERE n > 1),
+k AS (SELECT doc_id, list(pos) AS gone FROM c GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
   sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(coalesce(gone, []), i)), lambda i: w[i]), ' '), '')) AS kept_sha256
 FROM w LEFT JOIN k USING (doc_id)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.llm import licenses, mixing, oracles, packing, secrets, simhash, transport, warc
+from quern.llm import bitslice, licenses, mixing, oracles, packing, secrets, simhash, substrings, transport, warc
 from quern.llm.common import stage
 
 QUERIES: dict = {}
@@ -45,6 +45,19 @@ def op2_secret_scans(spark, sf_dir):
     return found.select("doc_id", *counts, F.sha2(spans, 256).alias("base_sha256"), spans.alias("spans"))
 
 
+@_query(oracles.TOP_K)
+def op3_exact_top_k(spark, sf_dir):
+    """Best five of all vectors for each vec_id divisible by 50."""
+    return bitslice.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+@_query(oracles.SUBSTRINGS)
+def op4_substring_dedup(spark, sf_dir):
+    """What stays of every document when repeated passages of 20 words are removed."""
+    found = substrings.keep_first(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @_query()
 def op6_media_columns(spark, sf_dir):
     """Every document as an MPEG transport stream, stored and read back."""
