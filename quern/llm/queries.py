@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.llm import bitslice, licenses, mixing, oracles, packing, secrets, simhash, substrings, transport, warc
+from quern.llm import bitslice, licenses, mixing, oracles, packing, secrets, simhash, substrings, toxicity, transport, warc
 from quern.llm.common import stage
 
 QUERIES: dict = {}
@@ -58,6 +58,16 @@ def op4_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@_query()
+def op5_toxicity(spark, sf_dir):
+    """Score of every document, by a grammar learned on the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    rated = toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+    return rated.select(
+        "doc_id", (toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT).alias("held_out"), F.col("_q_score").alias("score"),
+        F.when(F.col("_q_score") >= toxicity.CUT, 1).otherwise(0).alias("predicted"))
+
+
 @_query()
 def op6_media_columns(spark, sf_dir):
     """Every document as an MPEG transport stream, stored and read back."""
