@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quern.plans import keyed
+from quern.plans import audits, companies, keyed, market, periods
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _module in (keyed,):
-    QUERIES |= _module.QUERIES
-    ORACLES |= _module.ORACLES
+for _module in (keyed, periods, market, companies, audits):
+    QUERIES |= _module.REGISTRY.queries
+    ORACLES |= _module.REGISTRY.oracles
