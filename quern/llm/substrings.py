@@ -9,9 +9,9 @@ subtree: sorted, they are its leaves in order, and neighbours that agree on all
 (doc_id, start) stays, the words under the others go.
 
 Labels are of variable length: if a label has over `most` suffixes, the label of
-each of its suffixes is lengthened to all `depth` words. A group is then one node,
-and needs no tree but its first leaf, which a two-step aggregate finds without
-gathering the group. So no task holds more than `most` suffixes of a group.
+each of its suffixes is lengthened to all `depth` words, by way of the runs that
+hold them. A group is then one node, and needs no tree but its first leaf, which
+a two-step aggregate finds without gathering the group. So no task holds more than `most` suffixes of a group.
 
 What moves: for each label in a document a hash and the doc_id, then the texts
 of documents that share labels, then for suffixes of shared labels the words
@@ -36,7 +36,7 @@ MOST = 500
 #: In place of a null doc_id, which comes last.
 LAST = (1 << 63) - 1
 #: Bytes of text whose words are handled at once; one text is never cut.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -211,30 +211,68 @@ def trees(rows: DataFrame, depth: int, label: int) -> DataFrame:
     return sent.mapInArrow(build, "did long, digest long, start int, mask long")
 
 
+def _two(values: list[bytes]) -> np.ndarray:
+    """128-bit digests as two columns of longs."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, values)), "<i8").reshape(-1, 2)
+
+
+def _later(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """Rows (h1, h2, did, digest, start) whose node has its first leaf elsewhere; first: h1, h2, place, leaves.
+
+    Joined by a hash of the node, not by the node itself: both sides are then dealt anew, and a hot node's side can be split.
+    """
+    place = F.struct("did", "digest", "start")
+    ends = first.where("leaves > 1").select(
+        F.xxhash64("h1", "h2").alias("node"), F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.col("place"))
+    same = ((F.col("h1") - F.col("f1")) == 0) & ((F.col("h2") - F.col("f2")) == 0)
+    joined = rows.withColumn("node", F.xxhash64("h1", "h2")).join(ends, "node")
+    return joined.where(same & (place != F.col("place")))
+
+
 def nodes(rows: DataFrame, depth: int, label: int) -> DataFrame:
-    """As trees(), for labels with many suffixes (column many): the label is lengthened to all words of the suffix."""
+    """As trees(), for labels with many suffixes (column many): the label is lengthened to all words of a run of suffixes, then of one.
+
+    Runs that are equal in all their words are one; the later ones of them go
+    whole. Only the first run of each kind is taken apart into its suffixes, so a
+    passage in many copies costs one short row for each run of it.
+    """
 
     def send(batches):
         for words, part, of, start, count, _, _ in _found(batches, depth, label, "many"):
-            at = np.repeat(start, count) + np.concatenate([np.arange(c) for c in count])
-            of = np.repeat(of, count)
-            text = words.data
-            full = [b" ".join(text[a:b].tobytes().split()) for a, b in zip(words.start[at].tolist(), words.end[at + depth - 1].tolist(), strict=True)]
-            two = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in full), "<i8").reshape(-1, 2)
+            last = start + count + depth - 2
+            data = words.data
+            around = [b" ".join(data[a:b].tobytes().split()) for a, b in zip(words.start[start].tolist(), words.end[last].tolist(), strict=True)]
+            two = _two(around)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(part.column("did").to_numpy()[of]),
-                 pa.array(part.column("digest").to_numpy()[of]), pa.array((at - words.first[of]).astype(np.int32))],
-                ["h1", "h2", "did", "digest", "start"])
+                 pa.array(part.column("digest").to_numpy()[of]), pa.array((start - words.first[of]).astype(np.int32)),
+                 pa.array(count.astype(np.int32)), pa.array(around, pa.binary())],
+                ["h1", "h2", "did", "digest", "start", "n", "words"])
+
+    def split(batches):
+        for batch in batches:
+            did, digest, start = (batch.column(c).to_numpy() for c in ("did", "digest", "start"))
+            leaves, row, at = [], [], []
+            for i, (n, text) in enumerate(zip(batch.column("n").to_pylist(), batch.column("words").to_pylist(), strict=True)):
+                w = text.split(b" ")
+                leaves += [b" ".join(w[j : j + depth]) for j in range(n)]
+                row += [i] * n
+                at += range(n)
+            two = _two(leaves)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(did[row]), pa.array(digest[row]),
+                 pa.array((start[row] + np.array(at, np.int32)).astype(np.int32))], ["h1", "h2", "did", "digest", "start"])
 
     big = rows.where(F.size("many") > 0).select("did", "digest", "text", "many")
-    sent = big.mapInArrow(send, "h1 long, h2 long, did long, digest long, start int")
-    place = F.struct("did", "digest", "start")
-    first = sent.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    # Joined by a hash of the node, not by the node itself: both sides are then dealt anew, and a hot node's side can be split.
-    first = first.select(F.xxhash64("h1", "h2").alias("node"), F.col("h1").alias("f1"), F.col("h2").alias("f2"), "first")
-    same = ((F.col("h1") - F.col("f1")) == 0) & ((F.col("h2") - F.col("f2")) == 0)
-    later = sent.withColumn("node", F.xxhash64("h1", "h2")).join(first, "node").where(same & (place != F.col("first")))
-    return later.select("did", "digest", "start", F.lit(1).cast("long").alias("mask"))
+    runs_of = big.mapInArrow(send, "h1 long, h2 long, did long, digest long, start int, n int, words binary")
+    first = runs_of.groupBy("h1", "h2").agg(F.min(F.struct("did", "digest", "start", "n", "words")).alias("run"), F.count("*").alias("leaves"))
+    place = F.struct(F.col("run.did").alias("did"), F.col("run.digest").alias("digest"), F.col("run.start").alias("start"))
+    again = _later(runs_of.drop("words"), first.select("h1", "h2", place.alias("place"), "leaves"))
+    whole = again.select("did", "digest", "start", (F.expr("shiftleft(1L, n)") - 1).alias("mask"))
+    leaves = first.select("run.*").mapInArrow(split, "h1 long, h2 long, did long, digest long, start int")
+    ends = leaves.groupBy("h1", "h2").agg(F.min(F.struct("did", "digest", "start")).alias("place"), F.count("*").alias("leaves"))
+    single = _later(leaves, ends).select("did", "digest", "start", F.lit(1).cast("long").alias("mask"))
+    return whole.unionByName(single)
 
 
 def keep_first(docs: DataFrame, depth: int = DEPTH, label: int = LABEL, most: int = MOST) -> DataFrame:
