@@ -28,17 +28,25 @@ LENGTH = 2048
 BUCKETS = 256
 DIMENSIONS = 3
 BITS = 16
-#: Entries of a worker's memo of words; it starts anew when full.
+#: Entries of a worker's memo of words.
 MEMO = 600_000
-_MARKS = b".,;:!?"
+_MARKS = (b".", b",", b";", b":", b"!", b"?")
+
+
+def _printable() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: itself if it prints, else the next from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    odd = iter(range(256, 512))
+    return [chr(b if b in plain else next(odd)) for b in range(256)]
 
 
 class Encoder:
-    """Token ids of whole texts, equal to the tokenizer's own, with a memo of words.
+    """Token ids of whole texts, equal to the tokenizer's own, with memos of words and of their letters.
 
     The tokenizer never joins across ASCII white space, and cuts letters from the
     marks after them; so a text's ids are those of its words in turn, and a
-    word's those of its letters and its mark.
+    word's those of its letters and its mark. Letters of Latin scripts go to the
+    merges directly, all else through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -47,54 +55,54 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.printable = _printable()
         self.words: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {}
-
-    def _of(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _letters(self, word: bytes) -> bytes:
-        """Ids of a word of letters, or of one mark."""
-        low = word.lower()
-        if (ids := self.letters.get(low)) is None:
-            if len(self.letters) >= 2 * MEMO:
-                self.letters.clear()
-            if low.isalpha():
-                ids = np.array([t.id for t in self.model.tokenize(low.decode())], self.kind).tobytes()
+        self.parts: dict[bytes, bytes] = {}
+        self.misses = 0
+
+    def _part(self, part: bytes, latin: bool) -> bytes:
+        """Ids of letters, or of anything that stands alone."""
+        key = part.lower() if latin and part.isascii() else part
+        if (ids := self.parts.get(key)) is None:
+            if len(self.parts) >= 2 * MEMO:
+                self.parts.clear()
+            if latin:
+                low = part.decode().lower().encode()
+                ids = [t.id for t in self.model.tokenize("".join(map(self.printable.__getitem__, low)))]
             else:
-                ids = self._of(word.decode())
-            self.letters[low] = ids
+                ids = self.tokenizer.encode(part.decode(), add_special_tokens=False).ids
+            ids = self.parts[key] = np.array(ids, self.kind).tobytes()
         return ids
 
+    @staticmethod
+    def _latin(part: bytes) -> bool:
+        """Letters below U+0250, without the one whose small letter is two characters."""
+        if part.isascii():
+            return part.isalpha()
+        text = part.decode()
+        return text.isalpha() and max(text) < "\u0250" and "\u0130" not in text
+
     def _word(self, word: bytes) -> bytes:
-        if word.isalpha():
-            return self._letters(word)
-        stem, mark = word[:-1], word[-1:]
-        if stem and mark in _MARKS:
-            if stem.isalpha():
-                return self._letters(stem) + self._letters(mark)
-            text = stem.decode()
-            if text.isalpha() and max(text) < "ɐ":
-                return (self.words.get(stem) or self._remember(stem, self._of(text))) + self._letters(mark)
-        return self._of(word.decode())
-
-    def _remember(self, word: bytes, ids: bytes) -> bytes:
-        self.words[word] = ids
+        if self._latin(word):
+            ids = self._part(word, True)
+        elif word[-1:] in _MARKS and self._latin(word[:-1]):
+            ids = self._part(word[:-1], True) + self._part(word[-1:], False)
+        else:
+            ids = self._part(word, False)
+        self.misses += 1
+        if len(self.words) < MEMO:
+            self.words[word] = ids
+        elif self.misses > 5 * MEMO:  # other words have become common
+            self.words.clear()
+            self.misses = 0
         return ids
 
     def __call__(self, text: bytes) -> bytes:
         words = text.split()
-        try:
-            return b"".join(map(self.words.__getitem__, words))
-        except KeyError:
-            pass
-        if len(self.words) >= MEMO:
-            self.words.clear()
-        known = self.words
-        for w in words:
-            if w not in known:
-                self._remember(w, self._word(w))
-        return b"".join(map(known.__getitem__, words))
+        ids = list(map(self.words.get, words))
+        if None in ids:
+            ids = [self._word(w) if x is None else x for w, x in zip(words, ids, strict=True)]
+        return b"".join(ids)
 
 
 _ENCODERS: dict[str, Encoder] = {}
