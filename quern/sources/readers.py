@@ -51,7 +51,8 @@ def company_facts(documents: DataFrame) -> DataFrame:
 
 def filings(documents: DataFrame) -> DataFrame:
     """Rows from the parallel arrays of submissions; shorter arrays give nulls, rows without an accession go."""
-    zipped = F.arrays_zip(*(F.col(f"filings.recent.{c}").alias(c) for c in [*_STRINGS, "size"]))
+    array = lambda c, kind: F.coalesce(f"filings.recent.{c}", F.array().cast(f"array<{kind}>")).alias(c)
+    zipped = F.arrays_zip(*(array(c, "string") for c in _STRINGS), array("size", "bigint"))
     rows = documents.select("cik", "name", F.explode(zipped).alias("_r")).select("cik", "name", "_r.*")
     return rows.where(F.coalesce("accessionNumber", F.lit("")) != "")
 
