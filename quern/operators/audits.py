@@ -175,3 +175,67 @@ def projection_allowed(rows: DataFrame, allowed: Sequence[str]) -> DataFrame:
     """JSON records (id, record) with keys outside the allow-list."""
     extra = F.array_except(F.json_object_keys("record"), F.array(*map(F.lit, allowed)))
     return issues(rows.withColumn("_extra", extra), "projection", F.col("id"), {"UNKNOWN_FIELD": F.size("_extra") > 0}, F.array_join("_extra", ","))
+
+
+def source_registry(sources: DataFrame, adapters: Sequence[str]) -> DataFrame:
+    """Structure of the registry (source_id, adapter, enabled, cik, base_url): ids, adapters, keys by adapter, https."""
+    n = F.count("*").over(Window.partitionBy("source_id"))
+    sec = F.col("adapter") == "sec_edgar"
+    return issues(sources.withColumn("_n", n), "source_registry", F.col("source_id"), {
+        "MISSING_SOURCE_ID": missing("source_id"), "DUPLICATE_SOURCE_ID": F.col("_n") > 1, "UNKNOWN_ADAPTER": ~F.col("adapter").isin(*adapters),
+        "MISSING_ENABLED": F.col("enabled").isNull(), "INVALID_CIK": sec & ~F.coalesce(F.col("cik").cast("string"), F.lit("")).rlike(r"^\d{1,10}$"),
+        "NOT_HTTPS": ~F.coalesce(F.col("base_url"), F.lit("")).startswith("https://")})
+
+
+def consensus_separation(rows: DataFrame, key: str, paths: str, tokens: Sequence[str]) -> DataFrame:
+    """Records of actuals whose key paths (an array column) name an estimate: forbidden tokens as whole words of a key."""
+    words = F.flatten(F.transform(paths, lambda p: F.split(F.regexp_replace(F.regexp_replace(p, r"([a-z])([A-Z])", "$1_$2"), r"[^A-Za-z]+", "_"), "_")))
+    hit = F.arrays_overlap(F.transform(words, lambda w: F.lower(w)), F.array(*map(F.lit, tokens)))
+    return issues(rows, "consensus_separation", F.col(key), {"ESTIMATE_IN_ACTUALS": F.coalesce(hit, F.lit(False))})
+
+
+def snapshot(facts: DataFrame) -> DataFrame:
+    """Facts of one snapshot (company, tag, period, unit, value): unique, one period, whole dollars, no zero cash flow."""
+    n = F.count("*").over(Window.partitionBy("company", "tag"))
+    periods = F.size(F.collect_set("period").over(Window.partitionBy("company")))
+    return issues(facts.withColumn("_n", n).withColumn("_p", periods), "snapshot", F.col("company"), {
+        "MISSING_FIELD": missing("company") | missing("tag") | missing("period"), "DUPLICATE_FACT": F.col("_n") > 1, "SEVERAL_PERIODS": F.col("_p") > 1,
+        "NOT_WHOLE_USD": (F.col("unit") != "USD") | (F.col("value") != F.floor("value")), "ZERO_CASH_FLOW": (F.col("tag") == "operating_cash_flow") & (F.col("value") == 0)}, F.col("tag"))
+
+
+def money_units(rows: DataFrame, key: str, value: str, unit: str) -> DataFrame:
+    """Published amounts must be in base units: a missing, unsupported or scaled unit is an issue."""
+    from quern.functions.scalars import MONEY_UNITS
+
+    base = [u for u, _, f in MONEY_UNITS if f == 1]
+    scaled = [u for u, _, f in MONEY_UNITS if f != 1]
+    u = F.col(unit)
+    return issues(rows.where(F.col(value).isNotNull()), "money_units", F.col(key), {
+        "MISSING_UNIT": u.isNull(), "UNSUPPORTED_UNIT": ~F.coalesce(u.isin(*base, *scaled), F.lit(True)), "SCALED_UNIT": F.coalesce(u.isin(*scaled), F.lit(False))})
+
+
+def rejections(rows: DataFrame, key: str, permanent: Sequence[str], transient: Sequence[str]) -> DataFrame:
+    """Rejected rows need a known reason and freshness REJECTED."""
+    reason = F.col("rejection_reason")
+    return issues(rows, "rejections", F.col(key), {
+        "MISSING_REASON": missing("rejection_reason"), "UNKNOWN_REASON": F.coalesce(~reason.isin(*permanent, *transient), F.lit(False)),
+        "NOT_MARKED_REJECTED": ~F.col("freshness").eqNullSafe("REJECTED")})
+
+
+def metric_lineage(metrics: DataFrame, events: DataFrame, proofs: DataFrame, key: str) -> DataFrame:
+    """Metrics against their events and evidence by one key: all three must be there and agree on accession and url."""
+    e = events.select(key, F.col("accession").alias("_ea"))
+    p = proofs.groupBy(key).agg(F.min("source_url").alias("_pu"))
+    j = metrics.join(e, key, "left").join(p, key, "left")
+    return issues(j, "metric_lineage", F.col(key), {
+        "UNKNOWN_EVENT": F.col("_ea").isNull(), "NO_EVIDENCE": F.col("_pu").isNull(),
+        "ACCESSION_MISMATCH": F.coalesce(F.col("accession") != F.col("_ea"), F.lit(False)), "URL_MISMATCH": F.coalesce(F.col("source_url") != F.col("_pu"), F.lit(False))})
+
+
+def page_boundary(rendered: DataFrame, published: DataFrame, key: str) -> DataFrame:
+    """Ids on a page must be just the published ones."""
+    from quern.operators.keyed import coverage
+
+    found = coverage(published, rendered, key)
+    return found.select(F.lit("page_boundary").alias("audit"), F.when(F.col("problem") == "missing", "NOT_RENDERED").otherwise("STALE_ID").alias("code"),
+                        F.col(key).cast("string").alias("key"), F.lit("").alias("detail"))
