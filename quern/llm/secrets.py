@@ -21,6 +21,7 @@ from quern.llm.common import stage
 
 LEDGER = "blob binary, scanned array<string>, spans array<struct<start:int,kind:int,end:int>>"
 SPANS = "array<struct<start:int,kind:int,end:int>>"
+CHUNK = 200
 
 
 @dataclass(frozen=True)
@@ -52,6 +53,7 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
     kept = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else found
     parts = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), found.alias("match"), kept.alias("kept"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
+    whole = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("lists"))
 
     def step(state: Column, part: Column) -> Column:
         begin = state.at + F.length(part.gap)
@@ -60,7 +62,23 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
         wanted = F.length(part.kept) >= rule.least
         return F.struct(end.alias("at"), F.when(wanted, F.concat(state.spans, one)).otherwise(state.spans).alias("spans"))
 
-    return F.when(F.size(found) > 0, F.aggregate(parts, start, step, lambda s: s.spans)).otherwise(F.array().cast(SPANS))
+    def shifted(state: Column, part: Column) -> Column:
+        move = lambda s: F.struct((s.start + state.at).alias("start"), s.kind.alias("kind"), (s.end + state.at).alias("end"))
+        return F.struct((state.at + part.at).alias("at"), F.concat(state.lists, F.array(F.transform(part.spans, move))).alias("lists"))
+
+    some = F.transform(_chunks(parts), lambda c: F.aggregate(c, start, step))
+    spans = F.aggregate(some, whole, shifted, lambda s: F.flatten(s.lists))
+    return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(SPANS))
+
+
+def _chunks(items: Column) -> Column:
+    """An array in pieces of CHUNK: lists and texts are put together within a piece first, so that long ones cost little more than linear time."""
+
+    def cut(x: Column) -> Column:
+        last = F.floor((F.size(x) - 1) / CHUNK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(x, k * CHUNK + 1, CHUNK))
+
+    return F.get(F.transform(F.array(items), cut), 0)  # items is bound once, not computed for each piece
 
 
 def blob_of(text: Column) -> Column:
@@ -100,7 +118,9 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
 def _by_blob(ledger: DataFrame) -> DataFrame:
     """The spans of each blob that has any, over all ledger rows of the blob."""
     rows = ledger.where(F.size("spans") > 0).groupBy(F.col("blob").alias("_q_blob"))
-    return stage(rows.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("_q_spans")))
+    rows = rows.agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("_q_spans"))
+    new = F.filter("_q_spans", lambda s, i: (i == 0) | (s != F.get("_q_spans", i - 1)))  # array_distinct compares all pairs of structs
+    return stage(rows.select("_q_blob", new.alias("_q_spans")))
 
 
 def findings(docs: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -119,14 +139,28 @@ def joined_spans(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 def redact(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
     """docs with each stretch of secret characters replaced by a mark; same columns, n_chars set anew if it is there."""
     found = findings(docs, scan(docs, ledger, rules))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    text = F.col("text")
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    whole = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("outs"))
+
+    def piece(state: Column, spans: Column) -> Column:
+        """The text from state.at to the last end of some spans, without their characters."""
+        base = state.at
+        stop = F.greatest(base, F.array_max(F.transform(spans, lambda s: s.end)))
+
+        def cut(part: Column) -> Column:
+            def step(t: Column, s: Column) -> Column:
+                a, b = s.start - base, s.end - base
+                before = F.concat(t.out, F.substring(part, t.at + 1, a - t.at), F.lit(mark))
+                return F.struct(F.greatest(t.at, b).alias("at"), F.when(a >= t.at, before).otherwise(t.out).alias("out"))
+
+            return F.aggregate(spans, begin, step, lambda t: t.out)
 
-    def step(state: Column, s: Column) -> Column:
-        before = F.concat(state.out, F.substring(F.col("text"), state.at + 1, s.start - state.at), F.lit(mark))
-        return F.struct(F.greatest(state.at, s.end).alias("at"), F.when(s.start >= state.at, before).otherwise(state.out).alias("out"))
+        out = F.get(F.transform(F.array(F.substring(text, base + 1, stop - base)), cut), 0)
+        return F.struct(stop.alias("at"), F.concat(state.outs, F.array(out)).alias("outs"))
 
-    rest = lambda s: F.concat(s.out, F.substring(F.col("text"), s.at + 1, F.length("text")))
-    clean = F.when(F.size("_q_spans") > 0, F.aggregate("_q_spans", start, step, rest)).otherwise(F.col("text"))
+    rest = lambda s: F.concat(F.array_join(s.outs, ""), F.substring(text, s.at + 1, F.length(text)))
+    clean = F.when(F.size("_q_spans") > 0, F.aggregate(_chunks(F.col("_q_spans")), whole, piece, rest)).otherwise(text)
     out = found.withColumn("text", clean)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size("_q_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
