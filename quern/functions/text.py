@@ -123,3 +123,57 @@ def canonical_hash(text: Column) -> Column:
         return texts.map(one)
 
     return F.sha2(canon(text), 256)
+
+
+def table_rows(html: Column) -> Column:
+    """The rows of a page's tables as arrays of cell texts; rows without cells are left out."""
+    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    cells = lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"), F.lit(1)), visible_text)
+    return F.filter(F.transform(rows, cells), lambda r: F.size(r) > 0)
+
+
+def snake(text: Column) -> Column:
+    """Words of letters and digits in lower case, joined by underscores."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"[^a-z0-9]+", "_"), r"^_+|_+$", ""))
+
+
+def inferred_period(text: Column) -> tuple[Column, Column, Column]:
+    """(period_end, fiscal_quarter, fiscal_year) as a text states them; nothing is guessed from one for another."""
+    from quern.functions.scalars import any_date
+
+    end = any_date(F.regexp_extract(text, r"(?i)\b(?:ended|ending|as of)\s+([A-Z][a-z]+ \d{1,2}, \d{4})", 1))
+    word = F.lower(F.regexp_extract(text, r"(?i)\b(first|second|third|fourth)[ -](?:fiscal )?quarter", 1))
+    named = F.when(word == "first", 1).when(word == "second", 2).when(word == "third", 3).when(word == "fourth", 4)
+    quarter = F.coalesce(F.regexp_extract(text, r"\bQ([1-4])\b", 1).try_cast("int"), named)
+    year = F.coalesce(*(F.regexp_extract(text, p, 1).try_cast("int") for p in (r"(?i)\bfiscal(?: year)? (20\d{2})\b", r"\bFY ?(20\d{2})\b", r"(?i)\bquarter of (20\d{2})\b")))
+    return end, quarter, year
+
+
+def python_round(value: Column, places: int) -> Column:
+    """Half-even rounding of the binary value, as Python rounds: 2.675 gives 2.67."""
+
+    @F.pandas_udf("double")
+    def rounded(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: None if x is None or x != x else round(x, places))
+
+    return rounded(value.cast("double"))
+
+
+def pdf_text(content: Column, tool: str = "pdftotext") -> Column:
+    """Text of PDF bytes by an external tool on the executors; null where it is not installed or can't read the file."""
+
+    @F.pandas_udf("string")
+    def read(raw: pd.Series) -> pd.Series:
+        import shutil
+        import subprocess
+
+        if not shutil.which(tool):
+            return pd.Series([None] * len(raw), dtype="object")
+
+        def one(x):
+            done = subprocess.run([tool, "-", "-"], input=bytes(x or b""), capture_output=True, timeout=120)
+            return done.stdout.decode("utf-8", "replace") if done.returncode == 0 else None
+
+        return raw.map(one)
+
+    return read(content)

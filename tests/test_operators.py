@@ -199,3 +199,33 @@ def test_text(spark):
         T.product_window(F.lit("NAND bit shipments up 7% and DRAM up 5%"), "NAND", ["DRAM"], r"\d+%").alias("hit")).first()
     assert r.v == "Q1 results: revenue up A B" and r.l == ["/a", "b?c=1"] and r.e and r.d == "株"
     assert r.k == ["a", "b", "b[].c"] and r.c == r.want and r.m == 57.8 and r.rival is None and r.hit == "7%"
+
+
+def test_more_text(spark):
+    html = "<table><tr><th>Code</th><th>Title</th></tr><tr><td> 72030 </td><td><a href='x'>Results &amp; outlook</a></td></tr><tr></tr></table>"
+    end, quarter, year = T.inferred_period(F.lit("Results for the third quarter ended June 30, 2024 (fiscal 2024)"))
+    r = one(
+        spark, T.table_rows(F.lit(html)).alias("rows"), T.snake(F.lit(" Net Income (GAAP) ")).alias("s"), end.alias("e"), quarter.alias("q"), year.alias("y"),
+        T.python_round(F.lit(2.675), 2).alias("r"), T.python_round(F.lit(None).cast("double"), 2).alias("n"), T.pdf_text(F.lit(b"x"), "no-such-tool").alias("p"))
+    assert r.rows == [["Code", "Title"], ["72030", "Results & outlook"]] and r.s == "net_income_gaap"
+    assert (r.e, r.q, r.y, r.r, r.n, r.p) == (date(2024, 6, 30), 3, 2024, 2.67, None, None)
+
+
+def test_filing_rules(spark):
+    from quern.operators import filings
+
+    rows = spark.createDataFrame([("a", "10-K", "2023-12-31"), ("b", "8-K", "2024-06-30"), ("c", "X", "2024-01-01"), ("d", "10-Q", None)], "k string, form string, d string")
+    kind, issue = filings.reporting_period(F.col("form"), F.col("d").cast("date"), F.lit("2024-03-01").cast("timestamp"))
+    assert {r.k: (r.kind, r.issue) for r in rows.select("k", kind.alias("kind"), issue.alias("issue")).collect()} == {
+        "a": ("annual", None), "b": (None, "PERIOD_AFTER_PUBLICATION"), "c": (None, "UNKNOWN_FORM"), "d": (None, "MISSING_PERIOD_END")}
+    with pytest.raises(ValueError, match="not fields"):
+        filings.as_observations(rows)
+    obs = filings.as_observations(spark.createDataFrame([("e", "c", 1.0)], "entity_id string, concept_id string, value double"))
+    assert obs.columns == list(filings.OBSERVATION) and obs.first().id.startswith("observation:") and obs.first().revision == 0
+    base = spark.createDataFrame([(1, "x", 5)], "cik int, accession string, v int")
+    need = spark.createDataFrame([(1, "x"), (1, "y")], "cik int, accession string")
+    assert [r.accession for r in filings.missing_accessions(need, base).collect()] == ["y"]
+    delta = spark.createDataFrame([(1, "x", 6), (1, "y", 7)], base.schema)
+    assert {(r.accession, r.v, r.provenance) for r in filings.with_delta(base, delta, ["cik", "accession"]).collect()} == {("x", 5, "bulk"), ("y", 7, "api")}
+    q = spark.createDataFrame([("edinet", "edinet"), ("vendor", None), ("edinet", "vendor")], "s string, p string")
+    assert [r.c for r in q.select(filings.canonical_source(F.col("s"), F.col("p"), ["edinet"]).alias("c")).collect()] == [None, "third_party_source", "third_party_previous_source"]

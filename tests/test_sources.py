@@ -144,3 +144,30 @@ def test_read_service(spark):
     assert ReadService(events, audits.limit(0), manifest, files, evidence).audit_status().first().status == "BLOCKED"
     assert {r.path: r.state for r in s.data_quality().collect()} == {"p": "MATCH", "q": "REVISION_CHANGED", "r": "MISSING"}
     assert s.publication_snapshot().first().events == 3
+
+
+def test_landing(tmp_path):
+    from urllib.error import HTTPError
+
+    from quern.sources import landing
+
+    (tmp_path / "src.txt").write_text("abc")
+    url = f"file://{tmp_path}/src.txt"
+    first = landing.land(url, f"{tmp_path}/out")
+    assert first.changed and first.size_bytes == 3
+    assert not landing.land(url, f"{tmp_path}/out", first.sha256).changed
+    with pytest.raises(ValueError, match="not a ZIP"):
+        landing.land(url, f"{tmp_path}/zip", archive=True)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["out", "src.txt"]
+
+    def fails(code):
+        def f():
+            raise HTTPError("u", code, "", {}, None)
+        return f
+
+    assert landing.bulk_or_each(fails(403), lambda k: k + "!", ["a", "b"]) == ["a!", "b!"]
+    with pytest.raises(HTTPError):
+        landing.bulk_or_each(fails(500), str, ["a"])
+    assert landing.safe_path(str(tmp_path), "out").endswith("out")
+    with pytest.raises(ValueError):
+        landing.safe_path(str(tmp_path), "../x")
