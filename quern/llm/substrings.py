@@ -9,9 +9,10 @@ subtree: sorted, they are its leaves in order, and neighbours that agree on all
 (doc_id, start) stays, the words under the others go.
 
 Labels are of variable length: if a label has over `most` suffixes, the label of
-each of its suffixes is lengthened to all `depth` words, by way of the runs that
-hold them. A group is then one node, and needs no tree but its first leaf, which
-a two-step aggregate finds without gathering the group. So no task holds more than `most` suffixes of a group.
+each of its suffixes is lengthened to all words of its run of suffixes, and if
+there are over `most` kinds of runs, to all `depth` words of the suffix. A group
+is then one node, and needs no tree but its first leaf, which a two-step
+aggregate finds without gathering the group. So no task holds more than `most` suffixes of a group.
 
 What moves: for each label in a document a hash and the doc_id, then the texts
 of documents that share labels, then for suffixes of shared labels the words
@@ -161,22 +162,8 @@ def _pair_in(a1: np.ndarray, a2: np.ndarray, b1: np.ndarray, b2: np.ndarray) ->
     return np.isin(pair[: len(a1)], pair[len(a1) :])
 
 
-def trees(rows: DataFrame, depth: int, label: int) -> DataFrame:
-    """(did, digest, start, mask) of the suffixes of short groups that are not the first leaf of their node.
-
-    rows: did, text, digest, few (labels of groups within the bound). Bit i of mask is for the suffix at start + i.
-    """
-
-    def send(batches):
-        for words, part, of, start, count, place, key in _found(batches, depth, label, "few"):
-            did, digest = part.column("did").to_numpy()[of], part.column("digest").to_numpy()[of]
-            first = start - words.first[of]
-            view = words.data
-            last = start + count + depth - 2
-            around = [view[a:b].tobytes() for a, b in zip(words.start[start].tolist(), words.end[last].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(did), pa.array(digest), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(around, pa.binary())],
-                ["label", "did", "digest", "start", "n", "words"])
+def _subtrees(sent: DataFrame, depth: int) -> DataFrame:
+    """The subtree of each label: rows (label, did, digest, start, n, words) to (did, digest, start, mask)."""
 
     def build(batches):
         for table in whole_runs(batches, "label"):
@@ -205,12 +192,31 @@ def trees(rows: DataFrame, depth: int, label: int) -> DataFrame:
                     [pa.array(did[at]), pa.array(digest[at]), pa.array(start[at]), pa.array(list(masks.values()), pa.int64())],
                     ["did", "digest", "start", "mask"])
 
-    small = rows.where(F.size("few") > 0).select("did", "digest", "text", "few")
-    sent = small.mapInArrow(send, "label long, did long, digest long, start int, n int, words binary")
     sent = sent.repartition("label").sortWithinPartitions("label")
     return sent.mapInArrow(build, "did long, digest long, start int, mask long")
 
 
+def trees(rows: DataFrame, depth: int, label: int) -> DataFrame:
+    """(did, digest, start, mask) of the suffixes of short groups that are not the first leaf of their node.
+
+    rows: did, text, digest, few (labels of groups within the bound). Bit i of mask is for the suffix at start + i.
+    """
+
+    def send(batches):
+        for words, part, of, start, count, place, key in _found(batches, depth, label, "few"):
+            did, digest = part.column("did").to_numpy()[of], part.column("digest").to_numpy()[of]
+            first = start - words.first[of]
+            view = words.data
+            last = start + count + depth - 2
+            around = [view[a:b].tobytes() for a, b in zip(words.start[start].tolist(), words.end[last].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(did), pa.array(digest), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(around, pa.binary())],
+                ["label", "did", "digest", "start", "n", "words"])
+
+    small = rows.where(F.size("few") > 0).select("did", "digest", "text", "few")
+    return _subtrees(small.mapInArrow(send, "label long, did long, digest long, start int, n int, words binary"), depth)
+
+
 def _two(values: list[bytes]) -> np.ndarray:
     """128-bit digests as two columns of longs."""
     return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, values)), "<i8").reshape(-1, 2)
@@ -229,16 +235,17 @@ def _later(rows: DataFrame, first: DataFrame) -> DataFrame:
     return joined.where(same & (place != F.col("place")))
 
 
-def nodes(rows: DataFrame, depth: int, label: int) -> DataFrame:
+def nodes(rows: DataFrame, depth: int, label: int, most: int) -> DataFrame:
     """As trees(), for labels with many suffixes (column many): the label is lengthened to all words of a run of suffixes, then of one.
 
     Runs that are equal in all their words are one; the later ones of them go
-    whole. Only the first run of each kind is taken apart into its suffixes, so a
-    passage in many copies costs one short row for each run of it.
+    whole, so a passage in many copies costs one short row for each run of it. If
+    the kinds of runs of a label are few, their first runs make its subtree; only
+    the runs of labels with over `most` kinds are taken apart into suffixes.
     """
 
     def send(batches):
-        for words, part, of, start, count, _, _ in _found(batches, depth, label, "many"):
+        for words, part, of, start, count, _, key in _found(batches, depth, label, "many"):
             last = start + count + depth - 2
             data = words.data
             around = [b" ".join(data[a:b].tobytes().split()) for a, b in zip(words.start[start].tolist(), words.end[last].tolist(), strict=True)]
@@ -246,8 +253,8 @@ def nodes(rows: DataFrame, depth: int, label: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(part.column("did").to_numpy()[of]),
                  pa.array(part.column("digest").to_numpy()[of]), pa.array((start - words.first[of]).astype(np.int32)),
-                 pa.array(count.astype(np.int32)), pa.array(around, pa.binary())],
-                ["h1", "h2", "did", "digest", "start", "n", "words"])
+                 pa.array(count.astype(np.int32)), pa.array(around, pa.binary()), pa.array(key)],
+                ["h1", "h2", "did", "digest", "start", "n", "words", "label"])
 
     def split(batches):
         for batch in batches:
@@ -264,15 +271,20 @@ def nodes(rows: DataFrame, depth: int, label: int) -> DataFrame:
                  pa.array((start[row] + np.array(at, np.int32)).astype(np.int32))], ["h1", "h2", "did", "digest", "start"])
 
     big = rows.where(F.size("many") > 0).select("did", "digest", "text", "many")
-    runs_of = big.mapInArrow(send, "h1 long, h2 long, did long, digest long, start int, n int, words binary")
-    first = runs_of.groupBy("h1", "h2").agg(F.min(F.struct("did", "digest", "start", "n", "words")).alias("run"), F.count("*").alias("leaves"))
+    runs_of = big.mapInArrow(send, "h1 long, h2 long, did long, digest long, start int, n int, words binary, label long")
+    first = runs_of.groupBy("h1", "h2").agg(F.min(F.struct("did", "digest", "start", "n", "words", "label")).alias("run"), F.count("*").alias("leaves"))
     place = F.struct(F.col("run.did").alias("did"), F.col("run.digest").alias("digest"), F.col("run.start").alias("start"))
-    again = _later(runs_of.drop("words"), first.select("h1", "h2", place.alias("place"), "leaves"))
+    again = _later(runs_of.drop("words", "label"), first.select("h1", "h2", place.alias("place"), "leaves"))
     whole = again.select("did", "digest", "start", (F.expr("shiftleft(1L, n)") - 1).alias("mask"))
-    leaves = first.select("run.*").mapInArrow(split, "h1 long, h2 long, did long, digest long, start int")
+    merged = first.select("run.*").withColumn("key", F.xxhash64("label"))
+    kinds = merged.groupBy("label").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    kinds = kinds.select(F.xxhash64("label").alias("key"), F.col("label").alias("of"), "kinds")  # joined as in _later
+    routed = merged.join(kinds, "key").where((F.col("label") - F.col("of")) == 0)
+    few = _subtrees(routed.where(F.col("kinds") <= most).select("label", "did", "digest", "start", "n", "words"), depth)
+    leaves = routed.where(F.col("kinds") > most).select("did", "digest", "start", "n", "words").mapInArrow(split, "h1 long, h2 long, did long, digest long, start int")
     ends = leaves.groupBy("h1", "h2").agg(F.min(F.struct("did", "digest", "start")).alias("place"), F.count("*").alias("leaves"))
     single = _later(leaves, ends).select("did", "digest", "start", F.lit(1).cast("long").alias("mask"))
-    return whole.unionByName(single)
+    return whole.unionByName(few).unionByName(single)
 
 
 def keep_first(docs: DataFrame, depth: int = DEPTH, label: int = LABEL, most: int = MOST) -> DataFrame:
@@ -296,7 +308,7 @@ def keep_first(docs: DataFrame, depth: int = DEPTH, label: int = LABEL, most: in
     mine = stage(mine)
     # One plan from here on, in which the three uses of the texts by did share one shuffle.
     of = lambda column: base.join(mine.where(F.size(column) > 0), "did").withColumn("digest", F.xxhash64("text"))
-    gone = trees(of("few"), depth, label).unionByName(nodes(of("many"), depth, label))
+    gone = trees(of("few"), depth, label).unionByName(nodes(of("many"), depth, label, most))
     gone = gone.groupBy("did").agg(*(F.collect_list(c).alias(c) for c in ("digest", "start", "mask")))
     marked = base.join(gone, "did", "left").withColumn("own", F.xxhash64("text"))
 
