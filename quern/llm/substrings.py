@@ -163,7 +163,10 @@ def _pair_in(a1: np.ndarray, a2: np.ndarray, b1: np.ndarray, b2: np.ndarray) ->
 
 
 def _subtrees(sent: DataFrame, depth: int) -> DataFrame:
-    """The subtree of each label: rows (label, did, digest, start, n, words) to (did, digest, start, mask)."""
+    """The subtree of each label: rows (label, did, digest, start, n, words) to (did, digest, start, mask).
+
+    Those are the suffixes that are not the first leaf of their node; bit i of mask is for the suffix at start + i.
+    """
 
     def build(batches):
         for table in whole_runs(batches, "label"):
@@ -196,11 +199,8 @@ def _subtrees(sent: DataFrame, depth: int) -> DataFrame:
     return sent.mapInArrow(build, "did long, digest long, start int, mask long")
 
 
-def trees(rows: DataFrame, depth: int, label: int) -> DataFrame:
-    """(did, digest, start, mask) of the suffixes of short groups that are not the first leaf of their node.
-
-    rows: did, text, digest, few (labels of groups within the bound). Bit i of mask is for the suffix at start + i.
-    """
+def short_groups(rows: DataFrame, depth: int, label: int) -> DataFrame:
+    """The runs of suffixes of labels within the bound, for their subtrees; rows: did, text, digest, few (such labels)."""
 
     def send(batches):
         for words, part, of, start, count, place, key in _found(batches, depth, label, "few"):
@@ -214,7 +214,7 @@ def trees(rows: DataFrame, depth: int, label: int) -> DataFrame:
                 ["label", "did", "digest", "start", "n", "words"])
 
     small = rows.where(F.size("few") > 0).select("did", "digest", "text", "few")
-    return _subtrees(small.mapInArrow(send, "label long, did long, digest long, start int, n int, words binary"), depth)
+    return small.mapInArrow(send, "label long, did long, digest long, start int, n int, words binary")
 
 
 def _two(values: list[bytes]) -> np.ndarray:
@@ -235,8 +235,10 @@ def _later(rows: DataFrame, first: DataFrame) -> DataFrame:
     return joined.where(same & (place != F.col("place")))
 
 
-def nodes(rows: DataFrame, depth: int, label: int, most: int) -> DataFrame:
-    """As trees(), for labels with many suffixes (column many): the label is lengthened to all words of a run of suffixes, then of one.
+def long_groups(rows: DataFrame, depth: int, label: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """Labels with many suffixes (column many): the label is lengthened to all words of a run of suffixes, then of one.
+
+    Gives marks as _subtrees() does, and runs that still need a subtree.
 
     Runs that are equal in all their words are one; the later ones of them go
     whole, so a passage in many copies costs one short row for each run of it. If
@@ -280,11 +282,11 @@ def nodes(rows: DataFrame, depth: int, label: int, most: int) -> DataFrame:
     kinds = merged.groupBy("label").agg(F.count("*").alias("kinds")).where("kinds > 1")
     kinds = kinds.select(F.xxhash64("label").alias("key"), F.col("label").alias("of"), "kinds")  # joined as in _later
     routed = merged.join(kinds, "key").where((F.col("label") - F.col("of")) == 0)
-    few = _subtrees(routed.where(F.col("kinds") <= most).select("label", "did", "digest", "start", "n", "words"), depth)
+    few = routed.where(F.col("kinds") <= most).select("label", "did", "digest", "start", "n", "words")
     leaves = routed.where(F.col("kinds") > most).select("did", "digest", "start", "n", "words").mapInArrow(split, "h1 long, h2 long, did long, digest long, start int")
     ends = leaves.groupBy("h1", "h2").agg(F.min(F.struct("did", "digest", "start")).alias("place"), F.count("*").alias("leaves"))
     single = _later(leaves, ends).select("did", "digest", "start", F.lit(1).cast("long").alias("mask"))
-    return whole.unionByName(few).unionByName(single)
+    return whole.unionByName(single), few
 
 
 def keep_first(docs: DataFrame, depth: int = DEPTH, label: int = LABEL, most: int = MOST) -> DataFrame:
@@ -308,7 +310,8 @@ def keep_first(docs: DataFrame, depth: int = DEPTH, label: int = LABEL, most: in
     mine = stage(mine)
     # One plan from here on, in which the three uses of the texts by did share one shuffle.
     of = lambda column: base.join(mine.where(F.size(column) > 0), "did").withColumn("digest", F.xxhash64("text"))
-    gone = trees(of("few"), depth, label).unionByName(nodes(of("many"), depth, label, most))
+    marks, runs_left = long_groups(of("many"), depth, label, most)
+    gone = marks.unionByName(_subtrees(short_groups(of("few"), depth, label).unionByName(runs_left), depth))
     gone = gone.groupBy("did").agg(*(F.collect_list(c).alias(c) for c in ("digest", "start", "mask")))
     marked = base.join(gone, "did", "left").withColumn("own", F.xxhash64("text"))
 
