@@ -107,7 +107,7 @@ class Index:
         size = np.abs(q)
         shift = max(0, int(size.max(initial=0)).bit_length() - self.slices)
         lead = size >> shift
-        rest = size - (lead << shift) - np.where(size > 0, ((1 << shift) - 1) / 2, 0)
+        rest = size - (lead << shift)  # whole: the sums have the leading digits only
         error = np.linalg.norm(rest, axis=1) * self.spread + np.linalg.norm(q, axis=1) * self.residue
         columns: list[list[np.ndarray]] = []
         zero = np.zeros((len(q), len(self.valid)), np.uint64)

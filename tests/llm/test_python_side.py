@@ -43,6 +43,22 @@ def test_top_k_of_few(spark):
     assert bitslice.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_of_an_outlier_component():
+    rng = np.random.default_rng(8)
+    q = np.array([128, *rng.choice([-4, 4], 63)])
+    x = np.concatenate([np.full((2000, 1), 124), rng.choice([-4, 3], (2000, 63))], axis=1)
+    best = np.zeros((5, 64), np.int64)
+    for i, row in enumerate(best):
+        at = rng.choice(np.arange(1, 64), 35, replace=False)
+        row[at] = 124 * np.sign(q[at])
+    x = np.concatenate([x, best])
+    ids = np.arange(1, len(x) + 1)
+    want = sorted(zip((-(x @ q)).tolist(), ids.tolist()))[:5]
+    got = bitslice.Index(ids, x).search(np.array([0]), q[None, :], 5)
+    assert sorted((-s, i) for _, i, s in got) == want
+    assert {i for _, i in want} == {2001, 2002, 2003, 2004, 2005}
+
+
 def test_encoder_equals_tokenizer():
     code = packing.encoder(packing.TOKENIZER)
     exact = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
