@@ -148,6 +148,16 @@ def one_per_component(docs: DataFrame, **settings) -> DataFrame:
     Rows with a null doc_id have no identity to compare by and all stay; of rows
     that repeat a kept doc_id, all stay if they are in its component.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), **settings)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(stage(gone), "doc_id", "left_anti")
+    small_batches(docs.sparkSession)
+    shingle = settings.get("shingle", SHINGLE)
+    schema = docs.limit(0).withColumn("_q_fp", F.lit(None).cast("long")).schema
+
+    def score(batches):
+        for batch in batches:
+            values = np.array([fingerprint(x, shingle) for x in as_bytes(batch.column("text"))], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values.view(np.int64))], schema.names)
+
+    rows = stage(docs.mapInArrow(score, schema))
+    found = near_duplicates(rows.select("doc_id", "text"), **settings)
+    gone = found.where("doc_id <> component_id").select("doc_id", F.col("fp").alias("_q_fp")).distinct()
+    return rows.join(stage(gone), ["doc_id", "_q_fp"], "left_anti").select(*docs.columns)

@@ -103,6 +103,12 @@ def test_one_stays_of_each_group(spark):
     assert kept == {2, 9, None}
 
 
+def test_removal_is_by_row(spark):
+    text, other = (" ".join(f"{x}{i}" for i in range(200)) for x in "ab")
+    docs = spark.createDataFrame([(1, text), (2, text), (2, other)], "doc_id long, text string")
+    assert {(r.doc_id, r.text) for r in simhash.one_per_component(docs).collect()} == {(1, text), (2, other)}
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_query(spark, sf):
     rows = QUERIES["op1_simhash_near_dedup"](spark, f"/root/testdata/{sf}").collect()
