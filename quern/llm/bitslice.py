@@ -30,22 +30,23 @@ SLICES = 5
 SCALE = 256
 EVERY = 50
 #: Rows are for vectors of 64 dimensions; longer ones make blocks and batches of fewer rows.
-#: Components of greater size take no part: their scores would not fit a long.
-LARGEST = 1 << 27
+#: Scaled components beyond it are an error, as differences of two must fit a long.
+LARGEST = 1 << 60
 
 
 def vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, dim, x): floor(scale * component) of each usable vector.
 
-    Left out: null vectors, those with a null or non-finite component or one
-    beyond LARGEST, and null ids. Rows that repeat a vec_id are one vector, the
-    least by array order.
+    Left out: null vectors, those with a null or non-finite component, and null
+    ids. Rows that repeat a vec_id stay rows. A finite component beyond LARGEST
+    fails the task.
     """
-    x = F.transform("embedding", lambda v: F.floor(F.lit(scale) * v.cast("double")))
-    finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) <= LARGEST / scale))
+    fits = lambda v: F.abs(v.cast("double")) <= LARGEST / scale
+    too_large = F.raise_error(F.lit("a component's score would not fit a long")).cast("bigint")
+    x = F.transform("embedding", lambda v: F.when(fits(v), F.floor(F.lit(scale) * v.cast("double"))).otherwise(too_large))
+    finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
     usable = rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite)
-    one = usable.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    return one.select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), x.cast("array<bigint>").alias("x"))
+    return usable.select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), x.cast("array<bigint>").alias("x"))
 
 
 def _packed(rows: DataFrame, group: str) -> DataFrame:
@@ -76,6 +77,16 @@ def _mask(bits: np.ndarray) -> np.ndarray:
     return np.where(bits, ~np.uint64(0), np.uint64(0))[:, None]
 
 
+def _scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Exact inner products; one beyond a long is an error."""
+    if not x.size or float(np.abs(x).max()) * float(np.abs(q).astype(float).sum()) < 1 << 62:
+        return x @ q
+    scores = x.astype(object) @ q.astype(object)
+    if any(abs(s) >= 1 << 63 for s in scores):
+        raise OverflowError("a score does not fit a long")
+    return scores.astype(np.int64)
+
+
 class Index:
     """The bit-sliced index of a block: ids [n] and exact attributes x [n, dim]."""
 
@@ -146,16 +157,17 @@ class Index:
         n = len(self.ids)
         slices, shift, error = self.sums(q)
         threshold = np.zeros(len(q), np.int64)
-        if n > k + 1:  # the query's own row may be among the best
+        own = np.maximum(1, np.isin(self.ids, queries).sum() and (self.ids[None, :] == queries[:, None]).sum(1))
+        if n > k + 1:  # the query's own rows may be among the best
             sure, tied = np.zeros((len(q), len(self.valid)), np.uint64), np.repeat(self.valid[None, :], len(q), 0)
             for w in range(len(slices) - 1, -1, -1):
                 better = tied & slices[w]
-                many = np.bitwise_count(sure | better).sum(1, dtype=np.int64) >= k + 1
+                many = np.bitwise_count(sure | better).sum(1, dtype=np.int64) >= k + own
                 threshold += np.where(many, 1 << w, 0)
                 keep = _mask(many)
                 sure, tied = np.where(keep, sure, sure | better), np.where(keep, better, tied & ~slices[w])
         unit = 1 << (self.shift + shift)
-        limit = np.maximum(0, np.floor(threshold - 2 * error / unit - 1).astype(np.int64))
+        limit = np.maximum(0, np.floor(threshold - 2 * error / float(unit) - 1).astype(np.int64))
         above, level = np.zeros((len(q), len(self.valid)), np.uint64), np.repeat(self.valid[None, :], len(q), 0)
         for w in range(len(slices) - 1, -1, -1):
             bit = _mask(limit >> w & 1 == 1)
@@ -166,7 +178,7 @@ class Index:
         for i, row in enumerate(chosen):
             at = np.flatnonzero(np.unpackbits(row.view(np.uint8), bitorder="little")[:n])
             at = at[self.ids[at] != queries[i]]
-            scores = self.x[at] @ q[i]
+            scores = _scores(self.x[at], q[i])
             best = np.lexsort((self.ids[at], -scores))[:k]
             out += zip([int(queries[i])] * len(best), self.ids[at][best].tolist(), scores[best].tolist(), strict=True)
         return out

@@ -43,6 +43,16 @@ def test_top_k_of_few(spark):
     assert bitslice.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_keeps_wide_components_and_repeated_ids(spark):
+    rows = [(50, [600_000.0, 1.0]), (1, [600_000.0, 0.0]), (2, [1.0, 1.0]), (2, [3.0, 1.0]), (50, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    scored = [(-65536 * int(a[0] * b[0] + a[1] * b[1]), j) for i, a in rows if i == 50 for j, b in rows if j != 50]
+    want = [(50, r + 1, j, -s) for r, (s, j) in enumerate(sorted(scored)[:5])]
+    assert sorted(tuple(r) for r in bitslice.top_k(df).collect()) == want
+    with pytest.raises(OverflowError):
+        bitslice._scores(np.full((1, 16), 1 << 31), np.full(16, 1 << 31))
+
+
 def test_top_k_of_an_outlier_component():
     rng = np.random.default_rng(8)
     q = np.array([128, *rng.choice([-4, 4], 63)])
