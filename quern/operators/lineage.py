@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 
 
 def closure(edges: DataFrame, a: str, b: str, most_hops: int = 16) -> DataFrame:
-    """(a, b, hops): every pair joined by a path, with its least length; a recursive query, bounded so that cycles end."""
+    """(a, b, hops): every pair joined by a path, with its least length; a recursive query, bounded so that cycles end; a pair further apart is an error."""
     view = edges.select(a, b)
     return edges.sparkSession.sql(
         f"""WITH RECURSIVE paths(a, b, hops) AS (
               SELECT {a}, {b}, 1 FROM {{edges}}
-              UNION ALL SELECT p.a, e.{b}, p.hops + 1 FROM paths p JOIN {{edges}} e ON p.b = e.{a} WHERE p.hops < {most_hops})
-            SELECT a AS {a}, b AS {b}, min(hops) AS hops FROM paths GROUP BY a, b""",
+              UNION ALL SELECT p.a, e.{b}, p.hops + 1 FROM paths p JOIN {{edges}} e ON p.b = e.{a} WHERE p.hops <= {most_hops})
+            SELECT a AS {a}, b AS {b}, if(min(hops) > {most_hops}, CAST(raise_error('paths over {most_hops} hops') AS INT), min(hops)) AS hops FROM paths GROUP BY a, b""",
         edges=view)

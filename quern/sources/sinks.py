@@ -59,7 +59,9 @@ def export_tables(tables: dict[str, DataFrame], database: str, partitions: dict[
 
 
 def markdown(df: DataFrame, order: Sequence[str], limit: int = 500) -> str:
-    """A small table as Markdown."""
-    rows = df.orderBy(*order).limit(limit).collect()
+    """A small table as Markdown; larger ones are refused."""
+    rows = df.orderBy(*order).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"over {limit} rows: not a report")
     line = lambda cells: "| " + " | ".join("" if c is None else str(c).replace("|", "\\|") for c in cells) + " |"
     return "\n".join([line(df.columns), line(["---"] * len(df.columns)), *map(line, rows)]) + "\n"

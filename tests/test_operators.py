@@ -229,3 +229,10 @@ def test_filing_rules(spark):
     assert {(r.accession, r.v, r.provenance) for r in filings.with_delta(base, delta, ["cik", "accession"]).collect()} == {("x", 5, "bulk"), ("y", 7, "api")}
     q = spark.createDataFrame([("edinet", "edinet"), ("vendor", None), ("edinet", "vendor")], "s string, p string")
     assert [r.c for r in q.select(filings.canonical_source(F.col("s"), F.col("p"), ["edinet"]).alias("c")).collect()] == [None, "third_party_source", "third_party_previous_source"]
+
+
+def test_closure_refuses_longer_paths(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(4)], "x int, y int")
+    assert lineage.closure(edges, "x", "y", 4).count() == 10
+    with pytest.raises(Exception, match="paths over 3 hops"):
+        lineage.closure(edges, "x", "y", 3).collect()

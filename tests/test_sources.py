@@ -171,3 +171,9 @@ def test_landing(tmp_path):
     assert landing.safe_path(str(tmp_path), "out").endswith("out")
     with pytest.raises(ValueError):
         landing.safe_path(str(tmp_path), "../x")
+
+
+def test_markdown_refuses_larger_tables(spark):
+    assert len(sinks.markdown(spark.range(3), ["id"], limit=3).splitlines()) == 5
+    with pytest.raises(ValueError):
+        sinks.markdown(spark.range(4), ["id"], limit=3)
