@@ -1,22 +1,26 @@
-"""Repeated passages by prefix-partitioned suffix trees, cut to the depth that matters.
-
-A passage is `depth` words. Suffixes that begin a passage are dealt into groups
-by a label of `LABEL` words that every equal passage holds at the same place: the
-one of least hash among its positions. Labels that occur once are dropped with
-all their suffixes, before any text is moved. The suffixes of one label are a
-subtree: sorted, they are its leaves in order, and neighbours that agree on all
-`depth` words hang from one internal node of that depth. Its first leaf by
-(doc_id, start) stays, the words under the others go.
-
-Labels are of variable length: if a label has over `most` suffixes, the label of
-each of its suffixes is lengthened to all words of its run of suffixes, and if
-there are over `most` kinds of runs, to all `depth` words of the suffix. A group
-is then one node, and needs no tree but its first leaf, which a two-step
-aggregate finds without gathering the group. So no task holds more than `most` suffixes of a group.
-
-What moves: for each label in a document a hash and the doc_id, then the texts
-of documents that share labels, then for suffixes of shared labels the words
-around them. Long documents are handled by words, never by pairs of positions.
+"""Repeated passages by prefix-partitioned suffix trees.
+
+A passage is `depth` words. Every window of `depth` words has one anchor: of the
+places where a prefix of `label` words fits into it, the one whose prefix has the
+least hash, so equal windows have it at the same offset. The suffixes that begin
+at anchors are the leaves; neighbouring windows of one anchor are a run and go
+with it as one row. Prefixes that occur once are dropped before any text is moved.
+
+Prefixes are of variable length. Runs that are equal in all their words are one
+kind from the start. A prefix with over `most` kinds is lengthened: the windows
+of its runs are dealt into a near and a far half by their offset, and each half
+has the longer prefix that all its windows share. So groups shrink, equal runs
+meet again and lone prefixes drop out, until a group fits or has one window,
+which is one node by itself. No task holds more than `most` kinds of a prefix.
+
+A group becomes its tree: leaves sorted by the words from the anchor on, with the
+array of common prefix lengths, and likewise by the words before it, backward.
+Internal nodes of both, whose depths add up to `depth`, are the repeats at each
+offset. The first leaf of a node by (doc_id, start) stays, the words under the
+others go; overlapping windows of these make up the maximal repeats.
+
+What moves: for each prefix in a document a hash and the doc_id, then the texts
+of documents that share prefixes, then of each kind of run the words of one.
 """
 
 from __future__ import annotations
@@ -25,15 +29,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import runs, small_batches, stage, whole_runs
+from quern.llm.common import small_batches, stage, whole_runs
 
 DEPTH = 20
-LABEL = 4
-MOST = 500
+LABEL = 8
+MOST = 1000
 #: In place of a null doc_id, which comes last.
 LAST = (1 << 63) - 1
 #: Bytes of text whose words are handled at once; one text is never cut.
@@ -121,7 +126,7 @@ def _chunks(batch: pa.RecordBatch):
 
 
 def labels(docs: DataFrame, depth: int, label: int) -> DataFrame:
-    """(label, did, n): how many runs of suffixes of each document have a label."""
+    """(label, key, n): how many runs of windows of each document have a prefix; key is for doc_id and text."""
 
     def find(batches):
         for batch in batches:
@@ -129,14 +134,14 @@ def labels(docs: DataFrame, depth: int, label: int) -> DataFrame:
                 words = Words(texts)
                 start, _, _, key = words.suffixes(depth, label)
                 if len(start):
-                    did = part.column("did").to_numpy()[words.doc[start]]
-                    order = np.lexsort((key, did))
-                    did, key = did[order], key[order]
-                    new = np.flatnonzero(np.concatenate([[True], (did[1:] != did[:-1]) | (key[1:] != key[:-1])]))
-                    count = np.diff(np.concatenate([new, [len(did)]])).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(did[new]), pa.array(count)], ["label", "did", "n"])
+                    of = part.column("key").to_numpy()[words.doc[start]]
+                    order = np.lexsort((key, of))
+                    of, key = of[order], key[order]
+                    new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (key[1:] != key[:-1])]))
+                    count = np.diff(np.concatenate([new, [len(of)]])).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(of[new]), pa.array(count)], ["label", "key", "n"])
 
-    return docs.mapInArrow(find, "label long, did long, n int")
+    return docs.mapInArrow(find, "label long, key long, n int")
 
 
 def _found(batches, depth: int, label: int, column: str):
@@ -162,131 +167,203 @@ def _pair_in(a1: np.ndarray, a2: np.ndarray, b1: np.ndarray, b2: np.ndarray) ->
     return np.isin(pair[: len(a1)], pair[len(a1) :])
 
 
-def _subtrees(sent: DataFrame, depth: int) -> DataFrame:
-    """The subtree of each label: rows (label, did, digest, start, n, words) to (did, digest, start, mask).
+def _two(values: list[bytes]) -> np.ndarray:
+    """128-bit digests as two columns of longs."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, values)), "<i8").reshape(-1, 2)
 
-    Those are the suffixes that are not the first leaf of their node; bit i of mask is for the suffix at start + i.
-    """
 
-    def build(batches):
-        for table in whole_runs(batches, "label"):
-            key = table["label"].to_numpy()
-            did, digest, start = (table[c].to_numpy() for c in ("did", "digest", "start"))
-            count = table["n"].to_pylist()
-            around = table["words"].to_pylist()
-            masks: dict[int, int] = {}
-            for a, b in runs(key):
-                if b - a < 2:
-                    continue
-                leaves = []
-                for i in range(a, b):
-                    w = around[i].split()
-                    leaves += [(b" ".join(w[j : j + depth]), did[i], digest[i], start[i] + j, i, j) for j in range(count[i])]
-                leaves.sort()
-                head = None
-                for leaf in leaves:
-                    if head is None or leaf[0] != head[0]:
-                        head = leaf
-                    elif leaf[1:4] != head[1:4]:
-                        masks[leaf[4]] = masks.get(leaf[4], 0) | 1 << leaf[5]
-            if masks:
-                at = np.array(list(masks))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(did[at]), pa.array(digest[at]), pa.array(start[at]), pa.array(list(masks.values()), pa.int64())],
-                    ["did", "digest", "start", "mask"])
+RUN = "label long, h1 long, h2 long, did long, digest long, start int, n int, low int"
 
-    sent = sent.repartition("label").sortWithinPartitions("label")
-    return sent.mapInArrow(build, "did long, digest long, start int, mask long")
 
+def _spaced(words: Words, start: np.ndarray, count: np.ndarray, depth: int) -> list[bytes]:
+    """The words of each run of windows, joined by single spaces."""
+    data, last = words.data, start + count + depth - 2
+    return [b" ".join(data[a:b].tobytes().split()) for a, b in zip(words.start[start].tolist(), words.end[last].tolist(), strict=True)]
 
-def short_groups(rows: DataFrame, depth: int, label: int) -> DataFrame:
-    """The runs of suffixes of labels within the bound, for their subtrees; rows: did, text, digest, few (such labels)."""
 
-    def send(batches):
-        for words, part, of, start, count, place, key in _found(batches, depth, label, "few"):
-            did, digest = part.column("did").to_numpy()[of], part.column("digest").to_numpy()[of]
-            first = start - words.first[of]
-            view = words.data
-            last = start + count + depth - 2
-            around = [view[a:b].tobytes() for a, b in zip(words.start[start].tolist(), words.end[last].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(did), pa.array(digest), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(around, pa.binary())],
-                ["label", "did", "digest", "start", "n", "words"])
+def runs_of(rows: DataFrame, depth: int, label: int) -> DataFrame:
+    """RUN: the runs of windows whose prefix is in the row's list `labels`; rows: did, digest, key, text, labels.
 
-    small = rows.where(F.size("few") > 0).select("did", "digest", "text", "few")
-    return small.mapInArrow(send, "label long, did long, digest long, start int, n int, words binary")
+    start is the first window's first word, n the number of windows, low the offset of the last window's anchor.
+    """
 
+    def find(batches):
+        for words, part, of, start, count, place, key in _found(batches, depth, label, "labels"):
+            two = _two(_spaced(words, start, count, depth))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(part.column("did").to_numpy()[of]),
+                 pa.array(part.column("digest").to_numpy()[of]), pa.array((start - words.first[of]).astype(np.int32)),
+                 pa.array(count.astype(np.int32)), pa.array((place - start - count + 1).astype(np.int32))],
+                ["label", "h1", "h2", "did", "digest", "start", "n", "low"])
 
-def _two(values: list[bytes]) -> np.ndarray:
-    """128-bit digests as two columns of longs."""
-    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, values)), "<i8").reshape(-1, 2)
+    return rows.mapInArrow(find, RUN)
 
 
-def _later(rows: DataFrame, first: DataFrame) -> DataFrame:
-    """Rows (h1, h2, did, digest, start) whose node has its first leaf elsewhere; first: h1, h2, place, leaves.
+def _kinds(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of staged runs the first of each kind, with the number of kinds of its prefix (over one), and marks for all others.
 
-    Joined by a hash of the node, not by the node itself: both sides are then dealt anew, and a hot node's side can be split.
+    Joined by a hash of the kind, not by the kind itself: both sides are dealt anew, so a hot kind's side can be split.
     """
-    place = F.struct("did", "digest", "start")
+    first = stage(runs.groupBy("label", "h1", "h2").agg(
+        F.min(F.struct("did", "digest", "start", "n", "low")).alias("run"), F.count("*").alias("leaves")))
     ends = first.where("leaves > 1").select(
-        F.xxhash64("h1", "h2").alias("node"), F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.col("place"))
-    same = ((F.col("h1") - F.col("f1")) == 0) & ((F.col("h2") - F.col("f2")) == 0)
-    joined = rows.withColumn("node", F.xxhash64("h1", "h2")).join(ends, "node")
-    return joined.where(same & (place != F.col("place")))
+        F.xxhash64("h1", "h2").alias("kind"), F.col("h1").alias("f1"), F.col("h2").alias("f2"), F.struct("run.did", "run.digest", "run.start").alias("place"))
+    joined = runs.select("h1", "h2", "did", "digest", "start", "n").withColumn("kind", F.xxhash64("h1", "h2")).join(ends, "kind")
+    later = joined.where("h1 - f1 = 0 and h2 - f2 = 0").where(F.struct("did", "digest", "start") != F.col("place"))
+    marks = later.select("did", "digest", "start", (F.expr("shiftleft(1L, n)") - 1).alias("mask"))
+    sizes = first.groupBy("label").agg(F.count("*").alias("kinds")).where("kinds > 1").select(F.xxhash64("label").alias("key"), F.col("label").alias("of"), "kinds")
+    sized = first.select("label", "h1", "h2", "run.*").withColumn("key", F.xxhash64("label")).join(sizes, "key").where("label - of = 0")
+    return sized.drop("key", "of"), marks
 
 
-def long_groups(rows: DataFrame, depth: int, label: int, most: int) -> tuple[DataFrame, DataFrame]:
-    """Labels with many suffixes (column many): the label is lengthened to all words of a run of suffixes, then of one.
+def _sent(rows: DataFrame, depth: int) -> DataFrame:
+    """The given runs with their words; rows: did, digest, text, runs (array of structs, with the digest of their text)."""
 
-    Gives marks as _subtrees() does, and runs that still need a subtree.
+    def send(batches):
+        for batch in batches:
+            for part, texts in _chunks(batch):
+                lists = part.column("runs")
+                fields = {f.name: lists.flatten().field(i).to_numpy() for i, f in enumerate(lists.type.value_type)}
+                row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                mine = fields["digest"] == part.column("digest").to_numpy()[row]
+                if mine.any():
+                    fields, row = {k: v[mine] for k, v in fields.items()}, row[mine]
+                    words = Words(texts)
+                    around = _spaced(words, words.first[row] + fields["start"], fields["n"], depth)
+                    columns = {"label": fields["label"], "did": part.column("did").to_numpy()[row]} | {k: fields[k] for k in ("digest", "start", "n", "low", "kinds")}
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns.values()), pa.array(around, pa.binary())], [*columns, "words"])
 
-    Runs that are equal in all their words are one; the later ones of them go
-    whole, so a passage in many copies costs one short row for each run of it. If
-    the kinds of runs of a label are few, their first runs make its subtree; only
-    the runs of labels with over `most` kinds are taken apart into suffixes.
-    """
+    return rows.mapInArrow(send, "label long, did long, digest long, start int, n int, low int, kinds long, words binary")
 
-    def send(batches):
-        for words, part, of, start, count, _, key in _found(batches, depth, label, "many"):
-            last = start + count + depth - 2
-            data = words.data
-            around = [b" ".join(data[a:b].tobytes().split()) for a, b in zip(words.start[start].tolist(), words.end[last].tolist(), strict=True)]
-            two = _two(around)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(part.column("did").to_numpy()[of]),
-                 pa.array(part.column("digest").to_numpy()[of]), pa.array((start - words.first[of]).astype(np.int32)),
-                 pa.array(count.astype(np.int32)), pa.array(around, pa.binary()), pa.array(key)],
-                ["h1", "h2", "did", "digest", "start", "n", "words", "label"])
 
-    def split(batches):
+def _lengthened(runs: DataFrame, depth: int, span: int) -> DataFrame:
+    """RUN with words: each run's windows in two halves, with the prefix that a half's windows share; offsets are 0 to span."""
+    middle = (span + 1) // 2
+
+    def halve(batches):
         for batch in batches:
-            did, digest, start = (batch.column(c).to_numpy() for c in ("did", "digest", "start"))
-            leaves, row, at = [], [], []
-            for i, (n, text) in enumerate(zip(batch.column("n").to_pylist(), batch.column("words").to_pylist(), strict=True)):
-                w = text.split(b" ")
-                leaves += [b" ".join(w[j : j + depth]) for j in range(n)]
-                row += [i] * n
-                at += range(n)
-            two = _two(leaves)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(did[row]), pa.array(digest[row]),
-                 pa.array((start[row] + np.array(at, np.int32)).astype(np.int32))], ["h1", "h2", "did", "digest", "start"])
-
-    big = rows.where(F.size("many") > 0).select("did", "digest", "text", "many")
-    runs_of = big.mapInArrow(send, "h1 long, h2 long, did long, digest long, start int, n int, words binary, label long")
-    first = runs_of.groupBy("h1", "h2").agg(F.min(F.struct("did", "digest", "start", "n", "words", "label")).alias("run"), F.count("*").alias("leaves"))
-    place = F.struct(F.col("run.did").alias("did"), F.col("run.digest").alias("digest"), F.col("run.start").alias("start"))
-    again = _later(runs_of.drop("words", "label"), first.select("h1", "h2", place.alias("place"), "leaves"))
-    whole = again.select("did", "digest", "start", (F.expr("shiftleft(1L, n)") - 1).alias("mask"))
-    merged = first.select("run.*").withColumn("key", F.xxhash64("label"))
-    kinds = merged.groupBy("label").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    kinds = kinds.select(F.xxhash64("label").alias("key"), F.col("label").alias("of"), "kinds")  # joined as in _later
-    routed = merged.join(kinds, "key").where((F.col("label") - F.col("of")) == 0)
-    few = routed.where(F.col("kinds") <= most).select("label", "did", "digest", "start", "n", "words")
-    leaves = routed.where(F.col("kinds") > most).select("did", "digest", "start", "n", "words").mapInArrow(split, "h1 long, h2 long, did long, digest long, start int")
-    ends = leaves.groupBy("h1", "h2").agg(F.min(F.struct("did", "digest", "start")).alias("place"), F.count("*").alias("leaves"))
-    single = _later(leaves, ends).select("did", "digest", "start", F.lit(1).cast("long").alias("mask"))
-    return whole.unionByName(single), few
+            out = []
+            values = zip(*(batch.column(c).to_pylist() for c in ("label", "did", "digest", "start", "n", "low", "words")), strict=True)
+            for label, did, digest, start, n, low, text in values:
+                w, high = text.split(b" "), low + n - 1
+                for half, a, b in ((0, low, min(high, middle - 1)), (1, max(low, middle), high)):
+                    if a <= b:
+                        skip, most = high - b, (span - middle, middle - 1)[half == 0]
+                        at = high - middle * half  # where the longer prefix begins
+                        prefix = b" ".join(w[at : at + depth - most])
+                        out.append((xxhash.xxh64_intdigest(prefix, label & 0xFFFFFFFF ^ half) - (1 << 63), did, digest, start + skip, b - a + 1, a - middle * half,
+                                    b" ".join(w[skip : skip + b - a + depth])))
+            if out:
+                label, did, digest, start, n, low, words = zip(*out, strict=True)
+                two = _two(words)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(label, pa.int64()), pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(did, pa.int64()), pa.array(digest, pa.int64()),
+                     pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(low, pa.int32()), pa.array(words, pa.binary())],
+                    ["label", "h1", "h2", "did", "digest", "start", "n", "low", "words"])
+
+    return runs.mapInArrow(halve, RUN + ", words binary")
+
+
+def _common(sorted_rows: np.ndarray) -> np.ndarray:
+    """Common prefix length of each row and the one before it; 0 for the first."""
+    differ = sorted_rows[1:] != sorted_rows[:-1]
+    length = np.where(differ.any(axis=1), differ.argmax(axis=1), sorted_rows.shape[1])
+    return np.concatenate([[0], length])
+
+
+class Tree:
+    """The sorted leaves of some words a leaf, as numbers, and their common prefix lengths."""
+
+    def __init__(self, words: np.ndarray):
+        self.order = np.lexsort(words.T[::-1]) if words.shape[1] else np.arange(len(words))
+        self.common = _common(words[self.order])
+
+    def nodes(self, depth: int) -> np.ndarray:
+        """For each leaf the number of the node of that depth that it hangs from."""
+        node = np.empty(len(self.order), np.int64)
+        node[self.order] = np.cumsum(self.common < depth) - (0 < depth)
+        return node
+
+
+def repeats(number: np.ndarray, begin: np.ndarray, n: np.ndarray, low: np.ndarray, depth: int) -> np.ndarray:
+    """For runs in the order of their places, a mask of their windows that an earlier run has too.
+
+    number holds the words of all runs, as numbers; begin is where each run's words begin in it.
+    """
+    m, high = len(n), low + n - 1
+    span = int(high.max(initial=0))
+    at = begin + high
+    take = lambda ok, places: np.where(ok, number[np.where(ok, places, 0)], -1)
+    after = np.stack([take(j < depth - low, at + j) for j in range(depth)], axis=1)
+    before = np.stack([take(j < high, at - 1 - j) for j in range(span)], axis=1) if span else np.zeros((m, 0), np.int64)
+    forward, backward = Tree(after), Tree(before)
+    masks = np.zeros(m, np.int64)
+    for offset in range(span + 1):
+        have = np.flatnonzero((low <= offset) & (offset <= high))
+        if len(have) > 1:
+            node = forward.nodes(depth - offset)[have] * m + backward.nodes(offset)[have]
+            _, first, which = np.unique(node, return_index=True, return_inverse=True)
+            later = first[which] != np.arange(len(have))
+            masks[have[later]] |= np.int64(1) << (high[have[later]] - offset)
+    return masks
+
+
+def _gathered(tables, rows: int):
+    """Tables put together to about so many rows."""
+    held, n = [], 0
+    for table in tables:
+        held.append(table)
+        n += table.num_rows
+        if n >= rows:
+            yield pa.concat_tables(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_tables(held)
+
+
+def _subtrees(sent: DataFrame, depth: int) -> DataFrame:
+    """The trees of groups: rows (label, did, digest, start, n, low, words) to marks (did, digest, start, mask).
+
+    Bit i of mask is for the window at start + i.
+    """
+
+    def build(batches):
+        for table in _gathered(whole_runs(batches, "label"), 8192):
+            did, digest, start, n, low = (table[c].to_numpy() for c in ("did", "digest", "start", "n", "low"))
+            order = np.lexsort((start + n + low, digest, did))
+            words = pc.split_pattern(table["words"].combine_chunks(), b" ")
+            number = words.flatten().dictionary_encode().indices.to_numpy().astype(np.int64)
+            begin = words.offsets.to_numpy()[:-1].astype(np.int64) - words.offsets[0].as_py()
+            masks = repeats(number, begin[order], n[order], low[order], depth)
+            some = masks > 0
+            at = order[some]
+            if len(at):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(did[at]), pa.array(digest[at]), pa.array(start[at]), pa.array(masks[some])], ["did", "digest", "start", "mask"])
+
+    rows = sent.select("label", "did", "digest", "start", "n", "low", "words").repartition("label").sortWithinPartitions("label")
+    return rows.mapInArrow(build, "did long, digest long, start int, mask long")
+
+
+def marked(base: DataFrame, depth: int = DEPTH, label: int = LABEL, most: int = MOST) -> DataFrame:
+    """Marks (did, digest, start, mask) of the repeated windows of base (did, digest, key, text) but the first of each."""
+    found = stage(labels(base, depth, label))
+    shared = stage(found.groupBy("label").agg(F.sum("n").alias("n")).where("n > 1").select("label"))
+    mine = found.select("label", "key").join(shared, "label").groupBy("key").agg(F.collect_list("label").alias("labels"))
+    runs = stage(runs_of(base.join(mine, "key"), depth, label))
+    kinds, marks = _kinds(runs)
+    wanted = kinds.groupBy(F.xxhash64("did", "digest").alias("key")).agg(F.collect_list(F.struct("label", "digest", "start", "n", "low", "kinds")).alias("runs"))
+    sent = stage(_sent(base.join(wanted, "key"), depth))
+    few, many, span = sent.where(F.col("kinds") <= most), sent.where(F.col("kinds") > most), depth - label
+    while span and many.limit(1).count():
+        runs = stage(_lengthened(many, depth, span))
+        span -= (span + 1) // 2
+        kinds, more = _kinds(runs.drop("words"))
+        keys = ["label", "h1", "h2", "did", "digest", "start", "n", "low"]
+        sent = stage(kinds.join(runs.dropDuplicates(keys), keys).select("label", "did", "digest", "start", "n", "low", "kinds", "words"))
+        marks = marks.unionByName(more)
+        few, many = few.unionByName(sent.where(F.col("kinds") <= most)), sent.where(F.col("kinds") > most)
+    return marks.unionByName(_subtrees(few, depth))
 
 
 def keep_first(docs: DataFrame, depth: int = DEPTH, label: int = LABEL, most: int = MOST) -> DataFrame:
@@ -295,37 +372,32 @@ def keep_first(docs: DataFrame, depth: int = DEPTH, label: int = LABEL, most: in
     Null texts have no words; texts shorter than `depth` words lose none. A null
     doc_id comes after all others. Rows that repeat a doc_id with another text
     stand in the order of the texts' hashes; with the same text they are one
-    document and lose nothing to each other. Other columns are ignored. The same
-    words are removed whatever `label` and `most` are; those set sizes only.
+    document and lose nothing to each other. Other columns are ignored; an empty
+    table gives an empty result. The same words are removed whatever `label` and
+    `most` are; those set sizes only.
     """
+    if not 0 < depth - label < 62:
+        raise ValueError("a prefix is 1 to 61 words shorter than a passage")
     small_batches(docs.sparkSession)
+    hashed = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(LAST))
     base = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("did"), F.coalesce("text", F.lit("")).alias("text"))
-    found = stage(labels(base, depth, label))
-    shared = found.groupBy("label").agg(F.sum("n").alias("n")).where("n > 1")
-    shared = stage(shared.select("label", (F.col("n") > most).alias("hot")))
-    mine = found.select("label", "did").join(shared, "label").groupBy("did").agg(
-        F.array_compact(F.collect_list(F.when(~F.col("hot"), F.col("label")))).alias("few"),
-        F.array_compact(F.collect_list(F.when(F.col("hot"), F.col("label")))).alias("many"))
-    mine = stage(mine)
-    # One plan from here on, in which the three uses of the texts by did share one shuffle.
-    of = lambda column: base.join(mine.where(F.size(column) > 0), "did").withColumn("digest", F.xxhash64("text"))
-    marks, runs_left = long_groups(of("many"), depth, label, most)
-    gone = marks.unionByName(_subtrees(short_groups(of("few"), depth, label).unionByName(runs_left), depth))
-    gone = gone.groupBy("did").agg(*(F.collect_list(c).alias(c) for c in ("digest", "start", "mask")))
-    marked = base.join(gone, "did", "left").withColumn("own", F.xxhash64("text"))
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("did"),
+        F.when(F.col("doc_id").isNull(), hashed).otherwise(hashed - F.lit(LAST) - 1).alias("digest"),  # so nulls come last
+        F.coalesce("text", F.lit("")).alias("text"))
+    base = base.withColumn("key", F.xxhash64("did", "digest"))
+    gone = marked(base.drop("doc_id"), depth, label, most)
+    gone = gone.groupBy(F.xxhash64("did", "digest").alias("key")).agg(F.collect_list("start").alias("start"), F.collect_list("mask").alias("mask"))
+    joined = base.join(gone, "key", "left")
 
     def cut(batches):
         for batch in batches:
             out = []
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            marks = zip(*(batch.column(c).to_pylist() for c in ("own", "digest", "start", "mask")), strict=True)
-            for text, (own, digests, starts, masks) in zip(texts, marks, strict=True):
+            for text, starts, masks in zip(texts, batch.column("start").to_pylist(), batch.column("mask").to_pylist(), strict=True):
                 words = text.split()
                 n = len(words)
-                if digests:
-                    mine = np.array(digests, np.int64) == own
-                    begin, mask = np.array(starts, np.int64)[mine], np.array(masks, np.int64)[mine]
+                if starts:
+                    begin, mask = np.array(starts, np.int64), np.array(masks, np.int64)
                     change = np.zeros(n + 1, np.int64)
                     for i in range(int(mask.max(initial=0)).bit_length()):
                         at = begin[mask >> i & 1 == 1] + i
@@ -335,10 +407,9 @@ def keep_first(docs: DataFrame, depth: int = DEPTH, label: int = LABEL, most: in
                 out.append((n, n - len(words), b" ".join(words)))
             n, removed, kept = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("did"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()),
+                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()),
                  pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())],
-                ["did", "n_words", "n_removed", "kept", "kept_sha256"])
+                ["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
-    done = marked.select("did", "text", "own", "digest", "start", "mask").mapInArrow(
-        cut, "did long, n_words long, n_removed long, kept string, kept_sha256 string")
-    return done.select(F.nullif("did", F.lit(LAST)).alias("doc_id"), "n_words", "n_removed", "kept", "kept_sha256")
+    return joined.select("doc_id", "text", "start", "mask").mapInArrow(
+        cut, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")

@@ -40,11 +40,11 @@ def table(seed, docs=60):
                 parts += [" \n ".join(cut), " ".join(rng.choice(words, rng.integers(0, 30)))]
         rows.append((i, "\t".join(parts)))
     rows += [(100, "a " * 200), (101, "b a " * 90), (102, rows[5][1]), (103, rows[5][1]), (104, None), (105, ""), (106, " \n"), (107, "x " * 19), (108, "x " * 19)]
-    rows += [(None, rows[7][1]), (109, "q" * 100_000), (110, " ".join(map(str, range(30_000))))]
+    rows += [(None, rows[7][1]), ((1 << 63) - 1, rows[8][1]), (109, "q" * 100_000), (110, " ".join(map(str, range(30_000))))]
     return rows
 
 
-@pytest.mark.parametrize("most", [1, 3, 500])
+@pytest.mark.parametrize("most", [1, 3, 1000])
 def test_against_brute_force(spark, most):
     rows = table(most)
     docs = spark.createDataFrame([(d, t, "x", 1) for d, t in rows], SCHEMA)
@@ -70,7 +70,17 @@ def test_equal_passages_share_their_label():
     for _ in range(50):
         before, after = (b" ".join(rng.choice([b"a", b"b", b"e"], rng.integers(0, 30))) for _ in range(2))
         words = substrings.Words([before + b" " + passage + b"\n" + after, passage])
-        start, count, place, key = words.suffixes(20, 4)
+        start, count, place, key = words.suffixes(20, 8)
         at = int(words.first[0]) + len(before.split())
         i = int(np.searchsorted(start, at, "right")) - 1
         assert start[i] <= at < start[i] + count[i] and key[i] == key[-1] and place[i] - at == place[-1] - start[-1]
+
+
+def test_nodes_of_a_tree():
+    rows = np.array([[2, 1, 1], [1, 1, 2], [1, 1, 3], [1, 1, 2]])
+    tree = substrings.Tree(rows)
+    for depth in range(4):
+        node = tree.nodes(depth)
+        for i in range(4):
+            for j in range(4):
+                assert (node[i] == node[j]) == (rows[i, :depth] == rows[j, :depth]).all()
