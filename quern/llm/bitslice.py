@@ -1,15 +1,17 @@
 """Exact top-k by inner product over a bit-sliced index.
 
-Rows are dealt into blocks by a hash of vec_id. A block's index has, for each
-dimension, the leading bits of every row's attribute as bitmaps, one a slice.
-For a batch of queries the slices, weighted by the queries' own leading bits, are
-added up with carry-save bitmap adders; the sum is again a row of slices, over
-which the k-th best is found from the most significant slice downward. Rows that
-come within the quantisation error of it are the boundary; their exact integer
-scores decide. Each block gives k rows a query, and a window takes the best k.
+Rows are dealt into blocks by a hash. A block's index has, for each dimension,
+the leading bits of every row's attribute as bitmaps, one a slice; it is built
+once and stored with the exact attributes. For a batch of queries the slices,
+weighted by the queries' own leading bits, are added up with carry-save bitmap
+adders; the sum is again a row of slices, over which the k-th best is found from
+the most significant slice downward. Rows that come within the quantisation
+error of it are the boundary; their exact integer scores decide. Each block gives
+k rows a query, and a window takes the best k.
 
 The error is bounded by Cauchy-Schwarz from the residues, so nothing is missed.
-A task holds one block's index, one batch of queries and the sums of the two.
+Each block is moved and loaded once; the batches of queries stream past it, as
+numbers of the fewest bytes. A task holds one block, one batch and their sums.
 """
 
 from __future__ import annotations
@@ -29,7 +31,6 @@ BATCH = 256
 SLICES = 5
 SCALE = 256
 EVERY = 50
-#: Rows are for vectors of 64 dimensions; longer ones make blocks and batches of fewer rows.
 #: Scaled components beyond it are an error, as differences of two must fit a long.
 LARGEST = 1 << 60
 
@@ -49,24 +50,41 @@ def vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     return usable.select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), x.cast("array<bigint>").alias("x"))
 
 
-def _packed(rows: DataFrame, group: str) -> DataFrame:
-    """One row for each (dim, group): ids and the matrix, as bytes."""
-    rows = rows.withColumn("run", F.xxhash64("dim", group)).repartition("run").sortWithinPartitions("run", "dim", group, "vec_id")
+def _least_kind(x: np.ndarray) -> np.ndarray:
+    """x as integers of the fewest bytes that hold it."""
+    most = max(abs(int(x.max(initial=0))), abs(int(x.min(initial=0)) + 1))
+    return x.astype(next(k for k in ("<i1", "<i2", "<i4", "<i8") if most <= np.iinfo(k).max))
+
+
+def _matrix(data: bytes, kind: str, n: int, dim: int) -> np.ndarray:
+    return np.frombuffer(data, kind).reshape(n, dim).astype(np.int64)
+
+
+PACKED = "dim int, block long, ids binary, x binary, kind string, slices binary, shift int, residue double, spread double"
+
+
+def _packed(rows: DataFrame, slices: int) -> DataFrame:
+    """One row for each (dim, block): ids, the matrix, and with slices the index; as bytes."""
+    rows = rows.withColumn("run", F.xxhash64("dim", "block")).repartition("run").sortWithinPartitions("run", "dim", "block", "vec_id")
 
     def pack(batches):
         for table in whole_runs(batches, "run"):
-            for part in _groups(table, group):
+            for part in _groups(table):
                 ids = part["vec_id"].to_numpy().astype("<i8")
-                x = part["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<i8")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part["dim"][0].as_py()], pa.int32()), pa.array([part[group][0].as_py()], pa.int64()),
-                     pa.array([ids.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())], ["dim", group, "ids", "x"])
+                dim = part["dim"][0].as_py()
+                x = part["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dim)
+                index = Index.built(ids, x, slices) if slices else None
+                least = _least_kind(x)
+                values = [dim, part["block"][0].as_py(), ids.tobytes(), least.tobytes(), least.dtype.str]
+                values += [index.bitmaps.tobytes(), index.shift, index.residue, index.spread] if index else [None] * 4
+                kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.binary(), pa.int32(), pa.float64(), pa.float64()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [c.split()[0] for c in PACKED.split(", ")])
 
-    return rows.mapInArrow(pack, f"dim int, {group} long, ids binary, x binary")
+    return rows.mapInArrow(pack, PACKED)
 
 
-def _groups(table: pa.Table, group: str):
-    dim, at = table["dim"].to_numpy(), table[group].to_numpy()
+def _groups(table: pa.Table):
+    dim, at = table["dim"].to_numpy(), table["block"].to_numpy()
     cuts = np.flatnonzero((dim[1:] != dim[:-1]) | (at[1:] != at[:-1])) + 1
     for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(dim)], strict=True):
         yield table.slice(a, b - a)
@@ -88,30 +106,42 @@ def _scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """The bit-sliced index of a block: ids [n] and exact attributes x [n, dim]."""
+    """The bit-sliced index of a block: ids [n], exact attributes x [n, dim], bitmaps [dim, slices, words]."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, bitmaps: np.ndarray, shift: int, residue: float, spread: float):
+        self.ids, self.x, self.bitmaps, self.shift, self.residue, self.spread = ids, x, bitmaps, shift, residue, spread
+        self.slices = bitmaps.shape[1]
+        valid = np.zeros(bitmaps.shape[2] * 8, np.uint8)
+        every = np.packbits(np.ones(len(ids), np.uint8), bitorder="little")
+        valid[: len(every)] = every
+        self.valid = valid.view("<u8")
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, slices: int = SLICES):
-        self.ids, self.x, self.slices = ids, x, slices
+    @classmethod
+    def built(cls, ids: np.ndarray, x: np.ndarray, slices: int = SLICES) -> Index:
         n, dim = x.shape
-        self.low = int(x.min()) if x.size else 0
-        span = (int(x.max()) - self.low if x.size else 0).bit_length()
-        self.shift = max(0, span - slices)
-        lead = (x - self.low) >> self.shift
+        low = int(x.min()) if x.size else 0
+        span = (int(x.max()) - low if x.size else 0).bit_length()
+        shift = max(0, span - slices)
+        lead = (x - low) >> shift
         centre = (1 << slices) / 2 - 0.5
-        residue = (x - self.low) - (lead << self.shift) - ((1 << self.shift) - 1) / 2
-        self.residue = float(np.sqrt((residue**2).sum(1).max(initial=0.0)))
-        self.spread = float(np.sqrt((((lead - centre) * (1 << self.shift)) ** 2).sum(1).max(initial=0.0)))
+        residue = (x - low) - (lead << shift) - ((1 << shift) - 1) / 2
         words = -(-n // 64) * 8
-        self.bitmaps = np.zeros((dim, slices, words // 8), np.uint64)
+        bitmaps = np.zeros((dim, slices, words // 8), np.uint64)
         for b in range(slices):
             packed = np.packbits((lead >> b & 1).astype(np.uint8).T, axis=1, bitorder="little")
             full = np.zeros((dim, words), np.uint8)
             full[:, : packed.shape[1]] = packed
-            self.bitmaps[:, b] = full.view("<u8")
-        valid = np.zeros(words, np.uint8)
-        every = np.packbits(np.ones(n, np.uint8), bitorder="little")
-        valid[: len(every)] = every
-        self.valid = valid.view("<u8")
+            bitmaps[:, b] = full.view("<u8")
+        longest = lambda v: float(np.sqrt((v**2).sum(1).max(initial=0.0)))
+        return cls(ids, x, bitmaps, shift, longest(residue), longest((lead - centre) * float(1 << shift)))
+
+    @classmethod
+    def stored(cls, row: dict) -> Index:
+        ids, dim = np.frombuffer(row["ids"], "<i8"), row["dim"]
+        words = -(-len(ids) // 64)
+        slices = len(row["slices"]) // max(1, 8 * dim * words) or 1
+        bitmaps = np.frombuffer(row["slices"], "<u8").reshape(dim, slices, words)
+        return cls(ids, _matrix(row["x"], row["kind"], len(ids), dim), bitmaps, row["shift"], row["residue"], row["spread"])
 
     def sums(self, q: np.ndarray) -> tuple[list[np.ndarray], int, np.ndarray]:
         """Slices of the quantised score of every row for each query, the shift of the queries' digits, and the error in score."""
@@ -184,44 +214,50 @@ class Index:
         return out
 
 
-def top_k(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, block_rows: int = BLOCK_ROWS, batch: int = BATCH) -> DataFrame:
+def top_k(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, block_rows: int | None = None, batch: int = BATCH) -> DataFrame:
     """(query_id, rank, vec_id, score): for each vec_id divisible by `every`, the k other vectors of best integer inner product.
 
-    Ties go to the smaller vec_id; fewer than k others give fewer rows. Vectors of
-    another length are not compared. Other columns are ignored; an empty table
-    gives an empty result. Blocks meet query batches by an equal block number, each
-    batch being sent to every block; neither side is broadcast or collected.
+    Ties go to the smaller vec_id; fewer than k others give fewer rows. Rows that
+    repeat a vec_id are candidates each for itself, though never for their own id.
+    Vectors of another length are not compared; those with null or non-finite
+    components or a null vec_id take no part. Other columns are ignored; an empty
+    table gives an empty result. A score beyond a long fails the task.
+
+    A block has `block_rows` rows; by default a 256th of all, within BLOCK_ROWS
+    and 16 times that, since the queries are sent once to each block. The blocks
+    are staged; neither side is broadcast or collected.
     """
     spark = rows.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    small_batches(spark)
     usable = stage(vectors(rows, scale))
     asks = F.col("vec_id") % every == 0
     n, m = usable.agg(F.sum(F.col("dim") + 1), F.sum(F.when(asks, F.col("dim") + 1))).first()
-    n_blocks, n_batches = ceil((n or 1) / (65 * block_rows)), ceil((m or 1) / (65 * batch))
-    by_hash = lambda c, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(c))
-    blocks = stage(_packed(usable.withColumn("block", by_hash(n_blocks, 1)), "block"))
-    asked = usable.where(asks).withColumn("batch", by_hash(n_batches, 2))
-    asked = stage(_packed(asked, "batch").select("dim", "batch", F.col("ids").alias("q_ids"), F.col("x").alias("q")))
-    sent = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
-    pairs = sent.join(blocks, ["dim", "block"]).repartition("dim", "block", "batch").select("dim", "block", "ids", "x", "q_ids", "q")
+    n, m = (n or 1) / 65, (m or 1) / 65  # as vectors of 64 dimensions: longer ones make blocks of fewer rows
+    block_rows = block_rows or max(BLOCK_ROWS, min(16 * BLOCK_ROWS, int(n) // 256))
+    n_blocks, n_batches = ceil(n / block_rows), ceil(m / batch)
+    dealt = lambda c: F.pmod(F.xxhash64("vec_id", "x"), F.lit(c))
+    blocks = stage(_packed(usable.withColumn("block", dealt(n_blocks)), SLICES))
+    asked = stage(_packed(usable.where(asks).withColumn("block", dealt(n_batches)), 0))
+    places = blocks.select("dim", F.col("block").alias("to"))
+    sent = asked.join(places, "dim").withColumn("block", F.col("to")).select(*blocks.columns)
+    stream = blocks.unionByName(sent).withColumn("query", F.col("slices").isNull()).repartition(max(1, n_blocks), "dim", "block")
 
     def search(batches):
         at, index = None, None
         for part in batches:
             for row in part.to_pylist():
-                dim = row["dim"]
-                if at != (dim, row["block"]):
-                    ids = np.frombuffer(row["ids"], "<i8")
-                    at, index = (dim, row["block"]), Index(ids, np.frombuffer(row["x"], "<i8").reshape(len(ids), dim))
-                asked_ids = np.frombuffer(row["q_ids"], "<i8")
-                q = np.frombuffer(row["q"], "<i8").reshape(len(asked_ids), dim)
+                if not row["query"]:
+                    at, index = (row["dim"], row["block"]), Index.stored(row)
+                    continue
+                if at != (row["dim"], row["block"]):
+                    raise ValueError("a batch came before its block")
+                ids = np.frombuffer(row["ids"], "<i8")
+                q = _matrix(row["x"], row["kind"], len(ids), row["dim"])
                 for a in range(0, len(q), 2 * batch):
-                    if found := index.search(asked_ids[a : a + 2 * batch], q[a : a + 2 * batch], k):
-                        a_, b_, c_ = zip(*found, strict=True)
-                        yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (a_, b_, c_)], ["query_id", "vec_id", "score"])
+                    if found := index.search(ids[a : a + 2 * batch], q[a : a + 2 * batch], k):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(v, pa.int64()) for v in zip(*found, strict=True)], ["query_id", "vec_id", "score"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    found = stage(pairs.mapInArrow(search, "query_id long, vec_id long, score long"))
-    small_batches(spark)
+    found = stage(stream.sortWithinPartitions("dim", "block", "query").mapInArrow(search, "query_id long, vec_id long, score long"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

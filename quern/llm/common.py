@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,28 +14,58 @@ from pyspark.sql import DataFrame, SparkSession
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
-#: Rows of a batch that goes to a Python worker: whole texts, so few.
-BATCH_ROWS = "400"
+#: Bytes of a batch that goes to a Python worker; a larger row goes alone.
+BATCH_BYTES = 4 << 20
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that all executors share (spark.checkpoint.dir); a temporary one only if none is set."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """A new path in the folder that all executors share (spark.checkpoint.dir).
+
+    Without that setting a master on one machine gets a temporary folder of its
+    own; a cluster is an error, as its executors would not see each other's files.
+    """
+    context = spark.sparkContext
+    shared = context.getConf().get("spark.checkpoint.dir", None)
     if not shared:
-        shared = "file://" + tempfile.mkdtemp(prefix="quern-")
-    return f"{shared.rstrip('/')}/quern-{uuid.uuid4().hex}"
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = _own_folder(context.applicationId)
+    return f"{shared.rstrip('/')}/quern-{context.applicationId}/{uuid.uuid4().hex}"
+
+
+@lru_cache(1)
+def _own_folder(application: str) -> str:
+    return "file://" + tempfile.mkdtemp(prefix="quern-")
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Writes a table to the shared folder and reads it back: lineage ends here, and a lost executor loses nothing."""
+    """Writes a table to the shared folder and reads it back: lineage ends here, and a lost executor loses nothing.
+
+    Results are lazy, so staged tables stay until the caller is done with them:
+    all lie in the folder quern-<application id>, which can then be deleted.
+    """
     path = scratch(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Whole texts go to Python in batches of few rows, so that a worker's memory is bounded."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    """Bounds the bytes of a batch that goes to Python, so that a worker's memory is bounded whatever the texts weigh.
+
+    The plans that need it run after the operator has returned, so it stays set; a lower bound of the caller's stays too.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
+    if not now or not 0 < int(now[1]) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def own_name(taken: list[str], name: str) -> str:
+    """name, or with further underscores so that no column of the input has it; case does not tell names apart."""
+    held = {t.lower() for t in taken}
+    while name.lower() in held:
+        name += "_"
+    return name
 
 
 def as_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:

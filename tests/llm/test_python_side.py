@@ -13,15 +13,15 @@ from quern.llm.queries import QUERIES
 
 
 def brute_top(rows, k, every):
-    best = {}
+    best = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
             x = [int(np.floor(256 * float(np.float32(c)))) for c in v]
-            best[i] = x
+            best.append((i, x))
     out = set()
-    for q, x in best.items():
+    for q, x in best:
         if q % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in best.items() if i != q and len(y) == len(x))
+            scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in best if i != q and len(y) == len(x))
             out |= {(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])}
     return out
 
@@ -31,10 +31,11 @@ def test_top_k_against_brute_force(spark, block, batch):
     rng = np.random.default_rng(6)
     rows = [(int(i), [float(x) for x in rng.normal(0, 0.3, 12)]) for i in range(400)]
     rows += [(400 + i, rows[3][1]) for i in range(60)] + [(500, [0.0] * 12), (550, [900.0, -900.0] * 6)]
+    rows += [(7, rows[50][1]), (7, rows[50][1]), (8, rows[100][1])]
     rows += [(600, None), (601, [None] + [0.1] * 11), (602, [float("nan")] * 12), (650, [float("inf")] * 12), (None, [0.2] * 12), (700, [1.0, 2.0]), (750, [2.0, 2.0]), (800, [])]
     df = spark.createDataFrame([(i, v, 3) for i, v in rows], "vec_id long, embedding array<float>, score int")
-    got = {tuple(r) for r in bitslice.top_k(df, block_rows=block, batch=batch).collect()}
-    assert got == brute_top(rows, 5, 50)
+    got = sorted(tuple(r) for r in bitslice.top_k(df, block_rows=block, batch=batch).collect())
+    assert got == sorted(brute_top(rows, 5, 50))
 
 
 def test_top_k_of_few(spark):
@@ -49,6 +50,9 @@ def test_top_k_keeps_wide_components_and_repeated_ids(spark):
     scored = [(-65536 * int(a[0] * b[0] + a[1] * b[1]), j) for i, a in rows if i == 50 for j, b in rows if j != 50]
     want = [(50, r + 1, j, -s) for r, (s, j) in enumerate(sorted(scored)[:5])]
     assert sorted(tuple(r) for r in bitslice.top_k(df).collect()) == want
+    wide = [(50, [1e5] * 1024), (1, [1e5] * 1023 + [-1e5]), (2, [1.0] * 1024)]
+    got = bitslice.top_k(spark.createDataFrame(wide, "vec_id long, embedding array<float>")).collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 65536 * 1022 * 10**10), (2, 65536 * 1024 * 10**5)]
     with pytest.raises(OverflowError):
         bitslice._scores(np.full((1, 16), 1 << 31), np.full(16, 1 << 31))
 
@@ -64,7 +68,7 @@ def test_top_k_of_an_outlier_component():
     x = np.concatenate([x, best])
     ids = np.arange(1, len(x) + 1)
     want = sorted(zip((-(x @ q)).tolist(), ids.tolist()))[:5]
-    got = bitslice.Index(ids, x).search(np.array([0]), q[None, :], 5)
+    got = bitslice.Index.built(ids, x).search(np.array([0]), q[None, :], 5)
     assert sorted((-s, i) for _, i, s in got) == want
     assert {i for _, i in want} == {2001, 2002, 2003, 2004, 2005}
 
