@@ -64,8 +64,8 @@ def op5_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     rated = toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
     return rated.select(
-        "doc_id", (toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT).alias("held_out"), F.col("_q_score").alias("score"),
-        F.when(F.col("_q_score") >= toxicity.CUT, 1).otherwise(0).alias("predicted"))
+        "doc_id", (toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT).alias("held_out"), "score",
+        F.when(F.col("score") >= toxicity.CUT, 1).otherwise(0).alias("predicted"))
 
 
 @_query()

@@ -1,12 +1,15 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 A text is cut into clauses and each word becomes a symbol: insult, threat,
-target, negation, reported speech, or other. Five small transducers read a
-clause's symbols side by side, as their composition: the insult machine gives
-the weight of each insult, the threat machine one for a threat with its target;
-the target machine raises a weight, negation and reported speech lower it. A
-text's figures are its strongest clause and the sum over its matched clauses; a
-logistic curve turns them into a score.
+target, negation, report, or other. Five transducers over these symbols, with
+weights that multiply along a path and add up over paths, are composed into one
+when the module is read: CHOICE marks one insult or threat of the clause on each
+path, MENACE asks for the target of a marked threat, AIM raises a marked insult
+that has a target, DENIAL lowers what follows a negation, and REPORT what someone
+else is said to say, be that before or after. A clause's weight is the sum over
+the accepted paths, that of a path being the marked word's own weight and the
+weights of its arcs. A text's figures are its strongest clause and the sum over
+its matched clauses; a logistic curve turns them into a score.
 
 The words of four classes are fixed lists. Insults are those of a short list and
 the words and word beginnings that a bounded sample of labelled rows shows to
@@ -17,22 +20,21 @@ rows of the training folds only.
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_bytes, small_batches
+from quern.llm.common import as_bytes, own_name, small_batches
 
 #: Most labelled rows that training reads: those of least hash.
 SAMPLE = 12_000
-#: Most learned insults, and the evidence in bits that each needs.
-TERMS = 4_000
-BITS = 14
-PURITY = 0.8
-BEGINNINGS = (4, 5, 6)
+#: Evidence in bits that a learned insult needs, and the share of its rows that are toxic. How many there are follows from the sample.
+BITS = 12
+PURITY = 0.9
+BEGINNINGS = (4, 5, 6, 7)
 CUT = 0.7
 FOLDS = 3
 HELD_OUT = 1
@@ -61,49 +63,84 @@ NEGATED = 0.3
 REPORTED = 0.5
 TARGETED = 1.5
 REACH = 3
-_MARKS = ".,;:!?()[]{}\"'«»“”„…-*_"
+_MARKS = ".,;:!?()[]{}\"'«»“”„…-*_#|/~+=<>&@%$^`"
 _ENDS = (".", "!", "?", ";", ":")
 MEMO = 500_000
 
 
-@dataclass
-class Machine:
-    """A transducer over symbols: moves[state, symbol] is the next state, gives[state, symbol] a weight or factor."""
+CLASSES = ("insult", "threat", "target", "negation", "report", "other")
 
-    moves: dict[tuple[int, str], int]
-    gives: dict[tuple[int, str], float]
-    plain: dict[int, int] = field(default_factory=dict)  # where a state goes on any other symbol; by default it stays
 
-    def step(self, state: int, symbol: str, none: float) -> tuple[int, float]:
-        return self.moves.get((state, symbol), self.plain.get(state, state)), self.gives.get((state, symbol), none)
+@dataclass(frozen=True)
+class Transducer:
+    """arcs[state, symbol] are the (symbol written, weight, next state) that can be taken; finals are the accepting states; it starts in `start`."""
 
+    arcs: dict
+    finals: frozenset
+    start: object = 0
 
-NEGATION = Machine(
-    {(s, "negation"): REACH for s in range(REACH + 1)},
-    {(s, x): NEGATED for s in range(1, REACH + 1) for x in ("insult", "threat")},
-    {s: s - 1 for s in range(1, REACH + 1)},
-)
-REPORT = Machine({(0, "report"): 1}, {(1, "insult"): REPORTED, (1, "target"): REPORTED})
-TARGET = Machine({(0, "target"): 1}, {(1, "insult"): TARGETED})
-THREAT = Machine({(0, "threat"): 1, (1, "target"): 0}, {(1, "target"): THREAT_WEIGHT})
+
+def _machine(symbols: tuple[str, ...], states: int, finals: set[int], arcs: dict) -> Transducer:
+    """A machine whose states stay, with weight one, on symbols that have no arc; arcs[state, symbol] is (weight, next state)."""
+    every = {(s, x): [(x, *arcs.get((s, x), (1.0, s)))] for s in range(states) for x in symbols}
+    return Transducer(every, frozenset(finals))
+
+
+def compose(a: Transducer, b: Transducer) -> Transducer:
+    """The transducer that gives b what a writes: states are pairs, weights multiply."""
+    symbols = sorted({x for _, x in a.arcs})
+    start, arcs, finals = (a.start, b.start), {}, set()
+    front, seen = [start], {start}
+    while front:
+        p, q = front.pop()
+        if p in a.finals and q in b.finals:
+            finals.add((p, q))
+        for x in symbols:
+            arcs[(p, q), x] = out = [(z, v * w, (m, n)) for y, v, m in a.arcs.get((p, x), []) for z, w, n in b.arcs.get((q, y), [])]
+            new = {n for _, _, n in out} - seen
+            seen |= new
+            front += new
+    return Transducer(arcs, frozenset(finals), start)
+
+
+_MARKED = (*CLASSES, "insult!", "threat!")
+_EITHER = ("insult!", "threat!")
+CHOICE = Transducer(
+    {(s, x): [(x, 1.0, s)] + ([(x + "!", 1.0, 1)] if s == 0 and x in ("insult", "threat") else []) for s in (0, 1) for x in CLASSES}, frozenset({1}))
+MENACE = _machine(_MARKED, 2, {0}, {(0, "threat!"): (1.0, 1), (1, "target"): (1.0, 0)})
+AIM = _machine(_MARKED, 4, {0, 1, 2, 3}, {
+    (0, "target"): (1.0, 1), (0, "insult!"): (1.0, 2), (1, "insult!"): (TARGETED, 3), (2, "target"): (TARGETED, 3),
+    (0, "threat!"): (1.0, 3), (1, "threat!"): (1.0, 3)})
+DENIAL = _machine(_MARKED, REACH + 1, set(range(REACH + 1)), {
+    (s, x): (NEGATED if s and x in _EITHER else 1.0, REACH if x == "negation" else max(0, s - 1)) for s in range(REACH + 1) for x in _MARKED})
+REPORT = _machine(_MARKED, 4, {0, 1, 2, 3}, {
+    (0, "report"): (1.0, 1), **{(0, x): (1.0, 2) for x in _EITHER}, **{(1, x): (REPORTED, 3) for x in _EITHER}, (2, "report"): (REPORTED, 3)})
+
+
+def _table(whole: Transducer) -> tuple[list[dict[str, list[tuple[int, float, bool]]]], list[bool]]:
+    """The composed transducer with numbered states: for each the arcs (next, weight, marks the word), and whether it accepts; 0 starts."""
+    number = {whole.start: 0}
+    for state, _ in whole.arcs:
+        number.setdefault(state, len(number))
+    moves: list[dict] = [{} for _ in number]
+    for (state, x), out in whole.arcs.items():
+        moves[number[state]][x] = [(number[n], w, y.endswith("!")) for y, w, n in out]
+    return moves, [state in whole.finals for state in number]
+
+
+MOVES, ACCEPTS = _table(compose(compose(compose(compose(CHOICE, MENACE), AIM), DENIAL), REPORT))
 
 
 def clause_weight(symbols: list[tuple[str, float]]) -> float:
-    """The weight that the composed machines give a clause."""
-    negation = report = target = threat = 0
-    damped = 1.0  # what negation left of a threat that waits for its target
-    total = 0.0
+    """The sum over the composed transducer's accepted paths of a clause's (symbol, weight)."""
+    now = {0: 1.0}
     for symbol, weight in symbols:
-        report, said = REPORT.step(report, symbol, 1.0)
-        target, aimed = TARGET.step(target, symbol, 1.0)
-        negation, denied = NEGATION.step(negation, symbol, 1.0)
-        threat, danger = THREAT.step(threat, symbol, 0.0)
-        if symbol == "insult":
-            total += weight * said * aimed * denied
-        elif symbol == "threat":
-            damped = denied
-        total += danger * said * damped
-    return total
+        after: dict[int, float] = {}
+        for state, w in now.items():
+            for to, factor, marks in MOVES[state][symbol]:
+                after[to] = after.get(to, 0.0) + w * factor * (weight if marks else 1.0)
+        now = after
+    return sum(w for state, w in now.items() if ACCEPTS[state])
 
 
 class Grammar:
@@ -116,7 +153,7 @@ class Grammar:
         for t in INSULTS:
             self.classes.setdefault(t, ("insult", SEED_WEIGHT))
         for name, words in (("threat", THREATS), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS)):
-            self.classes.update(dict.fromkeys(words, (name, 1.0)))
+            self.classes.update(dict.fromkeys(words, (name, THREAT_WEIGHT if name == "threat" else 1.0)))
         self.memo: dict[bytes, tuple[str, float, bool] | None] = {}
 
     def _symbol(self, raw: bytes) -> tuple[str, float, bool] | None:
@@ -125,9 +162,10 @@ class Grammar:
         ends = word.endswith(_ENDS)
         bare = word.strip(_MARKS)
         found = self.classes.get(bare)
-        if found is None and self.begins:
+        if self.begins and (found is None or found[0] == "insult"):
             weight = max((self.begins.get(bare[:n], 0.0) for n in BEGINNINGS if len(bare) >= n), default=0.0)
-            found = ("insult", weight) if weight else None
+            if weight > (found[1] if found else 0.0):
+                found = ("insult", weight)
         if found is None:
             found = ("other", 0.0)
             if not ends:
@@ -172,6 +210,12 @@ def _terms(text: bytes) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in BEGINNINGS if len(w) >= n}
 
 
+def _shortest(terms: dict[str, float]) -> dict[str, float]:
+    """The terms without those that begin with another one's beginning of no less weight: a word takes the most that fits."""
+    covered = lambda t, w: any(terms.get(t[:n] + "*", -1.0) >= w for n in BEGINNINGS if n < len(t.rstrip("*")))
+    return {t: w for t, w in terms.items() if not covered(t, w)}
+
+
 def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     """Logistic regression by Newton's method, with a small ridge; coefficients of weights are not negative."""
     rows = np.column_stack([np.ones(len(x)), x])
@@ -192,9 +236,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
     """A grammar from the labelled rows outside the held-out fold; from at most `sample` of them, those of least hash.
 
     The sample's ids and labels are broadcast, their number being bounded; terms
-    are counted in parallel, and of those at most TERMS come to the driver. A
-    doc_id with several labels counts as toxic if one of them says so. Without a
-    toxic and a clean row, the fixed lists and the default curve stand.
+    are counted in parallel, and those that enough of the sample's toxic rows hold
+    come to the driver, without the ones that a shorter beginning covers. A doc_id
+    with several labels counts as toxic if one of them says so. Without a toxic
+    and a clean row, the fixed lists and the default curve stand.
     """
     small_batches(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
@@ -222,8 +267,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
     bits = t * F.log2(pure / base) + F.when(c > 0, c * F.log2((1 - pure) / (1 - base))).otherwise(0.0)
     weight = F.log((t + 0.5) / (toxic + 1)) - F.log((c + 0.5) / (clean + 1))
     good = seen.where((t > 0) & (pure >= PURITY)).where(bits >= BITS)
-    best = good.select("term", weight.alias("w"), bits.alias("b")).orderBy(F.desc("b"), "term").limit(TERMS)
-    grammar = Grammar({r.term: round(r.w, 6) for r in best.collect()})
+    grammar = Grammar(_shortest({r.term: round(r.w, 6) for r in good.select("term", weight.alias("w")).collect()}))
 
     def measure(batches):
         for batch in batches:
@@ -239,21 +283,26 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
     return grammar
 
 
-def score(docs: DataFrame, grammar: Grammar, keep: list[str] | None = None) -> DataFrame:
-    """The columns `keep` of docs (by default doc_id) with _q_score, between 0 and 1; null and empty texts score as texts without matches."""
+def score(docs: DataFrame, grammar: Grammar, keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """The columns `keep` of docs (by default doc_id) with the score, between 0 and 1, in a column of the given name.
+
+    Null and empty texts score as texts without matches. Every row is scored by
+    itself, so repeated rows get equal scores; an empty table gives an empty result.
+    """
     small_batches(docs.sparkSession)
     keep = ["doc_id"] if keep is None else keep
-    schema = docs.select(*keep).schema.add("_q_score", "double")
+    schema = docs.select(*keep).schema.add(name, "double")
 
     def rate(batches):
         for batch in batches:
             f = np.array([grammar.figures(x) for x in as_bytes(batch.column("text"))]).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(grammar.score(f[:, 0], f[:, 1]))], [*keep, "_q_score"])
+                [*(batch.column(c) for c in keep), pa.array(grammar.score(f[:, 0], f[:, 1]))], [*keep, name])
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(rate, schema)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, cut: float = CUT) -> DataFrame:
-    """docs without the rows that score `cut` or more."""
-    return score(docs, train(docs, labels), docs.columns).where(F.col("_q_score") < cut).select(*docs.columns)
+    """docs without the rows that score `cut` or more; same columns, whatever their names."""
+    name = own_name(docs.columns, "score")
+    return score(docs, train(docs, labels), docs.columns, name).where(F.col(name) < cut).select(*docs.columns)

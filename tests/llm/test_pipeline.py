@@ -15,7 +15,7 @@ def test_stages_take_effect(spark):
         assert name == "packing" or at.columns == docs.columns
     clean, single, safe, mixed, packed = seen
     grammar = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
-    good = {r.doc_id for r in toxicity.score(docs, grammar).where("_q_score < 0.7").collect()}
+    good = {r.doc_id for r in toxicity.score(docs, grammar).where("score < 0.7").collect()}
     assert {r.doc_id for r in clean.collect()} == good
     least = {r.component_id for r in simhash.near_duplicates(clean).collect()}
     assert sorted(r.doc_id for r in single.collect()) == sorted(least)

@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quern.llm import bitslice, packing, toxicity, transport
@@ -138,13 +139,44 @@ def test_stream_round_trip(n):
     payload = random.Random(n).randbytes(n)
     media = transport.mux(payload)
     read = transport.demux(media)
-    assert read.payload == payload and read.lost == 0 and len(media) == 188 * read.packets
-    assert read.stamps == [3600 * k for k in range(-(-n // 16384))] and read.random_access == read.stamps[::8]
+    assert read.payload == payload and len(media) == 188 * read.packets
+    assert [u[0] for u in read.units] == [3600 * k for k in range(-(-n // 16384))] and [u[1] for u in read.units] == [k % 8 == 0 for k in range(len(read.units))]
+    assert [u[3] for u in read.units] == list(range(0, n, 16384)) and packets(media) == (payload, read.units)
+
+
+def packets(media):
+    """A reader that goes packet by packet: the payload and its units."""
+    pids, units, body, last = {0: "pat"}, [], b"", None
+    for at in range(0, len(media), 188):
+        p = media[at : at + 188]
+        pid = (p[1] & 31) << 8 | p[2]
+        data, flags = p[4:], 0
+        if p[3] & 32:
+            flags, data = (p[5] if p[4] else 0), p[5 + p[4] :]
+        kind = pids.get(pid)
+        if kind == "pat":
+            pids[(data[11] & 31) << 8 | data[12]] = "pmt"
+        elif kind == "pmt":
+            pids[(data[14] & 31) << 8 | data[15]] = "data"
+        elif kind == "data":
+            assert last is None or p[3] & 15 == (last + 1) % 16
+            last = p[3] & 15
+            if p[1] & 64:
+                assert data[:4] == b"\0\0\1\xbd"
+                bits = "".join(f"{b:08b}" for b in data[9:14])
+                units.append((int(bits[4:7] + bits[8:23] + bits[24:39], 2), bool(flags & 64), at, len(body)))
+                data = data[9 + data[8] :]
+            body += data
+    return body, units
 
 
 def test_stream_damage():
     media = bytearray(transport.mux(bytes(5000)))
-    assert transport.demux(bytes(media[: 188 * 4] + media[188 * 5 :])).lost == 1
+    again = bytes(media[: 188 * 5] + media[188 * 4 :])
+    assert transport.demux(again).payload == bytes(5000)  # a repeated packet is legal
+    for lost in (bytes(media[: 188 * 4] + media[188 * 5 :]), bytes(media[:-188]), bytes(media[188:]), b"", bytes(media[:-1])):
+        with pytest.raises(ValueError):
+            transport.demux(lost)
     for at in (0, 188 + 10):
         broken = media.copy()
         broken[at] ^= 255
@@ -152,6 +184,14 @@ def test_stream_damage():
             transport.demux(bytes(broken))
 
 
+def test_stored_units_must_be_the_streams(spark):
+    stored = transport.store(spark.createDataFrame([(1, "a" * 20_000), (1, "a" * 20_000)], "doc_id long, text string"))
+    rows = transport.features(stored).collect()
+    assert rows[0] == rows[1] and [u.pts for u in rows[0].units] == [0, 3600] and "random_access=0" in rows[0].feature
+    with pytest.raises(Exception, match="units"):
+        transport.features(stored.withColumn("units", F.slice("units", 1, 1))).collect()
+
+
 def test_media_query(spark):
     texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     import hashlib
@@ -162,6 +202,10 @@ def test_media_query(spark):
         p = transport.padded(texts[r.doc_id])
         m = transport.mux(p)
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256) == (len(texts[r.doc_id]), len(p), hashlib.sha256(p).hexdigest())
+        payload, units = packets(m)
+        assert payload == p and [tuple(u) for u in r.units] == units
+        points = ".".join(str(u[0]) for u in units if u[1])
+        assert r.feature == f"packets={len(m) // 188};pes={len(units)};pts={units[0][0]}-{units[-1][0]};random_access={points}"
         assert (r.tail_crc32, r.media_bytes, r.media_sha256) == (zlib.crc32(p[-64:]), len(m), hashlib.sha256(m).hexdigest())
     odd = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (None, "a" * 63, "z")], "doc_id long, text string, media string")
     assert sorted(r.payload_bytes for r in transport.features(transport.store(odd)).collect()) == [64, 64, 64]
@@ -181,6 +225,36 @@ def test_grammar():
     assert 0 < s[0] < s[1] < s[2] < 1
 
 
+def plain_weight(symbols):
+    """Each insult and threat of a clause by itself, by the rules in words."""
+    total = 0.0
+    for i, (x, w) in enumerate(symbols):
+        if x in ("insult", "threat"):
+            at = lambda name, part: [j for j in part if symbols[j][0] == name]
+            before, after = range(i), range(i + 1, len(symbols))
+            if x == "threat" and not at("target", after):
+                continue
+            if x == "insult" and (at("target", before) or at("target", after)):
+                w *= toxicity.TARGETED
+            if at("negation", range(max(0, i - toxicity.REACH), i)):
+                w *= toxicity.NEGATED
+            if at("report", before) or at("report", after):
+                w *= toxicity.REPORTED
+            total += w
+    return total
+
+
+def test_composed_transducers_against_plain_rules():
+    rng = random.Random(9)
+    for _ in range(2000):
+        clause = [(x, rng.choice([1.0, 2.5, 4.0])) for x in rng.choices(toxicity.CLASSES, [2, 1, 1, 1, 1, 4], k=rng.randint(0, 12))]
+        assert abs(toxicity.clause_weight(clause) - plain_weight(clause)) < 1e-9, clause
+
+
+def test_shortest_terms():
+    assert toxicity._shortest({"abcd*": 3.0, "abcde*": 3.0, "abcdef*": 4.0, "abcdx": 2.0, "abc": 1.0}) == {"abcd*": 3.0, "abcdef*": 4.0, "abc": 1.0}
+
+
 def test_toxicity_on_held_out_rows(spark):
     rows = QUERIES["op5_toxicity"](spark, "/root/testdata/sf0.1").collect()
     labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
@@ -189,14 +263,23 @@ def test_toxicity_on_held_out_rows(spark):
     held = [r for r in rows if r.held_out and r.doc_id in labels]
     hit = sum(r.predicted for r in held if labels[r.doc_id])
     wrong = sum(r.predicted for r in held if not labels[r.doc_id])
-    assert hit >= 0.75 * sum(labels[r.doc_id] for r in held) and wrong <= 0.01 * len(held)
+    assert hit >= 0.9 * sum(labels[r.doc_id] for r in held) and wrong <= 0.005 * len(held)
+
+
+def kept_rows(docs, labels):
+    """Ids that stay, in a table whose columns have the names of the operator's own."""
+    clash = docs.withColumnRenamed("score", "Score").withColumn("score_", F.lit(1))
+    kept = toxicity.without_toxic(clash, labels)
+    assert kept.columns == clash.columns
+    return sorted(r.doc_id for r in kept.where("doc_id is not null").collect())
 
 
 def test_toxicity_of_odd_rows(spark):
-    docs = spark.createDataFrame([(1, None, 2), (None, "idiot", 3), (3, "", 4), (4, "you idiot " * 20_000, 5)], "doc_id long, text string, score int")
+    docs = spark.createDataFrame(
+        [(1, None, 2), (None, "idiot", 3), (3, "", 4), (4, "you idiot " * 20_000, 5), (3, "", 4)], "doc_id long, text string, score int")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
-    scores = {r.doc_id: r._q_score for r in toxicity.score(docs, toxicity.train(docs, none)).collect()}
-    assert scores[1] == scores[3] < 0.1 and scores[4] > 0.9 and len(scores) == 4
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, none)).collect()}
+    assert scores[1] == scores[3] < 0.1 and scores[4] > 0.9 and len(scores) == 4 and kept_rows(docs, none) == [1, 3, 3]
     kept = toxicity.without_toxic(docs, none)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= {1, 3}
     labels = spark.createDataFrame([(1, 1, None), (None, 0, 1), (4, 1, 1), (4, 0, 0)], none.schema)
