@@ -4,30 +4,38 @@ All within a row, by DataFrame functions: no shuffle, no join, nothing that a
 frequent license could heat up. The templates are a parameter of bounded size
 (checked), and their index becomes literals of the plan.
 
-A text's words give shingles of five words and one hash for each. Windows of
-`WINDOW` shingles, starting at every second shingle, give one least hash for
-each of `BANDS` seeds; a band is one such value. Templates are indexed by their
-windows at every offset, so a run of WINDOW + 1 unchanged shingles always meets
-an equal window; a window of Jaccard similarity j meets with probability
-1 - (1 - j) ** BANDS, over 0.9999 at 0.8. Templates under SHORT shingles have
-windows of one shingle, which any unchanged shingle meets.
+A text's words give shingles of five words and one hash for each. Windows of some
+consecutive shingles give one least hash for each of the BANDS seeds; a band is
+one such value. A template's windows are a fifth of its shingles long, at most
+WINDOW and at least one, and are indexed at every offset. A text's windows of
+each of these lengths begin at every second shingle, so a run of unchanged
+shingles one longer than a window always meets an equal one, and a text with 0.8
+of a template's shingles in their places has such a run. A window of Jaccard
+similarity j meets with probability 1 - (1 - j) ** BANDS, over 0.9999 at 0.8.
+A window of one shingle has one value, its hash.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.llm.common import own_name
+
 SHINGLE = 5
 WINDOW = 4
 BANDS = 6
-SHORT = 20
 LEAST = 0.8
 MAX_TEMPLATES = 500
 MAX_WORDS = 20_000
 
+#: Characters that count as blanks, so that comment and list marks leave no words.
+MARKS = tuple(".,;:!?()\"'*#/-<>|=~+_%[]{}&$@^`")
+#: Orders of the shingles' hashes, one a band: their bits are turned over by these before the least is taken.
+SEEDS = tuple(int.from_bytes(hashlib.sha256(bytes([i])).digest()[:7], "big") | i << 60 for i in range(BANDS))
+
 #: Fixed texts: notices as they are commonly printed.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
@@ -76,9 +84,9 @@ TEMPLATES = {
 
 
 def words(text: Column) -> Column:
-    """Lower-case words without the marks .,;:!?()"' around them; words of marks only do not count."""
-    spaced = F.translate(F.lower(F.coalesce(text, F.lit(""))), "\t\n\x0b\f\r.,;:!?()\"'", " " * 15)
-    return F.filter(F.split(spaced, " "), lambda w: w != "")
+    """Lower-case words; the characters of MARKS separate words as blanks do."""
+    odd = "\t\n\x0b\f\r" + "".join(MARKS)
+    return F.filter(F.split(F.translate(F.lower(F.coalesce(text, F.lit(""))), odd, " " * len(odd)), " "), lambda w: w != "")
 
 
 def shingles(word: Column) -> Column:
@@ -90,25 +98,40 @@ def shingles(word: Column) -> Column:
     return F.when(F.size(word) > 0, many).otherwise(F.array().cast("array<bigint>"))
 
 
-def bands(hashes: Column, step: int) -> Column:
-    """The band values of all windows, at every step-th shingle, the last window included."""
-    last = F.greatest(F.size(hashes) - WINDOW, F.lit(0))
-    starts = F.array_append(F.sequence(F.lit(0), last, F.lit(step)), last)
-    window = lambda at: F.slice(hashes, at + 1, WINDOW)
-    least = lambda at, seed: F.array_min(F.transform(window(at), lambda h: F.xxhash64(h, F.lit(seed))))
-    values = F.flatten(F.transform(starts, lambda at: F.array(*(least(at, seed) for seed in range(BANDS)))))
-    return F.when(F.size(hashes) > 0, values).otherwise(F.array().cast("array<bigint>"))
+def window_of(shingles: int) -> int:
+    """The length of the windows of a template with so many shingles."""
+    return max(1, min(WINDOW, shingles // 5))
+
+
+def bands(hashes: Column, window: int, step: int) -> Column:
+    """The band values of all windows of a length, at every step-th shingle, the last one included; each hash is turned once for each seed."""
+    if window == 1:
+        return hashes
+
+    def of_seed(turned: Column) -> Column:
+        last = F.greatest(F.size(turned) - window, F.lit(0))
+        starts = F.array_append(F.sequence(F.lit(0), last, F.lit(step)), last)
+        return F.transform(starts, lambda at: F.least(*(F.get(turned, at + i) for i in range(window))))
+
+    turn = lambda seed: lambda h: h.bitwiseXOR(F.lit(seed))
+    turned = F.array(*(F.transform(hashes, turn(seed)) for seed in SEEDS))
+    values = F.flatten(F.transform(turned, of_seed))
+    return F.when(F.size(hashes) >= window, values).otherwise(F.array().cast("array<bigint>"))
 
 
 def index(spark: SparkSession, templates: dict[str, str]) -> list[dict]:
-    """Each template's distinct shingle hashes and band values; templates are few and their size is checked."""
+    """Each template's distinct shingle hashes, window length and band values; templates are few and their size is checked."""
     if len(templates) > MAX_TEMPLATES or sum(len(t.split()) for t in templates.values()) > MAX_WORDS:
         raise ValueError(f"over {MAX_TEMPLATES} templates or {MAX_WORDS} words: give them in parts")
     rows = spark.createDataFrame(sorted(templates.items()), "name string, text string").coalesce(1)
     rows = rows.select("name", shingles(words(F.col("text"))).alias("hashes"))
-    rows = rows.select("name", "hashes", bands(F.col("hashes"), 1).alias("bands"))
-    unique = [(r.name, sorted(set(r.hashes)), sorted(set(r.bands))) for r in rows.collect()]
-    return [{"name": n, "hashes": h, "bands": b, "short": len(h) < SHORT} for n, h, b in unique if h]
+    every = F.array(*(bands(F.col("hashes"), w, 1) for w in range(1, WINDOW + 1)))
+    found = [(r.name, set(r.hashes), r.bands) for r in rows.select("name", "hashes", every.alias("bands")).collect()]
+    return [{"name": n, "hashes": sorted(h), "window": window_of(len(h)), "bands": sorted(set(b[window_of(len(h)) - 1]))} for n, h, b in found if h]
+
+
+def _is_in(values: list[int]):
+    return lambda b: b.isin(values)
 
 
 def _longs(values: list[int]) -> Column:
@@ -119,29 +142,28 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     """docs with `matches`: array of (name, found, total) of each template of which `least` of the shingles occur in the text.
 
     found and total count distinct shingles. Order does not matter, nor does what
-    stands between. Null and empty texts match nothing; a column named matches is replaced.
+    stands between. Null and empty texts match nothing; repeated rows match alike;
+    an empty table gives an empty result. A column named matches is replaced.
     """
     entries = index(docs.sparkSession, TEMPLATES if templates is None else templates)
-    keep = [c for c in docs.columns if c != "matches"]
+    keep = [c for c in docs.columns if c.lower() != "matches"]
     kind = "array<struct<name:string,found:int,total:int>>"
     if not entries:
         return docs.select(*keep, F.array().cast(kind).alias("matches"))
-    one = sorted({h for e in entries if e["short"] for h in e["hashes"]})
-    many = sorted({b for e in entries if not e["short"] for b in e["bands"]})
-    rows = docs.select(*keep, words(F.col("text")).alias("_q_words"))
-    rows = rows.select(*keep, shingles(F.col("_q_words")).alias("_q_hashes"))
-    met = []
-    if one:
-        met.append(F.filter("_q_hashes", lambda h: h.isin(one)))
-    if many:
-        met.append(F.filter(bands(F.col("_q_hashes"), 2), lambda b: b.isin(many)))
-    rows = rows.select(*keep, "_q_hashes", reduce(lambda a, b: F.concat(a, b), met).alias("_q_met"))
+    word, hashes, met = (own_name(docs.columns, x) for x in ("words", "hashes", "met"))
+    rows = docs.select(*keep, words(F.col("text")).alias(word))
+    rows = rows.select(*keep, shingles(F.col(word)).alias(hashes))
+    retrieved = []
+    for window in sorted({e["window"] for e in entries}):
+        known = sorted({b for e in entries if e["window"] == window for b in e["bands"]})
+        retrieved.append(F.filter(bands(F.col(hashes), window, 2), _is_in(known)))
+    rows = rows.select(*keep, hashes, F.concat(*retrieved).alias(met))
     tried = []
     for e in entries:
-        found = F.size(F.array_intersect("_q_hashes", _longs(e["hashes"])))
-        near = F.arrays_overlap("_q_met", _longs(e["hashes"] if e["short"] else e["bands"]))
+        found = F.size(F.array_intersect(hashes, _longs(e["hashes"])))
         total = len(e["hashes"])
+        near = F.arrays_overlap(met, _longs(e["bands"]))
         tried.append(F.when(near & (found >= least * total), F.struct(
             F.lit(e["name"]).alias("name"), found.alias("found"), F.lit(total).alias("total"))))
-    matches = F.when(F.size("_q_met") > 0, F.array_compact(F.array(*tried))).otherwise(F.array().cast(kind))
+    matches = F.when(F.size(met) > 0, F.array_compact(F.array(*tried))).otherwise(F.array().cast(kind))
     return rows.select(*keep, matches.cast(kind).alias("matches"))

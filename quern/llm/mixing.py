@@ -12,8 +12,13 @@ open seats for each party; all below them are certain.
 
 Shards: a source's rows are dealt by the MD5 of doc_id over as many shards as
 hold about `shard_rows` rows each, so a source with a third of all rows is many
-groups. A shard's documents stand in MD5 order; its quota is taken as whole
-rounds over all its words and one further run of words from a seeded place on.
+groups. A source has MAX_SHARDS at most, which are apportioned in one task as
+one small row each; beyond that shards grow, and are sorted by id and size only.
+
+Blocks: a shard's documents stand in MD5 order, and their words are cut into
+blocks of `block_words`. The shard's quota is taken as whole rounds over all its
+blocks and, of a last round, the blocks of least seeded hash, the last of them in
+part, so that a shard gives just its quota.
 """
 
 from __future__ import annotations
@@ -21,14 +26,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import WORD, stage
+from quern.llm.common import WORD, own_name, stage
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2
-BLOCK_WORDS = 8
+BLOCK_WORDS = 64
 SHARD_ROWS = 512
-MAX_SHARDS = 4096
+MAX_SHARDS = 65_536
 SEED = "mix-1"
 
 
@@ -60,7 +65,7 @@ def _seats(parties: DataFrame, group: list[str], votes: str, house: str, order:
 
 
 def targets(stats: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
-    """stats (_q_key, source, source_size, source_rows), one row a source, with `target`."""
+    """stats (key, source, source_size, source_rows), one row a source, with `target`."""
     by_name = Window.partitionBy("_one").orderBy(F.col("source").asc_nulls_last())
     one = stats.withColumn("_one", F.lit(1)).withColumn("_at", F.row_number().over(by_name))
     weight = F.element_at(F.array(*(F.lit(w) for w in weights)), ((F.col("_at") - 1) % len(weights) + 1).cast("int"))
@@ -76,73 +81,106 @@ def targets(stats: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return one.withColumn("target", filled).select("_one", "_at", *stats.columns, "target")
 
 
+def _names(docs: DataFrame) -> dict[str, str]:
+    """Names for the columns that are added in between, none of them in docs."""
+    return {x: own_name(docs.columns, f"_q_{x}") for x in ("key", "seed", "size", "whole", "parts")}
+
+
+def _placed(docs: DataFrame, size: Column, weights, share, cap, block_words, shard_rows, seed) -> tuple[DataFrame, dict[str, str]]:
+    """docs with source_size and target (as a struct `mixed`), and by _names() size, whole rounds, and parts: runs (from, n) of words of its chosen blocks."""
+    q = _names(docs)
+    mixed = own_name([*docs.columns, *q.values()], "_q_mixed")
+    shard, end = (own_name(docs.columns, f"_q_{x}") for x in ("shard", "end"))
+    rows = docs.select(
+        *docs.columns, size.alias(q["size"]), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias(q["key"]),
+        F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias(q["seed"]))
+    stats = rows.groupBy(F.col(q["key"]).alias("key")).agg(
+        F.first("source").alias("source"), F.sum(q["size"]).alias("source_size"), F.count("*").alias("source_rows"))
+    wanted = targets(stats, weights, share, cap)
+    house = F.floor(F.sum("target").over(Window.partitionBy("_one")) / block_words + 0.5).cast("long")
+    sources = _seats(wanted.withColumn("_house", house), ["_one"], "target", "_house", ["_at"])
+    shards = F.least(F.lit(MAX_SHARDS), F.ceil(F.col("source_rows") / shard_rows)).cast("long")
+    sources = stage(sources.select(
+        F.col("key").alias(q["key"]), F.struct(F.struct("source_size", "target").alias("out"), "seats", shards.alias("shards")).alias(mixed)))
+    dealt = rows.join(sources, q["key"]).withColumn(shard, F.pmod(_number(F.col(q["seed"])), F.col(mixed)["shards"]))
+    totals = dealt.groupBy(F.col(q["key"]).alias("key"), F.col(shard).alias("shard")).agg(
+        F.sum(q["size"]).alias("words"), F.first(F.col(mixed)["seats"]).alias("house"))
+    quotas = _seats(totals, ["key"], "words", "house", ["shard"])
+    take = F.least(F.col("seats") * block_words, cap * F.col("words"))
+    whole = F.when(F.col("words") > 0, F.floor(take / F.col("words"))).otherwise(F.lit(0)).cast("long")
+    quotas = quotas.withColumn("whole", whole).withColumn("rest", take - F.col("whole") * F.col("words"))
+    quotas = stage(quotas.select("key", "shard", "words", "whole", "rest"))
+    # The last round takes blocks by their ranks until it has `rest` words: whole ones, then parts of at most two, as the shard's last block is short.
+    rank = lambda j: _rank(F.concat_ws("|", F.lit(seed), "key", "shard", j), j)
+    last = F.floor((F.col("words") - 1) / block_words).cast("long")
+    full = F.floor(F.col("rest") / block_words).cast("int")
+    ranked = quotas.where("rest > 0").withColumn("ranks", F.array_sort(F.transform(F.sequence(F.lit(0).cast("long"), last), rank)))
+    ranked = ranked.withColumn("first", F.get("ranks", full)).withColumn("second", F.get("ranks", full + 1)).drop("ranks")
+    gap = (last + 1) * block_words - F.col("words")
+    left = F.col("rest") % block_words + F.when(rank(last) < F.col("first"), gap).otherwise(F.lit(0))
+    at_first = F.least(left, block_words - F.when(rank(last) == F.col("first"), gap).otherwise(F.lit(0)))
+    ranked = ranked.select("key", "shard", F.struct("first", "second", at_first.alias("n"), (left - at_first).alias("m")).alias("ends"))
+    quotas = quotas.join(ranked, ["key", "shard"], "left").select(
+        F.col("key").alias(q["key"]), F.col("shard").alias(shard), F.col("whole").alias(q["whole"]), F.col("ends").alias(end))
+    order = Window.partitionBy(q["key"], shard).orderBy(F.md5(q["seed"]), "doc_id", q["size"])
+    at = own_name(docs.columns, "_q_at")
+    placed = dealt.withColumn(at, F.sum(q["size"]).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    placed = placed.join(stage(quotas), [q["key"], shard])
+    b = F.col(at)
+    a = b - F.col(q["size"])
+    e = F.col(end)
+    value = lambda j: _rank(F.concat_ws("|", F.lit(seed), q["key"], shard, j), j)
+    width = lambda v: F.when(v < e["first"], block_words).when(v == e["first"], e["n"]).when(v == e["second"], e["m"]).otherwise(0).cast("long")
+    blocks = F.transform(
+        F.sequence(F.floor(a / block_words).cast("long"), F.floor((b - 1) / block_words).cast("long")),
+        lambda j: F.struct((j * block_words).alias("from"), (j * block_words + width(value(j))).alias("to")))
+    run = lambda x: F.struct((F.greatest(a, x["from"]) - a).alias("at"), (F.least(b, x["to"]) - F.greatest(a, x["from"])).alias("n"))
+    some = F.filter(F.transform(blocks, run), lambda x: x["n"] > 0)
+    parts = F.when((F.col(q["size"]) > 0) & e.isNotNull(), some).otherwise(F.array().cast("array<struct<at:bigint,n:bigint>>"))
+    return placed.select(*docs.columns, q["size"], q["whole"], parts.alias(q["parts"]), F.col(mixed)["out"].alias(mixed)), q | {"mixed": mixed}
+
+
+def _rank(name: Column, j: Column) -> Column:
+    """A block's place in its shard's seeded order: 28 bits of a hash, then its number, so that no two are equal."""
+    return F.shiftleft(F.conv(F.substring(F.md5(name), 1, 7), 16, 10).cast("long"), 35) + j
+
+
+def _taken(q: dict[str, str]) -> Column:
+    return F.col(q["whole"]) * F.col(q["size"]) + F.aggregate(q["parts"], F.lit(0).cast("long"), lambda s, p: s + p["n"])
+
+
 def mix(
     docs: DataFrame, size: Column | None = None, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP,
     block_words: int = BLOCK_WORDS, shard_rows: int = SHARD_ROWS, seed: str = SEED,
 ) -> DataFrame:
-    """docs (doc_id, source, text) with size, source_size, target, taken, and where the last partial take lies.
+    """docs (doc_id, source, and text unless size is given) with size, source_size, target, taken: the words that the mix takes of each row.
 
-    taken = _q_whole * size + the words [_q_from, _q_to) of the text, in two runs
-    if the shard's run of words begins and ends in it ([_q_from2, _q_to2)).
     Sources go by code point, null last; null and wordless texts have size 0 and
-    are never taken; rows with equal doc_id are separate. Columns of docs that
-    have the names of added ones are replaced. Reruns agree.
+    are never taken; rows with equal doc_id are separate, and equal rows get their
+    takes in any order. Columns of docs that have the names of these four are
+    replaced. An empty table gives an empty result. Reruns agree.
     """
     size = word_count(F.col("text")) if size is None else size
-    added = {"size", "source_size", "target", "taken"}
-    rows = docs.select(
-        *(c for c in docs.columns if c not in added), size.alias("_q_size"),
-        F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("_q_key"),
-        F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_q_seed"),
-    )
-    stats = rows.groupBy("_q_key").agg(
-        F.first("source").alias("source"), F.sum("_q_size").alias("source_size"), F.count("*").alias("source_rows")
-    )
-    wanted = targets(stats, weights, share, cap)
-    house = F.floor(F.sum("target").over(Window.partitionBy("_one")) / block_words + 0.5).cast("long")
-    sources = _seats(wanted.withColumn("_house", house), ["_one"], "target", "_house", ["_at"])
-    shards = F.ceil(F.col("source_rows") / F.greatest(F.lit(shard_rows), F.ceil(F.col("source_rows") / MAX_SHARDS)))
-    sources = stage(sources.select(
-        "_q_key", "source_size", "target", F.col("seats").alias("_q_seats"), shards.cast("long").alias("_q_shards")))
-    dealt = rows.join(sources, "_q_key").withColumn("_q_shard", F.pmod(_number(F.col("_q_seed")), "_q_shards"))
-    totals = dealt.groupBy("_q_key", "_q_shard").agg(
-        F.sum("_q_size").alias("_q_words"), F.first("_q_seats").alias("_q_seats"))
-    quotas = _seats(totals, ["_q_key"], "_q_words", "_q_seats", ["_q_shard"])
-    take = F.least(F.col("seats") * block_words, cap * F.col("_q_words"))
-    begin = F.pmod(_number(F.concat_ws("|", F.lit(seed), "_q_key", "_q_shard")), F.greatest("_q_words", F.lit(1)))
-    quotas = quotas.select("_q_key", "_q_shard", "_q_words", take.alias("_q_take"), begin.alias("_q_begin"))
-    order = Window.partitionBy("_q_key", "_q_shard").orderBy(F.md5("_q_seed"), "doc_id", "_q_size")
-    placed = dealt.withColumn("_q_end", F.sum("_q_size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    placed = placed.join(quotas, ["_q_key", "_q_shard"])
-    a, b = F.col("_q_end") - F.col("_q_size"), F.col("_q_end")
-    full = F.when(F.col("_q_words") > 0, F.floor(F.col("_q_take") / F.col("_q_words"))).otherwise(F.lit(0))
-    stop = F.col("_q_begin") + F.col("_q_take") - F.col("_q_whole") * F.col("_q_words")
-    placed = placed.withColumn("_q_whole", full.cast("long"))
-    runs = {
-        "_q_from": F.greatest(a, "_q_begin") - a, "_q_to": F.least(b, stop) - a,
-        "_q_from2": F.lit(0).cast("long"), "_q_to2": F.least(b, stop - F.col("_q_words")) - a,
-    }
-    placed = placed.withColumns(runs)
-    partial = sum(
-        (F.greatest(F.col(t) - F.col(f), F.lit(0)) for f, t in (("_q_from", "_q_to"), ("_q_from2", "_q_to2"))), F.lit(0))
-    return placed.select(
-        *(c for c in docs.columns if c not in added), F.col("_q_size").alias("size"), "source_size", "target",
-        (F.col("_q_whole") * F.col("_q_size") + partial).cast("long").alias("taken"),
-        "_q_whole", "_q_from", "_q_to", "_q_from2", "_q_to2",
-    )
-
-
-def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The documents of the mix, with the columns of docs: whole copies, and cut texts for the partial takes."""
-    m = mix(docs, **settings)
+    placed, q = _placed(docs, size, weights, share, cap, block_words, shard_rows, seed)
+    added = {"size": F.col(q["size"]), "source_size": F.col(q["mixed"])["source_size"], "target": F.col(q["mixed"])["target"], "taken": _taken(q).cast("long")}
+    return placed.select(*(c for c in docs.columns if c.lower() not in added), *(v.alias(k) for k, v in added.items()))
+
+
+def mixed_documents(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP,
+    block_words: int = BLOCK_WORDS, shard_rows: int = SHARD_ROWS, seed: str = SEED,
+) -> DataFrame:
+    """The documents of the mix, with the columns of docs whatever their names: a row for each whole round, and one for the chosen blocks' words.
+
+    n_chars is set anew if it is there. A document whose blocks are all chosen comes as it is.
+    """
+    placed, q = _placed(docs, word_count(F.col("text")), weights, share, cap, block_words, shard_rows, seed)
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    cut = lambda f, t: F.when(
-        F.col(t) > F.col(f), F.array_join(F.slice(words, (F.col(f) + 1).cast("int"), (F.col(t) - F.col(f)).cast("int")), " "))
-    part = F.when((F.col("_q_from") == 0) & (F.col("_q_to") == F.col("size")), F.col("text")).otherwise(cut("_q_from", "_q_to"))
-    texts = F.array_compact(F.concat(
-        F.array_repeat("text", F.col("_q_whole").cast("int")),
-        F.array(F.when(F.col("_q_to") > F.col("_q_from"), part), cut("_q_from2", "_q_to2"))))
-    out = m.where("taken > 0").withColumn("_q_text", F.explode(texts))
-    chars = F.length("_q_text").cast("long")
-    return out.select(*(
-        F.col("_q_text").alias(c) if c == "text" else chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    cut = lambda w: F.array_join(F.flatten(F.transform(q["parts"], lambda p: F.slice(w, (p["at"] + 1).cast("int"), p["n"].cast("int")))), " ")
+    some = F.aggregate(q["parts"], F.lit(0).cast("long"), lambda s, p: s + p["n"])
+    part = F.when(some == 0, F.lit(None)).when(some == F.col(q["size"]), F.col("text")).otherwise(F.get(F.transform(F.array(words), cut), 0))
+    texts = F.array_compact(F.array_append(F.array_repeat("text", F.col(q["whole"]).cast("int")), part))
+    out = placed.where(F.col(q["size"]) > 0).withColumn(q["parts"], F.explode(texts))
+    text = F.col(q["parts"])
+    chars = F.length(text).cast("long")
+    return out.select(*(text.alias(c) if c == "text" else chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from quern.llm.licenses import LEAST, TEMPLATES
+from quern.llm.licenses import LEAST, MARKS, TEMPLATES
+from quern.llm.mixing import BLOCK_WORDS, MAX_SHARDS, SHARD_ROWS
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _EITHER = "".join
@@ -84,20 +85,23 @@ s4 AS (SELECT *, (CAST(1.5 AS DOUBLE) * CAST(_all AS DOUBLE)
    / sum(_w) OVER (ORDER BY _ratio, _at ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _level FROM s3),
 s5 AS (SELECT *, (SELECT _level FROM s4 WHERE _level <= _ratio ORDER BY _ratio, _at LIMIT 1) AS _lv FROM s4),
 s6 AS (SELECT *, least(CAST(_cap AS DOUBLE), coalesce(_lv, CAST('inf' AS DOUBLE)) * _w) AS target FROM s5),
-s7 AS (SELECT *, CAST(floor(sum(target) OVER () / 8 + 0.5) AS BIGINT) AS _house FROM s6),
+s7 AS (SELECT *, CAST(floor(sum(target) OVER () / {BLOCK_WORDS} + 0.5) AS BIGINT) AS _house FROM s6),
 {_seats("s7", "_one", "target", "_house", "_at", "s8").strip()},
-s9 AS (SELECT sk, source_size, target, seats AS q, CAST(ceil(source_rows / greatest(512.0, ceil(source_rows / 4096.0))) AS BIGINT) AS shards FROM s8),
+s9 AS (SELECT sk, source_size, target, seats AS q, CAST(least({MAX_SHARDS}, ceil(source_rows / {SHARD_ROWS}.0)) AS BIGINT) AS shards FROM s8),
 e AS (SELECT d.*, source_size, target, q, CAST('0x' || substr(m, 1, 8) AS BIGINT) % shards AS shard FROM d JOIN s9 USING (sk)),
 t0 AS (SELECT sk, shard, CAST(sum(size) AS BIGINT) AS words, any_value(q) AS _q FROM e GROUP BY sk, shard),
 {_seats("t0", "sk", "words", "_q", "shard", "t1").strip()},
-t2 AS (SELECT sk, shard, words, least(seats * 8, 2 * words) AS take,
-  CAST('0x' || substr(md5('mix-1|' || sk || '|' || shard), 1, 8) AS BIGINT) % greatest(words, 1) AS begins FROM t1),
-p AS (SELECT e.*, words, take, begins, sum(size) OVER (PARTITION BY e.sk, e.shard ORDER BY m, doc_id, size ROWS UNBOUNDED PRECEDING) AS b
-  FROM e JOIN t2 ON e.sk = t2.sk AND e.shard = t2.shard),
-x AS (SELECT *, b - size AS a, CASE WHEN words > 0 THEN take // words ELSE 0 END AS whole FROM p),
-y AS (SELECT *, begins + take - whole * words AS stops FROM x)
-SELECT doc_id, size, source_size, target,
-  CAST(whole * size + greatest(least(b, stops) - greatest(a, begins), 0) + greatest(least(b, stops - words) - a, 0) AS BIGINT) AS taken FROM y
+t2 AS (SELECT sk, shard, words, least(seats * {BLOCK_WORDS}, 2 * words) AS take FROM t1),
+t3 AS (SELECT sk, shard, words, CASE WHEN words > 0 THEN take // words ELSE 0 END AS whole, CASE WHEN words > 0 THEN take % words ELSE 0 END AS rest FROM t2),
+b0 AS (SELECT sk, shard, words, rest, unnest(range(0, (words + {BLOCK_WORDS - 1}) // {BLOCK_WORDS})) AS j FROM t3 WHERE rest > 0),
+b1 AS (SELECT sk, shard, j, rest, least({BLOCK_WORDS}, words - j * {BLOCK_WORDS}) AS len, substr(md5('mix-1|' || sk || '|' || shard || '|' || j), 1, 7) AS h FROM b0),
+b2 AS (SELECT *, sum(len) OVER (PARTITION BY sk, shard ORDER BY h, j ROWS UNBOUNDED PRECEDING) - len AS before FROM b1),
+w AS (SELECT sk, shard, j, j * {BLOCK_WORDS} AS w0, j * {BLOCK_WORDS} + least(len, rest - before) AS w1 FROM b2 WHERE before < rest),
+p AS (SELECT *, row_number() OVER () AS rid, CAST(sum(size) OVER (PARTITION BY sk, shard ORDER BY m, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS b FROM e),
+k AS (SELECT rid, sk, shard, b - size AS a, b, unnest(range((b - size) // {BLOCK_WORDS}, (b + {BLOCK_WORDS - 1}) // {BLOCK_WORDS})) AS j FROM p WHERE size > 0),
+x AS (SELECT rid, sum(greatest(0, least(b, w1) - greatest(a, w0))) AS part FROM k JOIN w USING (sk, shard, j) GROUP BY rid)
+SELECT doc_id, size, source_size, target, CAST(whole * size + coalesce(part, 0) AS BIGINT) AS taken
+FROM p JOIN t3 USING (sk, shard) LEFT JOIN x USING (rid)
 """
 
 
@@ -110,16 +114,29 @@ def _base32() -> str:
     return " || ".join(parts)
 
 
+_N = "chr(13) || chr(10)"
 WARC = f"""
-WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-h AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p)
-SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {_base32()} AS payload_digest,
-  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> first THEN first END AS refers_to FROM h
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+h AS (SELECT *, octet_length(encode(html)) AS n, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p),
+d AS (SELECT *, {_base32()} AS digest, page_id <> first AS again,
+  'HTTP/1.1 200 OK' || {_N} || 'Content-Type: text/html; charset=utf-8' || {_N} || 'Content-Length: ' || n || {_N} || {_N} AS http,
+  CASE WHEN regexp_matches(url, '[\\x00-\\x20\\x7F]') THEN array_to_string(list_transform(string_split(url, ''),
+    lambda c: CASE WHEN ascii(c) <= 32 OR ascii(c) = 127 THEN printf('%%%02X', ascii(c)) ELSE c END), '') ELSE url END AS uri FROM h),
+r AS (SELECT *, 'WARC/1.1' || {_N} || 'WARC-Type: ' || CASE WHEN again THEN 'revisit' ELSE 'response' END || {_N}
+  || 'WARC-Record-ID: <urn:page:' || page_id || '>' || {_N} || 'WARC-Date: 2020-01-01T00:00:00Z' || {_N}
+  || coalesce('WARC-Target-URI: ' || uri || {_N}, '') || 'WARC-Payload-Digest: sha1:' || digest || {_N}
+  || CASE WHEN again THEN 'WARC-Refers-To: <urn:page:' || first || '>' || {_N}
+    || 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || {_N} ELSE '' END
+  || 'Content-Type: application/http;msgtype=response' || {_N}
+  || 'Content-Length: ' || (octet_length(encode(http)) + CASE WHEN again THEN 0 ELSE n END) || {_N} || {_N} || http
+  || CASE WHEN again THEN '' ELSE html END || {_N} || {_N} AS record FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first END AS refers_to, CAST(octet_length(encode(record)) AS BIGINT) AS record_bytes, sha256(record) AS record_sha256 FROM r
 """
 
 _quoted = ", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in sorted(TEMPLATES.items()))
-_marks = "translate(lower(coalesce(text, '')), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || '.,;:!?()\"''', '               ')"
+_odd = "".join(MARKS).replace("'", "''")
+_marks = f"translate(lower(coalesce(text, '')), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || '{_odd}', '{' ' * (5 + len(MARKS))}')"
 _grams = """list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)"""
 

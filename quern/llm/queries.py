@@ -92,8 +92,10 @@ def op8_source_mixing(spark, sf_dir):
 @_query(oracles.WARC)
 def op9_warc(spark, sf_dir):
     """Every page as a WARC record, written and read back."""
-    path = warc.write(_table(spark, sf_dir, "pages"))
-    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = warc.records(spark, warc.write(_table(spark, sf_dir, "pages")))
+    return found.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.octet_length("record").cast("long").alias("record_bytes"),
+        F.sha2("record", 256).alias("record_sha256"))
 
 
 @_query(oracles.LICENSES)

@@ -32,15 +32,23 @@ def _facts(rows: DataFrame, payload: str) -> DataFrame:
         "payload_digest", base32(F.sha1(payload)))
 
 
+def _escaped(url: Column) -> Column:
+    """A url as a header line can hold it: control characters and blanks as % and their code."""
+    odd = r"[\x00-\x20\x7F]"
+    code = lambda c: F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))
+    one = lambda c: F.when(c.rlike(odd), code(c)).otherwise(c)
+    return F.when(url.rlike(odd), F.array_join(F.transform(F.split(url, ""), one), "")).otherwise(url)
+
+
 def write(pages: DataFrame, path: str | None = None, least_bytes: int = 0, date: str = DATE) -> str:
     """Writes a record for every row of pages (page_id, url, html) and returns the archive's path.
 
     The payload is html in UTF-8, null as no bytes. Of records whose payloads are
     equal and of least_bytes or more, those with the least page_id are responses
     and the others revisits of it; rows with a null page_id revisit it too, and
-    are responses if there is no page_id. Line breaks and control characters in
-    a url become %-escapes' place holder '%20' in the header; a null url is left out.
-    Other columns are ignored; repeated rows give repeated records.
+    are responses if there is no page_id. The url stands in the headers with %
+    codes for blanks and control characters, and beside them as it is; a null url
+    has no line. Other columns are ignored; repeated rows give repeated records.
     """
     path = path or scratch(pages.sparkSession)
     rows = pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
@@ -53,22 +61,27 @@ def write(pages: DataFrame, path: str | None = None, least_bytes: int = 0, date:
     kind = F.when(again, "revisit").otherwise("response")
     line = lambda name, *value: F.concat(F.lit(name + ": "), *value, F.lit(CRLF))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
+    http = F.concat(
+        F.lit("HTTP/1.1 200 OK" + CRLF), line("Content-Type", F.lit("text/html; charset=utf-8")),
+        line("Content-Length", F.col("payload_bytes").cast("string")), F.lit(CRLF))
+    block = F.octet_length(F.col("http")) + F.when(again, F.lit(0)).otherwise(F.col("payload_bytes"))
     header = F.concat(
         F.lit("WARC/1.1" + CRLF),
         line("WARC-Type", kind),
         line("WARC-Record-ID", urn(F.col("page_id"))),
         line("WARC-Date", F.lit(date)),
-        F.coalesce(line("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")), F.lit("")),
+        F.coalesce(line("WARC-Target-URI", _escaped(F.col("url"))), F.lit("")),
         line("WARC-Payload-Digest", F.lit("sha1:"), "payload_digest"),
         F.when(again, F.concat(
             line("WARC-Refers-To", urn(F.col("first"))),
             line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         )).otherwise(F.lit("")),
-        line("Content-Type", F.lit("text/html; charset=utf-8")),
-        line("Content-Length", F.when(again, F.lit(0)).otherwise(F.col("payload_bytes")).cast("string")),
+        line("Content-Type", F.lit("application/http;msgtype=response")),
+        line("Content-Length", block.cast("string")),
         F.lit(CRLF),
+        F.col("http"),
     )
-    out = records.select("page_id", F.encode(header, "UTF-8").alias("header"), "digest")
+    out = records.withColumn("http", http).select("page_id", "url", F.encode(header, "UTF-8").alias("header"), "digest")
     out.write.option("compression", "zstd").parquet(f"{path}/headers")
     return path
 
@@ -88,18 +101,17 @@ def _field(header: Column, name: str) -> Column:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Every record: page_id, record_type, refers_to, url, header, payload, payload_bytes, payload_digest.
 
-    The fields come from the stored header, the payload and its figures from the
-    verified store; a header whose digest differs from the payload's fails.
-    Columns that the caller drops, the payload say, are not moved through the join.
+    The fields come from the stored header (the url as it was given), the payload
+    and its figures from the verified store; a header whose digest differs from
+    the payload's fails. Columns that the caller drops are not moved through the join.
     """
-    headers = spark.read.schema("page_id long, header binary, digest binary").parquet(f"{path}/headers")
+    headers = spark.read.schema("page_id long, url string, header binary, digest binary").parquet(f"{path}/headers")
     text = F.decode("header", "UTF-8")
     parsed = headers.select(
-        "digest", "header",
+        "digest", "header", "url",
         F.regexp_extract(_field(text, "WARC-Record-ID"), r"<urn:page:(-?[0-9]+)>", 1).alias("id"),
         _field(text, "WARC-Type").alias("record_type"),
         F.regexp_extract(F.coalesce(_field(text, "WARC-Refers-To"), F.lit("")), r"<urn:page:(-?[0-9]+)>", 1).alias("to"),
-        _field(text, "WARC-Target-URI").alias("url"),
         _field(text, "WARC-Payload-Digest").alias("claimed"),
     )
     joined = parsed.join(payloads(spark, path), "digest")
@@ -113,6 +125,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, record) with each record's bytes as they stand in a WARC file."""
+    """The columns of read() and record: each record's bytes as they stand in a WARC file."""
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return read(spark, path).select("page_id", F.concat("header", body, F.lit(b"\r\n\r\n")).alias("record"))
+    return read(spark, path).withColumn("record", F.concat("header", body, F.lit(b"\r\n\r\n")))
+
+
+def pages(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, url, html): the rows that were written, revisits included; a null html comes back empty."""
+    return read(spark, path).select("page_id", "url", F.decode("payload", "UTF-8").alias("html"))

@@ -119,6 +119,9 @@ def test_mix(spark):
     again = mixing.mix(docs.repartition(3), shard_rows=32).collect()
     key = lambda r: str((r.doc_id, r.source, r.size, r.taken))
     assert sorted(map(key, got)) == sorted(map(key, again))
+    clash = docs.select("*", *(F.lit(1).alias(c) for c in ("_q_key", "_Q_size", "_q_shard", "_q_mixed", "target", "key", "words")))
+    assert mixing.mixed_documents(clash).columns == clash.columns and "size" in mixing.mixed_documents(docs).columns
+    assert mixing.mixed_documents(clash).count() > 0 and mixing.mix(clash).count() == len(rows)
     texts = {}
     for r in mixing.mixed_documents(docs, shard_rows=32).collect():
         texts[r.source] = texts.get(r.source, 0) + len(r.text.split())
@@ -129,6 +132,9 @@ def test_mix_of_nothing(spark):
     schema = "doc_id long, source string, text string"
     assert mixing.mix(spark.createDataFrame([], schema)).count() == 0
     assert [r.taken for r in mixing.mix(spark.createDataFrame([(1, "a", None)], schema)).collect()] == [0]
+    long = spark.createDataFrame([(1, "a", "w " * 300_000), (2, "b", "w")], schema)
+    assert {r.doc_id: r.taken for r in mixing.mix(long).collect()}[1] == pytest.approx(450_000, abs=64)
+    assert sorted(len(r.text.split()) for r in mixing.mixed_documents(long).where("doc_id = 1").collect()) == pytest.approx([150_000, 300_000], abs=64)
 
 
 def test_archive_round_trip(spark):
@@ -148,8 +154,15 @@ def test_archive_round_trip(spark):
         assert (r.record_type, r.refers_to) == (("response", None) if r.page_id == first[body] else ("revisit", first[body]))
     assert spark.read.parquet(f"{path}/payloads").count() == len({h or "" for _, _, h in rows})
     record = {r.page_id: bytes(r.record) for r in warc.records(spark, path).collect()}
+    assert {(r.page_id, r.url, r.html) for r in warc.pages(spark, path).collect()} == {(i, u, h or "") for i, u, h in rows}
+    for r in warc.records(spark, path).collect():
+        head, _, block = bytes(r.record).partition(b"\r\n\r\n")
+        fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
+        assert len(block) == int(fields[b"Content-Length"]) + 4 and block.startswith(b"HTTP/1.1 200 OK\r\n")
+        assert block.endswith((b"\r\n\r\n" + bytes(r.payload) if r.record_type == "response" else b"\r\n\r\n") + b"\r\n\r\n")
+    assert b"WARC-Target-URI: u%0D%0AX:%201\r\n" in record[6] and b"Target-URI: http://a/x%20y\r\n" in record[5] and b"Target-URI" not in record[2]
     assert record[2].startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and record[2].endswith(b"\r\n\r\n<p>\xc3\xa9</p>\r\n\r\n")
-    assert b"Content-Length: 0\r\n" in record[9] and b"WARC-Refers-To: <urn:page:2>" in record[9] and record[9].endswith(b"\r\n\r\n\r\n\r\n")
+    assert b"WARC-Refers-To: <urn:page:2>" in record[9] and record[9].endswith(b"\r\n\r\n\r\n\r\n")
 
 
 def test_small_payloads_are_responses_and_damage_is_found(spark):
@@ -166,7 +179,7 @@ def test_small_payloads_are_responses_and_damage_is_found(spark):
 
 def brute_licenses(text):
     def grams(t):
-        w = t.lower().translate(str.maketrans(dict.fromkeys("\t\n\x0b\f\r.,;:!?()\"'", " "))).split(" ")
+        w = t.lower().translate(str.maketrans(dict.fromkeys("\t\n\x0b\f\r" + "".join(licenses.MARKS), " "))).split(" ")
         w = [x for x in w if x]
         return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
@@ -189,7 +202,12 @@ def test_licenses_against_exact_containment(spark):
             for _ in range(edits):
                 e[rng.randrange(len(e))] = "edited"
             texts.append(f"{noise()} {' '.join(e).upper()} {noise()}")
+    texts += ["/*\n * " + "\n * ".join(re.findall(r"(?:\S+\s*){1,9}", licenses.TEMPLATES["MIT-notice"])) + "\n */", texts[8], texts[8]]
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, matches int")
+    assert len(licenses.scan(docs).where(F.col("doc_id") == len(texts) - 3).first().matches) == 1
+    assert licenses.scan(docs.limit(0)).count() == 0
+    clash = docs.select("doc_id", "text", *(F.lit(1).alias(c) for c in ("words", "Hashes", "met", "hashes_")))
+    assert licenses.scan(clash).columns == [*clash.columns, "matches"]
     for r in licenses.scan(docs).collect():
         assert {m.name: (m.found, m.total) for m in r.matches} == brute_licenses(texts[r.doc_id]), r.doc_id
     assert licenses.scan(docs, {}).where("size(matches) > 0").count() == 0
