@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import stage
+from quern.llm.common import own_name, stage
 
 LEDGER = "blob binary, scanned array<string>, spans array<struct<start:int,kind:int,end:int>>"
 SPANS = "array<struct<start:int,kind:int,end:int>>"
@@ -90,44 +90,46 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
 
     A null text is the empty blob. Scanning the same texts again with the same
     rules adds no row; a new rule version scans every blob again, by that rule only.
-    Many copies of a text meet in one row before they are scanned.
+    Many copies of a text meet in one row before they are scanned. Only the column
+    text is read; an empty table adds no row.
+
+    With a ledger, digests go first: the blobs that lack a rule are found by their
+    digests alone, and only their texts are moved. Where they are few their digests
+    are small enough for Spark to send them to the texts, and no other text moves.
     """
     blobs = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("blob", blob_of(F.col("text")))
-    blobs = blobs.dropDuplicates(["blob"])
+    names = F.array(*(F.lit(r.name) for r in rules))
     done = F.array().cast("array<string>")
     if ledger is not None:
         seen = ledger.groupBy("blob").agg(F.flatten(F.collect_set("scanned")).alias("done"))
-        blobs = blobs.join(seen, "blob", "left").withColumn("done", F.coalesce("done", done))
-        blobs = blobs.where(F.size(F.array_except(F.array(*(F.lit(r.name) for r in rules)), "done")) > 0)
+        lacking = blobs.select("blob").distinct().join(seen, "blob", "left").withColumn("done", F.coalesce("done", done))
+        lacking = stage(lacking.where(F.size(F.array_except(names, "done")) > 0))
+        blobs = blobs.join(lacking, "blob")
         done = F.col("done")
+    blobs = blobs.dropDuplicates(["blob"])
     none = F.array().cast(SPANS)
     spans = [
         F.when(F.array_contains(done, r.name), none).otherwise(_spans(F.col("text"), r, i)) if ledger is not None
         else _spans(F.col("text"), r, i)
         for i, r in enumerate(rules)
     ]
-    new = blobs.select(
-        "blob",
-        F.array_except(F.array(*(F.lit(r.name) for r in rules)), done).alias("scanned"),
-        F.array_sort(F.concat(*spans)).alias("spans"),
-    )
-    new = stage(new)
+    new = stage(blobs.select("blob", F.array_except(names, done).alias("scanned"), F.array_sort(F.concat(*spans)).alias("spans")))
     return new if ledger is None else ledger.select("blob", "scanned", "spans").unionByName(new)
 
 
 def _by_blob(ledger: DataFrame) -> DataFrame:
-    """The spans of each blob that has any, over all ledger rows of the blob."""
-    rows = ledger.where(F.size("spans") > 0).groupBy(F.col("blob").alias("_q_blob"))
-    rows = rows.agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("_q_spans"))
-    new = F.filter("_q_spans", lambda s, i: (i == 0) | (s != F.get("_q_spans", i - 1)))  # array_distinct compares all pairs of structs
-    return stage(rows.select("_q_blob", new.alias("_q_spans")))
+    """(blob, spans) of each blob that has any, over all ledger rows of the blob."""
+    rows = ledger.where(F.size("spans") > 0).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("all"))
+    new = F.filter("all", lambda s, i: (i == 0) | (s != F.get("all", i - 1)))  # array_distinct compares all pairs of structs
+    return stage(rows.select("blob", new.alias("spans")))
 
 
-def findings(docs: DataFrame, ledger: DataFrame) -> DataFrame:
-    """docs with a column _q_spans: the sorted spans (start, kind number, end) of each row's text."""
-    named = docs.withColumn("_q_blob", blob_of(F.col("text")))
-    joined = named.join(_by_blob(ledger), "_q_blob", "left").drop("_q_blob")
-    return joined.withColumn("_q_spans", F.coalesce("_q_spans", F.array().cast(SPANS)))
+def findings(docs: DataFrame, ledger: DataFrame, name: str = "secret_spans") -> DataFrame:
+    """docs with a column of the given name: the sorted spans (start, kind number, end) of each row's text; none for null and empty texts."""
+    blob = own_name([*docs.columns, name], "blob")
+    found = _by_blob(ledger).select(F.col("blob").alias(blob), F.col("spans").alias(name))
+    joined = docs.withColumn(blob, blob_of(F.col("text"))).join(found, blob, "left")
+    return joined.select(*docs.columns, F.coalesce(name, F.array().cast(SPANS)).alias(name))
 
 
 def joined_spans(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -137,8 +139,12 @@ def joined_spans(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def redact(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
-    """docs with each stretch of secret characters replaced by a mark; same columns, n_chars set anew if it is there."""
-    found = findings(docs, scan(docs, ledger, rules))
+    """docs with each stretch of secret characters replaced by a mark; same columns whatever their names, n_chars set anew if it is there.
+
+    Repeated rows are changed alike; null texts stay null.
+    """
+    spans_of = own_name(docs.columns, "secret_spans")
+    found = findings(docs, scan(docs, ledger, rules), spans_of)
     text = F.col("text")
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     whole = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("outs"))
@@ -160,8 +166,8 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule,
         return F.struct(stop.alias("at"), F.concat(state.outs, F.array(out)).alias("outs"))
 
     rest = lambda s: F.concat(F.array_join(s.outs, ""), F.substring(text, s.at + 1, F.length(text)))
-    clean = F.when(F.size("_q_spans") > 0, F.aggregate(_chunks(F.col("_q_spans")), whole, piece, rest)).otherwise(text)
+    clean = F.when(F.size(spans_of) > 0, F.aggregate(_chunks(F.col(spans_of)), whole, piece, rest)).otherwise(text)
     out = found.withColumn("text", clean)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_q_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.size(spans_of) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

@@ -3,7 +3,10 @@
 A fingerprint of 64 bits is cut into `blocks` pieces. If two fingerprints differ
 in at most `distance` bits, then at least blocks - distance pieces are equal, so
 the two share the bucket of that choice of pieces. Rows are (bucket, fingerprint)
-for every choice; each bucket is then searched exactly.
+for every choice. A bucket with over LEAF members is cut the same way again: the
+bits that it does not fix yet make distance + 1 further pieces, of which a close
+pair shares one. So no task holds more than LEAF fingerprints of a bucket, and
+each bucket is searched exactly.
 
 Copies: equal fingerprints are one row from the start. Within a bucket no pairs
 are emitted but the edges of a spanning forest, at most one for each member, so
@@ -21,14 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_bytes, runs, small_batches, stage, whole_runs
+from quern.llm.common import as_bytes, own_name, runs, small_batches, stage, whole_runs
 from quern.llm.components import components
 
 SEED = 42
 SHINGLE = 3
 DISTANCE = 3
 BLOCKS = 6
-#: Members up to which a bucket is searched directly; larger ones are cut by further blocks.
+#: Members up to which a bucket is searched; larger ones are cut by further blocks.
 LEAF = 4096
 
 
@@ -64,25 +67,32 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def masks(blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:
-    """For each choice of pieces that stay equal, the bits of those pieces, as signed longs."""
+    """For each choice of pieces that stay equal, the bits of those pieces, as unsigned numbers."""
     bounds = [64 * i // blocks for i in range(blocks + 1)]
     piece = [((1 << (b - a)) - 1) << a for a, b in zip(bounds, bounds[1:], strict=False)]
-    chosen = [sum(c) for c in combinations(piece, blocks - distance)]
-    return [x - (1 << 64) if x >> 63 else x for x in chosen]
+    return [sum(c) for c in combinations(piece, blocks - distance)]
 
 
-def forest(values: np.ndarray, distance: int, leaf: int = LEAF, level: int = 0) -> Iterator[tuple[int, int]]:
+def longer(mask: int, distance: int = DISTANCE) -> list[int]:
+    """The mask with one of distance + 1 pieces of its free bits, for each such piece."""
+    free = [i for i in range(64) if not mask >> i & 1]
+    pieces = (sum(1 << i for i in free[k :: distance + 1]) for k in range(distance + 1))
+    return [mask | p for p in pieces if p] or [mask]
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _buckets(fps: DataFrame, of: dict[int, list[int]]) -> DataFrame:
+    """(fp, mask, bucket) for the masks that follow each row's mask."""
+    lists = F.create_map(*(x for m, after in of.items() for x in (F.lit(_signed(m)), F.array(*(F.lit(_signed(a)).cast("long") for a in after)))))
+    rows = fps.select("fp", F.explode(F.element_at(lists, F.col("mask"))).alias("mask"))
+    return rows.withColumn("bucket", F.xxhash64("mask", F.col("fp").bitwiseAND(F.col("mask"))))
+
+
+def forest(values: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
     """Edges that connect just those of the distinct values that chains of close pairs connect."""
-    if len(values) > leaf and level < 3:
-        differ = int(np.bitwise_or.reduce(values ^ values[0]))
-        bits = [i for i in range(64) if differ >> i & 1]
-        for k in range(distance + 1):
-            mask = np.uint64(sum(1 << i for i in bits[k :: distance + 1]))
-            order = np.argsort(values & mask, kind="stable")
-            for a, b in runs((values & mask)[order]):
-                if b - a > 1:
-                    yield from forest(values[order[a:b]], distance, leaf, level + 1)
-        return
     rest = values
     while len(rest) > 1:
         front, rest = [rest[0]], rest[1:]
@@ -99,9 +109,20 @@ def forest(values: np.ndarray, distance: int, leaf: int = LEAF, level: int = 0)
 def links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, leaf: int = LEAF) -> DataFrame:
     """Edges (u, v) among the distinct fingerprints of fps (fp long) that make the same components as all close pairs."""
     small_batches(fps.sparkSession)
-    keys = F.array(*(F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(masks(blocks, distance))))
-    rows = fps.select(F.explode(keys).alias("bucket"), "fp")
-    rows = rows.repartition("bucket").sortWithinPartitions("bucket", "fp")
+    of = {0: masks(blocks, distance)}
+    rows = _buckets(fps.select("fp", F.lit(0).cast("long").alias("mask")), of)
+    ready = None
+    while True:
+        large = stage(rows.groupBy("bucket").count().where(F.col("count") > leaf).select("bucket"))
+        if not large.limit(1).count():
+            ready = rows if ready is None else ready.unionByName(rows)
+            break
+        small = rows.join(large, "bucket", "left_anti").select(*rows.columns)
+        ready = small if ready is None else ready.unionByName(small)
+        rest = stage(rows.join(large, "bucket", "left_semi").select("fp", "mask").distinct())
+        of = {m: longer(m, distance) for m in sorted(r.mask & (1 << 64) - 1 for r in rest.select("mask").distinct().collect())}  # masks, not rows
+        rows = stage(_buckets(rest, of))
+    rows = ready.select("bucket", "fp").repartition("bucket").sortWithinPartitions("bucket", "fp")
 
     def search(batches):
         for table in whole_runs(batches, "bucket"):
@@ -112,7 +133,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, leaf:
             busy[1:] |= more
             busy[:-1] |= more
             bucket, fp = bucket[busy], fp[busy]
-            found = [e for a, b in runs(bucket) for e in forest(np.unique(fp[a:b]), distance, leaf)]
+            found = [e for a, b in runs(bucket) for e in forest(np.unique(fp[a:b]), distance)]
             if found:
                 ends = np.array(found, np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["u", "v"])
@@ -146,11 +167,13 @@ def one_per_component(docs: DataFrame, **settings) -> DataFrame:
     """The rows of docs that stay when one document of each component is kept: that with the least doc_id.
 
     Rows with a null doc_id have no identity to compare by and all stay; of rows
-    that repeat a kept doc_id, all stay if they are in its component.
+    that repeat a kept doc_id, all stay if they are in its component. The columns
+    stay as they are, whatever their names.
     """
     small_batches(docs.sparkSession)
     shingle = settings.get("shingle", SHINGLE)
-    schema = docs.limit(0).withColumn("_q_fp", F.lit(None).cast("long")).schema
+    name = own_name(docs.columns, "fp")
+    schema = docs.limit(0).withColumn(name, F.lit(None).cast("long")).schema
 
     def score(batches):
         for batch in batches:
@@ -159,5 +182,5 @@ def one_per_component(docs: DataFrame, **settings) -> DataFrame:
 
     rows = stage(docs.mapInArrow(score, schema))
     found = near_duplicates(rows.select("doc_id", "text"), **settings)
-    gone = found.where("doc_id <> component_id").select("doc_id", F.col("fp").alias("_q_fp")).distinct()
-    return rows.join(stage(gone), ["doc_id", "_q_fp"], "left_anti").select(*docs.columns)
+    gone = found.where("doc_id <> component_id").select("doc_id", F.col("fp").alias(name)).distinct()
+    return rows.join(stage(gone), ["doc_id", name], "left_anti").select(*docs.columns)

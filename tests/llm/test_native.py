@@ -36,7 +36,7 @@ def test_spans_against_brute_force(spark):
     rows = secrets.findings(docs, secrets.scan(docs)).collect()
     assert len(rows) == len(TRICKY) + 3
     for r in rows:
-        assert [tuple(s) for s in r._q_spans] == brute_spans(r.text), r.text
+        assert [tuple(s) for s in r.secret_spans] == brute_spans(r.text), r.text
 
 
 def test_ledger_scans_only_what_it_lacks(spark):
@@ -49,7 +49,7 @@ def test_ledger_scans_only_what_it_lacks(spark):
     newer = (*secrets.RULES[:2], secrets.Rule("hex", "[0-9a-f]{30,}", 0, 30, version=2))
     third = secrets.scan(more, second, newer)
     assert third.count() == 6 and third.where(F.array_contains("scanned", "hex@2") & (F.size("scanned") == 1)).count() == 3
-    spans = {r.doc_id: len(r._q_spans) for r in secrets.findings(more, second).collect()}
+    spans = {r.doc_id: len(r.secret_spans) for r in secrets.findings(more, second).collect()}
     assert spans == {1: 1, 2: 0, 3: 1, 4: 0}
 
 
@@ -62,7 +62,9 @@ def test_redaction_keeps_all_but_secrets(spark):
                 want += text[at:a] + "[secret]"
             at = max(at, b)
         assert r.text == (want + text[at:] if text is not None else None)
-    assert secrets.redact(docs).columns == docs.columns
+    clash = docs.select("*", *(F.lit(1).alias(c) for c in ("blob", "Secret_spans", "secret_spans_", "done", "spans")))
+    assert secrets.redact(clash).columns == clash.columns and secrets.redact(clash).count() == len(TRICKY)
+    assert secrets.redact(docs.limit(0)).count() == 0 == secrets.scan(docs.limit(0)).count()
 
 
 def brute_seats(votes, house):

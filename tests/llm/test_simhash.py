@@ -3,6 +3,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quern.llm import simhash
 from quern.llm.components import components
@@ -62,7 +63,7 @@ def test_empty(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_forest_connects_what_close_pairs_connect():
+def test_forests_connect_what_close_pairs_connect(spark):
     rng = np.random.default_rng(1)
     values = np.unique(np.array([int(a) ^ (1 << int(b)) ^ (1 << int(c)) for a, b, c in zip(
         rng.choice([7, 2**40 + 5, 2**60], 400), rng.integers(0, 64, 400), rng.integers(0, 64, 400))], np.uint64))
@@ -79,7 +80,9 @@ def test_forest_connects_what_close_pairs_connect():
 
     pairs = [(int(a), int(b)) for a in values for b in values if a < b and (int(a) ^ int(b)).bit_count() <= 3]
     direct = list(simhash.forest(values, 3))
-    assert labels(direct) == labels(pairs) == labels(simhash.forest(values, 3, leaf=16))
+    fps = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    cut = [(r.u & (1 << 64) - 1, r.v & (1 << 64) - 1) for r in simhash.links(fps, leaf=24).collect()]
+    assert labels(direct) == labels(pairs) == labels(cut)
     assert len(direct) < len(values)
 
 
@@ -101,6 +104,8 @@ def test_one_stays_of_each_group(spark):
     docs = spark.createDataFrame([(4, text), (2, text + " b"), (9, "other"), (None, text)], "doc_id long, text string")
     kept = {r.doc_id for r in simhash.one_per_component(docs).collect()}
     assert kept == {2, 9, None}
+    clash = docs.select("*", F.col("text").alias("fp"), F.lit(1).alias("FP_"))
+    assert simhash.one_per_component(clash).columns == clash.columns and simhash.one_per_component(docs.limit(0)).count() == 0
 
 
 def test_removal_is_by_row(spark):
