@@ -61,6 +61,12 @@ def single_query_value(url: Column, key: str) -> Column:
     return F.when(F.size(found) == 1, F.get(found, 0))
 
 
+def url_cik(url: Column) -> Column:
+    """The number of a url's only CIK key, if it has 1 to 10 digits and is over zero."""
+    text = single_query_value(url, "CIK")
+    return F.when(text.rlike(r"^[0-9]{1,10}$") & (text.try_cast("long") > 0), text.try_cast("long"))
+
+
 def instant(text: Column) -> Column:
     """A timestamp from text that names its zone; null without one."""
     return F.when(text.rlike(ZONED), F.try_to_timestamp(text))
@@ -99,9 +105,11 @@ def duration_band(length: Column, bands=BANDS) -> Column:
     return out
 
 
-def period_type(start: Column, end: Column) -> Column:
-    return (F.when(end.isNull(), F.lit(None).cast("string")).when(start.isNull(), "instant")
-            .otherwise(F.coalesce(duration_band(days(start, end)), F.lit("other"))))
+def period_type(start: Column, end: Column, fiscal_period: Column) -> Column:
+    """annual or quarter by the fiscal period, else duration; instant without a start, unknown without both."""
+    open_ended = F.when(end.isNotNull(), "instant").otherwise("unknown")
+    named = F.when(fiscal_period == "FY", "annual").when(fiscal_period.startswith("Q"), "quarter").otherwise("duration")
+    return F.when(start.isNull(), open_ended).otherwise(named)
 
 
 def safe_divide(a: Column, b: Column) -> Column:

@@ -34,9 +34,14 @@ def visible_text(html: Column) -> Column:
     """Text between tags without scripts and styles, white space collapsed, the commonest entities read."""
     bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", " ")
     bare = F.regexp_replace(F.regexp_replace(bare, r"(?s)<!--.*?-->", " "), r"<[^>]*>", " ")
+    return F.trim(F.regexp_replace(_entities(bare), r"\s+", " "))
+
+
+def _entities(text: Column) -> Column:
+    """The commonest entities read."""
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        bare = F.replace(bare, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(bare, r"\s+", " "))
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
 
 
 def links(html: Column) -> Column:
@@ -45,10 +50,17 @@ def links(html: Column) -> Column:
     return F.filter(quoted, lambda x: F.trim(x) != "")
 
 
+#: Fixed phrases of results, and names of figures.
+RESULTS = ("financial results", "quarterly results", "earnings release", "results for the", "results of operations")
+FIGURES = ("revenue", "net income", "operating income")
+MOST_CHARACTERS = 500_000
+
+
 def earnings_text(text: Column) -> Column:
-    """A results keyword together with a figure's name."""
-    plain = F.lower(visible_text(text))
-    return plain.rlike(r"\b(results|earnings|quarter)\b") & plain.rlike(r"\b(revenue|net income|operating income)\b")
+    """Whether a text, without its tags, has a phrase of results and the name of a figure."""
+    plain = F.lower(_entities(F.regexp_replace(F.substring(text, 1, MOST_CHARACTERS), r"<[^>]+>", " ")))
+    some = lambda words: F.greatest(*(F.contains(plain, F.lit(w)) for w in words))
+    return some(RESULTS) & some(FIGURES)
 
 
 def sentences(text: Column) -> Column:

@@ -26,29 +26,40 @@ def runway_band(burn: Column, runway: Column) -> Column:
             .when(runway.isNotNull(), "under_two_years"))
 
 
-def evaluated(metrics: DataFrame, key: str, rules: Sequence[tuple[str, str, str, float]], exempt: Column | None = None) -> DataFrame:
-    """(key, rule, value, result) for rules (name, metric, at_least or at_most, bound): pass, fail, or unknown without a value.
-
-    Where `exempt` holds, a null value passes: a self-funding company has no runway to fall short of.
+#: Fixed rules: name, metric, kind and bound.
+RULES = (
+    ("severe_self_funding", "severe_stressed_fcf_usd", "at_least", 0.0),
+    ("minimum_two_year_runway", "severe_runway_years", "at_least", 2.0),
+    ("fcf_consistency", "positive_fcf_ratio", "at_least", 0.6),
+    ("net_liquidity_nonnegative", "net_liquidity_usd", "at_least", 0.0),
+    ("operating_profitability", "operating_margin", "above", 0.0),
+    ("minimum_data_quality", "data_completeness", "at_least", 0.8),
+)
+
+
+def evaluated(metrics: DataFrame, key: str, rules: Sequence[tuple[str, str, str, float]] = RULES, exempt: dict[str, Column] | None = None) -> DataFrame:
+    """(key, rule, value, result) for rules (name, metric, at_least, at_most or above, bound): pass, fail, or unknown without a value.
+
+    exempt gives for a rule's name when it passes whatever its value: a
+    self-funding company has no runway to fall short of, but its other rules stand.
     """
+    free = lambda name: F.coalesce((exempt or {}).get(name, F.lit(False)), F.lit(False))
     listed = F.array(*(F.struct(
-        F.lit(name).alias("rule"), F.col(metric).cast("double").alias("value"), F.lit(kind).alias("kind"), F.lit(float(bound)).alias("bound"))
+        F.lit(name).alias("rule"), F.col(metric).cast("double").alias("value"), F.lit(kind).alias("kind"), F.lit(float(bound)).alias("bound"), free(name).alias("free"))
         for name, metric, kind, bound in rules))
-    free = F.coalesce(exempt, F.lit(False)) if exempt is not None else F.lit(False)
-    out = metrics.select(key, free.alias("_free"), F.explode(listed).alias("_r")).select(key, "_free", "_r.*")
-    good = F.when(F.col("kind") == "at_least", F.col("value") >= F.col("bound")).otherwise(F.col("value") <= F.col("bound"))
-    result = F.when(F.col("value").isNull(), F.when(F.col("_free"), "pass").otherwise("unknown")).when(good, "pass").otherwise("fail")
+    out = metrics.select(key, F.explode(listed).alias("_r")).select(key, "_r.*")
+    value, bound = F.col("value"), F.col("bound")
+    good = F.when(F.col("kind") == "at_least", value >= bound).when(F.col("kind") == "above", value > bound).otherwise(value <= bound)
+    result = F.when(F.col("free"), "pass").when(value.isNull(), "unknown").when(good, "pass").otherwise("fail")
     return out.select(key, "rule", "value", result.alias("result"))
 
 
-def classified(evaluations: DataFrame, key: str) -> DataFrame:
-    """(key, passed, failed, unknown, class): incomplete if over half is unknown, else by the number of failures."""
-    count = lambda r: F.count_if(F.col("result") == r)
-    out = evaluations.groupBy(key).agg(count("pass").alias("passed"), count("fail").alias("failed"), count("unknown").alias("unknown"))
-    total = F.col("passed") + F.col("failed") + F.col("unknown")
-    kind = (F.when(F.col("unknown") * 2 > total, "incomplete").when(F.col("failed") == 0, "resilient")
-            .when(F.col("failed") == 1, "watch").otherwise("vulnerable"))
-    return out.withColumn("class", kind)
+def classified(companies: DataFrame, band: str = "severe_band", cash_flow: str = "latest_fcf", share: str = "data_completeness") -> DataFrame:
+    """companies with `class`: vulnerable under two severe years; watch if the severe runway ends at all or cash flow is negative; then by completeness."""
+    runs_out = F.coalesce(F.col(band).isin("two_to_five_years", "five_years_plus"), F.lit(False))
+    kind = (F.when(F.col(band) == "under_two_years", "vulnerable").when(runs_out | (F.col(cash_flow) < 0), "watch")
+            .when(F.col(share) < 0.8, "incomplete").otherwise("resilient"))
+    return companies.withColumn("class", kind)
 
 
 def class_counts(classes: DataFrame, labels: Sequence[str] = ("resilient", "watch", "vulnerable", "incomplete")) -> DataFrame:

@@ -49,15 +49,28 @@ def missing(c: str) -> Column:
     return F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "")
 
 
-def ledger(events: DataFrame, run_at: Column, required: Sequence[str], hosts: Sequence[str] = ()) -> DataFrame:
-    """Required fields, repeated ids, times in the future, and, if hosts are given, sources outside them."""
-    counted = events.withColumn("_n", F.count("*").over(Window.partitionBy("event_id")))
-    codes = {"MISSING_REQUIRED_FIELD": reduce(lambda a, b: a | b, map(missing, required)), "DUPLICATE_EVENT_ID": F.col("_n") > 1,
-             "INVALID_PUBLISHED_AT": F.col("published_at").isNull(),
-             "FUTURE_PUBLISHED_AT": F.coalesce(F.col("published_at") > run_at + F.expr(f"interval {FUTURE_SLACK_MINUTES} minutes"), F.lit(False))}
+def ledger(events: DataFrame, run_at: Column, required: Sequence[str], hosts: Sequence[str] = (), order: str = "event_id") -> DataFrame:
+    """Required fields, repeated ids, times in the future, and, if hosts are given, sources outside them.
+
+    A row that lacks a field has that issue only; of rows that share an id those
+    after the first, by `order`, are duplicates; a row without a time has no further issue.
+    """
+    lacks = reduce(lambda a, b: a | b, map(missing, required))
+    at = F.row_number().over(Window.partitionBy("event_id", "_lacks").orderBy(order))
+    rows = events.withColumn("_lacks", lacks).withColumn("_at", at)
+    whole, timed = ~F.col("_lacks"), F.col("published_at").isNotNull()
+    codes = {"MISSING_REQUIRED_FIELD": F.col("_lacks"), "DUPLICATE_EVENT_ID": whole & (F.col("_at") > 1), "INVALID_PUBLISHED_AT": whole & ~timed,
+             "FUTURE_PUBLISHED_AT": whole & F.coalesce(F.col("published_at") > run_at + F.expr(f"interval {FUTURE_SLACK_MINUTES} minutes"), F.lit(False))}
     if hosts:
-        codes["NON_PRIMARY_DOMAIN"] = ~allowed_url(F.col("source_url"), list(hosts))
-    return issues(counted, "ledger", F.col("event_id"), codes)
+        netloc = F.coalesce(F.regexp_extract("source_url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
+        codes["NON_PRIMARY_DOMAIN"] = whole & timed & ~netloc.isin(*hosts)
+    return issues(rows, "ledger", F.col("event_id"), codes)
+
+
+def unverified_sources(registry: DataFrame) -> DataFrame:
+    """Enabled sources of the regulator's adapter that name no CIK."""
+    lacks = F.coalesce("enabled", F.lit(True)) & (F.col("adapter") == "sec_edgar") & F.col("cik").isNull()
+    return issues(registry, "ledger", F.col("source_id"), {"MISSING_VERIFIED_CIK": F.coalesce(lacks, F.lit(False))})
 
 
 def semantic_duplicates(events: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -187,11 +200,23 @@ def source_registry(sources: DataFrame, adapters: Sequence[str]) -> DataFrame:
         "NOT_HTTPS": ~F.coalesce(F.col("base_url"), F.lit("")).startswith("https://")})
 
 
-def consensus_separation(rows: DataFrame, key: str, paths: str, tokens: Sequence[str]) -> DataFrame:
-    """Records of actuals whose key paths (an array column) name an estimate: forbidden tokens as whole words of a key."""
-    words = F.flatten(F.transform(paths, lambda p: F.split(F.regexp_replace(F.regexp_replace(p, r"([a-z])([A-Z])", "$1_$2"), r"[^A-Za-z]+", "_"), "_")))
-    hit = F.arrays_overlap(F.transform(words, lambda w: F.lower(w)), F.array(*map(F.lit, tokens)))
-    return issues(rows, "consensus_separation", F.col(key), {"ESTIMATE_IN_ACTUALS": F.coalesce(hit, F.lit(False))})
+#: Fixed words that no key of an actual may hold, and texts that no value of one may be.
+ESTIMATE_WORDS = ("consensus", "estimate", "estimated", "expected", "forecast", "analyst", "street", "beat", "miss", "surprise")
+ESTIMATE_VALUES = (*ESTIMATE_WORDS, "analyst_estimate", "analyst_consensus", "street_estimate", "street_consensus", "consensus_estimate", "consensus_forecast")
+
+
+def consensus_separation(rows: DataFrame, key: str, keys: str, values: str) -> DataFrame:
+    """Records of actuals (arrays of their keys and of their text values) that name an estimate.
+
+    A key may not hold a word of estimates anywhere in it; a value is only an issue
+    if it is such a term as a whole, so that a note may say that there is no consensus.
+    """
+    plain = lambda k: F.replace(F.lower(k), F.lit("-"), F.lit("_"))
+    word = lambda k: F.greatest(*(F.contains(plain(k), F.lit(w)) for w in ESTIMATE_WORDS))
+    term = lambda v: F.regexp_replace(F.regexp_replace(F.lower(F.trim(v)), "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    return issues(rows, "consensus_separation", F.col(key), {
+        "FORBIDDEN_KEY": F.coalesce(F.exists(keys, word), F.lit(False)),
+        "FORBIDDEN_VALUE": F.coalesce(F.exists(values, lambda v: term(v).isin(*ESTIMATE_VALUES)), F.lit(False))})
 
 
 def snapshot(facts: DataFrame) -> DataFrame:

@@ -18,16 +18,35 @@ OBSERVATION = {
     "unit": "string", "currency": "string", "period_start": "date", "period_end": "date", "period_type": "string", "fiscal_year": "int", "fiscal_period": "string",
     "scope": "string", "segment": "string", "geography": "string", "as_of": "date", "observed_at": "timestamp", "filed_at": "date", "revision": "int",
     "source_tier": "string", "source_name": "string", "source_url": "string", "document_form": "string", "accession": "string", "source_tag": "string",
-    "formula": "string", "evidence_ids": "array<string>", "supersedes_id": "string", "quality_flags": "array<string>", "source_id": "string",
+    "source_api_url": "string", "model_id": "string", "formula": "string", "assumptions": "array<string>", "evidence_ids": "array<string>", "supersedes_id": "string",
+    "quality_flags": "array<string>", "source_id": "string",
 }
+#: Fixed values of fields that a feed leaves out; all others are null.
+DEFAULTS = {"scope": "consolidated", "revision": 0, "assumptions": (), "evidence_ids": (), "quality_flags": ()}
 
 
-def form_reason(form: Column, items: Column, text: Column) -> Column:
-    """Null if a filing is accepted, else why not: 8-K by its item 2.02, 6-K by its text, else by its form."""
-    has_item = F.array_contains(F.transform(F.split(F.coalesce(items, F.lit("")), ","), lambda x: F.trim(x)), "2.02")
-    return (F.when(form == "8-K", F.when(~has_item, "NO_RESULTS_ITEM"))
-            .when(form == "6-K", F.when(~F.coalesce(earnings_text(text), F.lit(False)), "NO_RESULTS_TEXT"))
-            .when(form.isin(*FORMS), F.lit(None).cast("string")).otherwise("FORM_NOT_COVERED"))
+def form_reason(form: Column, items: Column, text: Column, document: Column | None = None) -> Column:
+    """Null if a filing is accepted, else why not: 8-K by its item 2.02, 6-K by its text, else by its form.
+
+    document names the filing's main document: without it a 6-K is UNVERIFIED_6K,
+    with it but without its text SOURCE_FETCH_FAILED.
+    """
+    unrelated = "NOT_EARNINGS_RELATED"
+    named = F.coalesce(document, F.lit("")) != "" if document is not None else text.isNotNull()
+    six = F.when(~named, "UNVERIFIED_6K").when(text.isNull(), "SOURCE_FETCH_FAILED").when(~earnings_text(text), unrelated)
+    return (F.when(form == "8-K", F.when(~F.contains(F.coalesce(items, F.lit("")), F.lit("2.02")), unrelated))
+            .when(form == "6-K", six).when(form.isin(*FORMS), F.lit(None).cast("string")).otherwise(unrelated))
+
+
+def screened(filings: DataFrame, start: Column, end: Column) -> DataFrame:
+    """filings (form, items, text, document, accepted_at) of the half-open window, with `freshness` PASS or REJECTED and `rejection_reason`.
+
+    Filings without an acceptance time or outside the window are neither accepted nor rejected.
+    """
+    at = F.col("accepted_at")
+    inside = filings.where((at >= start) & (at < end))
+    reason = form_reason(F.col("form"), F.col("items"), F.col("text"), F.col("document"))
+    return inside.withColumn("rejection_reason", reason).withColumn("freshness", F.when(F.col("rejection_reason").isNull(), "PASS").otherwise("REJECTED"))
 
 
 def has_keyword(title: Column, words: Sequence[str]) -> Column:
@@ -73,11 +92,10 @@ def canonical_source(source_type: Column, previous_type: Column, primary: Sequen
             .when(previous_type.isNotNull() & ~previous_type.isin(*primary), "third_party_previous_source"))
 
 
-def prior_year_same_period(df: DataFrame, keys: Sequence[str], year: str, period: str, value: str) -> DataFrame:
-    """df with prior_year_value: that of the same fiscal period a year before; by a window over (keys, period), not a self-join."""
-    w = Window.partitionBy(*keys, period).orderBy(year)
-    before = F.when(F.lag(year).over(w) == F.col(year) - 1, F.lag(value).over(w))
-    return df.withColumn("prior_year_value", before)
+def prior_year_same_period(df: DataFrame, keys: Sequence[str], year: str, period: str, value: str, order: str) -> DataFrame:
+    """df with prior_year_value: that of the same fiscal period a year before, the first by `order` if it was restated; a window, not a self-join."""
+    w = Window.partitionBy(*keys, period).orderBy(year).rangeBetween(-1, -1)
+    return df.withColumn("prior_year_value", F.min_by(value, order).over(w))
 
 
 def members(df: DataFrame, roles: str, cohorts: DataFrame) -> DataFrame:
@@ -144,14 +162,19 @@ def latest_unique(df: DataFrame, keys: Sequence[str], end: str, value: str) -> D
     return best.select(*keys, end, F.when(one, F.col(value)).alias(value), F.when(one, "unique").otherwise("ambiguous").alias("status"))
 
 
-def company_status(cash: DataFrame, capex: DataFrame, key: str) -> DataFrame:
-    """(key, status) from the latest operating cash flow and capital expenditure (key, period_end, value)."""
-    a = cash.select(key, F.col("period_end").alias("_ea"), F.col("value").alias("_a"))
-    b = capex.select(F.col(key).alias("_k"), F.col("period_end").alias("_eb"), F.col("value").alias("_b"))
-    j = a.join(b, F.col(key) == F.col("_k"), "full_outer")
-    status = (F.when(F.col("_a").isNull(), "missing_cash_flow").when(F.col("_b").isNull(), "missing_capex").when(F.col("_ea") != F.col("_eb"), "period_mismatch")
-              .when(F.col("_a") <= 0, "cash_burning").when(F.col("_a") >= F.abs("_b"), "self_funded").otherwise("externally_funded"))
-    return j.select(F.coalesce(key, "_k").alias(key), status.alias("status"))
+def company_status(cash: DataFrame, capex: DataFrame, forms: DataFrame, key: str) -> DataFrame:
+    """(key, status): which of a company's operating cash flow and capital expenditure facts (key, period_start, period_end) are there.
+
+    forms (key, form) are the recent filings of all companies in question: without any fact, a 10-Q among them decides.
+    """
+    span = lambda df, name: df.select(key, F.struct("period_start", "period_end").alias(name))
+    quarterly = forms.groupBy(key).agg(F.bool_or(F.col("form") == "10-Q").alias("_has"))
+    j = quarterly.join(span(cash, "_a"), key, "full_outer").join(span(capex, "_b"), key, "full_outer")
+    a, b = F.col("_a"), F.col("_b")
+    none = F.when(F.coalesce("_has", F.lit(False)), "public_no_quarterly_10q_facts").otherwise("public_no_10q_facts_yet")
+    status = (F.when(a.isNull() & b.isNull(), none).when(b.isNull(), "capital_expenditure_fact_unavailable")
+              .when(a.eqNullSafe(b), "reported_facts_same_period").otherwise("reported_facts_period_mismatch"))
+    return j.select(key, status.alias("status"))
 
 
 def long_rows(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str = "metric", value: str = "value") -> DataFrame:
@@ -160,15 +183,17 @@ def long_rows(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: st
 
 
 def as_observations(df: DataFrame) -> DataFrame:
-    """df padded to the observation's fields in their order; unknown columns are refused, the id and period type are derived if absent."""
+    """df padded to the observation's fields in their order, with their defaults; unknown columns are refused, the id and period type are derived if absent."""
     if extra := [c for c in df.columns if c not in OBSERVATION]:
         raise ValueError(f"not fields of an observation: {', '.join(extra)}")
     have = set(df.columns)
     out = df.select(*((F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in OBSERVATION.items()))
     parts = [F.col(c) for c in ("entity_id", "concept_id", "value_type", "period_start", "period_end", "source_url")]
     out = out.withColumn("id", F.coalesce("id", stable_id(*parts, prefix="observation")))
-    out = out.withColumn("revision", F.coalesce("revision", F.lit(0)))
-    return out.withColumn("period_type", F.coalesce("period_type", period_type(F.col("period_start"), F.col("period_end"))))
+    for c, value in DEFAULTS.items():
+        out = out.withColumn(c, F.coalesce(c, F.array() if value == () else F.lit(value)).cast(OBSERVATION[c]))
+    kind = period_type(F.col("period_start"), F.col("period_end"), F.col("fiscal_period"))
+    return out.withColumn("period_type", F.coalesce("period_type", kind))
 
 
 def edges(facts: DataFrame, relation: str, source: str, targets: str) -> DataFrame:

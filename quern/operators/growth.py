@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.scalars import days, percent_change
@@ -29,58 +29,77 @@ def verified(events: DataFrame, facts: DataFrame, key: Sequence[str], signature:
     return joined.select(*events.columns, F.when(F.col("_n") == 1, F.col("_v")).alias("value"), outcome.alias("outcome"), issue.alias("issue"))
 
 
-def free_cash_flow(cash: DataFrame, capex: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Operating cash less capital expenditure of one event; both must be there and cover one period."""
+def free_cash_flow(cash: DataFrame, capex: DataFrame, key: Sequence[str], magnitude: bool = False) -> DataFrame:
+    """Operating cash less capital expenditure of one event; both must be there and cover one period.
+
+    With `magnitude` the expenditure counts by its size, as in series that report outflows with either sign.
+    """
     a = cash.select(*key, F.struct("period_start", "period_end").alias("_pa"), F.col("value").alias("_a"))
     b = capex.select(*key, F.struct("period_start", "period_end").alias("_pb"), F.col("value").alias("_b"))
     joined = a.join(b, list(key), "full_outer")
     issue = (F.when(F.col("_a").isNull(), "MISSING_OPERATING_CASH_FLOW").when(F.col("_b").isNull(), "MISSING_CAPITAL_EXPENDITURE")
              .when(F.col("_pa") != F.col("_pb"), "PERIOD_MISMATCH"))
     joined = joined.withColumn("issue", issue)
-    return joined.select(*key, F.when(F.col("issue").isNull(), F.col("_a") - F.col("_b")).alias("value"), "issue")
+    return joined.select(*key, F.when(F.col("issue").isNull(), F.col("_a") - (F.abs("_b") if magnitude else F.col("_b"))).alias("value"), "issue")
 
 
-def compared(current: DataFrame, prior: DataFrame, keys: Sequence[str], gap: tuple[int, int], length: tuple[int, int] | None = None) -> DataFrame:
+def compared(
+    current: DataFrame, prior: DataFrame, keys: Sequence[str], gap: tuple[int, int], length: tuple[int, int] | None = None, soft: Sequence[str] = ()
+) -> DataFrame:
     """Growth of each current row over the prior row of its key whose end lies `gap` days before; durations within a week.
 
-    current and prior: keys, period_start, period_end, value. The keys are an
-    equality of the join, the days a residual, so it is a hash or merge join.
-    Outcome: growth, not_calculated (NO_COMPARABLE_PERIOD, OUTSIDE_LENGTH), or issue (AMBIGUOUS_PRIOR, ZERO_PRIOR).
+    current and prior: keys, period_start, period_end, value, and the columns
+    `soft`, which must agree where both have them. Rows that repeat a period and
+    value count once on either side. One shuffle by key: candidates come from a
+    window over the days, not from a join. Outcome: growth, not_calculated
+    (NO_COMPARABLE_PERIOD, OUTSIDE_LENGTH), or issue (AMBIGUOUS_CURRENT if a value
+    of one end has several starts, AMBIGUOUS_PRIOR, ZERO_PRIOR).
     """
-    p = prior.select(*keys, F.col("period_start").alias("prior_start"), F.col("period_end").alias("prior_end"), F.col("value").alias("prior_value"))
+    columns = [*keys, "period_start", "period_end", "value", *soft]
+    sides = [df.select(*columns).distinct().withColumn("_now", F.lit(now)) for df, now in ((current, True), (prior, False))]
+    both = sides[0].unionByName(sides[1]).withColumn("_day", F.datediff("period_end", F.lit("1970-01-01").cast("date")))
+    fact = F.struct(F.col("period_start").alias("start"), F.col("period_end").alias("end"), F.col("value").alias("value"), *(F.col(c).alias(c) for c in soft))
+    before = Window.partitionBy(*keys).orderBy("_day").rangeBetween(-gap[1], -gap[0])
+    same = Window.partitionBy(*keys, "period_end", "value")
+    both = both.withColumn("_prior", F.collect_set(F.when(~F.col("_now"), fact)).over(before))
+    both = both.withColumn("_starts", F.size(F.collect_set(F.when(F.col("_now"), F.col("period_start"))).over(same)))
     own = days(F.col("period_start"), F.col("period_end"))
-    between = days(F.col("prior_end"), F.col("period_end")).between(*gap)
-    near = F.abs(own - days(F.col("prior_start"), F.col("prior_end"))) <= DURATION_SLACK
+
+    def comparable(p):
+        fits = F.abs(own - days(p["start"], p["end"])) <= DURATION_SLACK
+        for c in soft:
+            fits = fits & F.coalesce(p[c] == F.col(c), F.lit(True))
+        return fits & p["value"].isNotNull()
+
+    plain = lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), p["value"].alias("value"))
     fits = own.between(*length) if length else F.lit(True)
-    c = current.withColumn("_fits", fits)
-    cols = [F.col(f"c.{k}") == F.col(f"p.{k}") for k in keys]
-    on = cols[0]
-    for x in cols[1:]:
-        on = on & x
-    pairs = c.alias("c").join(p.alias("p"), on & between & near & F.col("_fits"), "left")
-    group = [*(F.col(f"c.{k}").alias(k) for k in keys), "period_start", "period_end", "value", "_fits"]
-    found = pairs.groupBy(*group).agg(
-        F.count("prior_value").alias("candidates"), F.min("prior_value").alias("prior_value"), F.min("prior_end").alias("prior_end"))
-    reason = (F.when(~F.col("_fits"), "OUTSIDE_LENGTH").when(F.col("candidates") == 0, "NO_COMPARABLE_PERIOD")
-              .when(F.col("candidates") > 1, "AMBIGUOUS_PRIOR").when(F.col("prior_value") == 0, "ZERO_PRIOR"))
+    found = both.where("_now").withColumn("_found", F.array_distinct(F.transform(F.filter("_prior", comparable), plain))).withColumn("_fits", fits)
+    one, n = F.get("_found", 0), F.size("_found")
+    reason = (F.when(F.col("_starts") > 1, "AMBIGUOUS_CURRENT").when(~F.col("_fits"), "OUTSIDE_LENGTH").when(n == 0, "NO_COMPARABLE_PERIOD")
+              .when(n > 1, "AMBIGUOUS_PRIOR").when(one["value"] == 0, "ZERO_PRIOR"))
     found = found.withColumn("reason", reason)
-    outcome = (F.when(F.col("reason").isNull(), "growth").when(F.col("reason").isin("AMBIGUOUS_PRIOR", "ZERO_PRIOR"), "issue")
-               .otherwise("not_calculated"))
+    outcome = F.when(F.col("reason").isNull(), "growth").when(F.col("reason").isin("OUTSIDE_LENGTH", "NO_COMPARABLE_PERIOD"), "not_calculated").otherwise("issue")
     ok = F.col("reason").isNull()
     return found.select(
-        *keys, "period_start", "period_end", "value", F.when(ok, F.col("prior_end")).alias("prior_end"),
-        F.when(ok, F.col("prior_value")).alias("prior_value"),
-        F.when(ok, percent_change(F.col("value"), F.col("prior_value"))).alias("percent"), outcome.alias("outcome"), "reason")
+        *columns, F.when(ok, one["end"]).alias("prior_end"), F.when(ok, one["value"]).alias("prior_value"),
+        F.when(ok, percent_change(F.col("value"), one["value"])).alias("percent"), outcome.alias("outcome"), "reason")
 
 
-def year_on_year(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return compared(facts, facts, keys, YEAR_GAP)
+def year_on_year(facts: DataFrame, keys: Sequence[str], soft: Sequence[str] = ()) -> DataFrame:
+    """Within one filing if the keys name it (entity, accession, form), with the fiscal period as `soft`."""
+    return compared(facts, facts, keys, YEAR_GAP, soft=soft)
 
 
 def quarter_on_quarter(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return compared(facts, facts, keys, QUARTER, QUARTER)
 
 
+def both_growths(facts: DataFrame, keys: Sequence[str], soft: Sequence[str] = ()) -> DataFrame:
+    """Year-on-year and quarter-on-quarter of persisted facts, with growth_type."""
+    yearly = year_on_year(facts, keys, soft).withColumn("growth_type", F.lit("YoY"))
+    return yearly.unionByName(compared(facts, facts, keys, QUARTER, QUARTER, soft).withColumn("growth_type", F.lit("QoQ")))
+
+
 def multi_period_actuals(facts: DataFrame, key: Sequence[str], ordinal: str) -> DataFrame:
     """Facts with a positive duration, unique on the key (last wins), with duration_days."""
     from quern.operators.keyed import latest_per_key

@@ -7,36 +7,44 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Fixed reading of qualifiers: how far into a ten (or ten to twenty) low, mid and high reach.
-PARTS = (("low", 1, 3), ("mid", 4, 6), ("high", 7, 9))
+#: Fixed reading of qualifiers: the digits that low, mid and high stand for after a ten, and those of double digits.
+DIGITS = {"low": (1, 3), "mid": (4, 6), "high": (7, 9)}
+DOUBLE = {"low": (10, 13), "mid": (14, 16), "high": (17, 19)}
+ROUGHLY = ("approximately", "about", "around")
 POINT_SLACK = 0.005
+FALLING = ("decline", "decrease", "down")
 
 
-def _part(word: Column, at: int) -> Column:
-    out = None
-    for name, *bounds in PARTS:
-        out = F.when(word == name, bounds[at]) if out is None else out.when(word == name, bounds[at])
-    return out
+def _bound(word: Column, of: dict[str, tuple[int, int]], at: int) -> Column:
+    return F.coalesce(*(F.when(word == name, F.lit(pair[at])) for name, pair in of.items()))
 
 
-def phrase_interval(phrase: Column) -> tuple[Column, Column]:
-    """(low, high) as fractions of a qualitative percentage phrase; negative for falls; null if it can't be read."""
-    text = F.trim(F.regexp_replace(F.lower(phrase), r"[\s_-]+", " "))
-    exact = F.regexp_extract(text, r"(\d+(?:\.\d+)?) ?(?:%|percent)", 1)
-    first = F.regexp_extract(text, r"\b(low|mid|high)\b", 1)
-    second = F.regexp_extract(text, r"\b(?:low|mid|high) to (low|mid|high)\b", 1)
-    last = F.when(second != "", second).otherwise(first)
-    tens = F.regexp_extract(text, r"\b([2-9]0)s\b", 1)
-    base = F.when(tens != "", tens.try_cast("int")).when(text.rlike(r"\bteens?\b"), 10).when(text.rlike(r"\bsingle digits?\b"), 0)
-    low = F.when(base.isNotNull() & (first != ""), base + _part(first, 0)).when(base.isNotNull(), base + F.when(base == 0, 1).otherwise(0))
-    high = F.when(base.isNotNull() & (first != ""), base + _part(last, 1)).when(base.isNotNull(), base + 9)
-    double = text.rlike(r"\bdouble digits?\b")
-    point = exact.try_cast("double") / 100
-    a = F.when(exact != "", point - POINT_SLACK).when(low.isNotNull(), low / 100).when(double, F.lit(0.10))
-    b = F.when(exact != "", point + POINT_SLACK).when(high.isNotNull(), high / 100).when(double, F.lit(0.99))
-    falls = text.rlike(r"\b(down|decreased?|declined?|fell|drop(?:ped)?|lower)\b")
-    places = lambda c: F.round(c, 8)
-    return places(F.when(falls, -b).otherwise(a)), places(F.when(falls, -a).otherwise(b))
+def phrase_interval(phrase: Column, direction: Column | str = "increase") -> tuple[Column, Column, Column]:
+    """(low, high, error) of a percentage phrase, as fractions; negative if the direction falls.
+
+    Read in this order: an exact figure (with slack only where it says so), tens,
+    teens, single digits, double digits; the qualifier may be a range such as
+    low-to-mid. Any other phrase has no bounds and an error.
+    """
+    text = F.lower(F.trim(F.regexp_replace(F.regexp_replace(phrase, "[–—]", "-"), r"\s+", " ")))
+    exact = F.regexp_extract(text, r"(\d+(?:\.\d+)?)\s*%", 1).try_cast("double") / 100
+    slack = F.when(F.lit(False), 0.0)
+    for word in ROUGHLY:
+        slack = slack.when(text.contains(word), POINT_SLACK)
+    slack = slack.otherwise(0.0)
+    low, high = [F.when(exact.isNotNull(), F.greatest(exact - slack, F.lit(0.0)))], [exact + slack]
+    kinds = ((r"(\d{2})s\b", None, DIGITS), (r"teens\b", 10, DIGITS), (r"single[- ]digit", 0, DIGITS), (r"double[- ]digit", 0, DOUBLE))
+    for ending, base, of in kinds:
+        pattern = r"\b(low|mid|high)(?:-to-(low|mid|high))?[- ]?" + ending
+        first, second = (F.regexp_extract(text, pattern, i) for i in (1, 2))
+        start = F.regexp_extract(text, pattern, 3).try_cast("int") if base is None else F.lit(base)
+        low.append((start + _bound(first, of, 0)) / 100)
+        high.append((start + _bound(F.when(second != "", second).otherwise(first), of, 1)) / 100)
+    a, b = F.coalesce(*low), F.coalesce(*high)
+    falls = (F.lit(direction) if isinstance(direction, str) else direction).isin(*FALLING)
+    error = F.when(a.isNull(), F.concat(F.lit("Unsupported qualitative percentage phrase: "), F.coalesce(phrase, F.lit(""))))
+    places = lambda c: F.round(c, 6)
+    return places(F.when(falls, -b).otherwise(a)), places(F.when(falls, -a).otherwise(b)), error
 
 
 def compounded(df: DataFrame, keys: Sequence[str], order: str, low: str, high: str, rows: int = 4, gap: tuple[int, int] = (70, 120)) -> DataFrame:

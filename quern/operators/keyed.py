@@ -129,7 +129,24 @@ def union_unique(parts: Sequence[DataFrame], key: str) -> tuple[DataFrame, DataF
 
 
 def chunked(df: DataFrame, value: str, size: int) -> DataFrame:
-    """(chunk, values): sorted values in lists of `size`. Numbers rows by range partition, not in one task."""
-    ranked = df.select(value).distinct().orderBy(value).select(value, F.monotonically_increasing_id().alias("_id"))
-    placed = ranked.withColumn("_part", F.shiftright("_id", 33)).withColumn("_in", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
-    return placed.groupBy("_part", F.floor(F.col("_in") / size).alias("chunk")).agg(F.array_sort(F.collect_list(value)).alias("values"))
+    """(chunk, values): the distinct values, sorted, in lists of `size`; only the last is shorter.
+
+    Positions come from the counts of each two-character beginning, which sort as
+    the values do, and the place within it: no task sees all values. Null is left out.
+    """
+    rows = df.select(value).where(F.col(value).isNotNull()).distinct().withColumn("_head", F.substring(F.col(value).cast("string"), 1, 2))
+    heads = rows.groupBy("_head").count().withColumn("_before", F.sum("count").over(Window.orderBy("_head")) - F.col("count"))
+    text = F.col(value).cast("string")
+    placed = rows.withColumn("_at", F.row_number().over(Window.partitionBy("_head").orderBy(text))).join(heads, "_head")
+    chunk = F.floor((F.col("_before") + F.col("_at") - 1) / size)
+    return placed.groupBy(chunk.alias("chunk")).agg(F.array_sort(F.collect_list(value)).alias("values"))
+
+
+def accepted_and_rejected(accepted: Sequence[DataFrame], rejected: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both lists after a run, each by last write; earlier parts first. A key that a later part rejects goes only if it is not accepted.
+
+    Rejections that stood before stay as they are, so the audit can show a key that is in both.
+    """
+    good = last_write_wins(accepted, keys, order)
+    new = last_write_wins(rejected[1:], keys, order).join(good.select(*keys).distinct(), list(keys), "left_anti")
+    return good, last_write_wins([rejected[0], new.select(*rejected[0].columns)], keys, order)

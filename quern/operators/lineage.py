@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from quern.session import staged
 
-def closure(edges: DataFrame, a: str, b: str, most_hops: int = 16) -> DataFrame:
-    """(a, b, hops): every pair joined by a path, with its least length; a recursive query, bounded so that cycles end; a pair further apart is an error."""
-    view = edges.select(a, b)
-    return edges.sparkSession.sql(
-        f"""WITH RECURSIVE paths(a, b, hops) AS (
-              SELECT {a}, {b}, 1 FROM {{edges}}
-              UNION ALL SELECT p.a, e.{b}, p.hops + 1 FROM paths p JOIN {{edges}} e ON p.b = e.{a} WHERE p.hops <= {most_hops})
-            SELECT a AS {a}, b AS {b}, if(min(hops) > {most_hops}, CAST(raise_error('paths over {most_hops} hops') AS INT), min(hops)) AS hops FROM paths GROUP BY a, b""",
-        edges=view)
+
+def closure(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(a, b, hops): every pair joined by a path, with its least length.
+
+    Each round lengthens the pairs found in the last one by an edge and keeps those
+    that no shorter path joins, until there are none: a pair is written once,
+    however many paths join it, so diamonds and cycles do no harm. Rounds are as
+    many as the longest least path, and each ends in the shared folder.
+    """
+    step = staged(edges.select(F.col(a).alias("_from"), F.col(b).alias("_to")).where("_from is not null and _to is not null").distinct())
+    found = front = step.withColumn("hops", F.lit(1))
+    while True:
+        longer = front.select(F.col("_from").alias("_start"), F.col("_to").alias("_via"), "hops").join(step, F.col("_via") == F.col("_from"))
+        longer = longer.select(F.col("_start").alias("_from"), "_to", (F.col("hops") + 1).alias("hops")).distinct()
+        front = staged(longer.join(found.select("_from", "_to"), ["_from", "_to"], "left_anti"))
+        if front.isEmpty():
+            return found.select(F.col("_from").alias(a), F.col("_to").alias(b), "hops")
+        found = found.unionByName(front)

@@ -48,18 +48,15 @@ def first_listed_concept(df: DataFrame, keys: Sequence[str], concept: str, prior
 
 
 def adjacent_years(df: DataFrame, keys: Sequence[str], year: str, value: str, comparable: Sequence[str]) -> DataFrame:
-    """df with prior_value, ratio and null_reason: a ratio to the year before only if all `comparable` columns agree."""
+    """df with prior_value, ratio and null_reason: change against the record before, if all `comparable` columns agree (null with null)."""
     w = Window.partitionBy(*keys).orderBy(year)
-    out = df.withColumn("prior_value", F.lag(value).over(w)).withColumn("_gap", F.col(year) - F.lag(year).over(w))
-    same = F.lit(True)
+    same = F.lag(F.lit(True)).over(w).isNotNull()
     for c in comparable:
         same = same & F.lag(c).over(w).eqNullSafe(F.col(c))
-    out = out.withColumn("_same", same)
-    reason = (F.when(F.col("_gap").isNull(), "no_prior_year").when(F.col("_gap") != 1, "gap_in_years").when(~F.col("_same"), "not_comparable")
-              .when(F.col(value).isNull() | F.col("prior_value").isNull(), "missing_value").when(F.col("prior_value") == 0, "zero_base"))
-    out = out.withColumn("null_reason", reason)
-    ratio = F.when(F.col("null_reason").isNull(), safe_divide(F.col(value), F.col("prior_value")) - 1)
-    return out.withColumn("ratio", ratio).drop("_gap", "_same")
+    out = df.withColumn("prior_value", F.lag(value).over(w)).withColumn("_same", same)
+    ratio = F.when(F.col("_same"), safe_divide(F.col(value), F.col("prior_value")) - 1)
+    reason = F.when(~F.col("_same"), "no_comparable_prior_period").when(ratio.isNull(), "missing_or_zero_prior_revenue")
+    return out.withColumn("ratio", ratio).withColumn("null_reason", reason).drop("_same")
 
 
 def aligned(parts: dict[str, DataFrame], optional: dict[str, DataFrame], keys: Sequence[str], end: str) -> DataFrame:

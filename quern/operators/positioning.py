@@ -13,9 +13,8 @@ def _series(keys: Sequence[str], order: Sequence[str]):
 
 
 def trailing_mean(value: str, keys: Sequence[str], order: Sequence[str], rows: int) -> Column:
-    """Mean of the last `rows` observations; null until there are so many. Counts observations, not days."""
-    w = _series(keys, order).rowsBetween(1 - rows, 0)
-    return F.when(F.count(value).over(w) == rows, F.avg(value).over(w))
+    """Mean of the last `rows` observations, or of as many as there are. Counts observations, not days."""
+    return F.avg(value).over(_series(keys, order).rowsBetween(1 - rows, 0))
 
 
 def change_percent(value: str, keys: Sequence[str], order: Sequence[str]) -> Column:

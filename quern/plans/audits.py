@@ -42,21 +42,29 @@ def rejection_counters(spark, sf_dir):
 
 
 @query(f"""
-WITH e AS (SELECT CASE WHEN event_id % 97 = 0 THEN event_id - 1 ELSE event_id END AS event_id, CASE WHEN event_id % 50 = 0 THEN '' ELSE event_type END AS event_type,
-  user_id, ts AS published_at FROM events WHERE event_id > 0),
-n AS (SELECT *, count(*) OVER (PARTITION BY event_id) AS n FROM e),
+WITH e AS (SELECT CASE WHEN event_id % 97 = 1 THEN event_id - 1 ELSE event_id END AS event_id, CASE WHEN event_id % 50 = 0 THEN '' ELSE event_type END AS event_type,
+  user_id, CASE WHEN event_id % 40 = 7 THEN NULL ELSE ts END AS published_at, event_id AS seq, CASE WHEN event_id % 30 = 11 THEN 'http://other.org/x' ELSE 'https://a.gov/x' END AS url FROM events),
+n AS (SELECT *, event_type = '' AS lacks, row_number() OVER (PARTITION BY event_id, event_type = '' ORDER BY seq) AS k FROM e),
 s AS (SELECT *, row_number() OVER (PARTITION BY user_id, CAST(published_at AS DATE), event_type ORDER BY event_id) AS k FROM e)
-SELECT 'ledger' AS audit, 'MISSING_REQUIRED_FIELD' AS code, CAST(event_id AS VARCHAR) AS key FROM n WHERE event_type = ''
-UNION ALL SELECT 'ledger', 'DUPLICATE_EVENT_ID', CAST(event_id AS VARCHAR) FROM n WHERE n > 1
-UNION ALL SELECT 'ledger', 'FUTURE_PUBLISHED_AT', CAST(event_id AS VARCHAR) FROM n WHERE published_at > {_NOW} + INTERVAL 5 MINUTE
-UNION ALL SELECT 'semantic_duplicates', 'DUPLICATE', CAST(event_id AS VARCHAR) FROM s WHERE k > 1""")
+SELECT 'ledger' AS audit, 'MISSING_REQUIRED_FIELD' AS code, CAST(event_id AS VARCHAR) AS key FROM n WHERE lacks
+UNION ALL SELECT 'ledger', 'DUPLICATE_EVENT_ID', CAST(event_id AS VARCHAR) FROM n WHERE NOT lacks AND k > 1
+UNION ALL SELECT 'ledger', 'INVALID_PUBLISHED_AT', CAST(event_id AS VARCHAR) FROM n WHERE NOT lacks AND published_at IS NULL
+UNION ALL SELECT 'ledger', 'FUTURE_PUBLISHED_AT', CAST(event_id AS VARCHAR) FROM n WHERE NOT lacks AND published_at > {_NOW} + INTERVAL 5 MINUTE
+UNION ALL SELECT 'ledger', 'NON_PRIMARY_DOMAIN', CAST(event_id AS VARCHAR) FROM n WHERE NOT lacks AND published_at IS NOT NULL AND url LIKE '%other%'
+UNION ALL SELECT 'ledger', 'MISSING_VERIFIED_CIK', CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_nationkey IN (1, 2) AND s_acctbal < 0
+UNION ALL SELECT 'semantic_duplicates', CASE WHEN published_at IS NULL THEN 'UNKEYABLE' ELSE 'DUPLICATE' END, CAST(event_id AS VARCHAR) FROM s WHERE published_at IS NULL OR k > 1""")
 def ledger_audit_issues(spark, sf_dir):
-    rows = events(spark, sf_dir).where("event_id > 0").select(
-        F.when(F.col("event_id") % 97 == 0, F.col("event_id") - 1).otherwise(F.col("event_id")).alias("event_id"),
-        F.when(F.col("event_id") % 50 == 0, "").otherwise(F.col("event_type")).alias("event_type"),
-        "user_id", F.col("ts").alias("published_at"), F.col("ts").cast("date").alias("day"))
+    i = F.col("event_id")
+    at = F.when(i % 40 != 7, F.col("ts"))
+    rows = events(spark, sf_dir).select(
+        F.when(i % 97 == 1, i - 1).otherwise(i).alias("event_id"), F.when(i % 50 == 0, "").otherwise(F.col("event_type")).alias("event_type"), "user_id",
+        at.alias("published_at"), at.cast("date").alias("day"), i.alias("seq"), F.when(i % 30 == 11, "http://other.org/x").otherwise("https://a.gov/x").alias("source_url"))
+    nation = F.col("s_nationkey")
+    registry = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("source_id"), F.when(nation.isin(1, 2, 3), "sec_edgar").otherwise("other").alias("adapter"),
+        F.when(nation == 2, F.lit(None)).when(nation == 3, False).otherwise(True).alias("enabled"), F.when(F.col("s_acctbal") >= 0, F.col("s_suppkey")).alias("cik"))
     found = audits.report([
-        audits.ledger(rows, _now(), ["event_id", "event_type", "user_id"]),
+        audits.ledger(rows, _now(), ["event_id", "event_type", "user_id"], ["a.gov"], "seq"), audits.unverified_sources(registry),
         audits.semantic_duplicates(rows, ["user_id", "day", "event_type"])])
     return found.select("audit", "code", "key")
 
@@ -114,6 +122,6 @@ SELECT event_id, user_id, event_type, CASE WHEN ts > {_NOW} THEN 'future' WHEN t
 def ledger_stream_available_now(spark, sf_dir):
     from quern.streaming import ledger
 
-    schema = table(spark, sf_dir, "events").schema
-    rows = ledger.gated(ledger.stream(spark, sf_dir, "events", schema, "ts"), "ts", _now())
-    return ledger.collected(ledger.deduplicated(rows, "event_id", "ts", "40 days").select("event_id", "user_id", "event_type", "disposition"))
+    rows = ledger.gated(ledger.stream(spark, sf_dir, "events", table(spark, sf_dir, "events").schema, "ts"), "ts", _now())
+    stored = ledger.collected(rows.select("event_id", "user_id", "event_type", "disposition", "ts"), "event_id", "ts")
+    return stored.select("event_id", "user_id", "event_type", "disposition")

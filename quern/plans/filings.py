@@ -13,16 +13,28 @@ query = REGISTRY.query
 
 
 @query("""
-WITH f AS (SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN '8-K' WHEN 1 THEN '6-K' WHEN 2 THEN '10-Q' WHEN 3 THEN '10-K' ELSE 'S-1' END AS form, o_orderstatus FROM orders)
-SELECT k, form, CASE WHEN form = '8-K' THEN CASE WHEN o_orderstatus <> 'F' THEN 'NO_RESULTS_ITEM' END
-  WHEN form = '6-K' THEN CASE WHEN o_orderstatus <> 'O' THEN 'NO_RESULTS_TEXT' END WHEN form = 'S-1' THEN 'FORM_NOT_COVERED' END AS reason FROM f""")
+WITH f AS (SELECT o_orderkey AS k, CASE o_orderkey % 6 WHEN 0 THEN '8-K' WHEN 1 THEN '6-K' WHEN 2 THEN '10-Q' WHEN 3 THEN '10-K' WHEN 4 THEN '20-F' ELSE 'S-1' END AS form, o_orderstatus, o_custkey % 5 AS c FROM orders)
+SELECT k, form, CASE WHEN form = '8-K' THEN CASE WHEN o_orderstatus <> 'F' THEN 'NOT_EARNINGS_RELATED' END
+  WHEN form = '6-K' THEN CASE WHEN c = 0 THEN 'UNVERIFIED_6K' WHEN c = 1 THEN 'SOURCE_FETCH_FAILED' WHEN o_orderstatus <> 'O' THEN 'NOT_EARNINGS_RELATED' END WHEN form = 'S-1' THEN 'NOT_EARNINGS_RELATED' END AS reason FROM f""")
 def form_rule_reasons(spark, sf_dir):
-    at = F.col("o_orderkey") % 5
-    form = F.when(at == 0, "8-K").when(at == 1, "6-K").when(at == 2, "10-Q").when(at == 3, "10-K").otherwise("S-1")
-    items = F.when(F.col("o_orderstatus") == "F", "1.01, 2.02").otherwise("9.01")
-    text = F.when(F.col("o_orderstatus") == "O", "<p>Quarter results: Net <b>income</b></p><p>net income rose</p>").otherwise("notice")
+    at, c, state = F.col("o_orderkey") % 6, F.col("o_custkey") % 5, F.col("o_orderstatus")
+    form = F.when(at == 0, "8-K").when(at == 1, "6-K").when(at == 2, "10-Q").when(at == 3, "10-K").when(at == 4, "20-F").otherwise("S-1")
+    items = F.when(state == "F", "1.01,2.02,9.01").otherwise("9.01")
+    text = F.when(c == 1, F.lit(None)).when(state == "O", "<p>Results&nbsp;<b>of</b></p><p>Earnings Release: operating income</p>").otherwise("quarter, results and earnings; revenue")
     return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("k"), form.alias("form"), filings.form_reason(form, items, text).alias("reason"))
+        F.col("o_orderkey").alias("k"), form.alias("form"), filings.form_reason(form, items, text, F.when(c != 0, "a.htm")).alias("reason"))
+
+
+@query("""
+WITH f AS (SELECT event_id, ts, CASE event_id % 3 WHEN 0 THEN '10-Q' WHEN 1 THEN '8-K' ELSE 'S-3' END AS form FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00')
+SELECT event_id, form, CASE WHEN form = '10-Q' THEN 'PASS' ELSE 'REJECTED' END AS freshness, CASE WHEN form <> '10-Q' THEN 'NOT_EARNINGS_RELATED' END AS rejection_reason FROM f""")
+def filings_screened(spark, sf_dir):
+    at = F.col("event_id") % 3
+    rows = events(spark, sf_dir).select(
+        "event_id", F.when(at == 0, "10-Q").when(at == 1, "8-K").otherwise("S-3").alias("form"), F.col("ts").alias("accepted_at"),
+        F.lit("").alias("items"), F.lit(None).cast("string").alias("text"), F.lit("a.htm").alias("document"))
+    day = lambda d: F.lit(d).cast("timestamp")
+    return filings.screened(rows, day("2024-01-10"), day("2024-01-20")).select("event_id", "form", "freshness", "rejection_reason")
 
 
 @query("""
@@ -43,13 +55,12 @@ def window_or_required(spark, sf_dir):
 
 
 @query("""
-WITH f AS (SELECT l_suppkey, year(l_shipdate) AS fy, quarter(l_shipdate) AS fq, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS value FROM lineitem GROUP BY ALL)
-SELECT a.l_suppkey, CAST(a.fy AS INTEGER) AS fy, CAST(a.fq AS INTEGER) AS fq, a.value, b.value AS prior_year_value
-FROM f a LEFT JOIN f b ON a.l_suppkey = b.l_suppkey AND a.fq = b.fq AND b.fy = a.fy - 1""")
+WITH f AS (SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS fy, CAST(quarter(l_shipdate) AS INTEGER) AS fq, l_returnflag AS filed, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS value FROM lineitem GROUP BY ALL)
+SELECT a.l_suppkey, a.fy, a.fq, a.filed, a.value, (SELECT arg_min(b.value, b.filed) FROM f b WHERE b.l_suppkey = a.l_suppkey AND b.fq = a.fq AND b.fy = a.fy - 1) AS prior_year_value FROM f a""")
 def prior_year_same_period(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").alias("fy"), F.quarter("l_shipdate").alias("fq")).agg(
-        F.sum(money("l_extendedprice")).cast("double").alias("value"))
-    return filings.prior_year_same_period(rows, ["l_suppkey"], "fy", "fq", "value")
+    rows = table(spark, sf_dir, "lineitem").groupBy(
+        "l_suppkey", F.year("l_shipdate").alias("fy"), F.quarter("l_shipdate").alias("fq"), F.col("l_returnflag").alias("filed")).agg(F.sum(money("l_extendedprice")).cast("double").alias("value"))
+    return filings.prior_year_same_period(rows, ["l_suppkey"], "fy", "fq", "value", "filed")
 
 
 @query("""
@@ -132,29 +143,33 @@ def wide_to_long(spark, sf_dir):
 
 
 @query("""
-WITH o AS (SELECT CAST(l_suppkey AS VARCHAR) AS e, l_returnflag AS c, CAST(date_trunc('quarter', l_shipdate) AS DATE) AS a, CAST(date_trunc('quarter', l_shipdate) + INTERVAL 3 MONTH AS DATE) - 1 AS b,
-  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS value FROM lineitem GROUP BY ALL)
-SELECT 'observation:' || substr(sha256(e || '|' || c || '|actual|' || a || '|' || b || '|'), 1, 24) AS id, e AS entity_id, c AS concept_id, value, 'quarter' AS period_type, CAST(0 AS INTEGER) AS revision FROM o""")
+WITH o AS (SELECT CAST(l_suppkey AS VARCHAR) AS e, l_returnflag AS c, CASE WHEN l_returnflag <> 'R' THEN CAST(date_trunc('quarter', l_shipdate) AS DATE) END AS a, CAST(date_trunc('quarter', l_shipdate) + INTERVAL 3 MONTH AS DATE) - 1 AS b,
+  CASE quarter(l_shipdate) WHEN 4 THEN 'FY' WHEN 3 THEN NULL ELSE 'Q' || quarter(l_shipdate) END AS fp, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS value FROM lineitem GROUP BY ALL)
+SELECT 'observation:' || substr(sha256(e || '|' || c || '|actual|' || coalesce(CAST(a AS VARCHAR), '') || '|' || b || '|'), 1, 24) AS id, e AS entity_id, c AS concept_id, value,
+  CASE WHEN a IS NULL THEN 'instant' WHEN fp = 'FY' THEN 'annual' WHEN fp LIKE 'Q%' THEN 'quarter' ELSE 'duration' END AS period_type, CAST(0 AS INTEGER) AS revision, 'consolidated' AS scope, 0 AS lists FROM o""")
 def observation_rows(spark, sf_dir):
     day = F.col("l_shipdate").cast("date")
-    start = F.trunc(day, "quarter")
+    start, q = F.trunc(day, "quarter"), F.quarter(day)
     rows = table(spark, sf_dir, "lineitem").groupBy(
-        F.col("l_suppkey").cast("string").alias("entity_id"), F.col("l_returnflag").alias("concept_id"), start.alias("period_start"), F.date_sub(F.add_months(start, 3), 1).alias("period_end")
+        F.col("l_suppkey").cast("string").alias("entity_id"), F.col("l_returnflag").alias("concept_id"), F.when(F.col("l_returnflag") != "R", start).alias("period_start"),
+        F.date_sub(F.add_months(start, 3), 1).alias("period_end"), F.when(q == 4, "FY").when(q < 3, F.concat(F.lit("Q"), q.cast("string"))).alias("fiscal_period")
     ).agg(F.sum(money("l_extendedprice")).cast("double").alias("value")).withColumn("value_type", F.lit("actual"))
-    return filings.as_observations(rows).select("id", "entity_id", "concept_id", "value", "period_type", "revision")
+    lists = F.size("assumptions") + F.size("evidence_ids") + F.size("quality_flags")
+    return filings.as_observations(rows).select("id", "entity_id", "concept_id", "value", "period_type", "revision", "scope", lists.alias("lists"))
 
 
 @query("""
-WITH c AS (SELECT o_custkey AS k, max(CAST(o_orderdate AS DATE)) AS e, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN -1 ELSE 1 END) AS BIGINT) AS v FROM orders WHERE o_custkey % 7 <> 0 GROUP BY 1),
-x AS (SELECT o_custkey AS k, max(CASE WHEN o_custkey % 5 = 0 THEN DATE '1990-01-01' ELSE CAST(o_orderdate AS DATE) END) AS e, CAST(count(*) FILTER (o_orderpriority = '1-URGENT') AS BIGINT) AS v FROM orders WHERE o_custkey % 11 <> 0 GROUP BY 1)
-SELECT coalesce(c.k, x.k) AS k, CASE WHEN c.v IS NULL THEN 'missing_cash_flow' WHEN x.v IS NULL THEN 'missing_capex' WHEN c.e <> x.e THEN 'period_mismatch'
-  WHEN c.v <= 0 THEN 'cash_burning' WHEN c.v >= abs(x.v) THEN 'self_funded' ELSE 'externally_funded' END AS status FROM c FULL JOIN x ON c.k = x.k""")
+WITH c AS (SELECT o_custkey AS k, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+x AS (SELECT o_custkey AS k, min(o_orderdate) AS a, max(o_orderdate) AS b FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> '1-URGENT' GROUP BY 1),
+f AS (SELECT c_custkey AS k, c_mktsegment = 'BUILDING' AS q FROM customer)
+SELECT f.k, CASE WHEN c.k IS NULL AND x.k IS NULL THEN CASE WHEN q THEN 'public_no_quarterly_10q_facts' ELSE 'public_no_10q_facts_yet' END
+  WHEN x.k IS NULL THEN 'capital_expenditure_fact_unavailable' WHEN c.a = x.a AND c.b = x.b THEN 'reported_facts_same_period' ELSE 'reported_facts_period_mismatch' END AS status
+FROM f LEFT JOIN c ON c.k = f.k LEFT JOIN x ON x.k = f.k""")
 def company_status(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderdate").cast("date").alias("d"), "o_orderstatus", "o_orderpriority")
-    cash = rows.where("k % 7 <> 0").groupBy("k").agg(F.max("d").alias("period_end"), F.sum(F.when(F.col("o_orderstatus") == "F", -1).otherwise(1)).alias("value"))
-    end = F.when(F.col("k") % 5 == 0, F.lit("1990-01-01").cast("date")).otherwise(F.col("d"))
-    capex = rows.where("k % 11 <> 0").groupBy("k").agg(F.max(end).alias("period_end"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("value"))
-    return filings.company_status(cash, capex, "k")
+    rows = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("d"), "o_orderpriority")
+    span = lambda df: df.groupBy("k").agg(F.min("d").alias("period_start"), F.max("d").alias("period_end"))
+    forms = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.when(F.col("c_mktsegment") == "BUILDING", "10-Q").otherwise("8-K").alias("form"))
+    return filings.company_status(span(rows), span(rows.where("o_orderpriority <> '1-URGENT'")), forms, "k")
 
 
 @query("""
@@ -180,12 +195,13 @@ def source_registry_audit(spark, sf_dir):
 
 
 @query("""
-SELECT CAST(event_id AS VARCHAR) AS key, 'ESTIMATE_IN_ACTUALS' AS code FROM events WHERE event_id % 10 = 3""")
+SELECT CAST(event_id AS VARCHAR) AS key, unnest(CASE event_id % 10 WHEN 3 THEN ['FORBIDDEN_KEY'] WHEN 4 THEN ['FORBIDDEN_KEY'] WHEN 5 THEN ['FORBIDDEN_VALUE'] WHEN 6 THEN ['FORBIDDEN_KEY', 'FORBIDDEN_VALUE'] ELSE [] END) AS code FROM events""")
 def consensus_separation_audit(spark, sf_dir):
     i = F.col("event_id") % 10
-    paths = F.array(F.lit("value"), F.when(i == 3, "meta.consensusMean").when(i == 4, "unestimated").otherwise("period_end"))
-    found = audits.consensus_separation(events(spark, sf_dir).select("event_id", paths.alias("paths")), "event_id", "paths", ["consensus", "estimate", "forecast"])
-    return found.select("key", "code")
+    keys = F.array(F.lit("value"), F.when(i == 3, "Consensus-Mean").when(i == 4, "unestimated").when(i == 6, "eps_surprise").otherwise("period_end"))
+    values = F.array(F.when(i == 5, " Analyst consensus ").when(i == 6, "street-estimate").when(i == 7, "no consensus is supported here").otherwise("us-gaap"))
+    rows = events(spark, sf_dir).select("event_id", keys.alias("keys"), values.alias("texts"))
+    return audits.consensus_separation(rows, "event_id", "keys", "texts").select("key", "code")
 
 
 @query("""
@@ -215,8 +231,10 @@ def money_unit_audit(spark, sf_dir):
 
 
 @query("""
-SELECT code, CAST(k AS VARCHAR) AS key FROM (SELECT o_orderkey AS k, 'NOT_RENDERED' AS code FROM orders WHERE o_orderkey % 10 = 0 AND o_orderkey % 4 <> 0
-UNION ALL SELECT o_orderkey, 'STALE_ID' FROM orders WHERE o_orderkey % 4 = 0 AND o_orderkey % 10 <> 0)""")
+SELECT 'NOT_RENDERED' AS code, CAST(o_orderkey AS VARCHAR) AS key FROM orders WHERE o_orderkey % 10 = 0
+UNION ALL SELECT 'STALE_ID', CAST(-o_orderkey - 1 AS VARCHAR) FROM orders WHERE o_orderkey % 10 = 0""")
 def page_boundary_audit(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").select("o_orderkey")
-    return audits.page_boundary(rows.where("o_orderkey % 4 = 0"), rows.where("o_orderkey % 10 = 0"), "o_orderkey").select("code", "key")
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(k.alias("id"))
+    rendered = table(spark, sf_dir, "orders").select(F.when(k % 10 == 0, -k - 1).otherwise(k).alias("id"))
+    return audits.page_boundary(rendered, rows, "id").select("code", "key")

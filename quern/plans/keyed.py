@@ -54,25 +54,27 @@ def merge_last_write_wins(spark, sf_dir):
 
 
 @query("""
-WITH a AS (SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 11 <> 0),
-b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 13 <> 0)
+WITH a AS (SELECT o_orderkey, o_orderstatus, o_custkey FROM orders),
+b AS (SELECT CASE WHEN o_orderkey % 13 = 0 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_custkey FROM orders)
 SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
   CASE WHEN b.o_orderkey IS NULL THEN 'kept' WHEN a.o_orderkey IS NULL THEN 'added' WHEN a.o_orderstatus = b.o_orderstatus THEN 'duplicate' ELSE 'conflict' END AS outcome,
   coalesce(a.o_orderstatus, b.o_orderstatus) AS o_orderstatus, coalesce(a.o_custkey, b.o_custkey) AS o_custkey
 FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey""")
 def merge_conflicts(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
-    changed = rows.where("o_orderkey % 13 <> 0").withColumn(
-        "o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(F.col("o_orderstatus")))
-    return keyed.merge_with_conflicts(rows.where("o_orderkey % 11 <> 0"), changed, "o_orderkey", ["o_orderstatus", "o_custkey"])
+    k = F.col("o_orderkey")
+    changed = rows.select(F.when(k % 13 == 0, -k).otherwise(k).alias("o_orderkey"), F.when(k % 7 == 0, "X").otherwise(F.col("o_orderstatus")).alias("o_orderstatus"), "o_custkey")
+    return keyed.merge_with_conflicts(rows, changed, "o_orderkey", ["o_orderstatus", "o_custkey"])
 
 
 @query("""
-SELECT c_custkey AS custkey, 'missing' AS problem FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice < 150000)
-UNION ALL SELECT DISTINCT o_custkey, 'unexpected' FROM orders WHERE o_totalprice < 150000 AND o_custkey NOT IN (SELECT c_custkey FROM customer)""")
+WITH f AS (SELECT CASE WHEN o_totalprice < 150000 THEN o_custkey ELSE -o_custkey END AS k FROM orders)
+SELECT c_custkey AS custkey, 'missing' AS problem FROM customer WHERE c_custkey NOT IN (SELECT k FROM f)
+UNION ALL SELECT DISTINCT k, 'unexpected' FROM f WHERE k NOT IN (SELECT c_custkey FROM customer)""")
 def set_diff_exact_coverage(spark, sf_dir):
     expected = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"))
-    found = table(spark, sf_dir, "orders").where("o_totalprice < 150000").select(F.col("o_custkey").alias("custkey"))
+    k = F.col("o_custkey")
+    found = table(spark, sf_dir, "orders").select(F.when(F.col("o_totalprice") < 150000, k).otherwise(-k).alias("custkey"))
     return keyed.coverage(expected, found, "custkey")
 
 
@@ -103,13 +105,13 @@ def stable_event_id(spark, sf_dir):
 
 @query("""
 WITH s AS (SELECT s_suppkey AS k, s_name AS name, s_nationkey AS nation, CASE WHEN s_acctbal > 0 THEN s_acctbal END AS balance FROM supplier),
-c AS (SELECT c_custkey AS k, c_name AS name, CASE WHEN c_nationkey <> 3 THEN c_nationkey END AS nation, c_mktsegment AS segment FROM customer WHERE c_custkey % 2 = 0)
+c AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -c_custkey END AS k, c_name AS name, CASE WHEN c_nationkey <> 3 THEN c_nationkey END AS nation, c_mktsegment AS segment FROM customer)
 SELECT coalesce(c.k, s.k) AS k, coalesce(c.name, s.name) AS name, coalesce(c.nation, s.nation) AS nation, balance, segment FROM s FULL JOIN c ON s.k = c.k""")
 def latest_entity_merge(spark, sf_dir):
     left = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"), F.expr("if(s_acctbal > 0, s_acctbal, null)").alias("balance"))
-    right = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(
-        F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.expr("if(c_nationkey <> 3, c_nationkey, null)").alias("nation"), F.col("c_mktsegment").alias("segment"))
+    right = table(spark, sf_dir, "customer").select(
+        F.expr("if(c_custkey % 2 = 0, c_custkey, -c_custkey)").alias("k"), F.col("c_name").alias("name"), F.expr("if(c_nationkey <> 3, c_nationkey, null)").alias("nation"), F.col("c_mktsegment").alias("segment"))
     return keyed.merge_entities(left, right, "k")
 
 
@@ -129,17 +131,37 @@ def modal_period_ties(spark, sf_dir):
 
 
 @query("""
-SELECT c_mktsegment, c_nationkey, count(DISTINCT o_orderstatus) AS tags, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS tag_list,
+SELECT c_mktsegment, CAST(o_orderdate AS DATE) AS day, count(DISTINCT o_orderstatus) AS tags, array_to_string(list_sort(list(DISTINCT o_orderstatus)), ',') AS tag_list,
   CAST(CASE WHEN count(DISTINCT o_orderstatus) = 1 THEN sum(CAST(o_totalprice AS DECIMAL(18,2))) END AS DOUBLE) AS total
-FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 450000 GROUP BY ALL""")
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""")
 def cohort_tag_totals(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").where("o_totalprice > 450000").select(
-        F.col("o_custkey").alias("c_custkey"), "o_orderstatus", money("o_totalprice").alias("price"))
-    rows = rows.join(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey"), "c_custkey")
-    found = keyed.tag_totals(rows, ["c_mktsegment", "c_nationkey"], "o_orderstatus", "price")
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_orderdate").cast("date").alias("day"), "o_orderstatus", money("o_totalprice").alias("price"))
+    rows = rows.join(table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_custkey")
+    found = keyed.tag_totals(rows, ["c_mktsegment", "day"], "o_orderstatus", "price")
     return found.withColumn("tag_list", F.array_join("tag_list", ",")).withColumn("total", F.col("total").cast("double"))
 
 
+@query("""
+WITH n AS (SELECT CAST(c_custkey AS VARCHAR) AS v, row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) - 1 AS pos FROM (SELECT DISTINCT c_custkey FROM customer))
+SELECT pos // 50 AS chunk, count(*) AS n, string_agg(v, ',' ORDER BY v) AS members FROM n GROUP BY 1""")
+def request_chunks(spark, sf_dir):
+    found = keyed.chunked(table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("code")), "code", 50)
+    return found.select("chunk", F.size("values").cast("long").alias("n"), F.array_join("values", ",").alias("members"))
+
+
+@query("""
+WITH e AS (SELECT user_id * 1000 + event_id % 1000 AS id, event_type, ts, event_id FROM events),
+a AS (SELECT id, arg_max(event_id, (ts, event_id)) AS row FROM e WHERE event_type <> 'error' GROUP BY id),
+r AS (SELECT id, arg_max(event_id, (ts, event_id)) AS row FROM e WHERE event_type = 'error' GROUP BY id)
+SELECT id, row, 'accepted' AS list FROM a UNION ALL SELECT id, row, 'rejected' FROM r WHERE id NOT IN (SELECT id FROM a)""")
+def accepted_beats_rejected(spark, sf_dir):
+    rows = events(spark, sf_dir).select((F.col("user_id") * 1000 + F.col("event_id") % 1000).alias("id"), "event_type", "ts", F.col("event_id").alias("row"))
+    good, bad = rows.where("event_type <> 'error'"), rows.where("event_type = 'error'")
+    accepted, rejected = keyed.accepted_and_rejected([good], [bad.limit(0), bad], ["id"], ["ts", "row"])
+    return accepted.select("id", "row", F.lit("accepted").alias("list")).unionByName(rejected.select("id", "row", F.lit("rejected").alias("list")))
+
+
 @query("""
 SELECT s_suppkey, s_nationkey, CAST(round(s_acctbal / max(abs(s_acctbal)) OVER (PARTITION BY s_nationkey) * 100, 1) AS DOUBLE) AS scaled FROM supplier""")
 def maxabs_scaling(spark, sf_dir):

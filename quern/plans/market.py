@@ -15,8 +15,7 @@ _W = "PARTITION BY user_id ORDER BY ts, event_id"
 
 
 @query(f"""
-SELECT user_id, event_id, CASE WHEN count(value) OVER w20 = 20 THEN round(avg(value) OVER w20, 6) END AS mean_20,
-  CASE WHEN count(value) OVER w5 = 5 THEN round(avg(value) OVER w5, 6) END AS mean_5 FROM events
+SELECT user_id, event_id, round(avg(value) OVER w20, 6) AS mean_20, round(avg(value) OVER w5, 6) AS mean_5 FROM events
 WINDOW w20 AS ({_W} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), w5 AS ({_W} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""")
 def rolling_mean_20(spark, sf_dir):
     mean = lambda n: F.round(positioning.trailing_mean("value", *_BY_USER, n), 6)
@@ -134,17 +133,24 @@ def interval_compare(spark, sf_dir):
     return found.select("day", "relation", F.round("difference_low", 8).alias("difference_low"), F.round("difference_high", 8).alias("difference_high"))
 
 
-#: Fixed phrases with their intervals.
+#: Fixed phrases, their direction, and the interval that each stands for.
 PHRASES = (
-    ("up a mid-single-digit percentage", 0.04, 0.06), ("down mid-single digits", -0.06, -0.04), ("mid-to-high-single-digit increase", 0.04, 0.09),
-    ("mid-teens percent range", 0.14, 0.16), ("high-70s", 0.77, 0.79), ("in the mid-80s", 0.84, 0.86), ("increased 12.5%", 0.12, 0.13),
-    ("declined 3 percent", -0.035, -0.025), ("low-single-digit", 0.01, 0.03), ("no figure here", None, None),
+    ("up a mid-single-digit percentage", "increase", 0.04, 0.06), ("mid single digit", "decline", -0.06, -0.04), ("mid-to-high-single-digit increase", "increase", 0.04, 0.09),
+    ("in the mid-teens percent range", "increase", 0.14, 0.16), ("high-70s", "increase", 0.77, 0.79), ("Low–to–mid  80s", "decrease", -0.86, -0.81),
+    ("increased 12.5%", "increase", 0.125, 0.125), ("about 3 %", "down", -0.035, -0.025), ("around 0.2%", "increase", 0.0, 0.007),
+    ("low-double-digit", "increase", 0.10, 0.13), ("high double-digit percentage", "decline", -0.19, -0.17), ("teens", "increase", None, None),
+    ("single digit growth", "increase", None, None), ("no figure here", "decline", None, None),
 )
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(
-    f"('{p}', {'NULL' if a is None else f'CAST({a} AS DOUBLE)'}, {'NULL' if b is None else f'CAST({b} AS DOUBLE)'})" for p, a, b in PHRASES) + ") v(phrase, low, high)")
+def _number(x: float | None) -> str:
+    return "NULL" if x is None else f"CAST({x} AS DOUBLE)"
+
+
+@query("SELECT o_orderkey, phrase, low, high, low IS NULL AS unread FROM orders JOIN (VALUES " + ", ".join(
+    f"({i}, '{p}', {_number(a)}, {_number(b)})" for i, (p, _, a, b) in enumerate(PHRASES)) + f") v(i, phrase, low, high) ON i = o_orderkey % {len(PHRASES)}")
 def qualitative_band(spark, sf_dir):
-    rows = spark.createDataFrame([(p,) for p, _, _ in PHRASES], "phrase string")
-    low, high = intervals.phrase_interval(F.col("phrase"))
-    return rows.select("phrase", low.alias("low"), high.alias("high"))
+    pick = lambda at: F.get(F.array(*(F.lit(p[at]) for p in PHRASES)), (F.col("o_orderkey") % len(PHRASES)).cast("int"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", pick(0).alias("phrase"), pick(1).alias("direction"))
+    low, high, error = intervals.phrase_interval(F.col("phrase"), F.col("direction"))
+    return rows.select("o_orderkey", "phrase", low.alias("low"), high.alias("high"), error.isNotNull().alias("unread"))

@@ -64,50 +64,93 @@ def concept_recency_choice(spark, sf_dir):
 
 @query("""
 WITH e AS (SELECT o_orderkey AS k, o_orderpriority FROM orders),
-f AS (SELECT l_orderkey AS k, count(DISTINCT l_returnflag) AS n, min(l_returnflag) AS v FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1)
+f AS (SELECT CASE WHEN l_orderkey % 9 = 0 THEN -l_orderkey ELSE l_orderkey END AS k, count(DISTINCT l_returnflag) AS n, min(l_returnflag) AS v FROM lineitem GROUP BY 1)
 SELECT e.k, o_orderpriority, CASE WHEN n = 1 THEN v END AS value, CASE WHEN n = 1 THEN 'verified' ELSE 'issue' END AS outcome,
   CASE WHEN n IS NULL THEN 'NO_VERIFIED_FLAG' WHEN n > 1 THEN 'AMBIGUOUS_FLAG' END AS issue FROM e LEFT JOIN f ON e.k = f.k""")
 def verified_exact_key_join(spark, sf_dir):
     events = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), "o_orderpriority")
-    facts = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("k"), "l_returnflag")
+    k = F.col("l_orderkey")
+    facts = table(spark, sf_dir, "lineitem").select(F.when(k % 9 == 0, -k).otherwise(k).alias("k"), "l_returnflag")
     return growth.verified(events, facts, ["k"], ["l_returnflag"], "l_returnflag", "FLAG")
 
 
-def _growth(low: int, high: int, fits: str) -> str:
-    return f"""
-WITH {QUARTERS_SQL},
-m AS (SELECT c.entity, c.period_start, c.period_end, c.value, {fits} AS fits, count(p.value) AS n, min(p.value) AS pv, min(p.period_end) AS pe
-  FROM q c LEFT JOIN q p ON c.entity = p.entity AND date_diff('day', p.period_end, c.period_end) BETWEEN {low} AND {high}
-   AND abs(date_diff('day', c.period_start, c.period_end) - date_diff('day', p.period_start, p.period_end)) <= 7 AND {fits} GROUP BY ALL),
-r AS (SELECT *, CASE WHEN NOT fits THEN 'OUTSIDE_LENGTH' WHEN n = 0 THEN 'NO_COMPARABLE_PERIOD' WHEN n > 1 THEN 'AMBIGUOUS_PRIOR' WHEN pv = 0 THEN 'ZERO_PRIOR' END AS reason FROM m)
-SELECT entity, period_end, CASE WHEN reason IS NULL THEN pe END AS prior_end,
-  CASE WHEN reason IS NULL THEN round(CAST((value - pv) AS DOUBLE) / CAST(abs(pv) AS DOUBLE) * 100, 3) END AS percent,
-  CASE WHEN reason IS NULL THEN 'growth' WHEN reason IN ('AMBIGUOUS_PRIOR', 'ZERO_PRIOR') THEN 'issue' ELSE 'not_calculated' END AS outcome, reason FROM r"""
-
-
-def _shown(found):
-    share = (F.col("value") - F.col("prior_value")).cast("double") / F.abs("prior_value").cast("double") * 100
-    return found.select("entity", "period_end", "prior_end", F.round(share, 3).alias("percent"), "outcome", "reason")
-
-
-@query(_growth(350, 380, "true"))
+#: Facts of filings: every quarter twice, some restated, some with another start, some under another fiscal period's name.
+_FACTS_SQL = QUARTERS_SQL + """,
+f AS (SELECT entity, fy % 2 AS form, period_start, period_end, value, CASE WHEN entity % 6 = 0 AND fy % 3 = 0 THEN NULL WHEN entity % 6 = 1 AND fy % 3 = 0 THEN 'Q' || (5 - fq) ELSE 'Q' || fq END AS fp FROM q
+  UNION ALL SELECT entity, fy % 2, period_start, period_end, value, 'Q' || fq FROM q
+  UNION ALL SELECT entity, fy % 2, period_start, period_end, value + 1, 'Q' || fq FROM q WHERE entity % 7 = 0 AND fy % 4 = 1
+  UNION ALL SELECT entity, fy % 2, period_start - 5, period_end, value, 'Q' || fq FROM q WHERE entity % 11 = 0 AND fy % 4 = 2
+  UNION ALL SELECT entity, 1 - fy % 2, period_start, period_end, 0, 'Q' || fq FROM q WHERE entity % 13 = 0)"""
+
+
+def _facts(spark, sf_dir):
+    q = quarters(spark, sf_dir)
+    e, y, own = F.col("entity"), F.col("fy"), F.concat(F.lit("Q"), F.col("fq").cast("string"))
+    other = F.when((e % 6 == 0) & (y % 3 == 0), F.lit(None)).when((e % 6 == 1) & (y % 3 == 0), F.concat(F.lit("Q"), (5 - F.col("fq")).cast("string"))).otherwise(own)
+    pick = lambda df, form, start, value, fp: df.select("entity", form.alias("form"), start.alias("period_start"), "period_end", value.cast("decimal(28,2)").alias("value"), fp.alias("fp"))
+    start, value = F.col("period_start"), F.col("value")
+    parts = [pick(q, y % 2, start, value, other), pick(q, y % 2, start, value, own), pick(q.where((e % 7 == 0) & (y % 4 == 1)), y % 2, start, value + 1, own),
+             pick(q.where((e % 11 == 0) & (y % 4 == 2)), y % 2, F.date_sub(start, 5), value, own), pick(q.where(e % 13 == 0), 1 - y % 2, start, F.lit(0), own)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _growth(low: int, high: int, fits: str, keys: tuple[str, ...], fp: str, label: str) -> str:
+    same = " AND ".join(f"p.{k} = c.{k}" for k in keys)
+    cols = ", ".join(keys)
+    hundredths = "CAST(CAST({} AS DECIMAL(28,2)) * 100 AS HUGEINT)"
+    d, b = hundredths.format("(value - pv)"), hundredths.format("abs(pv)")
+    return f"""(
+WITH c AS (SELECT DISTINCT {cols}, period_start, period_end, value, fp FROM f),
+s AS (SELECT {cols}, period_end, value, count(DISTINCT period_start) AS starts FROM c GROUP BY ALL),
+m AS (SELECT c.*, (SELECT starts FROM s p WHERE {same} AND p.period_end = c.period_end AND p.value = c.value) AS starts, {fits} AS fits,
+  (SELECT list(DISTINCT (p.period_start, p.period_end, p.value)) FROM c p WHERE {same} AND date_diff('day', p.period_end, c.period_end) BETWEEN {low} AND {high}
+   AND abs(date_diff('day', c.period_start, c.period_end) - date_diff('day', p.period_start, p.period_end)) <= 7 {fp}) AS found FROM c),
+n AS (SELECT *, coalesce(len(found), 0) AS n, found[1][2] AS pe, found[1][3] AS pv FROM m),
+r AS (SELECT *, CASE WHEN starts > 1 THEN 'AMBIGUOUS_CURRENT' WHEN NOT fits THEN 'OUTSIDE_LENGTH' WHEN n = 0 THEN 'NO_COMPARABLE_PERIOD' WHEN n > 1 THEN 'AMBIGUOUS_PRIOR'
+  WHEN pv = 0 THEN 'ZERO_PRIOR' END AS reason FROM n)
+SELECT {cols}, period_start, period_end, fp, CAST(value AS DOUBLE) AS value, CASE WHEN reason IS NULL THEN pe END AS prior_end,
+  CASE WHEN reason IS NULL THEN CAST((CASE WHEN value < pv THEN -1 ELSE 1 END) * ((2 * abs({d}) * 1000000 + {b}) // (2 * {b})) AS DOUBLE) / 10000 END AS percent,
+  CASE WHEN reason IS NULL THEN 'growth' WHEN reason IN ('OUTSIDE_LENGTH', 'NO_COMPARABLE_PERIOD') THEN 'not_calculated' ELSE 'issue' END AS outcome, reason{label} FROM r)"""
+
+
+_FP = "AND (p.fp IS NULL OR c.fp IS NULL OR p.fp = c.fp)"
+_YOY = lambda label: _growth(350, 380, "true", ("entity", "form"), _FP, label)
+_QOQ = lambda label: _growth(70, 110, "date_diff('day', c.period_start, c.period_end) BETWEEN 70 AND 110", ("entity", "form"), _FP, label)
+
+
+def _shown(found, *more):
+    numbers = {"value": F.col("value").cast("double"), "percent": F.col("percent").cast("double")}
+    return found.withColumns(numbers).select("entity", "form", "period_start", "period_end", "fp", "value", "prior_end", "percent", "outcome", "reason", *more)
+
+
+@query(f"WITH {_FACTS_SQL} SELECT * FROM {_YOY('')}")
 def growth_yoy_band_join(spark, sf_dir):
-    return _shown(growth.year_on_year(quarters(spark, sf_dir).select("entity", "period_start", "period_end", "value"), ["entity"]))
+    return _shown(growth.year_on_year(_facts(spark, sf_dir), ["entity", "form"], ["fp"]))
 
 
-@query(_growth(70, 110, "date_diff('day', c.period_start, c.period_end) BETWEEN 70 AND 110"))
+@query(f"""WITH {_FACTS_SQL.replace("'Q' || fq", "'Q'").replace("'Q' || (5 - fq)", "'Q'")} SELECT * FROM {_QOQ('')}""")
 def growth_qoq_with_reasons(spark, sf_dir):
-    return _shown(growth.quarter_on_quarter(quarters(spark, sf_dir).select("entity", "period_start", "period_end", "value"), ["entity"]))
+    facts = _facts(spark, sf_dir).withColumn("fp", F.when(F.col("fp").isNotNull(), "Q"))
+    return _shown(growth.compared(facts, facts, ["entity", "form"], growth.QUARTER, growth.QUARTER, ["fp"]))
+
+
+@query(f"""WITH {_FACTS_SQL} SELECT * FROM {_YOY(", 'YoY' AS growth_type")} UNION ALL SELECT * FROM {_QOQ(", 'QoQ' AS growth_type")}""")
+def persisted_growth(spark, sf_dir):
+    return _shown(growth.both_growths(_facts(spark, sf_dir), ["entity", "form"], ["fp"]), "growth_type")
 
 
 @query("""
-WITH a AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS value, min(o_orderpriority) AS basis FROM orders GROUP BY ALL),
-l AS (SELECT *, lag(value) OVER w AS prior_value, year - lag(year) OVER w AS gap, lag(basis) OVER w IS NOT DISTINCT FROM basis AS same FROM a WINDOW w AS (PARTITION BY o_custkey ORDER BY year))
-SELECT o_custkey, year, prior_value, CASE WHEN gap IS NULL THEN 'no_prior_year' WHEN gap <> 1 THEN 'gap_in_years' WHEN NOT same THEN 'not_comparable' END AS null_reason,
-  CASE WHEN gap = 1 AND same THEN round(value / prior_value - 1, 8) END AS ratio FROM l""")
+WITH a AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(sum(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS value, nullif(min(o_orderpriority), '5-LOW') AS basis FROM orders GROUP BY ALL),
+l AS (SELECT *, row_number() OVER w > 1 AND lag(basis) OVER w IS NOT DISTINCT FROM basis AS comparable, lag(value) OVER w AS prior_value FROM a WINDOW w AS (PARTITION BY o_custkey ORDER BY year))
+SELECT o_custkey, year, prior_value, CASE WHEN NOT comparable THEN 'no_comparable_prior_period' WHEN value IS NULL OR prior_value IS NULL OR prior_value = 0 THEN 'missing_or_zero_prior_revenue' END AS null_reason,
+  CASE WHEN comparable AND prior_value <> 0 THEN round(value / prior_value - 1, 8) END AS ratio FROM l""")
 def adjacent_year_gate(spark, sf_dir):
+    price = F.when(F.col("o_orderstatus") == "P", F.lit(0).cast("decimal(18,2)")).otherwise(money("o_totalprice"))
     rows = table(spark, sf_dir, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(
-        F.sum(money("o_totalprice")).cast("double").alias("value"), F.min("o_orderpriority").alias("basis"))
+        F.sum(price).cast("double").alias("value"), F.nullif(F.min("o_orderpriority"), F.lit("5-LOW")).alias("basis"))
     found = periods.adjacent_years(rows, ["o_custkey"], "year", "value", ["basis"])
     return found.select("o_custkey", "year", "prior_value", "null_reason", F.round("ratio", 8).alias("ratio"))
 
@@ -150,15 +193,16 @@ def aligned_periods(spark, sf_dir):
 
 
 @query("""
-WITH a AS (SELECT o_orderkey AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS v, year(o_orderdate) AS y FROM orders WHERE o_orderkey % 5 <> 0),
-b AS (SELECT o_orderkey AS k, CAST(o_orderkey AS DECIMAL(18,2)) AS v, CASE WHEN o_orderkey % 9 = 0 THEN 1900 ELSE year(o_orderdate) END AS y FROM orders WHERE o_orderkey % 4 <> 0),
+WITH a AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN -o_orderkey ELSE o_orderkey END AS k, CAST(o_totalprice AS DECIMAL(18,2)) AS v, year(o_orderdate) AS y FROM orders),
+b AS (SELECT CASE WHEN o_orderkey % 4 = 0 THEN -2 * o_orderkey ELSE o_orderkey END AS k, CAST(o_orderkey * (1 - 2 * (o_orderkey % 2)) AS DECIMAL(18,2)) AS v, CASE WHEN o_orderkey % 9 = 0 THEN 1900 ELSE year(o_orderdate) END AS y FROM orders),
 j AS (SELECT coalesce(a.k, b.k) AS k, a.v AS av, b.v AS bv, CASE WHEN a.k IS NULL THEN 'MISSING_OPERATING_CASH_FLOW' WHEN b.k IS NULL THEN 'MISSING_CAPITAL_EXPENDITURE'
   WHEN a.y <> b.y THEN 'PERIOD_MISMATCH' END AS issue FROM a FULL JOIN b ON a.k = b.k)
-SELECT k, CAST(CASE WHEN issue IS NULL THEN av - bv END AS DOUBLE) AS value, issue FROM j""")
+SELECT k, CAST(CASE WHEN issue IS NULL THEN av - bv END AS DOUBLE) AS value, CAST(CASE WHEN issue IS NULL THEN av - abs(bv) END AS DOUBLE) AS by_magnitude, issue FROM j""")
 def free_cash_flow(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), money("o_totalprice").alias("value"), F.year("o_orderdate").alias("y"))
-    side = lambda df, y: df.withColumn("period_start", y).withColumn("period_end", y).drop("y")
-    cash = side(rows.where("k % 5 <> 0"), F.col("y"))
-    capex = side(rows.where("k % 4 <> 0").withColumn("value", F.col("k").cast("decimal(18,2)")), F.when(F.col("k") % 9 == 0, 1900).otherwise(F.col("y")))
-    found = growth.free_cash_flow(cash, capex, ["k"])
-    return found.withColumn("value", F.col("value").cast("double"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), money("o_totalprice").alias("v"), F.year("o_orderdate").alias("y"))
+    side = lambda key, value, y: rows.select(key.alias("k"), value.alias("value"), y.alias("period_start"), y.alias("period_end"))
+    k = F.col("k")
+    cash = side(F.when(k % 5 == 0, -k).otherwise(k), F.col("v"), F.col("y"))
+    capex = side(F.when(k % 4 == 0, -2 * k).otherwise(k), (k * (1 - 2 * (k % 2))).cast("decimal(18,2)"), F.when(k % 9 == 0, 1900).otherwise(F.col("y")))
+    both = growth.free_cash_flow(cash, capex, ["k"]).join(growth.free_cash_flow(cash, capex, ["k"], magnitude=True).select("k", F.col("value").alias("by_magnitude")), "k")
+    return both.select("k", F.col("value").cast("double").alias("value"), F.col("by_magnitude").cast("double").alias("by_magnitude"), "issue")

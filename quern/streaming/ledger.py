@@ -1,4 +1,4 @@
-"""The event ledger as a stream: dedup across runs, a side output for late and future events, per-document state."""
+"""The event ledger as a stream: last writes over all runs, a side output for late events, per-document state."""
 
 from __future__ import annotations
 
@@ -9,19 +9,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quern.operators.audits import freshness
+from quern.session import shared_path
 
 
-def stream(spark: SparkSession, path: str, name: str, schema, time: str) -> DataFrame:
-    """A Parquet file or folder as a stream, its time column as an instant so that watermarks accept it.
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory()
 
-    The reader wants a folder: a single file is found by its name in the folder that holds it.
+
+def stream(spark: SparkSession, path: str, name: str, schema, time: str, files: int = 64) -> DataFrame:
+    """The table `name`.parquet of a folder as a stream, its time column as an instant so that watermarks accept it.
+
+    A table that is itself a folder of part files is read as such; a single file is found by its name in the folder that holds it.
     """
-    folder = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").option("maxFilesPerTrigger", 64)
-    return folder.parquet(path).withColumn(time, F.col(time).cast("timestamp"))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    whole = f"{path.rstrip('/')}/{name}.parquet"
+    source = reader.parquet(whole) if _is_folder(spark, whole) else reader.option("pathGlobFilter", f"{name}.parquet").parquet(path)
+    return source.withColumn(time, F.col(time).cast("timestamp"))
 
 
 def deduplicated(events: DataFrame, key: str, time: str, late: str = "1 hour") -> DataFrame:
-    """Each id once, with state bounded by the watermark."""
+    """Each id once, with state bounded by the watermark; rows behind it are DROPPED by Spark, so give the stream that `upsert` keeps whole to audits."""
     return events.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
@@ -30,26 +38,39 @@ def gated(events: DataFrame, time: str, run_at: Column, hours: int = 24) -> Data
     return events.withColumn("disposition", freshness(F.col(time), run_at, hours))
 
 
-def upsert(events: DataFrame, path: str, key: str, order: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch writer: a batch's new ids are appended as one file set per epoch; replaying an epoch overwrites its own files.
+def upsert(path: str, key: str, order: str, time: str | None = None, late: str = "1 hour") -> Callable[[DataFrame, int], None]:
+    """A foreachBatch writer: each epoch's last row of every id goes to `path`/rows, one folder an epoch, so replaying an epoch overwrites its own files.
 
-    The exact form of dedup without a watermark: an id that an earlier epoch holds is left out by an anti join.
+    Nothing is read back but, if `time` is given, the latest time of earlier epochs
+    (`path`/marks, one row an epoch): rows more than `late` behind it go to
+    `path`/late as well, so they are seen and never lost. `latest` gives the state.
     """
-    spark = events.sparkSession
 
     def write(batch: DataFrame, epoch: int) -> None:
-        one = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.col(order)).alias("_r")).select("_r.*")
+        batch.persist()
         try:
-            past = spark.read.parquet(path).where(F.col("epoch") != epoch)
-            one = one.join(past.select(key), key, "left_anti").select(*batch.columns)
-        except Exception as missing:  # the first epoch finds no folder
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-        one.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+            one = batch.groupBy(key).agg(F.max_by(F.struct(*batch.columns), F.col(order)).alias("_r")).select("_r.*")
+            one.write.mode("overwrite").parquet(f"{path}/rows/epoch={epoch}")
+            if time:
+                spark = batch.sparkSession
+                batch.agg(F.max(time).alias("high")).write.mode("overwrite").parquet(f"{path}/marks/epoch={epoch}")
+                marks = spark.read.schema("high timestamp, epoch long").parquet(f"{path}/marks").where(F.col("epoch") < epoch)
+                high = marks.agg(F.max("high")).first()[0]
+                behind = F.lit(False) if high is None else F.col(time) < F.lit(high) - F.expr(f"interval {late}")
+                batch.where(behind).write.mode("overwrite").parquet(f"{path}/late/epoch={epoch}")
+        finally:
+            batch.unpersist()
 
     return write
 
 
+def latest(spark: SparkSession, path: str, schema, key: str) -> DataFrame:
+    """The ledger that `upsert` has written: of each id the row of its last epoch."""
+    names = schema.fieldNames()
+    rows = spark.read.schema(schema.add("epoch", "long") if "epoch" not in names else schema).parquet(f"{path}/rows")
+    return rows.groupBy(key).agg(F.max_by(F.struct(*names), "epoch").alias("_r")).select("_r.*")
+
+
 def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Processes what is there and stops."""
     query = df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -77,14 +98,10 @@ def document_state(previous: DataFrame, seen: DataFrame, run_at: Column) -> Data
         retries.cast("int").alias("retries"))
 
 
-def collected(df: DataFrame) -> DataFrame:
-    """What a stream gives for the data that is there: run to its end into the shared folder, and read back."""
-    import tempfile
-    import uuid
+def collected(df: DataFrame, key: str, order: str) -> DataFrame:
+    """The ledger of the data that is there: the stream run to its end into the shared folder, and its last writes read back."""
+    from copy import deepcopy
 
-    spark = df.sparkSession
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quern-")
-    path = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
-    query = df.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{path}/rows")
+    path = shared_path(df.sparkSession, "stream")
+    run_available(df, upsert(f"{path}/ledger", key, order), f"{path}/state")
+    return latest(df.sparkSession, f"{path}/ledger", deepcopy(df.schema), key)

@@ -75,7 +75,8 @@ def test_merge_conflicts_and_coverage(spark):
         (1, "kept", "x"), (2, "conflict", "y"), (3, "duplicate", None), (4, "added", "n")}
     assert {(r.id, r.problem) for r in keyed.coverage(a, b, "id").collect()} == {(1, "missing"), (4, "unexpected")}
     assert keyed.union_unique([a, b], "id")[1].count() == 2
-    assert sum(len(r["values"]) for r in keyed.chunked(spark.range(130), "id", 50).collect()) == 130
+    lists = [r["values"] for r in keyed.chunked(spark.range(130).select(F.col("id").cast("string")).union(spark.range(5).select(F.lit(None).cast("string"))), "id", 50).orderBy("chunk").collect()]
+    assert list(map(len, lists)) == [50, 50, 30] and [x for part in lists for x in part] == sorted(map(str, range(130)))
 
 
 def quarter_rows(spark, values, entity="e"):
@@ -93,8 +94,30 @@ def test_growth(spark):
     assert (qoq[date(2024, 3, 31)].outcome, qoq[date(2024, 3, 31)].reason) == ("issue", "ZERO_PRIOR")
     yoy = {r.period_end: r for r in growth.year_on_year(rows, ["entity"]).collect()}
     assert float(yoy[date(2024, 3, 31)].percent) == 50.0
+    again = growth.year_on_year(rows.unionByName(rows), ["entity"])
+    assert sorted(map(str, again.collect())) == sorted(map(str, growth.year_on_year(rows, ["entity"]).collect()))  # repeated facts count once
     twice = rows.unionByName(rows.where("value = 80").withColumn("value", F.lit(81.0)))
     assert {r.reason for r in growth.year_on_year(twice, ["entity"]).where("value = 120 and period_end > '2024-01-01'").collect()} == {"AMBIGUOUS_PRIOR"}
+    started = rows.unionByName(rows.where("period_end > '2024-01-01'").withColumn("period_start", F.lit(date(2024, 1, 3))))
+    assert {r.reason for r in growth.year_on_year(started, ["entity"]).where("period_end > '2024-01-01'").collect()} == {"AMBIGUOUS_CURRENT"}
+    named = rows.withColumn("fp", F.when(F.col("period_end") > "2024-01-01", "Q1").otherwise("FY"))
+    assert growth.year_on_year(named, ["entity"], ["fp"]).where("period_end > '2024-01-01'").first().reason == "NO_COMPARABLE_PERIOD"
+    unnamed = rows.withColumn("fp", F.when(F.col("period_end") > "2024-01-01", "Q1"))
+    assert growth.year_on_year(unnamed, ["entity"], ["fp"]).where("period_end > '2024-01-01'").first().reason is None
+
+
+def test_adjacent_years(spark):
+    rows = [("a", 2020, 10.0, "x"), ("a", 2022, 20.0, "x"), ("a", 2023, 5.0, "y"), ("a", 2024, 5.0, "y"), ("a", 2025, None, "y"), ("b", 2020, 0.0, None), ("b", 2021, 1.0, None)]
+    df = spark.createDataFrame(rows, "k string, y int, v double, basis string")
+    got = {(r.k, r.y): (r.ratio, r.null_reason) for r in periods.adjacent_years(df, ["k"], "y", "v", ["basis"]).collect()}
+    none, zero = "no_comparable_prior_period", "missing_or_zero_prior_revenue"
+    assert got == {("a", 2020): (None, none), ("a", 2022): (1.0, None), ("a", 2023): (None, none), ("a", 2024): (0.0, None), ("a", 2025): (None, zero),
+                   ("b", 2020): (None, none), ("b", 2021): (None, zero)}
+
+
+def test_trailing_mean_takes_what_is_there(spark):
+    df = spark.createDataFrame([("a", i, float(v)) for i, v in enumerate((2, 4, 9))], "k string, t int, v double")
+    assert [r.m for r in df.select("t", positioning.trailing_mean("v", ["k"], ["t"], 2).alias("m")).orderBy("t").collect()] == [2.0, 3.0, 6.5]
 
 
 def test_verified_signatures(spark):
@@ -123,11 +146,15 @@ def test_recent_concept_beats_listed_order(spark):
 
 def test_phrases_and_intervals(spark):
     cases = {
-        "mid-single-digit percentage increase": (0.04, 0.06), "down mid-single-digit": (-0.06, -0.04), "mid-to-high-single-digit": (0.04, 0.09),
-        "mid-teens": (0.14, 0.16), "high-70s": (0.77, 0.79), "mid-80s": (0.84, 0.86), "up 5%": (0.045, 0.055), "flat": (None, None)}
+        "mid-single-digit percentage increase": (0.04, 0.06), "mid-to-high-single-digit": (0.04, 0.09), "mid-teens": (0.14, 0.16), "high-70s": (0.77, 0.79),
+        "mid-80s": (0.84, 0.86), "up 5%": (0.05, 0.05), "approximately 5%": (0.045, 0.055), "mid double digit": (0.14, 0.16), "low–to–mid-teens": (0.11, 0.16),
+        "teens": (None, None), "single digit": (None, None), "double-digit": (None, None), "flat": (None, None)}
     df = spark.createDataFrame([(p,) for p in cases], "p string")
-    low, high = intervals.phrase_interval(F.col("p"))
-    assert {r.p: (r.a, r.b) for r in df.select("p", low.alias("a"), high.alias("b")).collect()} == cases
+    low, high, error = intervals.phrase_interval(F.col("p"))
+    got = df.select("p", low.alias("a"), high.alias("b"), error.alias("e")).collect()
+    assert {r.p: (r.a, r.b) for r in got} == cases and all((r.a is None) == (r.e is not None) for r in got)
+    low, high, _ = intervals.phrase_interval(F.col("p"), "decline")
+    assert df.where("p = 'mid-teens'").select(low.alias("a"), high.alias("b")).first() == (-0.16, -0.14)
     rows = spark.createDataFrame([(date(2023, m, 1), 0.1, 0.2) for m in (1, 4, 7, 10)] + [(date(2024, 8, 1), 0.1, 0.2)], "d date, lo double, hi double").withColumn("k", F.lit(1))
     got = intervals.compounded(rows, ["k"], "d", "lo", "hi").orderBy("d").collect()
     assert [r.compound_low for r in got] == [None, None, None, 0.4641, None] and got[3].compound_high == 1.0736
@@ -149,11 +176,13 @@ def test_scenarios_and_rules(spark):
     got = {(r.c, r.scenario): (r.band, r.runway_years) for r in analytics.scenarios(rows).collect()}
     assert got["rich", "crisis"] == ("self_funding", None) if 100 * 0.1 >= 5 else True
     assert got["poor", "cycle"][0] == "under_two_years" and got["poor", "cycle"][1] == pytest.approx(30 / 27)
-    m = spark.createDataFrame([("a", None, True), ("b", None, False), ("c", 1.0, False)], "c string, runway double, free boolean")
-    rules = [("r", "runway", "at_least", 2.0)]
-    assert {r.c: r.result for r in analytics.evaluated(m, "c", rules, F.col("free")).collect()} == {"a": "pass", "b": "unknown", "c": "fail"}
-    classes = analytics.classified(analytics.evaluated(m, "c", rules, F.col("free")), "c")
-    assert {r["class"]: r.companies for r in analytics.class_counts(classes).collect()} == {"resilient": 1, "watch": 1, "vulnerable": 0, "incomplete": 1}
+    m = spark.createDataFrame([("a", None, None, True), ("b", None, 0.0, False), ("c", 1.0, 0.1, False)], "c string, runway double, margin double, free boolean")
+    rules = [("runway", "runway", "at_least", 2.0), ("margin", "margin", "above", 0.0)]
+    assert {(r.c, r.rule): r.result for r in analytics.evaluated(m, "c", rules, {"runway": F.col("free")}).collect()} == {
+        ("a", "runway"): "pass", ("a", "margin"): "unknown", ("b", "runway"): "unknown", ("b", "margin"): "fail", ("c", "runway"): "fail", ("c", "margin"): "pass"}
+    bands = [("under_two_years", 5.0, 1.0), ("two_to_five_years", 5.0, 1.0), ("five_years_plus", 5.0, 1.0), ("self_funding", -1.0, 1.0), ("self_funding", 1.0, 0.7), ("self_funding", 1.0, 0.8)]
+    classes = analytics.classified(spark.createDataFrame(bands, "severe_band string, latest_fcf double, data_completeness double"))
+    assert {r["class"]: r.companies for r in analytics.class_counts(classes).collect()} == {"resilient": 1, "watch": 3, "vulnerable": 1, "incomplete": 1}
 
 
 def test_freshness_bounds(spark):
@@ -169,10 +198,14 @@ def test_audits_fail_closed(spark):
     rows = spark.createDataFrame([("a", "x", "https://a.gov/1"), ("a", None, "https://b.gov/1")], "event_id string, company string, source_url string")
     rows = rows.withColumn("published_at", F.lit("2024-01-02 00:05:01").cast("timestamp"))
     found = audits.ledger(rows, run, ["event_id", "company"], ["a.gov"])
-    assert sorted(r.code for r in found.collect()) == sorted(["DUPLICATE_EVENT_ID"] * 2 + ["FUTURE_PUBLISHED_AT"] * 2 + ["MISSING_REQUIRED_FIELD", "NON_PRIMARY_DOMAIN"])
+    assert sorted(r.code for r in found.collect()) == sorted(["FUTURE_PUBLISHED_AT", "MISSING_REQUIRED_FIELD"])  # a row that lacks a field has no further issue
+    three = rows.where("company is not null").withColumn("seq", F.lit(1))
+    three = three.unionByName(three.withColumn("seq", F.lit(2))).unionByName(three.withColumn("seq", F.lit(3)).withColumn("published_at", F.lit(None).cast("timestamp")).withColumn("source_url", F.lit("http://b.gov/")))
+    assert sorted(r.code for r in audits.ledger(three, run, ["event_id", "company"], ["a.gov"], "seq").collect()) == sorted(
+        ["DUPLICATE_EVENT_ID"] * 2 + ["FUTURE_PUBLISHED_AT"] * 2 + ["INVALID_PUBLISHED_AT"])
     states = audits.status(found, ["ledger", "other"])
     assert {r.audit: r.status for r in states.collect()} == {"ledger": "FAIL", "other": "PASS"}
-    with pytest.raises(audits.GateClosed, match="ledger: 6"):
+    with pytest.raises(audits.GateClosed, match="ledger: 2"):
         audits.gate(states)
     audits.gate(states.where("audit = 'other'"))
     manifest = spark.createDataFrame([("a", "h", 1), ("b", "h", 1), ("../c", "h", 1), ("d", "g", 2)], "path string, sha256 string, size_bytes long")
@@ -185,11 +218,11 @@ def test_audits_fail_closed(spark):
 
 def test_closure_ends_on_a_cycle(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "x string, y string")
-    assert lineage.closure(edges, "x", "y", 5).count() == 9
+    assert lineage.closure(edges, "x", "y").count() == 9
 
 
 def test_text(spark):
-    html = "<html><script>var a='<p>';</script><p>Q1 results: revenue&nbsp;up</p><!-- x --><a href='/a'>A</a><a class=x href=\"b?c=1\">B</a></html>"
+    html = "<html><script>var a='<p>';</script><p>Q1 financial results: revenue&nbsp;up</p><!-- x --><a href='/a'>A</a><a class=x href=\"b?c=1\">B</a></html>"
     df = spark.createDataFrame([(html, bytearray("株".encode("cp932")), '{"b":[{"c":1}],"a":"é"}')], "h string, raw binary, j string")
     r = df.select(
         T.visible_text(F.col("h")).alias("v"), T.links(F.col("h")).alias("l"), T.earnings_text(F.col("h")).alias("e"), T.decoded(F.col("raw")).alias("d"),
@@ -197,7 +230,7 @@ def test_text(spark):
         T.monthly_sales(F.lit("Sales were $57.8 billion in May.")).alias("m"),
         T.product_window(F.lit("NAND bit shipments up mid-teens. DRAM up 5%"), "NAND", ["DRAM"], r"\d+%").alias("rival"),
         T.product_window(F.lit("NAND bit shipments up 7% and DRAM up 5%"), "NAND", ["DRAM"], r"\d+%").alias("hit")).first()
-    assert r.v == "Q1 results: revenue up A B" and r.l == ["/a", "b?c=1"] and r.e and r.d == "株"
+    assert r.v == "Q1 financial results: revenue up A B" and r.l == ["/a", "b?c=1"] and r.e and r.d == "株"
     assert r.k == ["a", "b", "b[].c"] and r.c == r.want and r.m == 57.8 and r.rival is None and r.hit == "7%"
 
 
@@ -221,7 +254,11 @@ def test_filing_rules(spark):
     with pytest.raises(ValueError, match="not fields"):
         filings.as_observations(rows)
     obs = filings.as_observations(spark.createDataFrame([("e", "c", 1.0)], "entity_id string, concept_id string, value double"))
-    assert obs.columns == list(filings.OBSERVATION) and obs.first().id.startswith("observation:") and obs.first().revision == 0
+    r = obs.first()
+    assert obs.columns == list(filings.OBSERVATION) and r.id.startswith("observation:") and (r.revision, r.scope, r.period_type) == (0, "consolidated", "unknown")
+    assert r.assumptions == r.evidence_ids == r.quality_flags == [] and r.model_id is None and r.source_api_url is None
+    years = spark.createDataFrame([("k", 2023, "Q1", 1.0, 1), ("k", 2023, "Q1", 2.0, 2), ("k", 2024, "Q1", 5.0, 1), ("k", 2026, "Q1", 6.0, 1)], "k string, y int, p string, v double, n int")
+    assert [x.prior_year_value for x in filings.prior_year_same_period(years, ["k"], "y", "p", "v", "n").orderBy("y", "n").collect()] == [None, None, 1.0, None]
     base = spark.createDataFrame([(1, "x", 5)], "cik int, accession string, v int")
     need = spark.createDataFrame([(1, "x"), (1, "y")], "cik int, accession string")
     assert [r.accession for r in filings.missing_accessions(need, base).collect()] == ["y"]
@@ -231,8 +268,20 @@ def test_filing_rules(spark):
     assert [r.c for r in q.select(filings.canonical_source(F.col("s"), F.col("p"), ["edinet"]).alias("c")).collect()] == [None, "third_party_source", "third_party_previous_source"]
 
 
-def test_closure_refuses_longer_paths(spark):
-    edges = spark.createDataFrame([(i, i + 1) for i in range(4)], "x int, y int")
-    assert lineage.closure(edges, "x", "y", 4).count() == 10
-    with pytest.raises(Exception, match="paths over 3 hops"):
-        lineage.closure(edges, "x", "y", 3).collect()
+def test_closure_of_long_paths_and_diamonds(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(20)], "x int, y int")
+    got = {(r.x, r.y): r.hops for r in lineage.closure(path, "x", "y").collect()}
+    assert got == {(i, j): j - i for i in range(21) for j in range(i + 1, 21)}
+    diamonds = spark.createDataFrame([(3 * i + a, 3 * i + b) for i in range(6) for a, b in ((0, 1), (0, 2), (1, 3), (2, 3))], "x int, y int")
+    assert lineage.closure(diamonds, "x", "y").where("x = 0 and y = 18").first().hops == 12
+    assert lineage.closure(path.limit(0), "x", "y").count() == 0
+
+
+def test_six_k_reasons(spark):
+    from quern.operators import filings
+
+    rows = [("a", "6-K", None, None), ("b", "6-K", None, "d.htm"), ("c", "6-K", "Results for the year; net income", "d.htm"), ("d", "6-K", "results and earnings of the quarter: revenue", "d.htm"),
+            ("e", "8-K", "", ""), ("f", "40-F", "", ""), ("g", "20-F", "", "")]
+    df = spark.createDataFrame(rows, "k string, form string, text string, doc string")
+    got = {r.k: r.r for r in df.select("k", filings.form_reason(F.col("form"), F.lit(None).cast("string"), F.col("text"), F.col("doc")).alias("r")).collect()}
+    assert got == {"a": "UNVERIFIED_6K", "b": "SOURCE_FETCH_FAILED", "c": None, "d": "NOT_EARNINGS_RELATED", "e": "NOT_EARNINGS_RELATED", "f": "NOT_EARNINGS_RELATED", "g": None}

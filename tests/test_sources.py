@@ -105,17 +105,33 @@ def test_stream_replay_changes_nothing(spark, tmp_path):
     rows.coalesce(1).write.parquet(f"{tmp_path}/in/a.parquet")
     rows.coalesce(1).withColumn("v", F.lit(9)).write.parquet(f"{tmp_path}/in/b.parquet")
     stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in").withColumn("t", F.col("t").cast("timestamp"))
-    sink = ledger.upsert(stream, f"{tmp_path}/out", "id", "v")
+    sink = ledger.upsert(f"{tmp_path}/out", "id", "v")
     ledger.run_available(stream, sink, f"{tmp_path}/c1")
-    out = spark.read.parquet(f"{tmp_path}/out")
-    assert out.count() == 9
+    out = ledger.latest(spark, f"{tmp_path}/out", stream.schema, "id")
+    assert out.count() == 9 and [r.v for r in out.select("v").distinct().collect()] == [9]  # the later write wins
     ledger.run_available(stream, sink, f"{tmp_path}/c2")
-    assert spark.read.parquet(f"{tmp_path}/out").select("id").distinct().count() == 9
+    assert ledger.latest(spark, f"{tmp_path}/out", stream.schema, "id").count() == 9
     gated = ledger.gated(stream, "t", F.lit("2024-01-02 12:00:00").cast("timestamp"))
-    got = ledger.collected(ledger.deduplicated(gated, "id", "t", "9 days").select("id", "disposition"))
+    got = ledger.collected(gated.select("id", "disposition", "t"), "id", "t")
     assert got.count() == 9 and got.where("disposition = 'future'").count() == 3
 
 
+def test_stream_of_a_folder_table_and_late_rows(spark, tmp_path):
+    times = ["2024-01-05 00:00:00", "2024-01-01 00:00:00", "2024-01-04 23:30:00"]
+    for i, t in enumerate(times):
+        spark.createDataFrame([(i, t)], "id int, t string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/events.parquet")
+    schema = spark.read.parquet(f"{tmp_path}/in/events.parquet").schema
+    rows = ledger.stream(spark, f"{tmp_path}/in", "events", schema, "t", files=1)
+    ledger.run_available(rows, ledger.upsert(f"{tmp_path}/out", "id", "t", "t", "1 hour"), f"{tmp_path}/c")
+    assert ledger.latest(spark, f"{tmp_path}/out", rows.schema, "id").count() == 3  # none is lost
+    assert [r.id for r in spark.read.parquet(f"{tmp_path}/out/late").collect()] in ([1], [])
+    seen = spark.read.parquet(f"{tmp_path}/out/rows")
+    assert seen.select("epoch").distinct().count() == 3
+    order = [r.id for r in seen.orderBy("epoch").collect()]
+    late = {i for n, i in enumerate(order) if any(times[j][:10] > times[i][:10] and i == 1 for j in order[:n])}
+    assert {r.id for r in spark.read.parquet(f"{tmp_path}/out/late").collect()} == late
+
+
 def test_document_state(spark):
     t = F.lit("2024-01-02").cast("timestamp")
     old = spark.createDataFrame([("a", "h", "changed", 0), ("b", "h", "changed", 1), ("c", "h", "unchanged", 0)], "url string, sha256 string, status string, retries int")
