@@ -133,6 +133,31 @@ def accounting_basis(metrics: DataFrame, raw: Sequence[str], derived: Sequence[s
         "MISSING_INPUTS": name.isin(*derived) & (F.coalesce(F.size("inputs"), F.lit(0)) < 2)})
 
 
+#: Fixed contexts that a filing's form supports by itself.
+CONTEXTS = {
+    "10-K": "US_GAAP_PRIMARY_FINANCIAL_STATEMENTS_PRESENT", "10-Q": "US_GAAP_PRIMARY_FINANCIAL_STATEMENTS_PRESENT",
+    "8-K": "MIXED_OR_UNVERIFIED_EARNINGS_MATERIAL", "6-K": "MIXED_OR_UNVERIFIED_EARNINGS_MATERIAL", "20-F": "ACCOUNTING_BASIS_UNVERIFIED_FROM_FORM",
+}
+OTHER_CONTEXT = "UNVERIFIED_PRIMARY_SOURCE_BASIS"
+
+
+def accounting_context(adapter: Column, form: Column) -> Column:
+    """What a filing's form says about the basis of its figures, never about a single metric; null for a form that earnings do not use."""
+    named = F.coalesce(*(F.when(form == f, F.lit(c)) for f, c in CONTEXTS.items()))
+    return F.when(adapter.eqNullSafe("sec_edgar"), named).otherwise(OTHER_CONTEXT)
+
+
+def accounting_contexts(events: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
+    """(items, issues): each event with its context, and events without one or after the first of an id."""
+    named = events.withColumn("context", F.when(~missing("event_id"), accounting_context(F.col("source_adapter"), F.col("document_type"))))
+    known = F.col("context").isNotNull()
+    at = F.row_number().over(Window.partitionBy("event_id", known).orderBy(order))
+    placed = named.withColumn("_at", at)
+    items = placed.where(known & (F.col("_at") == 1)).drop("_at")
+    return items, issues(placed, "accounting_context", F.col("event_id"), {
+        "UNCLASSIFIED_ACCOUNTING_BASIS": ~known, "DUPLICATE_ACCOUNTING_BASIS_EVENT": known & (F.col("_at") > 1)})
+
+
 def growth_durations(growth: DataFrame, gap: tuple[int, int], slack: int = 7) -> DataFrame:
     """Growth rows whose periods are not comparable after all, or that carry a value without one."""
     between = days(F.col("prior_end"), F.col("period_end")).between(*gap)
@@ -155,14 +180,38 @@ def entity_coverage(entities: DataFrame, observations: DataFrame, key: str, date
     return out.withColumn("state", F.when(F.col("latest").isNull(), "missing").when(F.col("age_days") > stale_days, "stale").otherwise("fresh"))
 
 
-def run_coherence(artifacts: DataFrame, run_id: str, run_at: Column, names: Sequence[str], skew_seconds: int = 300) -> DataFrame:
-    """artifacts (name, run_id, run_at, status): all named ones there, of this run, near its time, and passed."""
-    listed = artifacts.sparkSession.createDataFrame([(n,) for n in names], "name string")
-    joined = listed.join(artifacts, "name", "left")
-    late = F.abs(F.unix_timestamp("run_at") - F.unix_timestamp(run_at)) > skew_seconds
+#: Fixed slack of a derived audit's time against its ledger's.
+MAX_SKEW_SECONDS = 300
+
+
+def run_coherence(artifacts: DataFrame, required: Sequence[str], bound: Sequence[str], ledger: str = "audit_latest.json", publication: str = "publication_latest.json") -> DataFrame:
+    """artifacts (name, readable, status, issues, schema_version, run_at and generated_from_run_at as text, accepted_events_total,
+    ledger_accepted_events_total, events_total, expired_events_total): all required ones there, passed and of one run.
+
+    issues is the number of issues, -1 if the field is no list. The `bound` ones must be near the ledger's time, and the
+    publication must be of just that run, with counts that add up to the ledger's.
+    """
+    from quern.functions.scalars import instant
+
+    listed = artifacts.sparkSession.createDataFrame([(n, n in bound) for n in required], "name string, bound boolean")
+    one = artifacts.where(F.col("name") == ledger).select(
+        F.col("readable").alias("_l"), F.col("run_at").alias("_lr"), instant(F.col("run_at")).alias("_la"), F.col("accepted_events_total").alias("_ln"))
+    joined = listed.join(artifacts, "name", "left").join(F.broadcast(one), F.lit(True), "left")  # the ledger's artifact is one row
+    ok, at = F.coalesce("readable", F.lit(False)), instant(F.col("run_at"))
+    timed, base = ok & F.col("bound"), F.coalesce("_l", F.lit(False))
+    shown = F.coalesce("ledger_accepted_events_total", "events_total", "accepted_events_total")
+    mine = ok & base & (F.col("name") == publication)
+    differs = lambda a, b: F.coalesce(a != b, F.lit(False))
     return issues(joined, "run_coherence", F.col("name"), {
-        "MISSING_ARTIFACT": F.col("run_id").isNull(), "RUN_MISMATCH": F.coalesce(F.col("run_id") != run_id, F.lit(False)),
-        "TIME_SKEW": F.coalesce(late, F.lit(False)), "NOT_PASSED": F.coalesce(F.col("status") != "PASS", F.lit(False))})
+        "MISSING_ARTIFACT": F.col("readable").isNull(), "INVALID_JSON": F.col("readable").isNotNull() & ~ok, "NON_PASS_STATUS": ok & ~F.col("status").eqNullSafe("PASS"),
+        "INVALID_ISSUES_FIELD": ok & F.coalesce(F.col("issues") < 0, F.lit(False)), "ARTIFACT_HAS_ISSUES": ok & F.coalesce(F.col("issues") > 0, F.lit(False)),
+        "MISSING_SCHEMA_VERSION": ok & missing("schema_version"), "INVALID_LEDGER_RUN_AT": ok & (F.col("name") == ledger) & at.isNull(),
+        "INVALID_ARTIFACT_RUN_AT": timed & F.col("_la").isNotNull() & at.isNull(),
+        "STALE_DERIVED_AUDIT_RUN": timed & F.coalesce(F.abs(F.unix_timestamp(at) - F.unix_timestamp("_la")) > MAX_SKEW_SECONDS, F.lit(False)),
+        "PUBLICATION_LEDGER_COUNT_MISMATCH": mine & differs(F.col("_ln"), shown),
+        "PUBLICATION_FRESHNESS_COUNT_MISMATCH": mine & differs(F.col("_ln"), F.col("accepted_events_total") + F.coalesce("expired_events_total", F.lit(0))),
+        "MISSING_LEDGER_RUN_AT": mine & (F.coalesce("_lr", F.lit("")) == ""), "MISSING_PUBLICATION_SOURCE_RUN_AT": mine & (F.coalesce("generated_from_run_at", F.lit("")) == ""),
+        "STALE_PUBLICATION_RUN": mine & differs(F.nullif("_lr", F.lit("")), F.nullif("generated_from_run_at", F.lit("")))})
 
 
 def manifest_check(manifest: DataFrame, files: DataFrame) -> DataFrame:
@@ -190,14 +239,64 @@ def projection_allowed(rows: DataFrame, allowed: Sequence[str]) -> DataFrame:
     return issues(rows.withColumn("_extra", extra), "projection", F.col("id"), {"UNKNOWN_FIELD": F.size("_extra") > 0}, F.array_join("_extra", ","))
 
 
-def source_registry(sources: DataFrame, adapters: Sequence[str]) -> DataFrame:
-    """Structure of the registry (source_id, adapter, enabled, cik, base_url): ids, adapters, keys by adapter, https."""
-    n = F.count("*").over(Window.partitionBy("source_id"))
-    sec = F.col("adapter") == "sec_edgar"
-    return issues(sources.withColumn("_n", n), "source_registry", F.col("source_id"), {
-        "MISSING_SOURCE_ID": missing("source_id"), "DUPLICATE_SOURCE_ID": F.col("_n") > 1, "UNKNOWN_ADAPTER": ~F.col("adapter").isin(*adapters),
-        "MISSING_ENABLED": F.col("enabled").isNull(), "INVALID_CIK": sec & ~F.coalesce(F.col("cik").cast("string"), F.lit("")).rlike(r"^\d{1,10}$"),
-        "NOT_HTTPS": ~F.coalesce(F.col("base_url"), F.lit("")).startswith("https://")})
+#: Fixed hosts and path beginnings of each adapter's official source.
+ADAPTERS = {"sec_edgar": ("www.sec.gov", "/edgar/browse/"), "tdnet_public": ("www.release.tdnet.info", "/inbs/"), "opendart": ("englishdart.fss.or.kr", "/")}
+#: Fixed policy of the registry, as text.
+POLICY = {
+    "primary_only": "true", "freshness_window_hours": "24", "fail_closed": "true", "no_search_snippet_dates": "true", "dedupe_key": "event_id", "require_explicit_sec_cik": "true"}
+REGISTRY_VERSION = "earnings-source-registry.v1"
+
+
+def registry_policy(registry: DataFrame) -> DataFrame:
+    """The registry as a whole (schema_version, policy as a map of text or null, sources: their number): version, every policy value, and that there are sources."""
+    policy = F.coalesce("policy", F.create_map().cast("map<string,string>"))
+    codes = {"INVALID_SCHEMA_VERSION": ~F.col("schema_version").eqNullSafe(REGISTRY_VERSION), "MISSING_POLICY": F.col("policy").isNull(), "MISSING_SOURCES": F.coalesce("sources", F.lit(0)) == 0}
+    whole = issues(registry, "source_registry", F.lit("<registry>"), codes)
+    wrong = F.array_compact(F.array(*(F.when(~F.coalesce(F.element_at(policy, k) == v, F.lit(False)), k) for k, v in POLICY.items())))
+    each = registry.select(F.explode(wrong).alias("_k"))
+    return whole.unionByName(issues(each, "source_registry", F.lit("<registry>"), {"UNSAFE_POLICY": F.lit(True)}, F.col("_k")))
+
+
+def source_registry(sources: DataFrame, order: str) -> DataFrame:
+    """Sources of the registry: source_id, name, adapter, enabled, disabled_reason, official_source, cik, ticker, codes (array), companies (map of code
+    to id, ticker, name).
+
+    Each adapter has its own keys. Of sources or companies that share an identity those after the first, by `order`, are duplicates.
+    """
+    from quern.functions.scalars import url_cik
+
+    sec, tdnet = F.col("adapter").eqNullSafe("sec_edgar"), F.col("adapter").eqNullSafe("tdnet_public")
+    url = F.col("official_source")
+    primary = F.lit(False)
+    for name, (host_, path) in ADAPTERS.items():
+        primary = primary | (F.col("adapter").eqNullSafe(name) & F.coalesce(allowed_url(url, [host_], path), F.lit(False)))
+    cik = F.col("cik").try_cast("long")
+    good_cik = F.coalesce(cik.between(1, 9_999_999_999), F.lit(False))
+    codes = F.coalesce("codes", F.array().cast("array<string>"))
+    four = F.filter(codes, lambda c: F.coalesce(c.rlike("^[0-9]{4}$"), F.lit(False)))
+    companies = F.coalesce("companies", F.create_map().cast("map<string,struct<id:string,ticker:string,name:string>>"))
+    nth = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(order))
+    rows = sources.withColumns({"_id": nth("source_id"), "_good": good_cik & sec}).withColumn("_cik", nth("_good", cik.alias("c")))
+    whole = issues(rows, "source_registry", F.coalesce(F.nullif("source_id", F.lit("")), F.concat(F.lit("<index:"), F.col(order).cast("string"), F.lit(">"))), {
+        "MISSING_SOURCE_ID": missing("source_id"), "DUPLICATE_SOURCE_ID": ~missing("source_id") & (F.col("_id") > 1),
+        "UNSUPPORTED_ADAPTER": ~F.coalesce(F.col("adapter").isin(*ADAPTERS), F.lit(False)), "INVALID_ENABLED_FLAG": F.col("enabled").isNull(),
+        "MISSING_DISABLED_REASON": ~F.coalesce("enabled", F.lit(False)) & missing("disabled_reason"), "NON_PRIMARY_OFFICIAL_SOURCE": ~primary, "MISSING_REQUIRED_FIELD": missing("name"),
+        "INVALID_SEC_CIK": sec & ~good_cik, "DUPLICATE_SEC_CIK": F.col("_good") & (F.col("_cik") > 1), "MISSING_SEC_URL_CIK": sec & url_cik(url).isNull(),
+        "SEC_URL_CIK_MISMATCH": sec & F.coalesce(url_cik(url) != cik, F.lit(False)),
+        "INVALID_SEC_TICKER": sec & ~F.coalesce(F.col("ticker").rlike(r"^[A-Z][A-Z0-9.\-]{0,9}$"), F.lit(False)),
+        "INVALID_TDNET_CODES": tdnet & ((F.size(codes) == 0) | (F.size(four) != F.size(codes)) | (F.size(F.array_distinct(four)) != F.size(four))),
+        "INVALID_TDNET_COMPANIES": tdnet & F.col("companies").isNull(),
+        "TDNET_CODE_COMPANY_MISMATCH": tdnet & ((F.size(F.array_except(four, F.map_keys(companies))) > 0) | (F.size(F.array_except(F.map_keys(companies), four)) > 0)),
+        "OPENDART_ENABLED_WITHOUT_AUTH_CONTRACT": F.col("adapter").eqNullSafe("opendart") & F.coalesce("enabled", F.lit(False))})
+    listed = sources.where(tdnet).select("source_id", F.col(order).alias("_o"), F.posexplode(F.array_distinct(four)).alias("_p", "_code"), companies.alias("_all"))
+    listed = listed.withColumn("_c", F.element_at("_all", F.col("_code"))).where(F.col("_c").isNotNull())
+    mine = issues(listed, "source_registry", F.col("source_id"), {
+        "MISSING_TDNET_COMPANY_ID": F.coalesce(F.col("_c.id"), F.lit("")) == "", "TDNET_TICKER_CODE_MISMATCH": ~F.col("_c.ticker").eqNullSafe(F.col("_code")),
+        "MISSING_REQUIRED_FIELD": F.trim(F.coalesce(F.col("_c.name"), F.lit(""))) == ""}, F.col("_code"))
+    named = sources.where(sec & ~missing("source_id")).select("source_id", F.col("source_id").alias("_company"), F.col(order).alias("_o"), F.lit(-1).alias("_p"), F.lit("").alias("_code"))
+    named = named.unionByName(listed.where(F.coalesce(F.col("_c.id"), F.lit("")) != "").select("source_id", F.col("_c.id").alias("_company"), "_o", "_p", "_code"))
+    named = named.withColumn("_n", F.row_number().over(Window.partitionBy("_company").orderBy("_o", "_p")))
+    return whole.unionByName(mine).unionByName(issues(named, "source_registry", F.col("source_id"), {"DUPLICATE_COMPANY_ID": F.col("_n") > 1}, F.col("_code")))
 
 
 #: Fixed words that no key of an actual may hold, and texts that no value of one may be.
@@ -239,22 +338,88 @@ def money_units(rows: DataFrame, key: str, value: str, unit: str) -> DataFrame:
         "MISSING_UNIT": u.isNull(), "UNSUPPORTED_UNIT": ~F.coalesce(u.isin(*base, *scaled), F.lit(True)), "SCALED_UNIT": F.coalesce(u.isin(*scaled), F.lit(False))})
 
 
-def rejections(rows: DataFrame, key: str, permanent: Sequence[str], transient: Sequence[str]) -> DataFrame:
-    """Rejected rows need a known reason and freshness REJECTED."""
-    reason = F.col("rejection_reason")
-    return issues(rows, "rejections", F.col(key), {
-        "MISSING_REASON": missing("rejection_reason"), "UNKNOWN_REASON": F.coalesce(~reason.isin(*permanent, *transient), F.lit(False)),
-        "NOT_MARKED_REJECTED": ~F.col("freshness").eqNullSafe("REJECTED")})
-
-
-def metric_lineage(metrics: DataFrame, events: DataFrame, proofs: DataFrame, key: str) -> DataFrame:
-    """Metrics against their events and evidence by one key: all three must be there and agree on accession and url."""
-    e = events.select(key, F.col("accession").alias("_ea"))
-    p = proofs.groupBy(key).agg(F.min("source_url").alias("_pu"))
-    j = metrics.join(e, key, "left").join(p, key, "left")
-    return issues(j, "metric_lineage", F.col(key), {
-        "UNKNOWN_EVENT": F.col("_ea").isNull(), "NO_EVIDENCE": F.col("_pu").isNull(),
-        "ACCESSION_MISMATCH": F.coalesce(F.col("accession") != F.col("_ea"), F.lit(False)), "URL_MISMATCH": F.coalesce(F.col("source_url") != F.col("_pu"), F.lit(False))})
+#: Fixed reasons of the two stages, and what each adapter's rejected rows must carry.
+DISCOVERY_REASONS = ("NOT_EARNINGS_RELATED", "UNVERIFIED_6K", "SOURCE_FETCH_FAILED")
+VALIDATION_REASONS = (
+    "OUTSIDE_TIME_WINDOW", "UNKNOWN_PUBLISHED_TIME", "STALE_FISCAL_PERIOD", "DUPLICATE", "NOT_PRIMARY_SOURCE", "FUTURE_EARNINGS_EVENT", "REPOST", "MISMATCHED_COMPANY", "UNVERIFIED_NUMBER")
+REJECTED_FIELDS = (
+    "schema_version", "event_id", "company_id", "company_name", "document_type", "published_at", "published_timezone", "retrieved_at", "source_adapter", "source_url")
+EVENT_VERSION = "earnings-event.v1"
+REJECTING = {"sec_edgar": ("www.sec.gov", ("accession_number", "cik"), "UTC"), "tdnet_public": ("www.release.tdnet.info", ("security_code",), "Asia/Tokyo")}
+
+
+def rejection_stage(reason: Column) -> Column:
+    return F.when(reason.isin(*DISCOVERY_REASONS), "DISCOVERY_FILTER").when(reason.isin(*VALIDATION_REASONS), "CANONICAL_VALIDATION").otherwise("UNKNOWN")
+
+
+def rejections(rejected: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Rejected rows (REJECTED_FIELDS and freshness, rejection_reason, accession_number, cik, security_code; times as text): identity, provenance, reason."""
+    from quern.functions.scalars import instant
+
+    key, reason = F.coalesce("event_id", F.lit("")), F.coalesce("rejection_reason", F.lit(""))
+    ids = rejected.groupBy(key.alias("event_id")).agg(F.count("*").alias("n"))
+    both = ids.join(accepted.select("event_id").where(~missing("event_id")).distinct(), "event_id", "left_semi")
+    shown, got = instant(F.col("published_at")), instant(F.col("retrieved_at"))
+    known, host_, lacks, zone = F.lit(False), F.lit(False), F.lit(False), F.lit(False)
+    netloc = F.coalesce(F.regexp_extract("source_url", r"^https://([^/?#]*)", 1), F.lit(""))
+    for name, (domain, identity, tz) in REJECTING.items():
+        mine = F.col("source_adapter").eqNullSafe(name)
+        known, host_ = known | mine, host_ | (mine & (netloc != domain))
+        lacks = lacks | (mine & reduce(lambda a, b: a | b, (F.coalesce(F.col(c).cast("string"), F.lit("")) == "" for c in identity)))
+        zone = zone | (mine & ~F.col("published_timezone").eqNullSafe(tz))
+    form = F.coalesce("document_type", F.lit(""))
+    rows = issues(rejected, "rejections", key, {
+        "MISSING_REJECTION_PROVENANCE_FIELD": reduce(lambda a, b: a | b, (F.coalesce(F.col(c).cast("string"), F.lit("")) == "" for c in REJECTED_FIELDS)),
+        "INVALID_REJECTED_SCHEMA_VERSION": ~F.col("schema_version").eqNullSafe(EVENT_VERSION),
+        "INVALID_REJECTED_PUBLISHED_AT": shown.isNull(), "INVALID_REJECTED_RETRIEVED_AT": got.isNull(), "REJECTED_RETRIEVED_BEFORE_PUBLISHED": F.coalesce(got < shown, F.lit(False)),
+        "UNKNOWN_REJECTION_SOURCE_ADAPTER": ~known, "REJECTION_SOURCE_DOMAIN_MISMATCH": host_, "MISSING_REJECTION_SOURCE_IDENTITY": lacks, "REJECTION_PUBLISHED_TIMEZONE_MISMATCH": zone,
+        "REJECTED_ROW_NOT_MARKED_REJECTED": ~F.col("freshness").eqNullSafe("REJECTED"), "MISSING_REJECTION_REASON": reason == "",
+        "UNKNOWN_REJECTION_REASON": (reason != "") & (rejection_stage(reason) == "UNKNOWN"),
+        "UNVERIFIED_6K_REASON_FORM_MISMATCH": (reason == "UNVERIFIED_6K") & (form != "6-K"), "SOURCE_FETCH_FAILED_REASON_FORM_MISMATCH": (reason == "SOURCE_FETCH_FAILED") & (form != "6-K"),
+        "SIX_K_CONTENT_REJECTION_NON_SEC_SOURCE": (reason == "NOT_EARNINGS_RELATED") & (form == "6-K") & ~F.col("source_adapter").eqNullSafe("sec_edgar")})
+    return report([
+        rows, issues(ids, "rejections", F.col("event_id"), {
+            "MISSING_REJECTED_EVENT_ID": F.col("event_id") == "", "DUPLICATE_REJECTED_EVENT_ID": (F.col("event_id") != "") & (F.col("n") > 1)}),
+        issues(both, "rejections", F.col("event_id"), {"EVENT_ACCEPTED_AND_REJECTED": F.lit(True)})])
+
+
+#: Fixed columns that a metric shares with its event.
+SHARED = {"company_id": "company_id", "ticker": "ticker", "accession_number": "accession_number", "document_type": "document_type", "period_end": "report_date"}
+FACTS_PREFIX = "https://data.sec.gov/api/xbrl/companyfacts/CIK"
+
+
+def metric_lineage(metrics: DataFrame, events: DataFrame, proofs: DataFrame, order: str) -> DataFrame:
+    """Metrics against their accepted events and their evidence by event_id.
+
+    A metric without an id, or after the first of one, has that issue only, as has
+    one without an event; the others must agree with a fresh event of the
+    regulator's and with evidence that passed. Events and proofs: the last row of an id counts.
+    """
+    e = events.groupBy("event_id").agg(F.max_by(F.struct("company_id", "ticker", "accession_number", "document_type", "report_date", "freshness", "source_adapter"), order).alias("_e"))
+    p = proofs.groupBy("event_id").agg(F.max_by(F.struct("company_id", "document_type", "status"), order).alias("_p"))
+    at = F.row_number().over(Window.partitionBy("event_id").orderBy(order))
+    j = metrics.withColumn("_at", at).join(e, "event_id", "left").join(p, "event_id", "left")
+    lacks = missing("event_id") | (F.col("_at") > 1)
+    there = ~lacks & F.col("_e").isNotNull()
+    unlike = lambda a, b: ~F.col(a).eqNullSafe(F.col(b))
+    passed = F.col("_p.status").eqNullSafe("PASS")
+    codes = {
+        "DUPLICATE_OR_MISSING_EVENT_ID": lacks, "METRIC_WITHOUT_ACCEPTED_EVENT": ~lacks & F.col("_e").isNull(), "METRIC_EVENT_NOT_FRESH": there & ~F.col("_e.freshness").eqNullSafe("PASS"),
+        "METRIC_EVENT_NOT_SEC": there & ~F.col("_e.source_adapter").eqNullSafe("sec_edgar"),
+        "METRIC_EVENT_FORM_NOT_ALLOWED": there & ~F.coalesce(F.col("_e.document_type").isin("10-K", "10-Q"), F.lit(False))}
+    codes |= {f"METRIC_EVENT_MISMATCH:{m}": there & unlike(m, f"_e.{c}") for m, c in SHARED.items()}
+    codes |= {
+        "UNSAFE_METRIC_CONTRACT": there & ~(F.col("metric").eqNullSafe("revenue") & F.col("unit").eqNullSafe("USD") & F.col("taxonomy").eqNullSafe("us-gaap")),
+        "NON_PRIMARY_METRIC_SOURCE": there & ~F.coalesce(F.col("source_url").startswith(FACTS_PREFIX), F.lit(False)), "MISSING_PASS_EVIDENCE": there & ~passed,
+        "EVIDENCE_EVENT_MISMATCH": there & passed & (unlike("_p.company_id", "_e.company_id") | unlike("_p.document_type", "_e.document_type"))}
+    return issues(j, "metric_lineage", F.col("event_id"), codes)
+
+
+def lineage_totals(metrics: DataFrame, claimed: int, metrics_status: str, evidence_status: str) -> DataFrame:
+    """The documents as wholes: both passed, and the claimed number of metrics is theirs."""
+    n = metrics.agg(F.count("*").alias("n"))
+    return issues(n, "metric_lineage", F.lit(""), {
+        "VERIFIED_METRICS_NOT_PASS": F.lit(metrics_status != "PASS"), "EVIDENCE_NOT_PASS": F.lit(evidence_status != "PASS"), "VERIFIED_METRIC_COUNT_MISMATCH": F.col("n") != claimed})
 
 
 def page_boundary(rendered: DataFrame, published: DataFrame, key: str) -> DataFrame:

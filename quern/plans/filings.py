@@ -183,15 +183,61 @@ def reservation_states(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT CAST(CASE WHEN s_suppkey % 20 = 1 THEN s_suppkey - 1 ELSE s_suppkey END AS VARCHAR) AS id, CASE WHEN s_nationkey = 4 THEN 'other' ELSE 'sec_edgar' END AS adapter, CASE WHEN s_nationkey <> 5 THEN s_suppkey END AS cik, s_acctbal > 0 AS https FROM supplier),
-n AS (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM s)
-SELECT code, id AS key FROM (SELECT id, unnest([CASE WHEN n > 1 THEN 'DUPLICATE_SOURCE_ID' END, CASE WHEN adapter = 'other' THEN 'UNKNOWN_ADAPTER' END, CASE WHEN adapter = 'sec_edgar' AND cik IS NULL THEN 'INVALID_CIK' END, CASE WHEN NOT https THEN 'NOT_HTTPS' END]) AS code FROM n) WHERE code IS NOT NULL""")
+WITH s AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 20 = 2 THEN '' ELSE CAST(CASE WHEN s_suppkey % 20 = 1 THEN s_suppkey - 1 ELSE s_suppkey END AS VARCHAR) END AS id, CASE WHEN s_suppkey % 9 <> 0 THEN s_name END AS name,
+  CASE s_suppkey % 6 WHEN 3 THEN 'tdnet_public' WHEN 4 THEN 'opendart' WHEN 5 THEN 'other' ELSE 'sec_edgar' END AS adapter, CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE s_suppkey % 7 <> 0 END AS enabled,
+  CASE WHEN s_suppkey % 14 = 0 THEN 'x' END AS why, CASE WHEN s_suppkey % 5 <> 4 THEN CASE WHEN s_suppkey % 8 = 1 THEN s_suppkey - 1 ELSE s_suppkey END END AS cik FROM supplier),
+t AS (SELECT *, adapter = 'sec_edgar' AS sec, adapter = 'tdnet_public' AS td, k % 13 <> 0 AS https, CASE WHEN k % 17 = 0 THEN NULL WHEN k % 10 = 0 THEN k + 1 ELSE k END AS url_cik FROM s),
+n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k) AS kid, row_number() OVER (PARTITION BY sec AND coalesce(cik > 0, false), cik ORDER BY k) AS kcik, row_number() OVER (PARTITION BY sec, id ORDER BY k) AS kco FROM t)
+SELECT code, CASE WHEN id = '' THEN '<index:' || k || '>' ELSE id END AS key FROM (SELECT k, id, unnest([
+  CASE WHEN id = '' THEN 'MISSING_SOURCE_ID' END, CASE WHEN id <> '' AND kid > 1 THEN 'DUPLICATE_SOURCE_ID' END, CASE WHEN adapter = 'other' THEN 'UNSUPPORTED_ADAPTER' END, CASE WHEN enabled IS NULL THEN 'INVALID_ENABLED_FLAG' END,
+  CASE WHEN NOT coalesce(enabled, false) AND why IS NULL THEN 'MISSING_DISABLED_REASON' END, CASE WHEN adapter = 'other' OR NOT https THEN 'NON_PRIMARY_OFFICIAL_SOURCE' END, CASE WHEN name IS NULL THEN 'MISSING_REQUIRED_FIELD' END,
+  CASE WHEN sec AND NOT coalesce(cik > 0, false) THEN 'INVALID_SEC_CIK' END, CASE WHEN sec AND cik > 0 AND kcik > 1 THEN 'DUPLICATE_SEC_CIK' END, CASE WHEN sec AND NOT coalesce(url_cik > 0, false) THEN 'MISSING_SEC_URL_CIK' END,
+  CASE WHEN sec AND url_cik > 0 AND url_cik <> cik THEN 'SEC_URL_CIK_MISMATCH' END, CASE WHEN sec AND k % 4 = 0 THEN 'INVALID_SEC_TICKER' END, CASE WHEN td AND k % 4 <> 3 THEN 'INVALID_TDNET_CODES' END,
+  CASE WHEN td THEN 'INVALID_TDNET_COMPANIES' END, CASE WHEN td AND k % 4 IN (1, 3) THEN 'TDNET_CODE_COMPANY_MISMATCH' END, CASE WHEN adapter = 'opendart' AND enabled THEN 'OPENDART_ENABLED_WITHOUT_AUTH_CONTRACT' END,
+  CASE WHEN sec AND id <> '' AND kco > 1 THEN 'DUPLICATE_COMPANY_ID' END]) AS code FROM n) WHERE code IS NOT NULL""")
 def source_registry_audit(spark, sf_dir):
     k = F.col("s_suppkey")
+    kind, four = k % 6, k % 4
+    adapter = F.when(kind == 3, "tdnet_public").when(kind == 4, "opendart").when(kind == 5, "other").otherwise("sec_edgar")
+    url_cik = F.when(k % 17 == 0, F.lit("")).otherwise(F.concat(F.lit("?CIK="), F.when(k % 10 == 0, k + 1).otherwise(k).cast("string")))
+    rest = F.when(kind == 3, "www.release.tdnet.info/inbs/I").when(kind > 3, "englishdart.fss.or.kr/a").otherwise(F.concat(F.lit("www.sec.gov/edgar/browse/"), url_cik))
+    codes = F.when(four == 1, F.array(F.lit("1234"), F.lit("1234"))).when(four == 2, F.array(F.lit("12"))).when(four == 3, F.array(F.lit("5678")))
     rows = table(spark, sf_dir, "supplier").select(
-        F.when(k % 20 == 1, k - 1).otherwise(k).cast("string").alias("source_id"), F.when(F.col("s_nationkey") == 4, "other").otherwise("sec_edgar").alias("adapter"),
-        F.lit(True).alias("enabled"), F.when(F.col("s_nationkey") != 5, k).alias("cik"), F.when(F.col("s_acctbal") > 0, "https://a").otherwise("http://a").alias("base_url"))
-    return audits.source_registry(rows, ["sec_edgar"]).select("code", "key")
+        k.alias("seq"), F.when(k % 20 == 2, "").otherwise(F.when(k % 20 == 1, k - 1).otherwise(k).cast("string")).alias("source_id"), F.when(k % 9 != 0, F.col("s_name")).alias("name"),
+        adapter.alias("adapter"), F.when(k % 11 != 0, k % 7 != 0).alias("enabled"), F.when(k % 14 == 0, "x").alias("disabled_reason"),
+        F.concat(F.when(k % 13 == 0, "http://").otherwise("https://"), rest).alias("official_source"), F.when(k % 5 != 4, F.when(k % 8 == 1, k - 1).otherwise(k)).alias("cik"),
+        F.when(four == 0, "low").otherwise("A.B-1").alias("ticker"), F.when(kind == 3, codes).alias("codes"), F.lit(None).cast("map<string,struct<id:string,ticker:string,name:string>>").alias("companies"))
+    return audits.source_registry(rows, "seq").select("code", "key")
+
+
+@query("""
+WITH e AS (SELECT event_id AS i, CASE WHEN event_id % 31 = 5 THEN '' ELSE CAST(CASE WHEN event_id % 29 = 1 THEN event_id - 1 ELSE event_id END AS VARCHAR) END AS id, CASE event_id % 4 WHEN 1 THEN '8-K' WHEN 2 THEN '10-Q' ELSE '6-K' END AS form,
+  CASE WHEN event_id % 10 = 9 THEN 'tdnet_public' WHEN event_id % 10 = 8 THEN 'odd' ELSE 'sec_edgar' END AS adapter,
+  CASE event_id % 6 WHEN 0 THEN 'NOT_EARNINGS_RELATED' WHEN 1 THEN 'UNVERIFIED_6K' WHEN 2 THEN 'SOURCE_FETCH_FAILED' WHEN 3 THEN 'DUPLICATE' WHEN 4 THEN 'odd' ELSE '' END AS reason FROM events),
+c AS (SELECT id, unnest([CASE WHEN id = '' OR i % 23 = 0 THEN 'MISSING_REJECTION_PROVENANCE_FIELD' END, CASE WHEN i % 21 = 0 THEN 'INVALID_REJECTED_SCHEMA_VERSION' END, CASE WHEN i % 37 = 0 THEN 'INVALID_REJECTED_PUBLISHED_AT' END,
+  CASE WHEN i % 39 = 0 THEN 'INVALID_REJECTED_RETRIEVED_AT' END, CASE WHEN i % 41 = 0 AND i % 37 <> 0 AND i % 39 <> 0 THEN 'REJECTED_RETRIEVED_BEFORE_PUBLISHED' END, CASE WHEN adapter = 'odd' THEN 'UNKNOWN_REJECTION_SOURCE_ADAPTER' END,
+  CASE WHEN adapter <> 'odd' AND i % 47 = 0 THEN 'REJECTION_SOURCE_DOMAIN_MISMATCH' END, CASE WHEN (adapter = 'sec_edgar' AND i % 53 = 0) OR (adapter = 'tdnet_public' AND i % 3 = 0) THEN 'MISSING_REJECTION_SOURCE_IDENTITY' END,
+  CASE WHEN (adapter = 'sec_edgar' AND i % 43 = 0) OR (adapter = 'tdnet_public' AND i % 43 <> 0) THEN 'REJECTION_PUBLISHED_TIMEZONE_MISMATCH' END, CASE WHEN i % 59 = 0 THEN 'REJECTED_ROW_NOT_MARKED_REJECTED' END,
+  CASE WHEN reason = '' THEN 'MISSING_REJECTION_REASON' END, CASE WHEN reason = 'odd' THEN 'UNKNOWN_REJECTION_REASON' END, CASE WHEN reason = 'UNVERIFIED_6K' AND form <> '6-K' THEN 'UNVERIFIED_6K_REASON_FORM_MISMATCH' END,
+  CASE WHEN reason = 'SOURCE_FETCH_FAILED' AND form <> '6-K' THEN 'SOURCE_FETCH_FAILED_REASON_FORM_MISMATCH' END, CASE WHEN reason = 'NOT_EARNINGS_RELATED' AND form = '6-K' AND adapter <> 'sec_edgar' THEN 'SIX_K_CONTENT_REJECTION_NON_SEC_SOURCE' END]) AS code FROM e),
+g AS (SELECT id, count(*) AS n FROM e GROUP BY id)
+SELECT code, id AS key FROM c WHERE code IS NOT NULL UNION ALL SELECT 'MISSING_REJECTED_EVENT_ID', id FROM g WHERE id = '' UNION ALL SELECT 'DUPLICATE_REJECTED_EVENT_ID', id FROM g WHERE id <> '' AND n > 1
+UNION ALL SELECT 'EVENT_ACCEPTED_AND_REJECTED', id FROM g WHERE id IN (SELECT CAST(o_orderkey * 7 AS VARCHAR) FROM orders)""")
+def rejection_audit(spark, sf_dir):
+    i = F.col("event_id")
+    text = lambda ts: F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    adapter = F.when(i % 10 == 9, "tdnet_public").when(i % 10 == 8, "odd").otherwise("sec_edgar")
+    hosts = F.when(i % 10 == 9, "www.release.tdnet.info/x").otherwise("www.sec.gov/x")
+    reason = F.get(F.array(*(F.lit(x) for x in ("NOT_EARNINGS_RELATED", "UNVERIFIED_6K", "SOURCE_FETCH_FAILED", "DUPLICATE", "odd", None))), (i % 6).cast("int"))
+    rows = events(spark, sf_dir).select(
+        F.when(i % 21 == 0, "v0").otherwise(audits.EVENT_VERSION).alias("schema_version"), F.when(i % 31 == 5, "").otherwise(F.when(i % 29 == 1, i - 1).otherwise(i).cast("string")).alias("event_id"),
+        F.lit("c").alias("company_id"), F.when(i % 23 != 0, "n").alias("company_name"), F.when(i % 4 == 1, "8-K").when(i % 4 == 2, "10-Q").otherwise("6-K").alias("document_type"),
+        F.when(i % 37 == 0, "2024-01-01T00:00:00").otherwise(text(F.col("ts"))).alias("published_at"),
+        F.when(i % 39 == 0, "soon").otherwise(text(F.when(i % 41 == 0, F.col("ts") - F.expr("interval 1 day")).otherwise(F.col("ts") + F.expr("interval 1 hour")))).alias("retrieved_at"),
+        F.when(i % 43 == 0, "Asia/Tokyo").otherwise("UTC").alias("published_timezone"), adapter.alias("source_adapter"), F.concat(F.when(i % 47 == 0, "http://").otherwise("https://"), hosts).alias("source_url"),
+        F.when(i % 53 != 0, "a").alias("accession_number"), F.lit(1).alias("cik"), F.when(i % 3 != 0, "7203").alias("security_code"), F.when(i % 59 == 0, "PASS").otherwise("REJECTED").alias("freshness"), reason.alias("rejection_reason"))
+    accepted = table(spark, sf_dir, "orders").select((F.col("o_orderkey") * 7).cast("string").alias("event_id"))
+    return audits.rejections(rows, accepted).select("code", "key")
 
 
 @query("""
@@ -205,19 +251,46 @@ def consensus_separation_audit(spark, sf_dir):
 
 
 @query("""
-WITH m AS (SELECT o_orderkey AS k, o_custkey AS a, 'u' || (o_orderkey % 10) AS u FROM orders),
-e AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 17 = 0 THEN -1 ELSE o_custkey END AS a FROM orders WHERE o_orderkey % 13 <> 0),
-p AS (SELECT o_orderkey AS k, 'u' || (o_orderkey % CASE WHEN o_orderkey % 19 = 0 THEN 3 ELSE 10 END) AS u FROM orders WHERE o_orderkey % 11 <> 0),
-j AS (SELECT m.k, unnest([CASE WHEN e.k IS NULL THEN 'UNKNOWN_EVENT' END, CASE WHEN p.k IS NULL THEN 'NO_EVIDENCE' END, CASE WHEN m.a <> e.a THEN 'ACCESSION_MISMATCH' END, CASE WHEN m.u <> p.u THEN 'URL_MISMATCH' END]) AS code
-  FROM m LEFT JOIN e ON m.k = e.k LEFT JOIN p ON m.k = p.k)
-SELECT code, CAST(k AS VARCHAR) AS key FROM j WHERE code IS NOT NULL""")
+WITH m AS (SELECT o_orderkey AS k, CAST(CASE WHEN o_orderkey % 23 = 1 THEN o_orderkey - 1 ELSE o_orderkey END AS VARCHAR) AS id FROM orders),
+n AS (SELECT k, CASE WHEN k % 29 = 0 THEN '' ELSE id END AS id, row_number() OVER (PARTITION BY CASE WHEN k % 29 = 0 THEN '' ELSE id END ORDER BY k) AS nth FROM m),
+j AS (SELECT n.*, id = '' OR nth > 1 AS lacks, CAST(nullif(id, '') AS BIGINT) AS e FROM n),
+f AS (SELECT *, CASE WHEN NOT lacks AND e IN (SELECT CASE WHEN o_orderkey % 13 = 0 THEN -o_orderkey ELSE o_orderkey END FROM orders) THEN true ELSE false END AS there, e % 11 <> 0 AS passed FROM j)
+SELECT id AS key, code FROM (SELECT id, unnest([CASE WHEN lacks THEN 'DUPLICATE_OR_MISSING_EVENT_ID' END, CASE WHEN NOT lacks AND NOT there THEN 'METRIC_WITHOUT_ACCEPTED_EVENT' END, CASE WHEN there AND e % 17 = 0 THEN 'METRIC_EVENT_NOT_FRESH' END,
+  CASE WHEN there AND e % 19 = 0 THEN 'METRIC_EVENT_NOT_SEC' END, CASE WHEN there AND e % 5 = 0 THEN 'METRIC_EVENT_FORM_NOT_ALLOWED' END, CASE WHEN there AND k % 31 = 0 THEN 'METRIC_EVENT_MISMATCH:company_id' END,
+  CASE WHEN there AND k <> e THEN 'METRIC_EVENT_MISMATCH:accession_number' END, CASE WHEN there AND e % 5 = 0 THEN 'METRIC_EVENT_MISMATCH:document_type' END, CASE WHEN there AND e % 37 = 0 THEN 'METRIC_EVENT_MISMATCH:period_end' END,
+  CASE WHEN there AND k % 41 = 0 THEN 'UNSAFE_METRIC_CONTRACT' END, CASE WHEN there AND k % 43 = 0 THEN 'NON_PRIMARY_METRIC_SOURCE' END, CASE WHEN there AND NOT passed THEN 'MISSING_PASS_EVIDENCE' END,
+  CASE WHEN there AND passed AND e % 5 = 0 THEN 'EVIDENCE_EVENT_MISMATCH' END]) AS code FROM f) WHERE code IS NOT NULL""")
 def metric_lineage_audit(spark, sf_dir):
-    k = F.col("k")
-    base = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("accession"))
-    url = lambda n: F.concat(F.lit("u"), (k % n).cast("string"))
-    shown = base.where(k % 13 != 0).withColumn("accession", F.when(k % 17 == 0, -1).otherwise(F.col("accession")))
-    proofs = base.where(k % 11 != 0).select("k", F.when(k % 19 == 0, url(3)).otherwise(url(10)).alias("source_url"))
-    return audits.metric_lineage(base.withColumn("source_url", url(10)), shown, proofs, "k").select("code", "key")
+    k = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    text = lambda c: c.cast("string")
+    metrics = orders.select(
+        k.alias("seq"), F.when(k % 29 == 0, "").otherwise(text(F.when(k % 23 == 1, k - 1).otherwise(k))).alias("event_id"), F.when(k % 31 == 0, "z").otherwise("c").alias("company_id"), F.lit("T").alias("ticker"),
+        text(k).alias("accession_number"), F.lit("10-Q").alias("document_type"), F.lit("2024-03-31").alias("period_end"), F.lit("revenue").alias("metric"), F.when(k % 41 == 0, "JPY").otherwise("USD").alias("unit"),
+        F.lit("us-gaap").alias("taxonomy"), F.when(k % 43 == 0, "https://a.org/").otherwise(audits.FACTS_PREFIX + "1.json").alias("source_url"))
+    shown = orders.select(
+        k.alias("seq"), text(F.when(k % 13 == 0, -k).otherwise(k)).alias("event_id"), F.lit("c").alias("company_id"), F.lit("T").alias("ticker"), text(k).alias("accession_number"),
+        F.when(k % 5 == 0, "8-K").otherwise("10-Q").alias("document_type"), F.when(k % 37 != 0, "2024-03-31").alias("report_date"), F.when(k % 17 != 0, "PASS").alias("freshness"),
+        F.when(k % 19 == 0, "tdnet_public").otherwise("sec_edgar").alias("source_adapter"))
+    proofs = orders.select(k.alias("seq"), text(k).alias("event_id"), F.lit("c").alias("company_id"), F.lit("10-Q").alias("document_type"), F.when(k % 11 == 0, "FAIL").otherwise("PASS").alias("status"))
+    return audits.metric_lineage(metrics, shown, proofs, "seq").select("key", "code")
+
+
+@query("""
+WITH e AS (SELECT event_id AS i, CAST(CASE WHEN event_id % 29 = 1 THEN event_id - 1 ELSE event_id END AS VARCHAR) AS id, CASE WHEN event_id % 9 <> 4 THEN 'sec_edgar' ELSE 'tdnet_public' END AS a,
+  CASE event_id % 7 WHEN 0 THEN '10-K' WHEN 1 THEN '10-Q' WHEN 2 THEN '8-K' WHEN 3 THEN '6-K' WHEN 4 THEN '20-F' ELSE 'S-1' END AS f FROM events),
+c AS (SELECT *, CASE WHEN a <> 'sec_edgar' THEN 'UNVERIFIED_PRIMARY_SOURCE_BASIS' WHEN f IN ('10-K', '10-Q') THEN 'US_GAAP_PRIMARY_FINANCIAL_STATEMENTS_PRESENT' WHEN f IN ('8-K', '6-K') THEN 'MIXED_OR_UNVERIFIED_EARNINGS_MATERIAL'
+  WHEN f = '20-F' THEN 'ACCOUNTING_BASIS_UNVERIFIED_FROM_FORM' END AS context FROM e),
+n AS (SELECT *, row_number() OVER (PARTITION BY id, context IS NOT NULL ORDER BY i) AS k FROM c)
+SELECT id AS key, context AS outcome FROM n WHERE context IS NOT NULL AND k = 1 UNION ALL SELECT id, 'UNCLASSIFIED_ACCOUNTING_BASIS' FROM n WHERE context IS NULL
+UNION ALL SELECT id, 'DUPLICATE_ACCOUNTING_BASIS_EVENT' FROM n WHERE context IS NOT NULL AND k > 1""")
+def accounting_context_audit(spark, sf_dir):
+    i = F.col("event_id")
+    form = F.get(F.array(*(F.lit(x) for x in ("10-K", "10-Q", "8-K", "6-K", "20-F", "S-1", "S-1"))), (i % 7).cast("int"))
+    rows = events(spark, sf_dir).select(
+        i.alias("seq"), F.when(i % 29 == 1, i - 1).otherwise(i).cast("string").alias("event_id"), F.when(i % 9 == 4, "tdnet_public").otherwise("sec_edgar").alias("source_adapter"), form.alias("document_type"))
+    items, found = audits.accounting_contexts(rows, "seq")
+    return items.select(F.col("event_id").alias("key"), F.col("context").alias("outcome")).unionByName(found.select("key", F.col("code").alias("outcome")))
 
 
 @query("""

@@ -41,10 +41,42 @@ def test_growth_durations(spark):
 
 
 def test_run_coherence(spark):
-    rows = [("a", "r1", "2024-01-01 00:05:00", "PASS"), ("b", "r1", "2024-01-01 00:05:01", "PASS"), ("c", "r2", "2024-01-01", "PASS"), ("d", "r1", "2024-01-01", "FAIL")]
-    df = spark.createDataFrame(rows, "name string, run_id string, run_at string, status string").withColumn("run_at", F.col("run_at").cast("timestamp"))
-    found = audits.run_coherence(df, "r1", F.lit("2024-01-01").cast("timestamp"), ["a", "b", "c", "d", "e"])
-    assert codes(found) == {("b", "TIME_SKEW"), ("c", "RUN_MISMATCH"), ("d", "NOT_PASSED"), ("e", "MISSING_ARTIFACT")}
+    names = ["audit_latest.json", "a", "b", "c", "d", "e", "f", "publication_latest.json"]
+    at, day = "2024-01-01T00:00:00Z", "2024-01-01T00:05:01Z"
+    columns = "name string, readable boolean, status string, issues int, schema_version string, run_at string, generated_from_run_at string, accepted_events_total int, ledger_accepted_events_total int, events_total int, expired_events_total int"
+    row = lambda name, readable=True, status="PASS", issues=0, version="v", run=at, of=None, n=None, ledger=None, expired=None: (name, readable, status, issues, version, run, of, n, ledger, None, expired)
+    rows = [row(names[0], n=5), row("a", run=day), row("b", run="2024-01-01T00:00:00"), row("c", readable=False), row("d", status="FAIL", issues=3), row("e", issues=-1, version=""), row(names[-1], of=at, n=3, ledger=5, expired=2)]
+    check = lambda rows: codes(audits.run_coherence(spark.createDataFrame(rows, columns), names, ["a", "b"]))
+    base = {("a", "STALE_DERIVED_AUDIT_RUN"), ("b", "INVALID_ARTIFACT_RUN_AT"), ("c", "INVALID_JSON"), ("d", "NON_PASS_STATUS"), ("d", "ARTIFACT_HAS_ISSUES"),
+            ("e", "INVALID_ISSUES_FIELD"), ("e", "MISSING_SCHEMA_VERSION"), ("f", "MISSING_ARTIFACT")}
+    assert check(rows) == base
+    pub = names[-1]
+    assert check([*rows[:-1], row(pub, of=day, n=3, ledger=4, expired=1)]) - base == {
+        (pub, "PUBLICATION_LEDGER_COUNT_MISMATCH"), (pub, "PUBLICATION_FRESHNESS_COUNT_MISMATCH"), (pub, "STALE_PUBLICATION_RUN")}
+    assert check([row(names[0], run="", n=5), *rows[1:-1], row(pub, n=5)]) == base - {("a", "STALE_DERIVED_AUDIT_RUN"), ("b", "INVALID_ARTIFACT_RUN_AT")} | {
+        (names[0], "INVALID_LEDGER_RUN_AT"), (pub, "MISSING_LEDGER_RUN_AT"), (pub, "MISSING_PUBLICATION_SOURCE_RUN_AT")}
+
+
+def test_registry_companies_and_policy(spark):
+    company = "struct<id:string,ticker:string,name:string>"
+    schema = f"seq int, source_id string, name string, adapter string, enabled boolean, disabled_reason string, official_source string, cik long, ticker string, codes array<string>, companies map<string,{company}>"
+    td = lambda seq, sid, codes, companies: (seq, sid, "n", "tdnet_public", True, None, "https://www.release.tdnet.info/inbs/", None, None, codes, companies)
+    sec = lambda seq, sid, cik: (seq, sid, "n", "sec_edgar", True, None, f"https://www.sec.gov/edgar/browse/?CIK={cik}", cik, "ABC", None, None)
+    rows = [sec(1, "s1", 1), sec(2, "s2", 2), td(3, "t", ["1301", "1332"], {"1301": ("x", "1301", "n"), "1332": ("s1", "9999", " ")}), td(4, "u", ["1333"], {"1334": ("", "1334", "n")}), td(5, "v", ["1335"], {"1335": (None, "1335", "n")})]
+    assert codes(audits.source_registry(spark.createDataFrame(rows, schema), "seq")) == {
+        ("t", "DUPLICATE_COMPANY_ID"), ("t", "TDNET_TICKER_CODE_MISMATCH"), ("t", "MISSING_REQUIRED_FIELD"), ("u", "TDNET_CODE_COMPANY_MISMATCH"), ("v", "MISSING_TDNET_COMPANY_ID")}
+    top = "schema_version string, policy map<string,string>, sources int"
+    assert codes(audits.registry_policy(spark.createDataFrame([(audits.REGISTRY_VERSION, audits.POLICY, 2)], top))) == set()
+    found = audits.registry_policy(spark.createDataFrame([("v0", {**audits.POLICY, "fail_closed": "false"}, 0)], top))
+    assert codes(found) == {("<registry>", c) for c in ("INVALID_SCHEMA_VERSION", "MISSING_SOURCES", "UNSAFE_POLICY")}
+    assert [r.detail for r in found.where("code = 'UNSAFE_POLICY'").collect()] == ["fail_closed"]
+    assert audits.registry_policy(spark.createDataFrame([(audits.REGISTRY_VERSION, None, 1)], top)).count() == 1 + len(audits.POLICY)
+
+
+def test_lineage_totals(spark):
+    m = spark.range(3)
+    assert codes(audits.lineage_totals(m, 3, "PASS", "PASS")) == set()
+    assert {c for _, c in codes(audits.lineage_totals(m, 2, "FAIL", "FAIL"))} == {"VERIFIED_METRICS_NOT_PASS", "EVIDENCE_NOT_PASS", "VERIFIED_METRIC_COUNT_MISMATCH"}
 
 
 def test_snapshot_and_references(spark):
@@ -56,12 +88,6 @@ def test_snapshot_and_references(spark):
     assert codes(audits.references(df, "company", "tag", known, "UNKNOWN_CONCEPT")) == {("d", "UNKNOWN_CONCEPT")}
 
 
-def test_rejections(spark):
-    rows = [("a", "stale", "REJECTED"), ("b", None, "REJECTED"), ("c", "odd", "REJECTED"), ("d", "stale", "PASS")]
-    df = spark.createDataFrame(rows, "k string, rejection_reason string, freshness string")
-    assert codes(audits.rejections(df, "k", ["stale"], [])) == {("b", "MISSING_REASON"), ("c", "UNKNOWN_REASON"), ("d", "NOT_MARKED_REJECTED")}
-
-
 def test_balances_and_actuals(spark):
     rows = [("a", 5, 2, 1, 2, 9), ("b", 5, None, None, None, 9), ("c", None, 2, None, None, None)]
     df = spark.createDataFrame(rows, "k string, cash int, investments int, debt_current int, debt_noncurrent int, debt_total int")
