@@ -67,11 +67,54 @@ def sentences(text: Column) -> Column:
     return F.filter(F.split(text, r"(?<=[.!?])\s+"), lambda s: F.length(F.trim(s)) > 0)
 
 
+#: Fixed wording of a month's worldwide sales.
+MONTHS = "January February March April May June July August September October November December".split()
+SALES = (r"(?i)(?:global|worldwide)\s+(?:semiconductor(?:\s+industry)?\s+)?sales[^.]{0,100}?(?:were|was|totaled|reached)\s+\$?([\d,.]+)\s+billion[^.]{0,100}?"
+         r"(?:during|in|for)\s+(?:the\s+month\s+of\s+)?(" + "|".join(MONTHS) + r")\s+(20\d{2})")
+
+
 def monthly_sales(text: Column, least: float = 1.0, most: float = 1000.0) -> Column:
-    """The first figure 'sales ... $N billion' within bounds, else null."""
-    found = F.transform(
-        F.regexp_extract_all(text, F.lit(r"(?i)sales[^.]{0,120}?\$\s?([0-9]+(?:\.[0-9]+)?) billion"), F.lit(1)), lambda x: x.try_cast("double"))
-    return F.get(F.filter(found, lambda x: x.between(least, most)), 0)
+    """Struct (month as its first day, value in billions, sentence, error): the first sentence that states a month's worldwide sales within bounds."""
+    from quern.functions.scalars import number
+
+    whole = F.trim(F.regexp_replace(text, r"[\s\u00A0]+", " "))
+    value = lambda s: number(F.regexp_extract(s, SALES, 1))
+    first = F.get(F.filter(sentences(whole), lambda s: F.coalesce(value(s).between(least, most), F.lit(False))), 0)
+    month = F.lower(F.regexp_extract(first, SALES, 2))
+    place = F.coalesce(*(F.when(month == m.lower(), i) for i, m in enumerate(MONTHS, 1)))
+    error = F.when(first.isNull(), "no unambiguous monthly sales fact")
+    return F.struct(F.make_date(F.regexp_extract(first, SALES, 3).try_cast("int"), place, F.lit(1)).alias("month"), value(first).alias("value"), first.alias("sentence"), error.alias("error"))
+
+
+#: Fixed wording of a paragraph that states two changes of a product: its volume, then its price.
+FALLS = ("declined", "decreased", "down")
+_CHANGE = r"((?:increased|were up|declined|decreased).*?percentage range)"
+_BAND = r"((?:low|mid|high)(?:-to-(?:low|mid|high))?[- ]?(?:single[- ]digit|double[- ]digit|teens|\d{2}s))"
+
+
+def product_changes(text: Column, product: str) -> Column:
+    """Struct (volume, price, error) of a product's own paragraph; each has its text, phrase, low and high. Another product's paragraph is not taken."""
+    from quern.operators.intervals import phrase_interval
+
+    plain = F.regexp_replace(F.regexp_replace(text, "[–—]", "-"), r"\s+", " ")
+    plain = F.regexp_replace(plain, r"(?i)\b(low|mid|high)-\s*to-", "$1-to-")
+    pattern = rf"(?i)\b{product}\b\s+Fiscal\s+Q[1-4]\s+{product}\s+revenue.{{0,700}}?(?:{product}\s+)?Bit shipments\s+{_CHANGE}(?:\.\s+|,\s+and\s+)Prices\s+{_CHANGE}"
+
+    def change(group: int) -> Column:
+        said = F.trim(F.regexp_extract(plain, pattern, group))
+        phrase = F.regexp_extract(F.lower(said), _BAND, 1)
+        falls = F.greatest(*(F.contains(F.lower(said), F.lit(w)) for w in FALLS))
+        low, high, _ = phrase_interval(phrase, F.when(falls, "decline").otherwise("increase"))
+        return F.when(low.isNotNull(), F.struct(said.alias("text"), phrase.alias("phrase"), low.alias("low"), high.alias("high")))
+
+    volume, price = change(1), change(2)
+    error = F.when(F.coalesce(F.regexp_extract(plain, pattern, 1), F.lit("")) == "", "paragraph not found").when(volume.isNull() | price.isNull(), "no supported percentage phrase")
+    return F.struct(volume.alias("volume"), price.alias("price"), error.alias("error"))
+
+
+def ids_of_page(html: Column, attribute: str = "data-event-id") -> Column:
+    """The values of an attribute on a rendered page, in order."""
+    return F.regexp_extract_all(html, F.lit(attribute + r"""=["']([^"']+)["']"""), F.lit(1))
 
 
 def product_window(text: Column, product: str, rivals: Sequence[str], pattern: str, width: int = 700) -> Column:
@@ -121,6 +164,32 @@ def key_paths(text: Column) -> Column:
     return walk(text)
 
 
+def string_values(text: Column) -> Column:
+    """All text values of a JSON text with their paths ($.a[0].b), in document order; null if it can't be parsed."""
+
+    @F.pandas_udf("array<struct<path:string,value:string>>")
+    def walk(texts: pd.Series) -> pd.Series:
+        def values(x, at):
+            if isinstance(x, dict):
+                for k, v in x.items():
+                    yield from values(v, f"{at}.{k}")
+            elif isinstance(x, list):
+                for i, v in enumerate(x):
+                    yield from values(v, f"{at}[{i}]")
+            elif isinstance(x, str):
+                yield {"path": at, "value": x}
+
+        def one(t):
+            try:
+                return list(values(json.loads(t), "$"))
+            except (TypeError, ValueError):
+                return None
+
+        return texts.map(one)
+
+    return walk(text)
+
+
 def canonical_hash(text: Column) -> Column:
     """SHA-256 of a JSON text with sorted keys, no spaces and non-ASCII kept; null if it can't be parsed."""
 

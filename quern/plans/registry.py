@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quern.plans import audits, companies, filings, keyed, market, periods
+from quern.plans import audits, companies, filings, keyed, market, periods, projections
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _module in (keyed, periods, market, companies, filings, audits):
+for _module in (keyed, periods, market, companies, filings, audits, projections):
     QUERIES |= _module.REGISTRY.queries
     ORACLES |= _module.REGISTRY.oracles

@@ -227,11 +227,11 @@ def test_text(spark):
     r = df.select(
         T.visible_text(F.col("h")).alias("v"), T.links(F.col("h")).alias("l"), T.earnings_text(F.col("h")).alias("e"), T.decoded(F.col("raw")).alias("d"),
         T.key_paths(F.col("j")).alias("k"), T.canonical_hash(F.col("j")).alias("c"), F.sha2(F.lit('{"a":"é","b":[{"c":1}]}'), 256).alias("want"),
-        T.monthly_sales(F.lit("Sales were $57.8 billion in May.")).alias("m"),
+        T.monthly_sales(F.lit("Hello. Global sales were $57.8 billion in the month of May 2024. Worldwide sales were $1 billion in June 2024.")).alias("m"),
         T.product_window(F.lit("NAND bit shipments up mid-teens. DRAM up 5%"), "NAND", ["DRAM"], r"\d+%").alias("rival"),
         T.product_window(F.lit("NAND bit shipments up 7% and DRAM up 5%"), "NAND", ["DRAM"], r"\d+%").alias("hit")).first()
     assert r.v == "Q1 financial results: revenue up A B" and r.l == ["/a", "b?c=1"] and r.e and r.d == "株"
-    assert r.k == ["a", "b", "b[].c"] and r.c == r.want and r.m == 57.8 and r.rival is None and r.hit == "7%"
+    assert r.k == ["a", "b", "b[].c"] and r.c == r.want and (r.m.month, r.m.value, r.m.error) == (date(2024, 5, 1), 57.8, None) and r.rival is None and r.hit == "7%"
 
 
 def test_more_text(spark):
@@ -285,3 +285,27 @@ def test_six_k_reasons(spark):
     df = spark.createDataFrame(rows, "k string, form string, text string, doc string")
     got = {r.k: r.r for r in df.select("k", filings.form_reason(F.col("form"), F.lit(None).cast("string"), F.col("text"), F.col("doc")).alias("r")).collect()}
     assert got == {"a": "UNVERIFIED_6K", "b": "SOURCE_FETCH_FAILED", "c": None, "d": "NOT_EARNINGS_RELATED", "e": "NOT_EARNINGS_RELATED", "f": "NOT_EARNINGS_RELATED", "g": None}
+
+
+def test_projections(spark):
+    from quern.operators import projections
+
+    assert projections.equivalent_tags(["Revenues"], True) == list(projections.REVENUE_TAGS) and projections.equivalent_tags(["Revenues"], False) == ["Revenues"]
+    assert projections.equivalent_tags(["Revenues", "x"], True) == ["Revenues", "x"]
+    assert projections.equivalent_tags(list(projections.CAPEX_TAGS[1:]), True) == [*projections.CAPEX_TAGS[1:], projections.CAPEX_TAGS[0]]
+    facts = "map<string,map<string,struct<units:map<string,array<struct<accn:string,val:double>>>>>>"
+    df = spark.createDataFrame([({"us-gaap": {"A": ({"USD": [("x", 1.0)]},), "B": ({"USD": [("y", 1.0)], "EUR": []},)}},), ({},), (None,)], f"facts {facts}")
+    has = lambda a: [r[0] for r in df.select(projections.carries_accession(F.col("facts"), F.lit(a))).collect()]
+    assert has("y") == [True, False, False] and has("z") == [False] * 3
+    r = one(spark, T.string_values(F.lit('{"a":[1,{"b":"x"}],"c":"y"}')).alias("v"), projections.bar_height(F.lit(0.0), F.lit(9.0)).alias("low"), projections.bar_height(F.lit(4.5), F.lit(9.0)).alias("half"))
+    assert [(v.path, v.value) for v in r.v] == [("$.a[1].b", "x"), ("$.c", "y")] and (r.low, r.half) == (3.0, 50.0)
+    empty = projections.kpi_audit(spark.createDataFrame([], "id string, value_type string, concept_id string, reported_text string, quality_flags array<string>, normalization_method string, entity_id string, period_end date"))
+    assert [x.code for x in empty.collect()] == ["kpi_actuals_missing"]
+
+
+def test_product_changes(spark):
+    text = ("DRAM Fiscal Q3 DRAM revenue rose. Bit shipments increased in the low-teens percentage range. Prices declined in the mid-single-digit percentage range. "
+            "NAND Fiscal Q3 NAND revenue was 2 billion. NAND Bit shipments were up in the mid- to-high-20s percentage range, and Prices declined in the high–single-digit percentage range.")
+    r = one(spark, T.product_changes(F.lit(text), "NAND").alias("n"), T.product_changes(F.lit(text), "HBM").alias("none"))
+    assert (r.n.volume.low, r.n.volume.high, r.n.volume.phrase) == (0.24, 0.29, "mid-to-high-20s") and (r.n.price.low, r.n.price.high) == (-0.09, -0.07) and r.n.error is None
+    assert r.none.error == "paragraph not found" and r.none.volume is None
