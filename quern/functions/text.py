@@ -37,6 +37,11 @@ def visible_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(_entities(bare), r"\s+", " "))
 
 
+def distinct_links(html: Column, most: int = 24) -> Column:
+    """The first different targets of a page's anchors, in order; what a crawl follows."""
+    return F.slice(F.array_distinct(links(html)), 1, most)
+
+
 def _entities(text: Column) -> Column:
     """The commonest entities read."""
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):

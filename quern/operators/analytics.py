@@ -15,8 +15,10 @@ def scenarios(companies: DataFrame, cash_flow: str = "operating_cash_flow", cape
     """Each company under each scenario: stressed flows, yearly burn, runway in years and its band. Three rows from one, by explode."""
     three = F.array(*(F.struct(F.lit(n).alias("scenario"), F.lit(d).alias("decline"), F.lit(c).alias("cut")) for n, d, c in SCENARIOS))
     out = companies.withColumn("_s", F.explode(three)).select(*companies.columns, "_s.*")
-    stressed = F.col(cash_flow) * (1 - F.col("decline")) - F.abs(F.col(capex)) * (1 - F.col("cut"))
-    out = out.withColumn("stressed_free_cash_flow", stressed).withColumn("burn", F.greatest(-stressed, F.lit(0.0)))
+    whole = lambda c, fall: F.bround(F.col(c).cast("double") * (1 - F.col(fall)))  # noqa: E731  halves to even
+    out = out.withColumns({"stressed_cash_flow": whole(cash_flow, "decline"), "stressed_capex": whole(capex, "cut")})
+    out = out.withColumn("stressed_free_cash_flow", F.col("stressed_cash_flow") - F.col("stressed_capex"))
+    out = out.withColumn("burn", F.greatest(-F.col("stressed_free_cash_flow"), F.lit(0.0)))
     out = out.withColumn("runway_years", F.when(F.col("burn") > 0, F.col(liquidity) / F.col("burn")))
     return out.withColumn("band", runway_band(F.col("burn"), F.col("runway_years")))
 

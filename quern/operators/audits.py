@@ -115,12 +115,23 @@ def published_at(events: DataFrame, accepted: DataFrame, key: str) -> DataFrame:
         "PUBLISHED_AT_MISMATCH": F.coalesce(F.col("published_at") != F.col("accepted_at"), F.lit(False))})
 
 
-def evidence(rows: DataFrame, hosts: Sequence[str]) -> DataFrame:
-    """Hash shape, size, source and repeats of evidence records (event_id, source_url, sha256, size_bytes)."""
-    n = F.count("*").over(Window.partitionBy("event_id"))
-    return issues(rows.withColumn("_n", n), "evidence", F.col("event_id"), {
-        "BAD_HASH": ~F.coalesce(F.col("sha256"), F.lit("")).rlike("^[0-9a-f]{64}$"), "EMPTY_BODY": F.coalesce("size_bytes", F.lit(0)) <= 0,
-        "NON_PRIMARY_DOMAIN": ~allowed_url(F.col("source_url"), list(hosts)), "DUPLICATE_EVIDENCE": F.col("_n") > 1})
+#: Fixed scopes of evidence.
+SCOPES = ("SEC_SUBMISSIONS_JSON", "TDNET_DISCLOSURE_DOCUMENT")
+
+
+def evidence(rows: DataFrame, hosts: Sequence[str], order: str) -> DataFrame:
+    """Evidence records (event_id, evidence_url, evidence_scope, source_content_sha256, source_content_bytes): id, repeats, digest, size, source, scope.
+
+    A record without an id has that issue only; of an id's records those after the first, by `order`, are repeats.
+    """
+    at = F.row_number().over(Window.partitionBy("event_id").orderBy(order))
+    there = ~missing("event_id")
+    netloc = F.coalesce(F.regexp_extract("evidence_url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
+    return issues(rows.withColumn("_at", at), "evidence", F.col("event_id"), {
+        "MISSING_EVENT_ID": ~there, "DUPLICATE_EVIDENCE_EVENT_ID": there & (F.col("_at") > 1),
+        "INVALID_SOURCE_SHA256": there & ~F.coalesce(F.col("source_content_sha256"), F.lit("")).rlike("^[0-9a-f]{64}$"),
+        "EMPTY_SOURCE_CONTENT": there & (F.coalesce("source_content_bytes", F.lit(0)) <= 0), "NON_PRIMARY_DOMAIN": there & ~netloc.isin(*hosts),
+        "INVALID_EVIDENCE_SCOPE": there & ~F.coalesce(F.col("evidence_scope").isin(*SCOPES), F.lit(False))})
 
 
 def accounting_basis(metrics: DataFrame, raw: Sequence[str], derived: Sequence[str]) -> DataFrame:
@@ -214,6 +225,19 @@ def run_coherence(artifacts: DataFrame, required: Sequence[str], bound: Sequence
         "STALE_PUBLICATION_RUN": mine & differs(F.nullif("_lr", F.lit("")), F.nullif("generated_from_run_at", F.lit("")))})
 
 
+def manifest(files: DataFrame, required: Sequence[str], audits: DataFrame, run_id: str) -> tuple[DataFrame, DataFrame]:
+    """(manifest, issues): the required files (path, sha256, size_bytes) of a run, and what forbids it.
+
+    audits (name, status, issues, run_id) must all have passed without an issue, in this run.
+    """
+    listed = files.sparkSession.createDataFrame([(p,) for p in required], "path string")
+    joined = listed.join(files, "path", "left")
+    bad = issues(joined, "manifest", F.col("path"), {"MISSING": F.col("sha256").isNull()})
+    dirty = issues(audits, "manifest", F.col("name"), {
+        "DIRTY_AUDIT": ~F.col("status").eqNullSafe("PASS") | (F.coalesce("issues", F.lit(0)) > 0), "RUN_MISMATCH": ~F.col("run_id").eqNullSafe(run_id)})
+    return joined.where(F.col("sha256").isNotNull()).withColumn("run_id", F.lit(run_id)), bad.unionByName(dirty)
+
+
 def manifest_check(manifest: DataFrame, files: DataFrame) -> DataFrame:
     """manifest (path, sha256, size_bytes) against files of the same shape."""
     f = files.select("path", F.col("sha256").alias("_hash"), F.col("size_bytes").alias("_size"))

@@ -35,7 +35,7 @@ _COMPANIES = """m AS (
   SELECT l_suppkey AS company, CAST(sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS operating_cash_flow,
     CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS capex FROM lineitem GROUP BY 1),
 k AS (SELECT m.*, s_acctbal * 10000 AS liquidity FROM m JOIN supplier ON company = s_suppkey),
-s AS (SELECT k.*, v.scenario, operating_cash_flow * (1 - v.decline) - abs(capex) * (1 - v.cut) AS f FROM k,
+s AS (SELECT k.*, v.scenario, round_even(operating_cash_flow * (1 - v.decline), 0) - round_even(capex * (1 - v.cut), 0) AS f FROM k,
   (VALUES ('cycle', CAST(0.30 AS DOUBLE), CAST(0.15 AS DOUBLE)), ('severe', CAST(0.60 AS DOUBLE), CAST(0.35 AS DOUBLE)), ('crisis', CAST(0.90 AS DOUBLE), CAST(0.50 AS DOUBLE))) v(scenario, decline, cut)),
 t AS (SELECT *, greatest(-f, 0.0) AS burn, CASE WHEN -f > 0 THEN liquidity / -f END AS runway FROM s),
 u AS (SELECT *, CASE WHEN burn = 0 THEN 'self_funding' WHEN runway >= 5 THEN 'five_years_plus' WHEN runway >= 2 THEN 'two_to_five_years' WHEN runway IS NOT NULL THEN 'under_two_years' END AS band FROM t)"""

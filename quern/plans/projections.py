@@ -128,11 +128,11 @@ def newest_filings(spark, sf_dir):
 
 
 @query("""
-WITH f AS (SELECT user_id, event_id % 7 AS item, min(event_id) AS at FROM events GROUP BY ALL), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY at, item) AS INTEGER) AS place FROM f)
-SELECT user_id, item, at, place FROM r WHERE place <= 4""")
+WITH f AS (SELECT user_id, event_id % 7 AS item, min(event_id) AS first_at FROM events GROUP BY ALL), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY first_at, item) AS INTEGER) AS place FROM f)
+SELECT user_id, item, first_at, place FROM r WHERE place <= 4""")
 def compare_list(spark, sf_dir):
-    rows = events(spark, sf_dir).select("user_id", (F.col("event_id") % 7).alias("item"), F.col("event_id").alias("at"))
-    return projections.compare_list(rows, "user_id", "item", "at")
+    rows = events(spark, sf_dir).select("user_id", (F.col("event_id") % 7).alias("item"), F.col("event_id").alias("first_at"))
+    return projections.compare_list(rows, "user_id", "item", "first_at")
 
 
 @query("""

@@ -57,31 +57,60 @@ def filings(documents: DataFrame) -> DataFrame:
     return rows.where(F.coalesce("accessionNumber", F.lit("")) != "")
 
 
-def archive_members(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
-    """(archive, member, content) of ZIP files; wanted (member) limits what is unpacked. Each archive is read by one task."""
+def archive_members(spark: SparkSession, path: str, wanted: list[str] | None = None) -> DataFrame:
+    """(archive, member, content) of ZIP files; with `wanted` only those members are unpacked, by the tasks. Each archive is read by one task."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
+    names = None if wanted is None else frozenset(wanted)
 
     def unzip(batches):
         for batch in batches:
             for at, raw in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 with zipfile.ZipFile(io.BytesIO(raw)) as z:
                     for name in z.namelist():
-                        yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([name]), pa.array([z.read(name)], pa.binary())], ["archive", "member", "content"])
+                        if names is None or name in names:
+                            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([name]), pa.array([z.read(name)], pa.binary())], ["archive", "member", "content"])
 
-    members = files.mapInArrow(unzip, "archive string, member string, content binary")
-    return members if wanted is None else members.join(wanted.select("member").distinct(), "member", "left_semi").select("archive", "member", "content")
+    return files.mapInArrow(unzip, "archive string, member string, content binary")
 
 
-def file_hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, sha256, size_bytes) of the files of a tree."""
+def member_name(cik: int) -> str:
+    """A company's member of the bulk archive."""
+    return f"CIK{cik:010d}.json"
+
+
+def company_members(spark: SparkSession, path: str, ciks: list[int]) -> DataFrame:
+    """(cik, member, content) of the companies asked for; a company without a member, or whose document names another, fails the read."""
+    asked = spark.createDataFrame([(c, member_name(c)) for c in ciks], "cik long, member string")
+    found = archive_members(spark, path, [member_name(c) for c in ciks])
+    inside = F.get_json_object(F.col("content").cast("string"), "$.cik").try_cast("long")
+    joined = asked.join(found, "member", "left")
+    wrong = F.when(F.col("content").isNull(), "missing member").when(~inside.eqNullSafe(F.col("cik")), "document of another company in")
+    content = F.when(wrong.isNull(), F.col("content")).otherwise(F.raise_error(F.concat_ws(" ", wrong, "member")).cast("binary"))
+    return joined.select("cik", "member", content.alias("content"))
+
+
+def file_hashes(spark: SparkSession, path: str, pattern: str = "*", exclude: str | None = None) -> DataFrame:
+    """(path, sha256, size_bytes) of the files of a tree that match a glob, but for those whose path matches the regular expression `exclude`."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
+    files = files if exclude is None else files.where(~F.col("path").rlike(exclude))
     return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"))
 
 
+def audit_documents(spark: SparkSession, path: str, schema: str, pattern: str = "*audit_latest.json") -> DataFrame:
+    """Documents whose names match a glob, with the file that each came from."""
+    rows = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").option("pathGlobFilter", pattern).json(path)
+    return rows.select("*", F.col("_metadata.file_path").alias("file_path"))
+
+
+LISTS = ("companies", "financials", "items", "results")
+
+
 def unwrapped(rows: DataFrame, column: str, element: str) -> DataFrame:
-    """Records of response envelopes: data, companies, financials, items or results as a list, else the whole as one."""
-    parse = lambda path: F.from_json(F.get_json_object(column, path), f"array<{element}>")
-    lists = F.coalesce(*(parse(f"$.{k}") for k in ("data", "companies", "financials", "items", "results")), F.array(F.from_json(column, element)))
+    """Records of response envelopes: what is under `data` if it is there; of that the list itself, or one named in LISTS, else the whole as one."""
+    at = lambda text, key: F.get_json_object(text, f"$.{key}")
+    body = F.coalesce(at(F.col(column), "data"), F.col(column))
+    as_list = lambda text: F.when(F.ltrim(text).startswith("["), F.from_json(text, f"array<{element}>"))
+    lists = F.coalesce(as_list(body), *(as_list(at(body, k)) for k in LISTS), F.array(F.from_json(body, element)))
     return rows.select(*(c for c in rows.columns if c != column), F.explode(lists).alias("record"))
 
 

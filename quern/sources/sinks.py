@@ -15,9 +15,10 @@ def json_rows(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def canonical_lines(df: DataFrame, path: str, order: Sequence[str]) -> None:
-    """Sorted line-delimited JSON; range-sorted files in name order, so the size of a task stays bounded."""
+def canonical_lines(df: DataFrame, path: str, order: Sequence[str]) -> str:
+    """Sorted line-delimited JSON in range-sorted files, so that a task's size stays bounded; returns a hash of the lines, whatever their files."""
     json_rows(df.orderBy(*order)).write.mode("overwrite").text(path)
+    return content_hash(df.sparkSession.read.text(path))
 
 
 def document(df: DataFrame, order: Sequence[str], limit: int = SMALL) -> str:

@@ -13,11 +13,17 @@ def codes(df):
 
 
 def test_evidence_and_times(spark):
-    good = "a" * 64
-    rows = [("ok", "https://a.gov/x", good, 1), ("hash", "https://a.gov/x", "A" * 64, 1), ("none", "https://a.gov/x", None, 1),
-            ("empty", "https://a.gov/x", good, 0), ("host", "https://b.gov/x", good, 1), ("two", "https://a.gov/x", good, 1), ("two", "https://a.gov/x", good, 1)]
-    found = audits.evidence(spark.createDataFrame(rows, "event_id string, source_url string, sha256 string, size_bytes long"), ["a.gov"])
-    assert codes(found) == {("hash", "BAD_HASH"), ("none", "BAD_HASH"), ("empty", "EMPTY_BODY"), ("host", "NON_PRIMARY_DOMAIN"), ("two", "DUPLICATE_EVIDENCE")}
+    good, scope = "a" * 64, audits.SCOPES[0]
+    rows = [("ok", "https://a.gov/x", good, 1, scope, 1), ("hash", "https://a.gov/x", "A" * 64, 1, scope, 2), ("none", "https://a.gov/x", None, 1, scope, 3), ("", None, None, 0, None, 4),
+            ("empty", "https://a.gov/x", good, 0, scope, 5), ("host", "https://b.gov/x", good, 1, scope, 6), ("two", "https://a.gov/x", good, 1, scope, 7), ("two", "https://a.gov/x", good, 1, "other", 8)]
+    found = audits.evidence(spark.createDataFrame(rows, "event_id string, evidence_url string, source_content_sha256 string, source_content_bytes long, evidence_scope string, seq int"), ["a.gov"], "seq")
+    assert codes(found) == {("hash", "INVALID_SOURCE_SHA256"), ("none", "INVALID_SOURCE_SHA256"), ("", "MISSING_EVENT_ID"), ("empty", "EMPTY_SOURCE_CONTENT"), ("host", "NON_PRIMARY_DOMAIN"),
+                            ("two", "DUPLICATE_EVIDENCE_EVENT_ID"), ("two", "INVALID_EVIDENCE_SCOPE")}
+    files = spark.createDataFrame([("a", "h", 1)], "path string, sha256 string, size_bytes long")
+    runs = spark.createDataFrame([("x", "PASS", 0, "r"), ("y", "PASS", 1, "r"), ("z", "FAIL", 0, "q")], "name string, status string, issues int, run_id string")
+    made, bad = audits.manifest(files, ["a", "b"], runs, "r")
+    assert [tuple(r) for r in made.collect()] == [("a", "h", 1, "r")]
+    assert codes(bad) == {("b", "MISSING"), ("y", "DIRTY_AUDIT"), ("z", "DIRTY_AUDIT"), ("z", "RUN_MISMATCH")}
     ts = lambda df, c: df.withColumn(c, F.col(c).cast("timestamp"))
     shown = ts(spark.createDataFrame([("a", "2024-01-01 00:00:00"), ("b", "2024-01-01 00:00:01"), ("c", "2024-01-01")], "k string, published_at string"), "published_at")
     accepted = ts(spark.createDataFrame([("a", "2024-01-01 00:00:00"), ("b", "2024-01-01 00:00:00")], "k string, accepted_at string"), "accepted_at")

@@ -39,14 +39,31 @@ def test_archives_and_hashes(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "z.zip", "w") as z:
         z.writestr("one.json", "1")
         z.writestr("two.json", "22")
-    wanted = spark.createDataFrame([("two.json",), ("none.json",)], "member string")
+    wanted = ["two.json"]
     assert [(r.member, bytes(r.content)) for r in readers.archive_members(spark, f"{tmp_path}/z.zip", wanted).collect()] == [("two.json", b"22")]
     (tmp_path / "t").mkdir()
     (tmp_path / "t" / "x.txt").write_text("abc")
+    assert readers.file_hashes(spark, f"{tmp_path}/t", "*.txt", r"\.txt$").count() == 0
     r = readers.file_hashes(spark, f"{tmp_path}/t", "*.txt").first()
     assert r.size_bytes == 3 and r.sha256.startswith("ba7816bf")
     env = spark.createDataFrame([('{"data":[{"a":1},{"a":2}]}',), ('{"a":3}',)], "body string")
     assert sorted(r.record.a for r in readers.unwrapped(env, "body", "struct<a:int>").collect()) == [1, 2, 3]
+    deep = spark.createDataFrame([('{"data":{"items":[{"a":4},{"a":5}]}}',), ('{"data":{"a":6}}',), ('{"data":[{"a":7}]}',), ('{"results":[]}',)], "body string")
+    assert sorted(r.record.a for r in readers.unwrapped(deep, "body", "struct<a:int>").collect()) == [4, 5, 6, 7]
+
+
+def test_company_members(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "bulk.zip", "w") as z:
+        z.writestr(readers.member_name(1), '{"cik": 1}')
+        z.writestr(readers.member_name(2), '{"cik": "0000000003"}')
+    read = lambda ciks: readers.company_members(spark, f"{tmp_path}/bulk.zip", ciks).collect()
+    assert [(r.cik, bytes(r.content)) for r in read([1])] == [(1, b'{"cik": 1}')]
+    with pytest.raises(Exception, match="another company"):
+        read([2])
+    with pytest.raises(Exception, match="missing member"):
+        read([1, 9])
 
 
 def test_pages():
@@ -90,7 +107,8 @@ def test_sinks(spark, tmp_path):
     assert sinks.document(df, ["id"]) == '[\n{"id":1,"v":"é"},\n{"id":2,"v":null}\n]\n'
     with pytest.raises(ValueError):
         sinks.document(df, ["id"], 1)
-    sinks.canonical_lines(df, f"{tmp_path}/l", ["id"])
+    once = sinks.canonical_lines(df, f"{tmp_path}/l", ["id"])
+    assert once == sinks.canonical_lines(df.repartition(3), f"{tmp_path}/l2", ["id"]) != sinks.canonical_lines(df.limit(1), f"{tmp_path}/l3", ["id"])
     assert [r.value for r in spark.read.text(f"{tmp_path}/l").collect()] == ['{"id":1,"v":"é"}', '{"id":2,"v":null}']
     h = sinks.write_if_changed(df, f"{tmp_path}/p", None)
     assert sinks.content_hash(df.repartition(3)) == h and sinks.write_if_changed(df, f"{tmp_path}/never", h) == h
