@@ -121,10 +121,16 @@ def ratio_change(now: Column, before: Column) -> Column:
 
 
 def percent_change(now: Column, before: Column, places: int = 4) -> Column:
-    """(now - before) / |before| * 100 in exact decimals, half up; null on a null or zero base."""
+    """(now - before) / |before| * 100 in exact decimals, half up; null on a null or zero base, and beyond 14 digits.
+
+    Rounded once, by whole-number division: a quotient with fewer digits first would round twice.
+    """
     a, b = now.cast("decimal(28,6)"), before.cast("decimal(28,6)")
-    share = F.try_divide((a - b).cast("decimal(28,6)"), F.abs(b)).cast("decimal(38,12)")
-    return F.round((share * 100).cast("decimal(38,10)"), places).cast(f"decimal(18,{places})")
+    size, base = F.abs(a - b).cast("decimal(28,6)"), F.abs(b)
+    fits = (base > 0) & (size.cast("double") / base.cast("double") < 1e12)
+    units = F.call_function("div", (size * F.lit(2 * 10 ** (places + 2)).cast("decimal(10,0)") + base).cast("decimal(38,6)"), (base * 2).cast("decimal(30,6)"))
+    signed = F.when(a < b, -units).otherwise(units)
+    return F.when(fits, (signed.cast("decimal(18,0)") / F.lit(10**places).cast("decimal(10,0)")).cast(f"decimal(18,{places})"))
 
 
 def growth_rate(first: Column, last: Column, years: Column) -> Column:
