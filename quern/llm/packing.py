@@ -6,12 +6,14 @@ follow each other in one partition and are cut into full sequences; what is left
 at a partition's end is cut at powers of two, so nothing is padded.
 
 Tokens are made once and staged with the key; the range sort then samples and
-moves staged rows only. A partition holds one open sequence at a time.
+moves staged rows only. There are as many ranges as the staged bytes ask for; a
+partition holds one open sequence at a time.
 """
 
 from __future__ import annotations
 
 import zlib
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,8 @@ DIMENSIONS = 3
 BITS = 16
 #: Entries of a worker's memo of words.
 MEMO = 600_000
+#: Bytes of token ids that a range holds at most, about.
+RANGE_BYTES = 128 << 20
 _MARKS = (b".", b",", b";", b":", b"!", b"?")
 
 
@@ -248,7 +252,9 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, length: int = LENGTH, end:
              pa.array(m, pa.int64()), pa.array(q, pa.int64()), pa.array(o, pa.int64())],
             ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    ranged = staged.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = ceil((staged.agg(F.sum(F.octet_length("ids"))).first()[0] or 0) / RANGE_BYTES)
+    many = ranges > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # else Spark's own number is enough
+    ranged = (staged.repartitionByRange(ranges, *order) if many else staged.repartitionByRange(*order)).sortWithinPartitions(*order)
     schema = "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return ranged.select("doc_id", "n", "ids").mapInArrow(cut, schema)
 

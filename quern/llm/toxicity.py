@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_bytes, own_name, small_batches
+from quern.llm.common import as_bytes, own_name, small_batches, stage
 
 #: Most labelled rows that training reads: those of least hash.
 SAMPLE = 12_000
@@ -244,12 +244,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
     small_batches(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample)
+    chosen = stage(known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(sample))
     counts = {r.toxic: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     if not toxic or not clean:
         return Grammar({})
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    rows = stage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic"))
 
     def count(batches):
         for batch in batches:
