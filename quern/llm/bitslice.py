@@ -35,8 +35,8 @@ EVERY = 50
 LARGEST = 1 << 60
 
 
-def vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, dim, x): floor(scale * component) of each usable vector.
+def vectors(rows: DataFrame, scale: int = SCALE, *kept: str) -> DataFrame:
+    """(vec_id, dim, x, then the columns kept): floor(scale * component) of each usable vector.
 
     Left out: null vectors, those with a null or non-finite component, and null
     ids. Rows that repeat a vec_id stay rows. A finite component beyond LARGEST
@@ -47,7 +47,7 @@ def vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     x = F.transform("embedding", lambda v: F.when(fits(v), F.floor(F.lit(scale) * v.cast("double"))).otherwise(too_large))
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
     usable = rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite)
-    return usable.select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), x.cast("array<bigint>").alias("x"))
+    return usable.select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), x.cast("array<bigint>").alias("x"), *kept)
 
 
 def _least_kind(x: np.ndarray) -> np.ndarray:

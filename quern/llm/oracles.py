@@ -1,4 +1,4 @@
-"""DuckDB SQL for the queries op1 to op10 that SQL can express; it goes by the definition, not by the operator's method."""
+"""DuckDB SQL for the queries op1 to op11 that SQL can express; it goes by the definition, not by the operator's method."""
 
 from __future__ import annotations
 
@@ -47,6 +47,21 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same,
+    CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)),
+o AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM p WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+r AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM o JOIN p USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 5
+"""
+
 SUBSTRINGS = rf"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
 g AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS s, w FROM w WHERE len(w) >= 20),

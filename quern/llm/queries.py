@@ -1,10 +1,10 @@
-"""The thin queries op1 to op10 and the SQL of those that SQL can express."""
+"""The thin queries op1 to op13 and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.llm import bitslice, licenses, mixing, oracles, packing, secrets, simhash, substrings, toxicity, transport, warc
+from quern.llm import bitslice, hardnegatives, licenses, mixing, oracles, packing, permutation, secrets, simhash, substrings, toxicity, transport, warc
 from quern.llm.common import stage
 
 QUERIES: dict = {}
@@ -105,3 +105,16 @@ def op10_license_scans(spark, sf_dir):
     found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     names = F.transform(F.array_sort("matches"), lambda m: F.concat(m["name"], F.lit(":"), m["found"], F.lit("/"), m["total"]))
     return found.select("doc_id", F.size("matches").cast("long").alias("n_licenses"), F.array_join(names, ",").alias("licenses"))
+
+
+@_query(oracles.HARD_NEGATIVES)
+def op11_hard_negatives(spark, sf_dir):
+    """Hard negatives of every 100th vector, for each of its five positives."""
+    found = hardnegatives.mine(hardnegatives.relabelled(_table(spark, sf_dir, "embeddings")))
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@_query()
+def op13_nearest_neighbours(spark, sf_dir):
+    """Ten nearest of all vectors for each vec_id divisible by 100, by the permutation index."""
+    return permutation.nearest(_table(spark, sf_dir, "embeddings"))
