@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.llm import bitslice, hardnegatives, licenses, mixing, oracles, packing, permutation, secrets, simhash, substrings, toxicity, transport, warc
+from quern.llm import bitslice, crosstokens, hardnegatives, licenses, mixing, oracles, packing, permutation, secrets, simhash, substrings, toxicity, transport, warc
 from quern.llm.common import stage
 
 QUERIES: dict = {}
@@ -118,3 +118,11 @@ def op11_hard_negatives(spark, sf_dir):
 def op13_nearest_neighbours(spark, sf_dir):
     """Ten nearest of all vectors for each vec_id divisible by 100, by the permutation index."""
     return permutation.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+@_query()
+def op12_cross_tokenizer_alignment(spark, sf_dir):
+    """Tokens, groups and links of two tokenizers in every document, with corpus-wide counts of their links."""
+    found = crosstokens.align(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)

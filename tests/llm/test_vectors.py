@@ -19,7 +19,7 @@ def made(n, dim, seed, labels=3, spread=1.0):
 
 ODD = [
     (5000, None, 1), (5001, [1.0, None, 0.5, 0.0], 1), (5002, [float("nan")] * 4, 1), (5003, [float("inf"), 0.0, 0.0, 0.0], 1),
-    (5004, [1.0, 2.0, 3.0, 4.0], None), (None, [1.0, 2.0, 3.0, 4.0], 1), (5100, [1.0, 2.0], 1), (5101, [1.0, 2.5], 1), (5102, [1.0, 2.4], 2),
+    (5004, [1.0, 2.0, 3.0, 4.0], None), (None, [1.0, 2.0, 3.0, 4.0], 1), (5100, [1.0, 2.0], 1), (5101, [1.0, 2.5], 1), (5102, [1.0, 2.25], 2),
     (5200, [], 1), (5201, [], 1), (5202, [], 2), (5300, [0.0] * 4, 2)]
 
 
