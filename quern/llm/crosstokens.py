@@ -2,25 +2,30 @@
 
 Both tokenizers cut a text's bytes; places where both end cut it into groups, and
 every place where either ends closes one link, the A and the B token that overlap
-there.
-
-Pass one encodes every text, aligns it, and keeps its ids and, for each chunk of
-texts, how many links hold each id pair. The distinct pairs are dealt into buckets by hash; a bucket gets a
-minimal perfect hash, a cascade of bit arrays whose ranks number its keys without
-gaps. Chunks then add to dense count vectors, indexed by that hash, each key
-verified against the one stored at its place; the vectors are summed up a tree of
-FAN to one. Pass two aligns the texts again and looks its chunk's pairs up.
+there. Neither joins across a space or a line end that follows something else, so
+a text is a sequence of words that begin there, and a word is encoded and aligned
+once for each chunk of texts, however often it comes.
+
+Pass one encodes every text and keeps, for each chunk, its words' ids, the texts
+as numbers of words, and how many links hold each id pair. The distinct pairs are
+dealt into buckets by hash; a bucket gets a minimal perfect hash, a cascade of bit
+arrays whose ranks number its keys without gaps. Chunks then add to dense count
+vectors, indexed by that hash, each key verified against the one stored at its
+place; the vectors are summed up a tree of FAN to one. Pass two aligns the texts
+again and looks its chunk's pairs up.
 
 Nothing whole passes through one task: a bucket holds about BUCKET_KEYS pairs, a
-chunk one batch of texts, and what is broadcast is one number for each B token,
-which the vocabulary bounds.
+chunk one batch of texts, and what goes to all tasks is one number for each B
+token, which the vocabulary bounds.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from math import ceil
 
 import numpy as np
@@ -37,6 +42,10 @@ BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BUCKET_KEYS = 1 << 16
 FAN = 64
+#: Words that are encoded at once, at most.
+RUN = 1000
+#: A word: a space or line end after something that is no white space, and all up to the next one.
+_WORDS = re.compile(r"[ \n]\s*+\S*+(?:[^\S \n]\s*+\S*+)*+")
 
 
 # -- encoding and aligning ---------------------------------------------------------------------------------------------
@@ -68,20 +77,46 @@ class Encoders:
         #: An A id in decimal, then each of the marks: another of its group, B's part of the group, the next group.
         self.written = [f"{i}{mark}" for mark in ",|;" for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
 
+        joined = [x for i, x in enumerate(self.b_bytes) if not self.b.is_byte(i) and re.search(rb"[^ ] |\n", x)]
+        if joined:
+            raise ValueError("pieces join words, so words can't be encoded by themselves")
+        self.kind = np.dtype("<u2" if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else "<u4")
+
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """A's and B's ids of the text; none if it is null or empty, or if either's tokens do not spell a space and the text."""
-        none = np.zeros(0, np.uint32)
-        if not text:
-            return none, none
-        true = b" " + text.encode()
-        a, b = self.a.encode_to_numpy(" " + text), self.b.encode(text)
-        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != true or b"".join(map(self.b_bytes.__getitem__, b)) != true:
-            return none, none
-        return a.astype(np.uint32), np.array(b, np.uint32)
+    def cut(self, text: str | None) -> list[str]:
+        """The words of a space and the text; none of a null or empty text."""
+        return _WORDS.findall(" " + text) if text else []
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[int]]:
+        """A's and B's ids of words that follow each other, how many each word has, and the words that either's tokens do not spell, which have none."""
+        parts, lost, start = [], [], 0
+        for i, word in enumerate(words):
+            if word[-1].isspace() or i + 1 == len(words) or i + 1 - start == RUN:  # after white space the next word would not begin here
+                self._run(words, start, i + 1, parts, lost)
+                start = i + 1
+        kinds = (self.kind, self.kind, np.dtype("<u4"), np.dtype("<u4"))
+        joined = [np.concatenate([np.zeros(0, k), *(p[j] for p in parts)]).astype(k) for j, k in enumerate(kinds)]
+        return (*joined, lost)
+
+    def _run(self, words: list[str], start: int, end: int, parts: list, lost: list[int]) -> None:
+        """Encodes a run of words at once; one that is not spelled is halved until the word is found."""
+        text = "".join(words[start:end])
+        true = text.encode()
+        # B puts a space before a text; a line end after it keeps that apart from the words
+        a, b = self.a.encode_to_numpy(text), np.array(self.b.encode("\n" + text)[2:], np.int64)
+        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) == true == b"".join(map(self.b_bytes.__getitem__, b.tolist())):
+            ends = np.cumsum(np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in words[start:end]), np.int64, end - start))
+            count = lambda sizes: np.diff(np.searchsorted(np.cumsum(sizes), ends, "right"), prepend=0)
+            parts.append((a, b, count(self.a_sizes[a]), count(self.b_sizes[b])))
+        elif end - start == 1:
+            lost.append(start)
+            parts.append((a[:0], b[:0], np.zeros(1, np.int64), np.zeros(1, np.int64)))
+        else:
+            for x, y in ((start, (start + end) // 2), ((start + end) // 2, end)):
+                self._run(words, x, y, parts, lost)
 
 
 @lru_cache(2)
@@ -91,12 +126,10 @@ def encoders(byte_level: str, pieces: str) -> Encoders:
 
 
 class Aligned:
-    """The links of some texts' tokens, one text after the other; per text the numbers of tokens, groups and links."""
+    """The links of words, one after the other; per word the numbers of tokens, groups and links. a and b: the ids; n_a and n_b: how many of each word."""
 
-    def __init__(self, of: Encoders, texts: list[tuple[np.ndarray, np.ndarray]]):
-        self.of = of
-        self.a, self.b = (np.concatenate([np.zeros(0, np.uint32), *(t[side] for t in texts)]) for side in (0, 1))
-        self.n_a, self.n_b = (np.fromiter((len(t[side]) for t in texts), np.int64, len(texts)) for side in (0, 1))
+    def __init__(self, of: Encoders, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
+        self.of, self.a, self.b, self.n_a, self.n_b = of, a.astype(np.int64), b.astype(np.int64), n_a.astype(np.int64), n_b.astype(np.int64)
         a_ends, b_ends = np.cumsum(of.a_sizes[self.a]), np.cumsum(of.b_sizes[self.b])
         size = int(a_ends[-1]) + 1 if len(a_ends) else 1
         in_a, in_b = np.zeros(size, bool), np.zeros(size, bool)
@@ -105,16 +138,16 @@ class Aligned:
         #: Tokens of each link, and the links that end a group.
         self.of_a, self.of_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
         self.closing = in_a[ends] & in_b[ends]
-        self.keys = self.a[self.of_a].astype(np.uint64) << np.uint64(32) | self.b[self.of_b]
-        self.link_ends = np.searchsorted(self.of_a, np.cumsum(self.n_a))  # a text's last link ends with its last token
-        self.n_links, self.n_groups = self.per_text(np.ones(len(ends), np.int64)), self.per_text(self.closing)
+        self.keys = self.a[self.of_a].astype(np.uint64) << np.uint64(32) | self.b[self.of_b].astype(np.uint64)
+        self.link_ends = np.searchsorted(self.of_a, np.cumsum(self.n_a))  # a word's last link ends with its last token
+        self.n_links, self.n_groups = self.per_word(np.ones(len(ends), np.int64)), self.per_word(self.closing)
 
-    def per_text(self, values: np.ndarray) -> np.ndarray:
-        """Sums over the links of each text."""
+    def per_word(self, values: np.ndarray) -> np.ndarray:
+        """Sums over the links of each word."""
         return np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[self.link_ends], prepend=0)
 
     def groups(self) -> list[str]:
-        """Each text's groups as `a1,a2|b1;a3|b2,b3`."""
+        """Each word's groups as `a1,a2|b1;a3|b2,b3`."""
         n, half = len(self.a), len(self.of.written) // 3
         closing_a, closing_b = self.of_a[self.closing], self.of_b[self.closing]
         before_a = np.zeros(n, np.int64)  # a token's group
@@ -211,26 +244,51 @@ def _batch(values: list, kinds: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names)
 
 
-ENCODED = "chunk long, doc_id long, a binary, b binary, keys binary, counts binary"
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    return len(raw := values.tobytes()).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _spread(data: bytes, kind: np.dtype | str) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), kind)
+
+
+#: Of a chunk: its texts' ids; its words' A and B ids and how many each has; the texts' words by number and how many each text has; its pairs and their links.
+ENCODED = "chunk long, doc_ids array<bigint>, a binary, b binary, n_a binary, n_b binary, words binary, n_words binary, keys binary, counts binary"
+PARTS = {"n_a": "<u4", "n_b": "<u4", "words": "<u4", "n_words": "<i8"}
 
 
 def _encoded(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
-    """A row for each text with its ids, and one for each chunk, the batch they are read in: its distinct pairs and how many of its links hold each."""
+    """A row for each chunk, the batch that its texts are read in."""
     names = [c.split()[0] for c in ENCODED.split(", ")]
-    kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
+    kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 8]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = encoders(byte_level, pieces)
         first = TaskContext.get().partitionId() << 32
         for i, batch in enumerate(batches):
-            texts = [of(text.as_py()) for text in batch.column("text")]
-            n = len(texts)
+            numbers = _Numbers()
+            texts = [list(map(numbers.__getitem__, of.cut(text.as_py()))) for text in batch.column("text")]
+            a, b, n_a, n_b, lost = of(list(numbers))
+            if lost:  # such texts have no tokens
+                texts = [[] if not set(lost).isdisjoint(t) else t for t in texts]
+            n_words = np.fromiter(map(len, texts), "<i8", len(texts))
+            words = np.fromiter(chain.from_iterable(texts), "<u4", int(n_words.sum()))
+            aligned = Aligned(of, a, b, n_a, n_b)
+            keys, at = np.unique(aligned.keys, return_inverse=True)
+            times = np.repeat(np.bincount(words, minlength=len(numbers)), aligned.n_links)
+            counts = np.zeros(len(keys), np.int64)
+            np.add.at(counts, at, times)
             yield _batch(
-                [[first + i] * n, batch.column("doc_id").to_pylist(), *([t[side].tobytes() for t in texts] for side in (0, 1)), [None] * n, [None] * n],
-                kinds, names)
-            keys, counts = np.unique(Aligned(of, texts).keys, return_counts=True)
-            if len(keys):
-                yield _batch([[first + i], [None], [None], [None], [keys.tobytes()], [counts.astype(np.int64).tobytes()]], kinds, names)
+                [[first + i], [batch.column("doc_id").to_pylist()], *([_squeezed(x)] for x in (a, b, n_a, n_b, words, n_words)),
+                 [keys[counts > 0].tobytes()], [counts[counts > 0].tobytes()]], kinds, names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, ENCODED)
 
@@ -384,9 +442,8 @@ class Alignment:
     def __init__(self, docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = PIECES, bucket_keys: int = BUCKET_KEYS):
         small_batches(docs.sparkSession)
         self.paths = byte_level, pieces
-        encoded = stage(_encoded(docs, *self.paths))
-        self.texts = encoded.where(F.col("a").isNotNull()).select("chunk", "doc_id", "a", "b")
-        links = encoded.where(F.col("keys").isNotNull()).select("chunk", "keys", "counts")
+        self.chunks = stage(_encoded(docs, *self.paths))
+        links = self.chunks.select("chunk", "keys", "counts").where(F.octet_length("keys") > 0)
         pairs = stage(_distinct(links))
         n, self.n_chunks = pairs.count(), links.count()
         buckets = max(1, ceil(n / bucket_keys))
@@ -408,8 +465,8 @@ class Alignment:
     def documents(self) -> DataFrame:
         """A row for each document: RESULT, with the groups as `a1,a2|b1;a3|b2,b3`."""
         known = _lookups(self.counted, self.dealt, self.n_chunks, self.highest())
-        both = self.texts.withColumn("late", F.lit(True)).unionByName(known.withColumn("late", F.lit(False)), allowMissingColumns=True)
-        ordered = both.repartition("chunk").sortWithinPartitions("chunk", "late")
+        texts = self.chunks.drop("keys", "counts").withColumn("late", F.lit(True))
+        ordered = texts.unionByName(known.withColumn("late", F.lit(False)), allowMissingColumns=True).repartition("chunk").sortWithinPartitions("chunk", "late")
         paths = self.paths
         names = [c.split()[0] for c in RESULT.split(", ")]
         kinds = [pa.int64()] * 7 + [pa.string()]
@@ -418,20 +475,25 @@ class Alignment:
             of = encoders(*paths)
             at, found = None, Looked()
             for batch in batches:
-                chunks, late = batch.column("chunk").to_numpy(), batch.column("late").to_numpy(zero_copy_only=False)
-                cuts = (np.flatnonzero((chunks[1:] != chunks[:-1]) | (late[1:] != late[:-1])) + 1).tolist()
-                for start, end in zip([0, *cuts], [*cuts, len(chunks)], strict=True):
-                    part = batch.slice(start, end - start)
-                    if at != chunks[start]:
-                        at, found = chunks[start], Looked()
-                    if not late[start]:
-                        found.add(part)
+                for i in range(batch.num_rows):
+                    row = batch.slice(i, 1)
+                    if at != row.column("chunk")[0].as_py():
+                        at, found = row.column("chunk")[0].as_py(), Looked()
+                    if not row.column("late")[0].as_py():
+                        found.add(row)
                         continue
-                    texts = [tuple(np.frombuffer(part.column(side)[i].as_py(), np.uint32) for side in "ab") for i in range(part.num_rows)]
-                    aligned = Aligned(of, texts)
+                    get = lambda name, kind: _spread(row.column(name)[0].as_py(), kind)  # noqa: B023, E731
+                    n_a, n_b, words, n_words = (get(name, kind) for name, kind in PARTS.items())
+                    aligned = Aligned(of, get("a", of.kind), get("b", of.kind), n_a, n_b)
                     counts = found(aligned.keys)
-                    sums = [aligned.n_a, aligned.n_b, aligned.n_groups, aligned.n_links, aligned.per_text(counts < 0), aligned.per_text(np.abs(counts))]
-                    yield _batch([part.column("doc_id").to_pylist(), *sums, aligned.groups()], kinds, names)
+                    if ((np.bincount(words, minlength=len(n_a)) > 0) & (aligned.per_word(counts == 0) > 0)).any():
+                        raise KeyError("a pair of the second pass is not of the first")
+                    ends = np.cumsum(n_words)
+                    per_text = lambda x: np.diff(np.concatenate([[0], np.cumsum(x[words])])[ends], prepend=0)  # noqa: B023, E731
+                    sums = [aligned.n_a, aligned.n_b, aligned.n_groups, aligned.n_links, aligned.per_word(counts < 0), aligned.per_word(np.abs(counts))]
+                    groups, numbers = aligned.groups(), words.tolist()
+                    joined = [";".join(map(groups.__getitem__, numbers[start:end])) for start, end in zip([0, *ends.tolist()], ends.tolist())]
+                    yield _batch([row.column("doc_ids")[0].as_py(), *map(per_text, sums), joined], kinds, names)
 
         return ordered.mapInArrow(again, RESULT)
 
@@ -448,16 +510,14 @@ class Looked:
             self.parts.append((np.frombuffer(keys.as_py(), "<u8"), np.frombuffer(counts.as_py(), "<i8")))
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        if not len(keys):
-            return np.zeros(0, np.int64)
+        if not len(keys) or not any(len(k) for k, _ in self.parts):
+            return np.zeros(len(keys), np.int64)
         if self.keys is None:
             every = np.concatenate([k for k, _ in self.parts])
             order = np.argsort(every)
             self.keys, self.counts = every[order], np.concatenate([c for _, c in self.parts])[order]
-        at = np.searchsorted(self.keys, keys)
-        if at.max() >= len(self.keys) or (self.keys[at] != keys).any():
-            raise KeyError("a pair of the second pass is not of the first")
-        return self.counts[at]
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.counts[at], 0)  # zero: a word of texts that have no tokens
 
 
 def align(docs: DataFrame, **settings) -> DataFrame:

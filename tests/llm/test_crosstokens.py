@@ -101,6 +101,14 @@ def test_empty_table(spark):
     assert flat(crosstokens.align(only)) == [(i, 0, 0, 0, 0, 0, 0, "") for i in (1, 2)]
 
 
+def test_words_spell_their_text():
+    of = crosstokens.encoders(crosstokens.BYTE_LEVEL, crosstokens.PIECES)
+    for text in filter(None, TEXTS):
+        words = of.cut(text)
+        assert "".join(words) == " " + text and all(w[0] in " \n" for w in words)
+    assert of.cut("a b\nc \n d\te") == [" a", " b", "\nc", " \n d\te"] and of.cut(None) == of.cut("") == []
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_perfect_hash_is_minimal_and_verified(n):
     keys = np.random.default_rng(n).permutation(np.arange(n, dtype=np.uint64) * np.uint64(977) << np.uint64(7))
