@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.operators import ranges
+
 #: Fixed scenarios: fall of operating cash flow, cut of capital expenditure.
 SCENARIOS = (("cycle", 0.30, 0.15), ("severe", 0.60, 0.35), ("crisis", 0.90, 0.50))
 
@@ -70,19 +72,31 @@ def class_counts(classes: DataFrame, labels: Sequence[str] = ("resilient", "watc
 
 
 def mid_rank(df: DataFrame, group: Sequence[str], value: str, places: int = 4) -> DataFrame:
-    """df with `percentile`: (below + half of equal) / all within the group, among rows with a value. No self-join."""
-    known = df.where(F.col(value).isNotNull())
-    w = Window.partitionBy(*group)
-    below = F.rank().over(w.orderBy(value)) - 1
-    ties = F.count("*").over(Window.partitionBy(*group, value))
-    share = (below.cast("double") + 0.5 * ties.cast("double")) / F.count("*").over(w).cast("double")
-    return known.withColumn("percentile", F.round(share, places))
+    """df with `percentile`: (below + half of equal) / all within the group, among rows with a value. Ranks are those of distinct values, so no group is one task."""
+    ranks = ranges.ranked(df, group, value)
+    share = (F.col("below").cast("double") + 0.5 * F.col("ties").cast("double")) / F.col("rows").cast("double")
+    named = ranks.select(*(F.col(c).alias(f"_r{i}") for i, c in enumerate([*group, value])), F.round(share, places).alias("percentile"))
+    same = [F.col(c).eqNullSafe(F.col(f"_r{i}")) for i, c in enumerate([*group, value])]
+    return df.where(F.col(value).isNotNull()).join(named, same).select(*df.columns, "percentile")
 
 
 def peer_stats(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """(group, peers, median, deviation): mean of the middle two; population deviation from two values on."""
     spread = F.when(F.count(value) >= 2, F.stddev_pop(value))
-    return df.groupBy(*group).agg(F.count(value).alias("peers"), F.median(value).alias("median"), spread.alias("deviation"))
+    sums = df.groupBy(*group).agg(F.count(value).alias("peers"), spread.alias("deviation"))
+    middle = ranges.medians(df, group, value).select(
+        *(F.col(c).alias(f"_r{i}") for i, c in enumerate(group)), ((F.col("lower").cast("double") + F.col("upper").cast("double")) / 2).alias("median"))
+    same = [F.col(c).eqNullSafe(F.col(f"_r{i}")) for i, c in enumerate(group)]
+    return sums.join(middle, same, "left").select(*group, "peers", "median", "deviation")
+
+
+def with_peers(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    """df with its group's peers, peer_median and peer_deviation, and how far the value is from the median; rows without a value keep the group's figures."""
+    stats = peer_stats(df, group, value)
+    named = stats.select(*(F.col(c).alias(f"_r{i}") for i, c in enumerate(group)), "peers", F.col("median").alias("peer_median"), F.col("deviation").alias("peer_deviation"))
+    same = [F.col(c).eqNullSafe(F.col(f"_r{i}")) for i, c in enumerate(group)]
+    joined = df.join(named, same, "left").select(*df.columns, "peers", "peer_median", "peer_deviation")
+    return joined.withColumn("from_median", F.col(value) - F.col("peer_median"))
 
 
 def liquidity_and_debt(df: DataFrame) -> DataFrame:

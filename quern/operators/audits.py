@@ -73,12 +73,25 @@ def unverified_sources(registry: DataFrame) -> DataFrame:
     return issues(registry, "ledger", F.col("source_id"), {"MISSING_VERIFIED_CIK": F.coalesce(lacks, F.lit(False))})
 
 
-def semantic_duplicates(events: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows after the first, by id, that agree on all keys; rows with a missing key can't be told apart and are issues."""
-    at = F.row_number().over(Window.partitionBy(*keys).orderBy("event_id"))
-    unkeyable = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    return issues(events.withColumn("_at", at), "semantic_duplicates", F.col("event_id"), {
-        "UNKEYABLE": unkeyable, "DUPLICATE": ~unkeyable & (F.col("_at") > 1)})
+def semantic_duplicates(events: DataFrame, order: str) -> DataFrame:
+    """The regulator's events that report one thing twice, or that don't say what they report.
+
+    events: event_id, source_adapter, company_id, report_date, document_type; other
+    adapters take no part. An event that lacks part of its identity is
+    UNKEYABLE_SEC_EARNINGS_EVENT, with what it lacks; one whose id differs from that
+    of the first event of its identity, by `order`, is
+    DUPLICATE_SEMANTIC_EARNINGS_EVENT, with the first id. An event that comes again
+    under its own id is none. First ids are aggregated before they are joined.
+    """
+    parts = ["company_id", "report_date", "document_type"]
+    own = events.where(F.col("source_adapter") == "sec_edgar").withColumn("event_id", F.coalesce(F.col("event_id").cast("string"), F.lit("")))
+    empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) == ""
+    lacks = F.array_compact(F.array(*(F.when(empty(c), F.lit(c)) for c in parts)))
+    unkeyable = issues(own.where(F.size(lacks) > 0), "semantic_duplicates", F.col("event_id"), {"UNKEYABLE_SEC_EARNINGS_EVENT": F.lit(True)}, F.array_join(lacks, ","))
+    keyed = own.where(F.size(lacks) == 0)
+    first = keyed.groupBy(*parts).agg(F.min_by("event_id", order).alias("_first"))
+    again = keyed.join(first, parts).where(F.col("event_id") != F.col("_first"))
+    return unkeyable.unionByName(issues(again, "semantic_duplicates", F.col("event_id"), {"DUPLICATE_SEMANTIC_EARNINGS_EVENT": F.lit(True)}, F.col("_first")))
 
 
 def freshness(published: Column, run_at: Column, hours: int = 24) -> Column:
@@ -134,14 +147,68 @@ def evidence(rows: DataFrame, hosts: Sequence[str], order: str) -> DataFrame:
         "INVALID_EVIDENCE_SCOPE": there & ~F.coalesce(F.col("evidence_scope").isin(*SCOPES), F.lit(False))})
 
 
-def accounting_basis(metrics: DataFrame, raw: Sequence[str], derived: Sequence[str]) -> DataFrame:
-    """Raw metrics must come from a standard taxonomy, derived ones must say so and name both inputs; other names fail."""
-    name = F.col("metric")
-    return issues(metrics, "accounting_basis", F.col("event_id"), {
-        "UNKNOWN_METRIC": ~name.isin(*raw, *derived),
-        "NON_STANDARD_TAXONOMY": name.isin(*raw) & ~F.col("taxonomy").eqNullSafe("us-gaap"),
-        "NOT_LABELLED_DERIVED": name.isin(*derived) & ~F.col("basis").eqNullSafe("derived"),
-        "MISSING_INPUTS": name.isin(*derived) & (F.coalesce(F.size("inputs"), F.lit(0)) < 2)})
+#: Fixed artifacts of verified metrics and the one metric that each may hold; the last is derived, from the two inputs named.
+RAW_ARTIFACTS = {"verified_revenue_latest.json": "revenue", "verified_capex_latest.json": "capital_expenditures", "verified_inventory_latest.json": "inventory_net"}
+DERIVED_ARTIFACTS = {"verified_fcf_latest.json": "free_cash_flow"}
+DERIVED_INPUTS = ("operating_cash_flow", "capital_expenditures")
+RAW_BASIS, DERIVED_BASIS, TAXONOMY = "us-gaap-xbrl-fact", "derived-non-gaap", "us-gaap"
+
+
+def first_of(codes: dict[str, Column]) -> Column:
+    """The name of the first condition that holds, or null."""
+    return F.coalesce(*(F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in codes.items()))
+
+
+def accounting_basis(artifacts: DataFrame, metrics: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
+    """(items, issues): verified metrics with their accounting basis, and what forbids one.
+
+    artifacts: artifact, status, issues (their number, null for none), listed (the
+    metrics are a list), verified_metrics_total. metrics: artifact, whole (the row is
+    an object), event_id, metric, taxonomy, concept, accounting_basis, derivation,
+    inputs (a map of name to taxonomy and concept), `order`. An artifact that is
+    missing, has not passed or holds no list is one issue and its metrics are not
+    looked at; a metric has the first issue that it meets; of an event's metric the
+    first sound row by artifact, then `order`, counts and the others are duplicates.
+    """
+    expected = {**RAW_ARTIFACTS, **DERIVED_ARTIFACTS}
+    named = artifacts.sparkSession.createDataFrame(
+        [(i, a, m, a in RAW_ARTIFACTS) for i, (a, m) in enumerate(expected.items())], "place int, artifact string, expected string, raw boolean")
+    counted = metrics.groupBy("artifact").agg(F.count("*").alias("_n"))
+    state = named.join(artifacts.withColumn("_there", F.lit(True)), "artifact", "left").join(counted, "artifact", "left")
+    stops = first_of({
+        "MISSING_VERIFIED_METRIC_ARTIFACT": F.col("_there").isNull(),
+        "UPSTREAM_METRIC_ARTIFACT_NOT_PASS": ~F.col("status").eqNullSafe("PASS") | (F.coalesce("issues", F.lit(0)) != 0),
+        "INVALID_METRICS_COLLECTION": ~F.coalesce("listed", F.lit(False))})
+    state = state.withColumn("_stops", stops)
+    differs = F.col("_stops").isNull() & ~F.col("verified_metrics_total").eqNullSafe(F.coalesce("_n", F.lit(0)))
+    of_artifacts = issues(state, "accounting_basis", F.col("artifact"), {
+        "VERIFIED_METRIC_COUNT_MISMATCH": differs, **{c: F.col("_stops").eqNullSafe(c) for c in (
+            "MISSING_VERIFIED_METRIC_ARTIFACT", "UPSTREAM_METRIC_ARTIFACT_NOT_PASS", "INVALID_METRICS_COLLECTION")}}, F.col("artifact"))
+
+    rows = metrics.join(F.broadcast(state.where("_stops IS NULL").select("place", "artifact", "expected", "raw")), "artifact")  # at most four rows
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    event, raw = text("event_id"), F.col("raw")
+    unsound = first_of({"INVALID_METRIC_ROW": ~F.coalesce("whole", F.lit(False)), "INVALID_METRIC_IDENTITY": (event == "") | (text("metric") != F.col("expected"))})
+    rows = rows.withColumn("_unsound", unsound)
+    firsts = rows.where("_unsound IS NULL").groupBy("event_id", "metric").agg(F.min(F.struct("place", order)).alias("_f"))
+    rows = rows.join(firsts, ["event_id", "metric"], "left")
+    sound = F.col("_unsound").isNull()
+    names = F.map_keys("inputs")
+    unbound = F.exists(F.map_values("inputs"), lambda x: x.isNull() | ~x["taxonomy"].eqNullSafe(TAXONOMY) | (F.trim(F.coalesce(x["concept"], F.lit(""))) == ""))
+    both = F.col("inputs").isNotNull() & (F.size(names) == len(DERIVED_INPUTS)) & F.array_contains(names, DERIVED_INPUTS[0]) & F.array_contains(names, DERIVED_INPUTS[1])
+    code = first_of({
+        "INVALID_METRIC_ROW": F.col("_unsound").eqNullSafe("INVALID_METRIC_ROW"), "INVALID_METRIC_IDENTITY": F.col("_unsound").eqNullSafe("INVALID_METRIC_IDENTITY"),
+        "DUPLICATE_VERIFIED_METRIC": sound & (F.col("_f") != F.struct("place", order)),
+        "RAW_METRIC_NOT_BOUND_TO_US_GAAP_XBRL": raw & (~F.col("taxonomy").eqNullSafe(TAXONOMY) | (F.trim(text("concept")) == "")),
+        "RAW_METRIC_ACCOUNTING_BASIS_CONFLICT": raw & F.col("accounting_basis").isNotNull() & (F.col("accounting_basis") != RAW_BASIS),
+        "DERIVED_METRIC_MISSING_NON_GAAP_LABEL": ~raw & ~F.col("accounting_basis").eqNullSafe(DERIVED_BASIS),
+        "DERIVED_METRIC_INPUT_PROVENANCE_INCOMPLETE": ~raw & (~F.coalesce(both, F.lit(False)) | F.coalesce(unbound, F.lit(True))),
+        "DERIVED_METRIC_DERIVATION_MISSING": ~raw & (F.trim(text("derivation")) == "")})
+    rows = rows.withColumn("code", code)
+    bad = rows.where("code IS NOT NULL").select(F.lit("accounting_basis").alias("audit"), "code", event.alias("key"), F.col("artifact").alias("detail"))
+    basis = F.when(raw, RAW_BASIS).otherwise(DERIVED_BASIS)
+    items = rows.where("code IS NULL").select("artifact", event.alias("event_id"), "metric", basis.alias("accounting_basis"), F.when(raw, F.col("concept")).alias("concept"))
+    return items, of_artifacts.unionByName(bad)
 
 
 #: Fixed contexts that a filing's form supports by itself.
@@ -169,12 +236,40 @@ def accounting_contexts(events: DataFrame, order: str) -> tuple[DataFrame, DataF
         "UNCLASSIFIED_ACCOUNTING_BASIS": ~known, "DUPLICATE_ACCOUNTING_BASIS_EVENT": known & (F.col("_at") > 1)})
 
 
-def growth_durations(growth: DataFrame, gap: tuple[int, int], slack: int = 7) -> DataFrame:
-    """Growth rows whose periods are not comparable after all, or that carry a value without one."""
-    between = days(F.col("prior_end"), F.col("period_end")).between(*gap)
-    own, other = days(F.col("period_start"), F.col("period_end")), days(F.col("prior_start"), F.col("prior_end"))
-    return issues(growth, "growth_durations", F.col("event_id"), {
-        "BAD_GAP": ~between, "BAD_DURATION": F.abs(own - other) > slack, "MISSING_PERCENT": F.col("percent").isNull()})
+#: Fixed version of the growth artifact, and its source.
+GROWTH_VERSION = "verified-revenue-growth.v1"
+FACTS_URL = r"^https://data\.sec\.gov(?![^/?#])(/api/xbrl/companyfacts/CIK[^?#]*)"
+
+
+def growth_durations(document: DataFrame, growth: DataFrame, not_calculated: DataFrame, gap: tuple[int, int] = (350, 380), slack: int = 7) -> DataFrame:
+    """Issues of a growth artifact: of the document, of rows whose source or periods can't be right, of rows that should carry no value.
+
+    document: listed (growth is a list), status, issues, schema_version,
+    calculated_yoy_total; one row. growth: whole (the row is an object), event_id,
+    growth_type, metric, unit, taxonomy, document_type, accession_number,
+    source_url, current and prior period start and end as text. not_calculated:
+    event_id, valued (it holds a value of growth). A row has the first issue that it meets.
+    """
+    counted = growth.agg(F.count("*").alias("_n"))
+    top = document.join(F.broadcast(counted), F.lit(True))  # one row each
+    n = F.when(F.coalesce("listed", F.lit(False)), F.col("_n")).otherwise(0)
+    of_document = issues(top, "growth_durations", F.lit("<growth>"), {
+        "GROWTH_NOT_LIST": ~F.coalesce("listed", F.lit(False)), "GROWTH_ARTIFACT_NOT_PASS": ~F.col("status").eqNullSafe("PASS") | (F.coalesce("issues", F.lit(0)) != 0),
+        "UNEXPECTED_SCHEMA_VERSION": ~F.col("schema_version").eqNullSafe(GROWTH_VERSION), "CALCULATED_COUNT_MISMATCH": ~F.col("calculated_yoy_total").eqNullSafe(n)})
+    is_ = lambda c, v: F.col(c).eqNullSafe(v)
+    safe = (is_("growth_type", "YoY") & is_("metric", "revenue") & is_("unit", "USD") & is_("taxonomy", TAXONOMY) & F.coalesce(F.col("document_type").isin("10-K", "10-Q"), F.lit(False))
+            & (F.coalesce("accession_number", F.lit("")) != "") & F.coalesce(F.col("source_url").rlike(FACTS_URL), F.lit(False)))
+    day = lambda c: F.when(F.col(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.col(c).try_cast("date"))
+    a, b, x, y = (day(c) for c in ("current_period_start", "current_period_end", "prior_period_start", "prior_period_end"))
+    own, other, between = days(a, b), days(x, y), days(y, b)
+    code = first_of({
+        "GROWTH_ROW_NOT_OBJECT": ~F.coalesce("whole", F.lit(False)), "UNSAFE_GROWTH_PROVENANCE": ~safe,
+        "INVALID_PERIOD_DATE": a.isNull() | b.isNull() | x.isNull() | y.isNull(), "NON_POSITIVE_PERIOD_DURATION": (own <= 0) | (other <= 0),
+        "INVALID_YOY_END_GAP": ~between.between(*gap), "INVALID_YOY_DURATION_GAP": F.abs(own - other) > slack})
+    number = F.when(code == "INVALID_YOY_END_GAP", between).when(code == "INVALID_YOY_DURATION_GAP", F.abs(own - other))
+    rows = growth.select(F.lit("growth_durations").alias("audit"), code.alias("code"), F.col("event_id").cast("string").alias("key"), F.coalesce(number.cast("string"), F.lit("")).alias("detail"))
+    smuggled = issues(not_calculated.where("valued"), "growth_durations", F.col("event_id"), {"UNCALCULATED_ROW_CONTAINS_GROWTH_VALUE": F.lit(True)})
+    return report([of_document, rows.where("code IS NOT NULL"), smuggled])
 
 
 def references(rows: DataFrame, key: str, column: str, dimension: DataFrame, code: str) -> DataFrame:

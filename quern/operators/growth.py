@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.scalars import days, percent_change
+from quern.operators.bands import banded
 
 #: Fixed day bounds of comparable periods.
 YEAR_GAP = (350, 380)
@@ -50,39 +52,36 @@ def compared(
 
     current and prior: keys, period_start, period_end, value, and the columns
     `soft`, which must agree where both have them. Rows that repeat a period and
-    value count once on either side. One shuffle by key: candidates come from a
-    window over the days, not from a join. Outcome: growth, not_calculated
-    (NO_COMPARABLE_PERIOD, OUTSIDE_LENGTH), or issue (AMBIGUOUS_CURRENT if a value
-    of one end has several starts, AMBIGUOUS_PRIOR, ZERO_PRIOR).
+    value count once on either side. Priors are reduced to one row for each period
+    before a band join in day buckets, so a hot key is neither one task nor pairs.
+    Outcome: growth, not_calculated (NO_COMPARABLE_PERIOD, OUTSIDE_LENGTH), or issue
+    (AMBIGUOUS_CURRENT if a value of one end has several starts, AMBIGUOUS_PRIOR,
+    ZERO_PRIOR).
     """
     columns = [*keys, "period_start", "period_end", "value", *soft]
-    sides = [df.select(*columns).distinct().withColumn("_now", F.lit(now)) for df, now in ((current, True), (prior, False))]
-    both = sides[0].unionByName(sides[1]).withColumn("_day", F.datediff("period_end", F.lit("1970-01-01").cast("date")))
-    fact = F.struct(F.col("period_start").alias("start"), F.col("period_end").alias("end"), F.col("value").alias("value"), *(F.col(c).alias(c) for c in soft))
-    before = Window.partitionBy(*keys).orderBy("_day").rangeBetween(-gap[1], -gap[0])
-    same = Window.partitionBy(*keys, "period_end", "value")
-    both = both.withColumn("_prior", F.collect_set(F.when(~F.col("_now"), fact)).over(before))
-    both = both.withColumn("_starts", F.size(F.collect_set(F.when(F.col("_now"), F.col("period_start"))).over(same)))
-    own = days(F.col("period_start"), F.col("period_end"))
-
-    def comparable(p):
-        fits = F.abs(own - days(p["start"], p["end"])) <= DURATION_SLACK
-        for c in soft:
-            fits = fits & F.coalesce(p[c] == F.col(c), F.lit(True))
-        return fits & p["value"].isNotNull()
-
-    plain = lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), p["value"].alias("value"))
-    fits = own.between(*length) if length else F.lit(True)
-    found = both.where("_now").withColumn("_found", F.array_distinct(F.transform(F.filter("_prior", comparable), plain))).withColumn("_fits", fits)
-    one, n = F.get("_found", 0), F.size("_found")
-    reason = (F.when(F.col("_starts") > 1, "AMBIGUOUS_CURRENT").when(~F.col("_fits"), "OUTSIDE_LENGTH").when(n == 0, "NO_COMPARABLE_PERIOD")
-              .when(n > 1, "AMBIGUOUS_PRIOR").when(one["value"] == 0, "ZERO_PRIOR"))
+    period = [*keys, "period_start", "period_end", *soft]
+    rows = current.select(*columns).distinct()
+    several = rows.groupBy(*keys, "period_end", "value").agg(F.min("period_start").alias("_first"), F.max("period_start").alias("_last"))
+    of = prior.where(F.col("value").isNotNull()).groupBy(*period).agg(F.min("value").alias("_least"), F.max("value").alias("_most"))
+    joined = banded(rows, of, keys, F.col("period_end"), F.col("period_end"), gap, "_p")
+    p = F.col("_p")
+    fits = F.abs(days(F.col("period_start"), F.col("period_end")) - days(p["period_start"], p["period_end"])) <= DURATION_SLACK
+    for c in soft:
+        fits = fits & F.coalesce(p[c] == F.col(c), F.lit(True))
+    one = lambda v: F.when(fits, F.struct(p["period_start"].alias("start"), p["period_end"].alias("end"), p[v].alias("value")))
+    found = joined.groupBy(*columns).agg(F.min(one("_least")).alias("_p"), F.max(one("_most")).alias("_q"))
+    same = several.where(F.col("_first") != F.col("_last")).select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, "period_end", "value"])), F.lit(True).alias("_several"))
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate([*keys, "period_end", "value"])]
+    found = found.join(same, on, "left")
+    within = days(F.col("period_start"), F.col("period_end")).between(*length) if length else F.lit(True)
+    reason = (F.when(F.col("_several"), "AMBIGUOUS_CURRENT").when(~within, "OUTSIDE_LENGTH").when(F.col("_p").isNull(), "NO_COMPARABLE_PERIOD")
+              .when(F.col("_p") != F.col("_q"), "AMBIGUOUS_PRIOR").when(p["value"] == 0, "ZERO_PRIOR"))
     found = found.withColumn("reason", reason)
     outcome = F.when(F.col("reason").isNull(), "growth").when(F.col("reason").isin("OUTSIDE_LENGTH", "NO_COMPARABLE_PERIOD"), "not_calculated").otherwise("issue")
     ok = F.col("reason").isNull()
     return found.select(
-        *columns, F.when(ok, one["end"]).alias("prior_end"), F.when(ok, one["value"]).alias("prior_value"),
-        F.when(ok, percent_change(F.col("value"), one["value"])).alias("percent"), outcome.alias("outcome"), "reason")
+        *columns, F.when(ok, p["end"]).alias("prior_end"), F.when(ok, p["value"]).alias("prior_value"),
+        F.when(ok, percent_change(F.col("value"), p["value"])).alias("percent"), outcome.alias("outcome"), "reason")
 
 
 def year_on_year(facts: DataFrame, keys: Sequence[str], soft: Sequence[str] = ()) -> DataFrame:
@@ -94,10 +93,55 @@ def quarter_on_quarter(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return compared(facts, facts, keys, QUARTER, QUARTER)
 
 
-def both_growths(facts: DataFrame, keys: Sequence[str], soft: Sequence[str] = ()) -> DataFrame:
-    """Year-on-year and quarter-on-quarter of persisted facts, with growth_type."""
-    yearly = year_on_year(facts, keys, soft).withColumn("growth_type", F.lit("YoY"))
-    return yearly.unionByName(compared(facts, facts, keys, QUARTER, QUARTER, soft).withColumn("growth_type", F.lit("QoQ")))
+#: Of each growth: the name of its prior, the days between the ends, and whether the prior must be of the same filing.
+SPECS = (("QoQ", "QUARTER", QUARTER, False), ("YoY", "YEAR", YEAR_GAP, True))
+NOT_CALCULATED = ("CURRENT_FACT_NOT_STANDALONE_QUARTER", "NO_COMPARABLE_PRIOR_QUARTER_ACTUAL", "NO_COMPARABLE_PRIOR_YEAR_ACTUAL")
+
+
+def persisted(metrics: DataFrame, actuals: DataFrame) -> DataFrame:
+    """Both growths of verified metrics over the persisted actuals, a row for each event and growth, with its outcome and reason.
+
+    metrics: event_id, company_id, concept, accession_number, document_type,
+    period_end, value. actuals: company_id, concept, unit, accession_number,
+    document_type, period_start, period_end, value, duration_days. A metric's own
+    fact agrees in all it names; facts that repeat a period and value count once.
+    Priors are facts of its company and concept in dollars: for QoQ of any form and
+    filing, for YoY of the same filing. A metric without just one own fact is one
+    row without growth_type, AMBIGUOUS_CURRENT_PERSISTED_ACTUAL.
+    """
+    dollars = actuals.where(F.col("unit") == "USD")
+    own = ["company_id", "concept", "accession_number", "document_type", "period_end", "value"]
+    fact = lambda: F.struct("period_start", "duration_days")
+    facts = dollars.groupBy(*own).agg(F.min(fact()).alias("_first"), F.min("period_start").alias("_s"), F.max("period_start").alias("_t"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in own]
+    joined = metrics.select("event_id", *own).join(facts.select(*(F.col(k).alias(f"_{k}") for k in own), "_first", "_s", "_t"), same, "left")
+    one = F.col("_first").isNotNull() & F.col("_s").eqNullSafe(F.col("_t"))
+    placed = joined.withColumn("_one", one).select("event_id", *own, "_one", F.col("_first.period_start").alias("period_start"), F.col("_first.duration_days").alias("duration"))
+    bad = placed.where(~F.col("_one")).select(
+        "event_id", "company_id", F.lit(None).cast("string").alias("growth_type"), F.lit(None).cast("date").alias("prior_start"), F.lit(None).cast("date").alias("prior_end"),
+        F.lit(None).cast("double").alias("prior_value"), F.lit(None).cast("double").alias("percent"), F.lit("AMBIGUOUS_CURRENT_PERSISTED_ACTUAL").alias("reason"))
+    good = placed.where("_one").drop("_one")
+    parts = [bad]
+    for name, word, gap, same_filing in SPECS:
+        keys = ["company_id", "concept", *(["accession_number"] if same_filing else [])]
+        of = dollars.groupBy(*keys, "period_start", "period_end").agg(
+            F.min("value").alias("least"), F.max("value").alias("most"), F.min("duration_days").alias("shortest"), F.max("duration_days").alias("longest"))
+        p = F.col("_p")
+        near = lambda d: F.abs(F.col("duration") - p[d]) <= DURATION_SLACK
+        pick = lambda v: F.when(near("shortest") | near("longest"), F.struct(p["period_start"].alias("start"), p["period_end"].alias("end"), p[v].alias("value")))
+        kept = ["event_id", *own, "period_start", "duration"]
+        found = banded(good, of, keys, F.col("period_end"), F.col("period_end"), gap, "_p").groupBy(*kept).agg(F.min(pick("least")).alias("_a"), F.max(pick("most")).alias("_b"))
+        a = F.col("_a")
+        reason = F.when(F.lit(not same_filing) & ~F.col("duration").between(*QUARTER), NOT_CALCULATED[0]) if not same_filing else F.when(F.lit(False), "")
+        reason = (reason.when(a.isNull(), f"NO_COMPARABLE_PRIOR_{word}_ACTUAL").when(a != F.col("_b"), f"AMBIGUOUS_PRIOR_{word}_ACTUAL")
+                  .when((a["value"] == 0) | a["value"].isNull() | F.col("value").isNull(), "ZERO_OR_INVALID_PRIOR_VALUE"))
+        out = found.withColumn("reason", reason)
+        ok = F.col("reason").isNull()
+        parts.append(out.select(
+            "event_id", "company_id", F.lit(name).alias("growth_type"), F.when(ok, a["start"]).alias("prior_start"), F.when(ok, a["end"]).alias("prior_end"),
+            F.when(ok, a["value"]).cast("double").alias("prior_value"), F.when(ok, percent_change(F.col("value"), a["value"])).cast("double").alias("percent"), "reason"))
+    every = reduce(lambda x, y: x.unionByName(y), parts)
+    return every.withColumn("outcome", F.when(F.col("reason").isNull(), "growth").when(F.col("reason").isin(*NOT_CALCULATED), "not_calculated").otherwise("issue"))
 
 
 def multi_period_actuals(facts: DataFrame, key: Sequence[str], ordinal: str) -> DataFrame:

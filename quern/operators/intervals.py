@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,10 +65,22 @@ def compare(low_a: Column, high_a: Column, low_b: Column, high_b: Column) -> Col
     return F.when(known, F.struct(relation.alias("relation"), (low_a - high_b).alias("difference_low"), (high_a - low_b).alias("difference_high")))
 
 
-def against_guidance(observations: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Actual and guidance rows (value_type, value_low, value_high) of one key side by side, compared."""
-    side = lambda kind, p: observations.where(F.col("value_type") == kind).select(
-        *keys, F.col("value_low").alias(f"{p}_low"), F.col("value_high").alias(f"{p}_high"))
-    joined = side("actual", "actual").join(side("guidance", "guidance"), list(keys))
-    out = joined.withColumn("_c", compare(*(F.col(c) for c in ("actual_low", "actual_high", "guidance_low", "guidance_high"))))
-    return out.select(*joined.columns, "_c.relation", "_c.difference_low", "_c.difference_high")
+def against_guidance(observations: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """(keys, actual_low, actual_high, guidance_low, guidance_high, relation, difference_low, difference_high) where both sides are there.
+
+    observations: keys, value_type (actual or company_guidance), value_low,
+    value_high, value, and `order`. An interval is both bounds, else the value for
+    both; rows without one are passed over. Of a key's rows of one kind the last by
+    `order` counts, so a key is one row. Null keys take no part.
+    """
+    both = F.col("value_low").isNotNull() & F.col("value_high").isNotNull()
+    interval = F.struct(F.when(both, F.col("value_low")).otherwise(F.col("value")).alias("low"), F.when(both, F.col("value_high")).otherwise(F.col("value")).alias("high"))
+    usable = observations.where(both | F.col("value").isNotNull()).withColumn("_i", interval)
+    last = lambda kind: F.max_by(F.when(F.col("value_type") == kind, F.col("_i")), F.when(F.col("value_type") == kind, F.col(order)))
+    wide = usable.groupBy(*keys).agg(last("actual").alias("_a"), last("company_guidance").alias("_g"))
+    wide = wide.where(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys), F.col("_a").isNotNull() & F.col("_g").isNotNull()))
+    a, g = F.col("_a"), F.col("_g")
+    out = wide.withColumn("_c", compare(a["low"], a["high"], g["low"], g["high"]))
+    return out.select(
+        *keys, a["low"].alias("actual_low"), a["high"].alias("actual_high"), g["low"].alias("guidance_low"), g["high"].alias("guidance_high"),
+        "_c.relation", "_c.difference_low", "_c.difference_high")

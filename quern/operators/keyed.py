@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.operators import ranges
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key under a total order; one shuffle on the key, pruned by the window group limit."""
@@ -105,10 +107,8 @@ def tag_totals(df: DataFrame, keys: Sequence[str], tag: str, value: str) -> Data
 
 
 def upper_median(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """The element at floor(n / 2) of each key's sorted values, by ranks: the group is never one array."""
-    w = Window.partitionBy(*keys)
-    placed = df.where(F.col(value).isNotNull()).withColumn("_n", F.count("*").over(w)).withColumn("_at", F.row_number().over(w.orderBy(value)))
-    return placed.where(F.col("_at") == F.floor(F.col("_n") / 2) + 1).select(*keys, F.col(value).alias("upper_median"))
+    """The element at floor(n / 2) of each key's sorted values, by counts over range-sorted parts: a group is neither one array nor one task."""
+    return ranges.at_rank(ranges.ranked(df, keys, value), keys, value, F.floor(F.col("rows") / 2), "upper_median")
 
 
 def max_abs_scaled(df: DataFrame, keys: Sequence[str], value: str, places: int = 1) -> DataFrame:
@@ -131,15 +131,13 @@ def union_unique(parts: Sequence[DataFrame], key: str) -> tuple[DataFrame, DataF
 def chunked(df: DataFrame, value: str, size: int) -> DataFrame:
     """(chunk, values): the distinct values, sorted, in lists of `size`; only the last is shorter.
 
-    Positions come from the counts of each two-character beginning, which sort as
-    the values do, and the place within it: no task sees all values. Null is left out.
+    Positions come from range-sorted parts and the counts of those before, so no
+    task sees all values, whatever their beginnings. Null is left out.
     """
-    rows = df.select(value).where(F.col(value).isNotNull()).distinct().withColumn("_head", F.substring(F.col(value).cast("string"), 1, 2))
-    heads = rows.groupBy("_head").count().withColumn("_before", F.sum("count").over(Window.orderBy("_head")) - F.col("count"))
-    text = F.col(value).cast("string")
-    placed = rows.withColumn("_at", F.row_number().over(Window.partitionBy("_head").orderBy(text))).join(heads, "_head")
-    chunk = F.floor((F.col("_before") + F.col("_at") - 1) / size)
-    return placed.groupBy(chunk.alias("chunk")).agg(F.array_sort(F.collect_list(value)).alias("values"))
+    text = F.col(value).cast("string").alias("_text")
+    rows = df.select(value, text).where(F.col(value).isNotNull()).distinct()
+    placed = ranges.numbered(rows, ["_text"], "_at")
+    return placed.groupBy(F.floor(F.col("_at") / size).alias("chunk")).agg(F.array_sort(F.collect_list(value)).alias("values"))
 
 
 def accepted_and_rejected(accepted: Sequence[DataFrame], rejected: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -160,12 +161,19 @@ def reusable(events: DataFrame, evidence: DataFrame) -> DataFrame:
 
 
 def quarters_from_filings(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, fiscal_year, fiscal_period, period_end, value, formula) from cumulative 10-Q facts and their 10-K (form, period_start, period_end, value, fiscal_year).
-
-    A year is a 10-K fact of 300 to 400 days with just three 10-Q facts of 60 to
-    300 days from the same start that end before it. Years in which a quarter would
-    be negative are left out.
+    """(keys, fiscal_year, fiscal_period, period_end, value, formula) from cumulative 10-Q facts and their 10-K.
+
+    facts: keys, form, period_start, period_end, value, fiscal_year, filed,
+    accession. Later filings repeat a fact as a comparative, so of each period and
+    form the first filed counts, then the least accession; facts that lack a period,
+    value, filing date or accession take no part. A year is a 10-K fact of 300 to
+    400 days with just three 10-Q facts of 60 to 300 days from the same start that
+    end before it. Years in which a quarter would be negative are left out.
     """
+    there = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in ("period_start", "period_end", "value", "filed", "accession")))
+    first = F.min_by(F.struct("value", "fiscal_year"), F.struct("filed", "accession")).alias("_first")
+    facts = facts.where(F.col("form").isin("10-K", "10-Q") & there).groupBy(*keys, "form", "period_start", "period_end").agg(first)
+    facts = facts.select(*keys, "form", "period_start", "period_end", "_first.*")
     length = days(F.col("period_start"), F.col("period_end"))
     year = facts.where((F.col("form") == "10-K") & length.between(300, 400)).select(
         *keys, "period_start", F.col("period_end").alias("_end"), F.col("value").alias("_all"), F.coalesce("fiscal_year", F.year("period_end")).alias("fiscal_year"))
@@ -186,14 +194,18 @@ REPORTED = {"quarter": (70, 110), "half": (150, 220), "nine": (240, 300), "annua
 
 
 def quarters_by_band(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, fiscal_year, fiscal_period, period_start, period_end, value, value_type) of facts (fiscal_year, fiscal_period, period_start, period_end, filed, value).
-
-    A directly reported quarter is preferred; else the later less the earlier
-    cumulative value, beginning the day after the earlier one ends. Q4 is the year
-    less three quarters. Of several facts of a period and band the last filed, then last ended, counts.
+    """(keys, fiscal_year, fiscal_period, period_start, period_end, value, value_type) of facts.
+
+    facts: keys, fiscal_year, fiscal_period, period_start, period_end, filed,
+    accession, value. A directly reported quarter is preferred; else the later less
+    the earlier cumulative value, beginning the day after the earlier one ends. Q4
+    is the year less three quarters. Of several facts of a period and band the last
+    ended counts, then the last filed, then the greatest accession: a comparative of
+    an earlier year never wins. A quarter that two fiscal years give is one row, of
+    the earlier year.
     """
     length = days(F.col("period_start"), F.col("period_end"))
-    fact = F.struct("filed", "period_end", "period_start", "value")
+    fact = F.struct("period_end", "filed", "accession", "period_start", "value")
     pick = lambda fp, band: F.max(F.when((F.col("fiscal_period") == fp) & length.between(*REPORTED[band]), fact))
     wide = facts.groupBy(*keys, "fiscal_year").agg(
         pick("Q1", "quarter").alias("q1"), pick("Q2", "quarter").alias("q2"), pick("Q2", "half").alias("h2"), pick("Q3", "quarter").alias("q3"),
@@ -210,22 +222,39 @@ def quarters_by_band(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
         return F.when(d.isNotNull(), whole).when(a.isNotNull() & b.isNotNull(), made)
 
     rows = F.array_compact(F.array(one("Q1", "q1"), one("Q2", "q2", "h2", "q1"), one("Q3", "q3", "n3", "h2"), one("Q4", "q4", "fy", "n3")))
-    return wide.select(*keys, "fiscal_year", F.explode(rows).alias("_q")).select(*keys, "fiscal_year", "_q.*")
+    long = wide.select(*keys, "fiscal_year", F.explode(rows).alias("_q")).select(*keys, "fiscal_year", "_q.*")
+    rest = ["fiscal_year", "fiscal_period", "value", "value_type"]
+    # Q4 is made last, so of one year's equal periods it stays
+    once = long.groupBy(*keys, "period_start", "period_end").agg(F.max_by(F.struct(*rest), F.struct(-F.col("fiscal_year"), F.col("fiscal_period"))).alias("_q"))
+    return once.select(*keys, "_q.fiscal_year", "_q.fiscal_period", "period_start", "period_end", "_q.value", "_q.value_type")
+
+
+#: Fixed concepts of sequential changes, and the code of a missing guidance for each.
+KPI_CHANGES = {"nand_asp_change_qoq": "nand_asp_guidance_not_disclosed", "nand_bit_shipments_change_qoq": "nand_bit_guidance_not_disclosed"}
 
 
 def kpi_audit(rows: DataFrame) -> DataFrame:
-    """Issues of KPI rows (id, value_type, concept_id, reported_text, quality_flags, normalization_method, entity_id, period_end), with their severity.
+    """Issues (severity, code, record_id, entity_id, period_end) of KPI rows.
 
-    There must be actuals; each needs its text, and the method if its band was
-    normalised; an actual without the company's guidance of its concept is a warning.
+    rows: id, value_type, concept_id, reported_text, quality_flags,
+    normalization_method, entity_id, period_end. Actuals are those of the sequential
+    changes. There must be some; each needs its text, and the method if its band was
+    normalised: errors of the record. An entity's period with an actual but no
+    company guidance of its concept is one warning, however many rows it has.
     """
-    actual = rows.where(F.col("value_type") == "actual")
-    none = actual.agg(F.count("*").alias("n")).where("n = 0").select(F.lit("error").alias("severity"), F.lit("kpi_actuals_missing").alias("code"), F.lit("").alias("key"))
+    actual = rows.where((F.col("value_type") == "actual") & F.col("concept_id").isin(*KPI_CHANGES))
+    text = lambda v=None: F.lit(v).cast("string")
+    day = F.lit(None).cast(rows.schema["period_end"].dataType)
+    entity = F.lit(None).cast(rows.schema["entity_id"].dataType)
+    none = actual.agg(F.count("*").alias("n")).where("n = 0").select(
+        text("error").alias("severity"), text("nand_kpi_actuals_missing").alias("code"), text().alias("record_id"), entity.alias("entity_id"), day.alias("period_end"))
     codes = F.array_compact(F.array(
-        F.when(F.coalesce("reported_text", F.lit("")) == "", "reported_text_missing"),
-        F.when(F.array_contains("quality_flags", "normalized_qualitative_band") & (F.coalesce("normalization_method", F.lit("")) == ""), "normalization_policy_missing")))
-    each = actual.select(F.lit("error").alias("severity"), F.explode(codes).alias("code"), F.col("id").alias("key"))
+        F.when(F.coalesce("reported_text", F.lit("")) == "", "nand_reported_text_missing"),
+        F.when(F.array_contains("quality_flags", "normalized_qualitative_band") & (F.coalesce("normalization_method", F.lit("")) == ""), "nand_normalization_policy_missing")))
+    each = actual.select(text("error").alias("severity"), F.explode(codes).alias("code"), F.col("id").cast("string").alias("record_id"), entity.alias("entity_id"), day.alias("period_end"))
     keys = ["entity_id", "period_end", "concept_id"]
-    guided = rows.where(F.col("value_type") == "company_guidance").select(*keys).distinct()
-    silent = actual.join(guided, keys, "left_anti").select(F.lit("warning").alias("severity"), F.lit("guidance_not_disclosed").alias("code"), F.col("id").alias("key"))
+    view = rows.where(F.col("concept_id").isin(*KPI_CHANGES) & F.col("period_end").isNotNull()).groupBy(*keys).agg(
+        F.bool_or(F.col("value_type") == "actual").alias("actual"), F.bool_or(F.col("value_type") == "company_guidance").alias("guided"))
+    code = F.coalesce(*(F.when(F.col("concept_id") == c, F.lit(x)) for c, x in KPI_CHANGES.items()))
+    silent = view.where(F.col("actual") & ~F.coalesce("guided", F.lit(False))).select(text("warning").alias("severity"), code.alias("code"), text().alias("record_id"), "entity_id", "period_end")
     return none.unionByName(each).unionByName(silent)

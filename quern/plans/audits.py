@@ -45,27 +45,30 @@ def rejection_counters(spark, sf_dir):
 WITH e AS (SELECT CASE WHEN event_id % 97 = 1 THEN event_id - 1 ELSE event_id END AS event_id, CASE WHEN event_id % 50 = 0 THEN '' ELSE event_type END AS event_type,
   user_id, CASE WHEN event_id % 40 = 7 THEN NULL ELSE ts END AS published_at, event_id AS seq, CASE WHEN event_id % 30 = 11 THEN 'http://other.org/x' ELSE 'https://a.gov/x' END AS url FROM events),
 n AS (SELECT *, event_type = '' AS lacks, row_number() OVER (PARTITION BY event_id, event_type = '' ORDER BY seq) AS k FROM e),
-s AS (SELECT *, row_number() OVER (PARTITION BY user_id, CAST(published_at AS DATE), event_type ORDER BY event_id) AS k FROM e)
+s AS (SELECT CAST(event_id AS VARCHAR) AS event_id, seq, CASE WHEN seq % 45 <> 8 THEN user_id END AS u, CAST(published_at AS DATE) AS d, event_type AS t FROM e WHERE seq % 6 <> 0),
+k AS (SELECT *, u IS NULL OR d IS NULL OR t = '' AS lacks, first_value(event_id) OVER (PARTITION BY u, d, t ORDER BY seq) AS f FROM s)
 SELECT 'ledger' AS audit, 'MISSING_REQUIRED_FIELD' AS code, CAST(event_id AS VARCHAR) AS key FROM n WHERE lacks
 UNION ALL SELECT 'ledger', 'DUPLICATE_EVENT_ID', CAST(event_id AS VARCHAR) FROM n WHERE NOT lacks AND k > 1
 UNION ALL SELECT 'ledger', 'INVALID_PUBLISHED_AT', CAST(event_id AS VARCHAR) FROM n WHERE NOT lacks AND published_at IS NULL
 UNION ALL SELECT 'ledger', 'FUTURE_PUBLISHED_AT', CAST(event_id AS VARCHAR) FROM n WHERE NOT lacks AND published_at > {_NOW} + INTERVAL 5 MINUTE
 UNION ALL SELECT 'ledger', 'NON_PRIMARY_DOMAIN', CAST(event_id AS VARCHAR) FROM n WHERE NOT lacks AND published_at IS NOT NULL AND url LIKE '%other%'
 UNION ALL SELECT 'ledger', 'MISSING_VERIFIED_CIK', CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_nationkey IN (1, 2) AND s_acctbal < 0
-UNION ALL SELECT 'semantic_duplicates', CASE WHEN published_at IS NULL THEN 'UNKEYABLE' ELSE 'DUPLICATE' END, CAST(event_id AS VARCHAR) FROM s WHERE published_at IS NULL OR k > 1""")
+UNION ALL SELECT 'semantic_duplicates', CASE WHEN lacks THEN 'UNKEYABLE_SEC_EARNINGS_EVENT' ELSE 'DUPLICATE_SEMANTIC_EARNINGS_EVENT' END, event_id FROM k WHERE lacks OR event_id <> f""")
 def ledger_audit_issues(spark, sf_dir):
     i = F.col("event_id")
     at = F.when(i % 40 != 7, F.col("ts"))
     rows = events(spark, sf_dir).select(
         F.when(i % 97 == 1, i - 1).otherwise(i).alias("event_id"), F.when(i % 50 == 0, "").otherwise(F.col("event_type")).alias("event_type"), "user_id",
-        at.alias("published_at"), at.cast("date").alias("day"), i.alias("seq"), F.when(i % 30 == 11, "http://other.org/x").otherwise("https://a.gov/x").alias("source_url"))
+        at.alias("published_at"), at.cast("date").alias("day"), i.alias("seq"), F.when(i % 30 == 11, "http://other.org/x").otherwise("https://a.gov/x").alias("source_url"),
+        F.when(i % 6 == 0, "tdnet_public").otherwise("sec_edgar").alias("source_adapter"), F.when(i % 45 != 8, F.col("user_id")).alias("company_id"))
+    rows = rows.withColumns({"report_date": F.col("day"), "document_type": F.col("event_type")})
     nation = F.col("s_nationkey")
     registry = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("source_id"), F.when(nation.isin(1, 2, 3), "sec_edgar").otherwise("other").alias("adapter"),
         F.when(nation == 2, F.lit(None)).when(nation == 3, False).otherwise(True).alias("enabled"), F.when(F.col("s_acctbal") >= 0, F.col("s_suppkey")).alias("cik"))
     found = audits.report([
         audits.ledger(rows, _now(), ["event_id", "event_type", "user_id"], ["a.gov"], "seq"), audits.unverified_sources(registry),
-        audits.semantic_duplicates(rows, ["user_id", "day", "event_type"])])
+        audits.semantic_duplicates(rows, "seq")])
     return found.select("audit", "code", "key")
 
 

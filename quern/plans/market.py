@@ -123,13 +123,19 @@ def compound_4(spark, sf_dir):
 
 
 @query(f"""
-WITH {_CHANGES}, a AS (SELECT day, low, high FROM c WHERE p = '1-URGENT'), b AS (SELECT day, low, high FROM c WHERE p = '5-LOW')
+WITH {_CHANGES}, i AS (SELECT day, p, CASE WHEN p <> '2-HIGH' THEN low END AS lo, CASE WHEN p <> '2-HIGH' THEN high END AS hi, CASE WHEN p IN ('2-HIGH', '4-NOT SPECIFIED') THEN high END AS v,
+  CASE WHEN p IN ('1-URGENT', '2-HIGH') THEN 'actual' WHEN p IN ('4-NOT SPECIFIED', '5-LOW') THEN 'company_guidance' ELSE 'internal_estimate' END AS t FROM c WHERE NOT (p = '5-LOW' AND low = 0)),
+j AS (SELECT day, t, coalesce(lo, v) AS low, coalesce(hi, v) AS high FROM i QUALIFY row_number() OVER (PARTITION BY day, t ORDER BY p DESC) = 1),
+a AS (SELECT * FROM j WHERE t = 'actual'), b AS (SELECT * FROM j WHERE t = 'company_guidance')
 SELECT a.day, CASE WHEN a.low > b.high THEN 'above' WHEN a.high < b.low THEN 'below' ELSE 'overlap' END AS relation,
   round(a.low - b.high, 8) AS difference_low, round(a.high - b.low, 8) AS difference_high FROM a JOIN b ON a.day = b.day""")
 def interval_compare(spark, sf_dir):
-    rows = _changes(spark, sf_dir).select("day", F.col("low").alias("value_low"), F.col("high").alias("value_high"),
-                                          F.when(F.col("p") == "1-URGENT", "actual").when(F.col("p") == "5-LOW", "guidance").alias("value_type"))
-    found = intervals.against_guidance(rows, ["day"])
+    p = F.col("p")
+    bound = lambda c: F.when(p != "2-HIGH", F.col(c))
+    kind = F.when(p.isin("1-URGENT", "2-HIGH"), "actual").when(p.isin("4-NOT SPECIFIED", "5-LOW"), "company_guidance").otherwise("internal_estimate")
+    rows = _changes(spark, sf_dir).where(~((p == "5-LOW") & (F.col("low") == 0))).select(
+        "day", "p", bound("low").alias("value_low"), bound("high").alias("value_high"), F.when(p.isin("2-HIGH", "4-NOT SPECIFIED"), F.col("high")).alias("value"), kind.alias("value_type"))
+    found = intervals.against_guidance(rows, ["day"], "p")
     return found.select("day", "relation", F.round("difference_low", 8).alias("difference_low"), F.round("difference_high", 8).alias("difference_high"))
 
 

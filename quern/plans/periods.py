@@ -137,9 +137,53 @@ def growth_qoq_with_reasons(spark, sf_dir):
     return _shown(growth.compared(facts, facts, ["entity", "form"], growth.QUARTER, growth.QUARTER, ["fp"]))
 
 
-@query(f"""WITH {_FACTS_SQL} SELECT * FROM {_YOY(", 'YoY' AS growth_type")} UNION ALL SELECT * FROM {_QOQ(", 'QoQ' AS growth_type")}""")
+#: Verified metrics, a quarter each, and the actuals of their filings: the quarter, that of the year before as a comparative, and odd ones.
+_ACTUALS_SQL = QUARTERS_SQL + """,
+m AS (SELECT entity || '-' || fy || '-' || fq AS event_id, entity AS company_id, fy || '-' || fq AS accession_number, CASE fq WHEN 4 THEN '10-K' ELSE '10-Q' END AS document_type, period_start, period_end,
+  CASE WHEN entity % 13 = 0 AND fq = 1 THEN 0 ELSE value END AS value, fy, fq FROM q),
+a AS (SELECT company_id, accession_number, document_type, period_start, period_end, value, CASE WHEN company_id % 17 = 0 AND fq = 2 THEN 'EUR' ELSE 'USD' END AS unit FROM m
+  UNION ALL SELECT company_id, (fy + 1) || '-' || fq, document_type, period_start, period_end, value + CASE WHEN company_id % 5 = 0 THEN 3 ELSE 0 END, 'USD' FROM m
+  UNION ALL SELECT company_id, 'x', document_type, period_start, period_end, value + 1, 'USD' FROM m WHERE company_id % 7 = 0
+  UNION ALL SELECT company_id, accession_number, document_type, period_start - 5, period_end, value, 'USD' FROM m WHERE company_id % 11 = 0 AND fq = 3)"""
+
+
+def _actuals(spark, sf_dir):
+    e, fq, fy = F.col("company_id"), F.col("fq"), F.col("fy")
+    text = lambda c: c.cast("string")
+    filing = lambda year: F.concat_ws("-", text(year), text(fq))
+    own = quarters(spark, sf_dir).withColumnRenamed("entity", "company_id").withColumns({
+        "event_id": F.concat_ws("-", text(e), text(fy), text(fq)), "concept": F.lit("R"), "accession_number": filing(fy), "document_type": F.when(fq == 4, "10-K").otherwise("10-Q"),
+        "value": F.when((e % 13 == 0) & (fq == 1), F.lit(0)).otherwise(F.col("value")).cast("decimal(28,2)"), "unit": F.lit("USD")})
+    value = lambda c: c.cast("decimal(28,2)")
+    actuals = own.withColumn("unit", F.when((e % 17 == 0) & (fq == 2), "EUR").otherwise("USD"))
+    for part in (own.withColumns({"accession_number": filing(fy + 1), "value": value(F.col("value") + F.when(e % 5 == 0, 3).otherwise(0))}),
+                 own.where(e % 7 == 0).withColumns({"accession_number": F.lit("x"), "value": value(F.col("value") + 1)}),
+                 own.where((e % 11 == 0) & (fq == 3)).withColumn("period_start", F.date_sub("period_start", 5))):
+        actuals = actuals.unionByName(part)
+    return own, actuals.withColumn("duration_days", F.datediff("period_end", "period_start"))
+
+
+_HUNDREDTHS = "CAST(CAST({} AS DECIMAL(28,2)) * 100 AS HUGEINT)"
+
+
+def _persisted(name: str, word: str, low: int, high: int, more: str, fits: str) -> str:
+    d, b = _HUNDREDTHS.format("(value - pv)"), _HUNDREDTHS.format("abs(pv)")
+    return f"""SELECT event_id, '{name}' AS growth_type, CASE WHEN reason IS NULL THEN pe END AS prior_end,
+  CASE WHEN reason IS NULL THEN CAST((CASE WHEN value < pv THEN -1 ELSE 1 END) * ((2 * abs({d}) * 1000000 + {b}) // (2 * {b})) AS DOUBLE) / 10000 END AS percent, reason FROM (
+  SELECT *, CASE WHEN NOT ({fits}) THEN 'CURRENT_FACT_NOT_STANDALONE_QUARTER' WHEN n = 0 THEN 'NO_COMPARABLE_PRIOR_{word}_ACTUAL' WHEN n > 1 THEN 'AMBIGUOUS_PRIOR_{word}_ACTUAL' WHEN pv = 0 THEN 'ZERO_OR_INVALID_PRIOR_VALUE' END AS reason
+  FROM (SELECT *, coalesce(len(found), 0) AS n, found[1][2] AS pe, found[1][3] AS pv FROM (
+    SELECT c.*, (SELECT list(DISTINCT (p.period_start, p.period_end, p.value)) FROM a p WHERE p.company_id = c.company_id AND p.unit = 'USD' AND date_diff('day', p.period_end, c.period_end) BETWEEN {low} AND {high}
+      AND abs(c.duration - date_diff('day', p.period_start, p.period_end)) <= 7 {more}) AS found FROM c WHERE starts = 1)))"""
+
+
+@query(f"""
+WITH {_ACTUALS_SQL},
+c AS (SELECT m.event_id, m.company_id, m.accession_number, m.period_end, m.value, count(DISTINCT a.period_start) AS starts, date_diff('day', min(a.period_start), m.period_end) AS duration FROM m LEFT JOIN a
+  ON a.company_id = m.company_id AND a.unit = 'USD' AND a.accession_number = m.accession_number AND a.document_type = m.document_type AND a.period_end = m.period_end AND a.value = m.value GROUP BY m.event_id, m.company_id, m.accession_number, m.period_end, m.value)
+SELECT event_id, NULL AS growth_type, CAST(NULL AS DATE) AS prior_end, CAST(NULL AS DOUBLE) AS percent, 'AMBIGUOUS_CURRENT_PERSISTED_ACTUAL' AS reason FROM c WHERE starts <> 1
+UNION ALL {_persisted('QoQ', 'QUARTER', 70, 110, '', 'duration BETWEEN 70 AND 110')} UNION ALL {_persisted('YoY', 'YEAR', 350, 380, 'AND p.accession_number = c.accession_number', 'true')}""")
 def persisted_growth(spark, sf_dir):
-    return _shown(growth.both_growths(_facts(spark, sf_dir), ["entity", "form"], ["fp"]), "growth_type")
+    return growth.persisted(*_actuals(spark, sf_dir)).select("event_id", "growth_type", "prior_end", "percent", "reason")
 
 
 @query("""

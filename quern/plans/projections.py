@@ -170,55 +170,78 @@ def _filings(spark, sf_dir):
         F.col("fy").alias("fiscal_year"), "fq")
 
 
+#: Later filings repeat facts as comparatives, restated; some come twice on one day.
+_REPEATED_SQL = _FILINGS_SQL + """,
+g AS (SELECT *, period_end + 30 AS filed, 'b' AS accession FROM f UNION ALL SELECT entity, form, period_start, period_end, value + 7, fy + 1, fq, period_end + 395, 'a' FROM f WHERE (entity + fq) % 2 = 0
+  UNION ALL SELECT entity, form, period_start, period_end, value + 9, fy, fq, period_end + 30, 'c' FROM f WHERE entity % 3 = 0 UNION ALL SELECT entity, form, period_start, period_end, 1, fy, fq, NULL, 'a' FROM f WHERE entity % 4 = 0)"""
+
+
+def _repeated(spark, sf_dir):
+    rows = _filings(spark, sf_dir)
+    own = rows.withColumns({"filed": F.date_add("period_end", 30), "accession": F.lit("b")})
+    change = lambda where, value, year, filed, accession: own.where(where).withColumns(
+        {"value": value.cast("decimal(28,2)"), "fiscal_year": year, "filed": filed, "accession": F.lit(accession)})
+    later, entity, v, y = F.date_add("period_end", 395), F.col("entity"), F.col("value"), F.col("fiscal_year")
+    parts = [change((entity + F.col("fq")) % 2 == 0, v + 7, y + 1, later, "a"), change(entity % 3 == 0, v + 9, y, F.col("filed"), "c"),
+             change(entity % 4 == 0, F.lit(1), y, F.lit(None).cast("date"), "a")]
+    for part in parts:
+        own = own.unionByName(part)
+    return own
+
+
 @query(f"""
-WITH {_FILINGS_SQL},
-a AS (SELECT * FROM f WHERE form = '10-K' AND date_diff('day', period_start, period_end) BETWEEN 300 AND 400),
-c AS (SELECT a.entity, a.fy, a.period_end AS ye, a.value AS yv, f.period_end, f.value, row_number() OVER (PARTITION BY a.entity, a.fy ORDER BY f.period_end) AS k, count(*) OVER (PARTITION BY a.entity, a.fy) AS n
-  FROM a JOIN f ON f.entity = a.entity AND f.form = '10-Q' AND f.period_start = a.period_start AND f.period_end < a.period_end AND date_diff('day', f.period_start, f.period_end) BETWEEN 60 AND 300),
+WITH {_REPEATED_SQL},
+h AS (SELECT * FROM g WHERE filed IS NOT NULL QUALIFY row_number() OVER (PARTITION BY entity, form, period_start, period_end ORDER BY filed, accession) = 1),
+a AS (SELECT * FROM h WHERE form = '10-K' AND date_diff('day', period_start, period_end) BETWEEN 300 AND 400),
+c AS (SELECT a.entity, a.fy, a.period_end AS ye, a.value AS yv, h.period_end, h.value, row_number() OVER (PARTITION BY a.entity, a.period_start, a.period_end ORDER BY h.period_end) AS k, count(*) OVER (PARTITION BY a.entity, a.period_start, a.period_end) AS n
+  FROM a JOIN h ON h.entity = a.entity AND h.form = '10-Q' AND h.period_start = a.period_start AND h.period_end < a.period_end AND date_diff('day', h.period_start, h.period_end) BETWEEN 60 AND 300),
 w AS (SELECT entity, fy, ye, yv, max(CASE WHEN k = 1 THEN value END) AS v1, max(CASE WHEN k = 2 THEN value END) AS v2, max(CASE WHEN k = 3 THEN value END) AS v3,
   max(CASE WHEN k = 1 THEN period_end END) AS e1, max(CASE WHEN k = 2 THEN period_end END) AS e2, max(CASE WHEN k = 3 THEN period_end END) AS e3 FROM c WHERE n = 3 GROUP BY entity, fy, ye, yv),
-g AS (SELECT * FROM w WHERE v1 >= 0 AND v2 >= v1 AND v3 >= v2 AND yv >= v3)
-SELECT entity, fy AS fiscal_year, 'Q1' AS fiscal_period, e1 AS period_end, CAST(v1 AS DOUBLE) AS value, 'Q1 year-to-date' AS formula FROM g
-UNION ALL SELECT entity, fy, 'Q2', e2, CAST(v2 - v1 AS DOUBLE), 'Q2 year-to-date - Q1 year-to-date' FROM g UNION ALL SELECT entity, fy, 'Q3', e3, CAST(v3 - v2 AS DOUBLE), 'Q3 year-to-date - Q2 year-to-date' FROM g
-UNION ALL SELECT entity, fy, 'Q4', ye, CAST(yv - v3 AS DOUBLE), 'FY - Q3 year-to-date' FROM g""")
+z AS (SELECT * FROM w WHERE v1 >= 0 AND v2 >= v1 AND v3 >= v2 AND yv >= v3)
+SELECT entity, fy AS fiscal_year, 'Q1' AS fiscal_period, e1 AS period_end, CAST(v1 AS DOUBLE) AS value, 'Q1 year-to-date' AS formula FROM z
+UNION ALL SELECT entity, fy, 'Q2', e2, CAST(v2 - v1 AS DOUBLE), 'Q2 year-to-date - Q1 year-to-date' FROM z UNION ALL SELECT entity, fy, 'Q3', e3, CAST(v3 - v2 AS DOUBLE), 'Q3 year-to-date - Q2 year-to-date' FROM z
+UNION ALL SELECT entity, fy, 'Q4', ye, CAST(yv - v3 AS DOUBLE), 'FY - Q3 year-to-date' FROM z""")
 def quarters_from_filings(spark, sf_dir):
-    found = projections.quarters_from_filings(_filings(spark, sf_dir), ["entity"])
+    found = projections.quarters_from_filings(_repeated(spark, sf_dir), ["entity"])
     return found.withColumn("value", F.col("value").cast("double"))
 
 
 @query(f"""
-WITH {_FILINGS_SQL},
-r AS (SELECT entity, fy, CASE fq WHEN 4 THEN 'FY' ELSE 'Q' || fq END AS fp, period_start AS s, period_end AS e, value FROM f
-  UNION ALL SELECT entity, fy, CASE fq WHEN 4 THEN 'FY' ELSE 'Q' || fq END, period_start, period_end, value FROM q WHERE (entity + fy + fq) % 3 = 0),
+WITH {_REPEATED_SQL},
+r AS (SELECT entity, fy, CASE fq WHEN 4 THEN 'FY' ELSE 'Q' || fq END AS fp, period_start AS s, period_end AS e, value, filed, accession FROM g WHERE filed IS NOT NULL
+  UNION ALL SELECT entity, fy, CASE fq WHEN 4 THEN 'FY' ELSE 'Q' || fq END, period_start, period_end, value, period_end + 30, 'b' FROM q WHERE (entity + fy + fq) % 3 = 0),
 b AS (SELECT *, date_diff('day', s, e) AS n FROM r),
 p AS (SELECT entity, fy, fp, CASE WHEN n BETWEEN 70 AND 110 THEN 'q' WHEN n BETWEEN 150 AND 220 AND fp = 'Q2' THEN 'y' WHEN n BETWEEN 240 AND 300 AND fp = 'Q3' THEN 'y' WHEN n BETWEEN 300 AND 380 AND fp = 'FY' THEN 'y' END AS band,
-  max((e, s, value)) AS m FROM b GROUP BY ALL),
+  max((e, filed, accession, s, value)) AS m FROM b GROUP BY ALL),
 t AS (SELECT d.entity, d.fy, v.fp, q.m AS q, y.m AS y, x.m AS x FROM (SELECT DISTINCT entity, fy FROM b) d, (VALUES ('Q1'), ('Q2'), ('Q3'), ('FY')) v(fp)
   LEFT JOIN p q ON q.entity = d.entity AND q.fy = d.fy AND q.fp = v.fp AND q.band = 'q' LEFT JOIN p y ON y.entity = d.entity AND y.fy = d.fy AND y.fp = v.fp AND y.band = 'y'
-  LEFT JOIN p x ON x.entity = d.entity AND x.fy = d.fy AND (v.fp, x.fp, x.band) IN (('Q2', 'Q1', 'q'), ('Q3', 'Q2', 'y'), ('FY', 'Q3', 'y')))
-SELECT entity, fy AS fiscal_year, CASE fp WHEN 'FY' THEN 'Q4' ELSE fp END AS fiscal_period, CASE WHEN q IS NOT NULL THEN q[2] ELSE x[1] + 1 END AS period_start, CASE WHEN q IS NOT NULL THEN q[1] ELSE y[1] END AS period_end,
-  CAST(CASE WHEN q IS NOT NULL THEN q[3] ELSE y[3] - x[3] END AS DOUBLE) AS value, CASE WHEN q IS NOT NULL THEN 'reported_quarter' ELSE 'derived_from_reported_periods' END AS value_type
-FROM t WHERE q IS NOT NULL OR (y IS NOT NULL AND x IS NOT NULL)""")
+  LEFT JOIN p x ON x.entity = d.entity AND x.fy = d.fy AND (v.fp, x.fp, x.band) IN (('Q2', 'Q1', 'q'), ('Q3', 'Q2', 'y'), ('FY', 'Q3', 'y'))),
+o AS (SELECT entity, fy AS fiscal_year, CASE fp WHEN 'FY' THEN 'Q4' ELSE fp END AS fiscal_period, CASE WHEN q IS NOT NULL THEN q[4] ELSE x[1] + 1 END AS period_start, CASE WHEN q IS NOT NULL THEN q[1] ELSE y[1] END AS period_end,
+  CAST(CASE WHEN q IS NOT NULL THEN q[5] ELSE y[5] - x[5] END AS DOUBLE) AS value, CASE WHEN q IS NOT NULL THEN 'reported_quarter' ELSE 'derived_from_reported_periods' END AS value_type
+FROM t WHERE q IS NOT NULL OR (y IS NOT NULL AND x IS NOT NULL))
+SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY entity, period_start, period_end ORDER BY fiscal_year, fiscal_period DESC) = 1""")
 def quarters_by_band(spark, sf_dir):
     name = F.when(F.col("fq") == 4, "FY").otherwise(F.concat(F.lit("Q"), F.col("fq").cast("string")))
-    pick = lambda df, fy: df.select("entity", F.col(fy).alias("fiscal_year"), name.alias("fiscal_period"), "period_start", "period_end", F.lit(1).alias("filed"), "value")
-    direct = quarters(spark, sf_dir).where((F.col("entity") + F.col("fy") + F.col("fq")) % 3 == 0)
-    rows = pick(_filings(spark, sf_dir), "fiscal_year").unionByName(pick(direct, "fy"))
+    pick = lambda df, fy: df.select("entity", F.col(fy).alias("fiscal_year"), name.alias("fiscal_period"), "period_start", "period_end", "filed", "accession", "value")
+    direct = quarters(spark, sf_dir).where((F.col("entity") + F.col("fy") + F.col("fq")) % 3 == 0).withColumns({"filed": F.date_add("period_end", 30), "accession": F.lit("b")})
+    rows = pick(_repeated(spark, sf_dir).where(F.col("filed").isNotNull()), "fiscal_year").unionByName(pick(direct, "fy"))
     return projections.quarters_by_band(rows, ["entity"]).withColumn("value", F.col("value").cast("double"))
 
 
 @query("""
-WITH k AS (SELECT o_orderkey, o_custkey, o_orderdate, CASE WHEN o_orderpriority = '5-LOW' THEN 'company_guidance' ELSE 'actual' END AS t FROM orders),
-g AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS d FROM k WHERE t = 'company_guidance')
-SELECT 'error' AS severity, 'reported_text_missing' AS code, CAST(o_orderkey AS VARCHAR) AS key FROM k WHERE t = 'actual' AND o_orderkey % 7 = 0
-UNION ALL SELECT 'error', 'normalization_policy_missing', CAST(o_orderkey AS VARCHAR) FROM k WHERE t = 'actual' AND o_orderkey % 2 = 0 AND o_orderkey % 5 = 0
-UNION ALL SELECT 'warning', 'guidance_not_disclosed', CAST(o_orderkey AS VARCHAR) FROM k WHERE t = 'actual' AND (o_custkey, CAST(o_orderdate AS DATE)) NOT IN (SELECT (o_custkey, d) FROM g)""")
+WITH k AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 23 <> 0 THEN CAST(o_orderdate AS DATE) END AS d, CASE WHEN o_orderpriority = '5-LOW' THEN 'company_guidance' ELSE 'actual' END AS t,
+  CASE o_orderkey % 3 WHEN 0 THEN 'nand_asp_change_qoq' WHEN 1 THEN 'nand_bit_shipments_change_qoq' ELSE 'revenue' END AS c FROM orders),
+v AS (SELECT o_custkey, d, c, bool_or(t = 'actual') AS a, bool_or(t <> 'actual') AS g FROM k WHERE c <> 'revenue' AND d IS NOT NULL GROUP BY ALL)
+SELECT 'error' AS severity, 'nand_reported_text_missing' AS code, CAST(o_orderkey AS VARCHAR) AS record_id, CAST(NULL AS BIGINT) AS entity_id, CAST(NULL AS DATE) AS period_end FROM k WHERE t = 'actual' AND c <> 'revenue' AND o_orderkey % 7 = 0
+UNION ALL SELECT 'error', 'nand_normalization_policy_missing', CAST(o_orderkey AS VARCHAR), NULL, NULL FROM k WHERE t = 'actual' AND c <> 'revenue' AND o_orderkey % 2 = 0 AND o_orderkey % 5 = 0
+UNION ALL SELECT 'warning', CASE c WHEN 'nand_asp_change_qoq' THEN 'nand_asp_guidance_not_disclosed' ELSE 'nand_bit_guidance_not_disclosed' END, NULL, o_custkey, d FROM v WHERE a AND NOT g""")
 def kpi_audit(spark, sf_dir):
     k = F.col("o_orderkey")
+    concept = F.when(k % 3 == 0, "nand_asp_change_qoq").when(k % 3 == 1, "nand_bit_shipments_change_qoq").otherwise("revenue")
     rows = table(spark, sf_dir, "orders").select(
-        k.cast("string").alias("id"), F.when(F.col("o_orderpriority") == "5-LOW", "company_guidance").otherwise("actual").alias("value_type"), F.lit("asp").alias("concept_id"),
+        k.alias("id"), F.when(F.col("o_orderpriority") == "5-LOW", "company_guidance").otherwise("actual").alias("value_type"), concept.alias("concept_id"),
         F.when(k % 7 != 0, "up").alias("reported_text"), F.when(k % 2 == 0, F.array(F.lit("normalized_qualitative_band"))).otherwise(F.array().cast("array<string>")).alias("quality_flags"),
-        F.when(k % 5 != 0, "v1").alias("normalization_method"), F.col("o_custkey").alias("entity_id"), F.col("o_orderdate").cast("date").alias("period_end"))
+        F.when(k % 5 != 0, "v1").alias("normalization_method"), F.col("o_custkey").alias("entity_id"), F.when(k % 23 != 0, F.col("o_orderdate").cast("date")).alias("period_end"))
     return projections.kpi_audit(rows)
 
 

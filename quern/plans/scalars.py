@@ -96,28 +96,65 @@ def multi_period_actuals(spark, sf_dir):
 
 @query("""
 SELECT 'published_at' AS audit, CASE WHEN event_id % 10 = 0 THEN 'NO_ACCEPTANCE_TIME' ELSE 'PUBLISHED_AT_MISMATCH' END AS code, CAST(event_id AS VARCHAR) AS key FROM events WHERE event_id % 10 = 0 OR event_id % 10 = 3
-UNION ALL SELECT 'growth_durations', c, CAST(o_orderkey AS VARCHAR) FROM (SELECT o_orderkey, unnest([CASE WHEN o_orderkey % 3 = 0 THEN 'BAD_GAP' END, CASE WHEN o_orderkey % 4 = 0 THEN 'BAD_DURATION' END, CASE WHEN o_orderkey % 5 = 0 THEN 'MISSING_PERCENT' END]) AS c FROM orders) WHERE c IS NOT NULL
-UNION ALL SELECT 'accounting_basis', c, CAST(o_orderkey AS VARCHAR) FROM (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'UNKNOWN_METRIC' WHEN 1 THEN 'NON_STANDARD_TAXONOMY' WHEN 3 THEN 'NOT_LABELLED_DERIVED' WHEN 4 THEN 'MISSING_INPUTS' END AS c FROM orders) WHERE c IS NOT NULL
 UNION ALL SELECT 'projection', 'UNKNOWN_FIELD', CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey % 2 = 1""")
 def row_audits(spark, sf_dir):
-    i, k, day = F.col("event_id"), F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    i = F.col("event_id")
     shown = events(spark, sf_dir).select("event_id", F.col("ts").alias("published_at"))
     accepted = shown.select(F.when(i % 10 == 0, -i - 1).otherwise(i).alias("event_id"), F.when(i % 10 == 3, F.col("published_at") + F.expr("interval 1 second")).otherwise(F.col("published_at")).alias("accepted_at"))
-    orders = table(spark, sf_dir, "orders")
-    end = F.date_sub(day, F.when(k % 3 == 0, 300).otherwise(365))
-    rows = orders.select(
-        k.alias("event_id"), F.date_sub(day, 90).alias("period_start"), day.alias("period_end"), F.date_sub(end, F.when(k % 4 == 0, 100).otherwise(90)).alias("prior_start"), end.alias("prior_end"), F.when(k % 5 != 0, 1.0).alias("percent"))
-    at = k % 6
-    basis = orders.select(
-        k.alias("event_id"), F.when(at == 0, "other").when(at <= 2, "revenue").otherwise("fcf").alias("metric"), F.when(at == 2, "us-gaap").alias("taxonomy"), F.when(at != 3, "derived").alias("basis"),
-        F.when(at == 4, F.array(F.lit("a"))).otherwise(F.array(F.lit("a"), F.lit("b"))).alias("inputs"))
     s = F.col("s_suppkey")
     records = table(spark, sf_dir, "supplier").select(s.alias("id"), F.concat(F.lit('{"a":1'), F.when(s % 2 == 1, ',"z":2').otherwise(""), F.lit("}")).alias("record"))
     found = audits.report([
-        audits.published_at(shown, accepted, "event_id"), audits.growth_durations(rows, (350, 380)), audits.accounting_basis(basis, ["revenue"], ["fcf"]), audits.projection_allowed(records, ["a"])])
+        audits.published_at(shown, accepted, "event_id"), audits.projection_allowed(records, ["a"])])
     return found.select("audit", "code", "key")
 
 
+@query("""
+WITH r AS (SELECT o_orderkey AS k, o_orderkey % 8 AS c FROM orders), n AS (SELECT count(*) AS n FROM orders),
+x AS (SELECT k, CASE WHEN c = 1 THEN 'UNSAFE_GROWTH_PROVENANCE' WHEN c = 2 THEN 'INVALID_PERIOD_DATE' WHEN c = 3 THEN 'NON_POSITIVE_PERIOD_DURATION' WHEN c = 4 THEN 'INVALID_YOY_END_GAP' WHEN c = 5 THEN 'INVALID_YOY_DURATION_GAP'
+  WHEN c = 6 THEN 'GROWTH_ROW_NOT_OBJECT' END AS code FROM r)
+SELECT code, CAST(k AS VARCHAR) AS key, CASE code WHEN 'INVALID_YOY_END_GAP' THEN '300' WHEN 'INVALID_YOY_DURATION_GAP' THEN '8' ELSE '' END AS detail FROM x WHERE code IS NOT NULL
+UNION ALL SELECT 'CALCULATED_COUNT_MISMATCH', '<growth>', '' UNION ALL SELECT 'UNCALCULATED_ROW_CONTAINS_GROWTH_VALUE', CAST(c_custkey AS VARCHAR), '' FROM customer WHERE c_custkey % 9 = 0""")
+def growth_duration_audit(spark, sf_dir):
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    c = k % 8
+    end = F.date_sub(day, F.when(c == 4, 300).otherwise(365))
+    text = lambda d: d.cast("string")
+    rows = table(spark, sf_dir, "orders").select(
+        (c != 6).alias("whole"), k.alias("event_id"), F.lit("YoY").alias("growth_type"), F.lit("revenue").alias("metric"), F.lit("USD").alias("unit"), F.lit("us-gaap").alias("taxonomy"), F.lit("10-Q").alias("document_type"),
+        F.lit("x").alias("accession_number"), F.when(c == 1, "https://a.gov/api/xbrl/companyfacts/CIK1").otherwise("https://data.sec.gov/api/xbrl/companyfacts/CIK1").alias("source_url"),
+        F.when(c == 2, "then").otherwise(text(F.date_sub(day, F.when(c == 3, 0).otherwise(90)))).alias("current_period_start"), text(day).alias("current_period_end"),
+        text(F.date_sub(end, F.when(c == 5, 98).otherwise(90))).alias("prior_period_start"), text(end).alias("prior_period_end"))
+    document = rows.agg(F.lit(True).alias("listed"), F.lit("PASS").alias("status"), F.lit(0).alias("issues"), F.lit(audits.GROWTH_VERSION).alias("schema_version"), (F.count("*") + 1).alias("calculated_yoy_total"))
+    silent = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("event_id"), (F.col("c_custkey") % 9 == 0).alias("valued"))
+    return audits.growth_durations(document, rows, silent).select("code", "key", "detail")
+
+
+@query("""
+WITH a(i, artifact, metric) AS (VALUES (0, 'verified_revenue_latest.json', 'revenue'), (1, 'verified_capex_latest.json', 'capital_expenditures'), (2, 'verified_inventory_latest.json', 'inventory_net'), (3, 'verified_fcf_latest.json', 'free_cash_flow')),
+r AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 4 = 3 THEN 3 WHEN o_orderkey % 4 = 2 THEN 2 ELSE 0 END AS i, o_orderkey // 4 % 7 AS c, CASE WHEN o_orderkey // 4 % 11 = 3 THEN o_orderkey - 4 ELSE o_orderkey END AS e FROM orders),
+s AS (SELECT *, c <> 6 AS sound, min(CASE WHEN c <> 6 THEN k END) OVER (PARTITION BY i, e) AS f FROM r WHERE i <> 2),
+x AS (SELECT *, CASE WHEN NOT sound THEN 'INVALID_METRIC_IDENTITY' WHEN k <> f THEN 'DUPLICATE_VERIFIED_METRIC' WHEN i = 0 AND c = 1 THEN 'RAW_METRIC_NOT_BOUND_TO_US_GAAP_XBRL' WHEN i = 0 AND c = 2 THEN 'RAW_METRIC_ACCOUNTING_BASIS_CONFLICT'
+  WHEN i = 3 AND c = 3 THEN 'DERIVED_METRIC_MISSING_NON_GAAP_LABEL' WHEN i = 3 AND c = 4 THEN 'DERIVED_METRIC_INPUT_PROVENANCE_INCOMPLETE' WHEN i = 3 AND c = 5 THEN 'DERIVED_METRIC_DERIVATION_MISSING' END AS code FROM s)
+SELECT coalesce(code, CASE WHEN x.i = 0 THEN 'us-gaap-xbrl-fact' ELSE 'derived-non-gaap' END) AS outcome, CAST(e AS VARCHAR) AS key, artifact FROM x JOIN a ON a.i = x.i
+UNION ALL SELECT 'MISSING_VERIFIED_METRIC_ARTIFACT', artifact, artifact FROM a WHERE i = 1 UNION ALL SELECT 'UPSTREAM_METRIC_ARTIFACT_NOT_PASS', artifact, artifact FROM a WHERE i = 2 UNION ALL SELECT 'VERIFIED_METRIC_COUNT_MISMATCH', artifact, artifact FROM a WHERE i = 3""")
+def metric_basis_audit(spark, sf_dir):
+    k = F.col("o_orderkey")
+    c = F.floor(k / 4) % 7
+    revenue, _, inventory, fcf = (F.lit(a) for a in (*audits.RAW_ARTIFACTS, *audits.DERIVED_ARTIFACTS))
+    artifact = F.when(k % 4 == 3, fcf).when(k % 4 == 2, inventory).otherwise(revenue)
+    metric = F.when(c == 6, "other").when(k % 4 == 3, "free_cash_flow").when(k % 4 == 2, "inventory_net").otherwise("revenue")
+    fact = lambda name, tag: (F.lit(name), F.struct(F.lit("us-gaap").alias("taxonomy"), tag.alias("concept")))
+    inputs = F.create_map(*fact("operating_cash_flow", F.lit("A")), *fact("capital_expenditures", F.when(c != 4, "B")))
+    rows = table(spark, sf_dir, "orders").select(
+        artifact.alias("artifact"), k.alias("n"), F.lit(True).alias("whole"), F.when(F.floor(k / 4) % 11 == 3, k - 4).otherwise(k).alias("event_id"), metric.alias("metric"),
+        F.when(c == 1, "ifrs").otherwise("us-gaap").alias("taxonomy"), F.lit("R").alias("concept"), F.when(k % 4 == 3, F.when(c != 3, "derived-non-gaap")).otherwise(F.when(c == 2, "gaap")).alias("accounting_basis"),
+        F.when(c != 5, "a - b").alias("derivation"), F.when(k % 4 == 3, inputs).alias("inputs"))
+    documents = rows.groupBy("artifact").agg(F.when(F.col("artifact") == inventory, "FAIL").otherwise("PASS").alias("status"), F.lit(None).cast("int").alias("issues"), F.lit(True).alias("listed"),
+                                             (F.count("*") + F.when(F.col("artifact") == fcf, 1).otherwise(0)).alias("verified_metrics_total"))
+    items, found = audits.accounting_basis(documents, rows, "n")
+    return found.select(F.col("code").alias("outcome"), "key", F.col("detail").alias("artifact")).unionByName(items.select(F.col("accounting_basis").alias("outcome"), F.col("event_id").alias("key"), "artifact"))
+
+
 @query("""
 WITH s AS (SELECT s_suppkey AS k, CASE WHEN s_suppkey % 3 <> 0 THEN s_acctbal END AS cash, CASE WHEN s_suppkey % 2 = 0 THEN 10.0 END AS inv, CASE WHEN s_suppkey % 4 = 0 THEN 1.0 END AS dc, CASE WHEN s_suppkey % 5 = 0 THEN 2.0 END AS dn, CASE WHEN s_suppkey % 7 <> 0 THEN 9.0 END AS dt FROM supplier)
 SELECT k, round(cash + coalesce(inv, 0), 4) AS liquidity, CASE WHEN dc IS NOT NULL OR dn IS NOT NULL THEN coalesce(dc, 0) + coalesce(dn, 0) ELSE dt END AS debt,

@@ -31,19 +31,78 @@ def test_evidence_and_times(spark):
 
 
 def test_basis(spark):
-    rows = [("a", "revenue", "us-gaap", None, None), ("b", "revenue", "ifrs", None, None), ("c", "revenue", None, None, None), ("d", "fcf", None, "derived", ["x", "y"]),
-            ("e", "fcf", None, None, ["x", "y"]), ("f", "fcf", None, "derived", ["x"]), ("g", "other", "us-gaap", None, None)]
-    df = spark.createDataFrame(rows, "event_id string, metric string, taxonomy string, basis string, inputs array<string>")
-    assert codes(audits.accounting_basis(df, ["revenue"], ["fcf"])) == {
-        ("b", "NON_STANDARD_TAXONOMY"), ("c", "NON_STANDARD_TAXONOMY"), ("e", "NOT_LABELLED_DERIVED"), ("f", "MISSING_INPUTS"), ("g", "UNKNOWN_METRIC")}
+    names = [*audits.RAW_ARTIFACTS, *audits.DERIVED_ARTIFACTS]
+    revenue, capex, inventory, fcf = names
+    fact = ("us-gaap", "Revenues")
+    inputs = {"operating_cash_flow": ("us-gaap", "A"), "capital_expenditures": ("us-gaap", "B")}
+    schema = "artifact string, n int, whole boolean, event_id string, metric string, taxonomy string, concept string, accounting_basis string, derivation string, inputs map<string,struct<taxonomy:string,concept:string>>"
+    raw = lambda n, e, metric="revenue", of=fact, basis=None, artifact=revenue: (artifact, n, True, e, metric, *of, basis, None, None)
+    made = lambda n, e, basis="derived-non-gaap", how="a - b", of=inputs: (fcf, n, True, e, "free_cash_flow", None, None, basis, how, of)
+    rows = [raw(1, "a"), raw(2, "a"), raw(3, "b", basis="us-gaap-xbrl-fact"), raw(4, "c", of=("ifrs", "x")), raw(5, "d", of=("us-gaap", " ")), raw(6, "e", basis="gaap"), raw(7, "f", "other"), raw(8, ""),
+            (revenue, 9, False, *[None] * 7), raw(10, "c"), raw(1, "z", "inventory_net", artifact=inventory), made(1, "a"), made(2, "b", basis=None), made(3, "c", of={"operating_cash_flow": ("us-gaap", "A")}),
+            made(4, "d", of=inputs | {"capital_expenditures": ("us-gaap", "")}), made(5, "e", how=""), made(6, "f", of=inputs | {"x": ("us-gaap", "A")})]
+    documents = [(revenue, "PASS", 0, True, 9), (inventory, "PASS", 1, True, 1), (fcf, "PASS", None, True, 6)]
+    items, found = audits.accounting_basis(
+        spark.createDataFrame(documents, "artifact string, status string, issues int, listed boolean, verified_metrics_total int"), spark.createDataFrame(rows, schema), "n")
+    assert codes(found) == {
+        (revenue, "VERIFIED_METRIC_COUNT_MISMATCH"), (capex, "MISSING_VERIFIED_METRIC_ARTIFACT"), (inventory, "UPSTREAM_METRIC_ARTIFACT_NOT_PASS"), ("a", "DUPLICATE_VERIFIED_METRIC"),
+        ("c", "RAW_METRIC_NOT_BOUND_TO_US_GAAP_XBRL"), ("d", "RAW_METRIC_NOT_BOUND_TO_US_GAAP_XBRL"), ("e", "RAW_METRIC_ACCOUNTING_BASIS_CONFLICT"), ("f", "INVALID_METRIC_IDENTITY"), ("", "INVALID_METRIC_IDENTITY"),
+        ("", "INVALID_METRIC_ROW"), ("c", "DUPLICATE_VERIFIED_METRIC"), ("b", "DERIVED_METRIC_MISSING_NON_GAAP_LABEL"), ("c", "DERIVED_METRIC_INPUT_PROVENANCE_INCOMPLETE"),
+        ("d", "DERIVED_METRIC_INPUT_PROVENANCE_INCOMPLETE"), ("f", "DERIVED_METRIC_INPUT_PROVENANCE_INCOMPLETE"), ("e", "DERIVED_METRIC_DERIVATION_MISSING")}
+    assert {(r.event_id, r.metric, r.accounting_basis) for r in items.collect()} == {
+        ("a", "revenue", "us-gaap-xbrl-fact"), ("b", "revenue", "us-gaap-xbrl-fact"), ("a", "free_cash_flow", "derived-non-gaap")}
 
 
 def test_growth_durations(spark):
-    d = date
-    rows = [("ok", d(2024, 1, 1), d(2024, 3, 31), d(2023, 1, 1), d(2023, 3, 31), 1.0), ("gap", d(2024, 1, 1), d(2024, 3, 31), d(2022, 1, 1), d(2022, 3, 31), 1.0),
-            ("length", d(2024, 1, 1), d(2024, 3, 31), d(2022, 10, 1), d(2023, 3, 31), 1.0), ("value", d(2024, 1, 1), d(2024, 3, 31), d(2023, 1, 1), d(2023, 3, 31), None)]
-    df = spark.createDataFrame(rows, "event_id string, period_start date, period_end date, prior_start date, prior_end date, percent double")
-    assert codes(audits.growth_durations(df, (350, 380))) == {("gap", "BAD_GAP"), ("length", "BAD_DURATION"), ("value", "MISSING_PERCENT")}
+    url = "https://data.sec.gov/api/xbrl/companyfacts/CIK0000000001.json"
+    row = lambda e, now=("2026-04-01", "2026-06-30"), then=("2025-04-01", "2025-06-30"), **more: {
+        "whole": True, "event_id": e, "growth_type": "YoY", "metric": "revenue", "unit": "USD", "taxonomy": "us-gaap", "document_type": "10-Q", "accession_number": "x", "source_url": url,
+        "current_period_start": now[0], "current_period_end": now[1], "prior_period_start": then[0], "prior_period_end": then[1], **more}
+    rows = [row("ok"), row("gap", then=("2025-01-01", "2025-03-31")), row("length", then=("2025-03-01", "2025-06-30")), row("url", source_url="https://example.com/api/xbrl/companyfacts/CIK1"),
+            row("host", source_url="https://data.sec.gov.evil.org/api/xbrl/companyfacts/CIK1"), row("form", document_type="8-K"), row("date", now=("2026-4-1", "2026-06-30")), row("zero", now=("2026-06-30", "2026-06-30")),
+            row("none", whole=False), row("unit", unit=None)]
+    schema = "whole boolean, " + ", ".join(f"{c} string" for c in row("x") if c != "whole")
+    growth_rows = spark.createDataFrame([tuple(r.values()) for r in rows], schema)
+    document = lambda *v: spark.createDataFrame([v], "listed boolean, status string, issues int, schema_version string, calculated_yoy_total int")
+    silent = spark.createDataFrame([("q", False), ("smuggled", True)], "event_id string, valued boolean")
+    found = audits.growth_durations(document(True, "PASS", 0, audits.GROWTH_VERSION, 10), growth_rows, silent)
+    assert codes(found) == {
+        ("gap", "INVALID_YOY_END_GAP"), ("length", "INVALID_YOY_DURATION_GAP"), ("url", "UNSAFE_GROWTH_PROVENANCE"), ("host", "UNSAFE_GROWTH_PROVENANCE"), ("form", "UNSAFE_GROWTH_PROVENANCE"),
+        ("unit", "UNSAFE_GROWTH_PROVENANCE"), ("date", "INVALID_PERIOD_DATE"), ("zero", "NON_POSITIVE_PERIOD_DURATION"), ("none", "GROWTH_ROW_NOT_OBJECT"),
+        ("smuggled", "UNCALCULATED_ROW_CONTAINS_GROWTH_VALUE")}
+    assert {r.detail for r in found.where("code = 'INVALID_YOY_END_GAP'").collect()} == {"456"}
+    assert codes(audits.growth_durations(document(False, "FAIL", 1, "v0", 3), growth_rows.limit(0), silent.limit(0))) == {("<growth>", c) for c in (
+        "GROWTH_NOT_LIST", "GROWTH_ARTIFACT_NOT_PASS", "UNEXPECTED_SCHEMA_VERSION", "CALCULATED_COUNT_MISMATCH")}
+
+
+def test_semantic_duplicates(spark):
+    rows = [(1, "a", "sec_edgar", "x", "2026-01-01", "10-Q"), (2, "a", "sec_edgar", "x", "2026-01-01", "10-Q"), (3, "b", "sec_edgar", "x", "2026-01-01", "10-Q"), (4, "c", "tdnet", "x", "2026-01-01", "10-Q"),
+            (5, "d", "sec_edgar", "", None, "10-Q"), (6, "e", "sec_edgar", "x", "2026-01-01", "10-K"), (7, "a", "sec_edgar", "x", "2026-01-01", "10-K"), (8, None, "sec_edgar", "x", "2026-01-01", "10-K")]
+    found = audits.semantic_duplicates(spark.createDataFrame(rows, "n int, event_id string, source_adapter string, company_id string, report_date string, document_type string"), "n")
+    assert {(r.key, r.code, r.detail) for r in found.collect()} == {
+        ("b", "DUPLICATE_SEMANTIC_EARNINGS_EVENT", "a"), ("d", "UNKEYABLE_SEC_EARNINGS_EVENT", "company_id,report_date"), ("a", "DUPLICATE_SEMANTIC_EARNINGS_EVENT", "e"), ("", "DUPLICATE_SEMANTIC_EARNINGS_EVENT", "e")}
+
+
+def test_persisted_growth(spark):
+    """A quarter of one filing against the quarter of the filing before it, and the year before of its own."""
+    d, own, before = date, "0000000000-26-000010", "0000000000-26-000005"
+    actual = lambda accn, s, e, v: ("example", "R", "USD", accn, "10-Q", s, e, v, (e - s).days)
+    rows = [actual(own, d(2026, 4, 1), d(2026, 6, 30), 120.0), actual(before, d(2026, 1, 1), d(2026, 3, 31), 100.0), actual(own, d(2025, 4, 1), d(2025, 6, 30), 80.0)]
+    metric = spark.createDataFrame([("evt-q2", "example", "R", own, "10-Q", d(2026, 6, 30), 120.0)], "event_id string, company_id string, concept string, accession_number string, document_type string, period_end date, value double")
+    schema = "company_id string, concept string, unit string, accession_number string, document_type string, period_start date, period_end date, value double, duration_days int"
+
+    def shown(rows, metric=metric):
+        return {(r.growth_type, r.percent, r.reason, r.outcome) for r in growth.persisted(metric, spark.createDataFrame(rows, schema)).collect()}
+
+    assert shown(rows) == {("QoQ", 20.0, None, "growth"), ("YoY", 50.0, None, "growth")} == shown([*rows, *rows])
+    assert shown(rows[:1]) == {("QoQ", None, "NO_COMPARABLE_PRIOR_QUARTER_ACTUAL", "not_calculated"), ("YoY", None, "NO_COMPARABLE_PRIOR_YEAR_ACTUAL", "not_calculated")}
+    assert shown([*rows, actual("0000000000-26-000006", d(2026, 1, 1), d(2026, 3, 31), 101.0)]) == {("QoQ", None, "AMBIGUOUS_PRIOR_QUARTER_ACTUAL", "issue"), ("YoY", 50.0, None, "growth")}
+    assert shown([*rows, actual(own, d(2026, 1, 1), d(2026, 6, 30), 120.0)]) == {(None, None, "AMBIGUOUS_CURRENT_PERSISTED_ACTUAL", "issue")} == shown(rows[1:])
+    assert shown([rows[0], rows[1], actual(before, d(2025, 4, 1), d(2025, 6, 30), 80.0)]) == {("QoQ", 20.0, None, "growth"), ("YoY", None, "NO_COMPARABLE_PRIOR_YEAR_ACTUAL", "not_calculated")}
+    assert shown([rows[0], actual(before, d(2026, 1, 1), d(2026, 3, 31), 0.0), rows[2]]) == {("QoQ", None, "ZERO_OR_INVALID_PRIOR_VALUE", "issue"), ("YoY", 50.0, None, "growth")}
+    half = metric.withColumn("value", F.lit(220.0))
+    assert shown([actual(own, d(2026, 1, 1), d(2026, 6, 30), 220.0)], half) == {
+        ("QoQ", None, "CURRENT_FACT_NOT_STANDALONE_QUARTER", "not_calculated"), ("YoY", None, "NO_COMPARABLE_PRIOR_YEAR_ACTUAL", "not_calculated")}
 
 
 def test_run_coherence(spark):

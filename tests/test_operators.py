@@ -300,7 +300,40 @@ def test_projections(spark):
     r = one(spark, T.string_values(F.lit('{"a":[1,{"b":"x"}],"c":"y"}')).alias("v"), projections.bar_height(F.lit(0.0), F.lit(9.0)).alias("low"), projections.bar_height(F.lit(4.5), F.lit(9.0)).alias("half"))
     assert [(v.path, v.value) for v in r.v] == [("$.a[1].b", "x"), ("$.c", "y")] and (r.low, r.half) == (3.0, 50.0)
     empty = projections.kpi_audit(spark.createDataFrame([], "id string, value_type string, concept_id string, reported_text string, quality_flags array<string>, normalization_method string, entity_id string, period_end date"))
-    assert [x.code for x in empty.collect()] == ["kpi_actuals_missing"]
+    assert [x.code for x in empty.collect()] == ["nand_kpi_actuals_missing"]
+    day, asp = date(2026, 3, 31), "nand_asp_change_qoq"
+    kpi = [(1, "actual", asp, "up", [], None, "m", day), (2, "actual", asp, "", ["normalized_qualitative_band"], None, "m", day), (3, "actual", "revenue", None, [], None, "m", day),
+           (4, "actual", "nand_bit_shipments_change_qoq", "up", [], None, "k", day), (5, "company_guidance", "nand_bit_shipments_change_qoq", None, [], None, "k", day)]
+    found = projections.kpi_audit(spark.createDataFrame(kpi, "id long, value_type string, concept_id string, reported_text string, quality_flags array<string>, normalization_method string, entity_id string, period_end date"))
+    assert sorted((x.code, x.record_id, x.entity_id) for x in found.collect()) == [
+        ("nand_asp_guidance_not_disclosed", None, "m"), ("nand_normalization_policy_missing", "2", None), ("nand_reported_text_missing", "2", None)]
+
+
+def test_quarters_with_comparatives(spark):
+    from quern.operators import projections
+
+    d = date
+    schema = "entity string, form string, period_start date, period_end date, value double, fiscal_year int, filed string, accession string"
+    ends = [d(2024, 3, 31), d(2024, 6, 30), d(2024, 9, 30)]
+    rows = [("e", "10-Q", d(2024, 1, 1), e, v, 2024, f"2024-{i + 4:02}-20", f"a{i}") for i, (e, v) in enumerate(zip(ends, (10.0, 25.0, 45.0)))]
+    rows += [("e", "10-K", d(2024, 1, 1), d(2024, 12, 31), 70.0, 2024, "2025-02-01", "a9")]
+    again = [(*r[:4], r[4] + 1, 2025, "2025" + r[6][4:], "b") for r in rows]  # every later filing restates them
+    made = lambda rows: sorted((r.fiscal_period, r.value) for r in projections.quarters_from_filings(spark.createDataFrame(rows, schema), ["entity"]).collect())
+    assert made(rows) == [("Q1", 10.0), ("Q2", 15.0), ("Q3", 20.0), ("Q4", 25.0)] == made([*again[:3], *rows, (*again[3][:6], "2026-02-01", "b")])
+    assert made(rows[:3]) == [] == made([*rows[:1], *rows[2:]])
+    band = "entity string, fiscal_year int, fiscal_period string, period_start date, period_end date, filed string, accession string, value double"
+    own = ("e", 2023, "Q1", d(2023, 1, 1), d(2023, 3, 31), "2023-04-20", "a", 30.0)
+    old = ("e", 2023, "Q1", d(2022, 1, 1), d(2022, 3, 31), "2023-05-20", "b", 20.0)  # filed later, ended earlier
+    before = ("e", 2022, "Q1", d(2022, 1, 1), d(2022, 3, 31), "2022-04-20", "a", 20.0)
+    by_band = lambda rows: sorted((r.fiscal_year, r.value) for r in projections.quarters_by_band(spark.createDataFrame(rows, band), ["entity"]).collect())
+    assert by_band([own, old]) == [(2023, 30.0)] and by_band([before, old]) == [(2022, 20.0)]
+
+
+def test_guidance_takes_the_last_of_each_side(spark):
+    rows = [("k", 1, "actual", 0.5, 0.6, None), ("k", 2, "actual", None, None, 0.2), ("k", 3, "company_guidance", 0.1, 0.15, None), ("k", 4, "company_guidance", None, 0.3, None), ("k", 5, "guidance", 0.9, 0.9, None),
+            ("o", 1, "actual", 0.1, 0.1, None), (None, 1, "actual", 0.1, 0.1, None), (None, 2, "company_guidance", 0.1, 0.1, None)]
+    found = intervals.against_guidance(spark.createDataFrame(rows, "k string, n int, value_type string, value_low double, value_high double, value double"), ["k"], "n").collect()
+    assert [(r.k, r.relation, round(r.difference_low, 6), round(r.difference_high, 6)) for r in found] == [("k", "above", 0.05, 0.1)]
 
 
 def test_product_changes(spark):
