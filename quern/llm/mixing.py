@@ -4,16 +4,16 @@ Targets: water filling. Each source's target is the lesser of `cap` times its
 size and a level times its weight, the level being such that targets add up to
 `share` of all words; the level follows from sources sorted by cap over weight.
 
-Quotas: blocks of `block_words` words go to the sources by the highest quotients
-target / (2 k + 1), and a source's blocks to its shards likewise by shard size.
-Only seats near the threshold are ranked: with V votes, H seats and n parties
+Quotas: words, the smallest equal blocks, go to the sources by the highest
+quotients target / (2 k + 1), and a source's words likewise to groups of its shards
+and to the shards of each group by size; so small sources get what is theirs. Only seats near the threshold are ranked: with V votes, H seats and n parties
 the divisor lies between V / (H + n/2) and V / (H - n/2), which leaves about two
 open seats for each party; all below them are certain.
 
 Shards: a source's rows are dealt by the MD5 of doc_id over as many shards as
 hold about `shard_rows` rows each, so a source with a third of all rows is many
-groups. A source has MAX_SHARDS at most, which are apportioned in one task as
-one small row each; beyond that shards grow, and are sorted by id and size only.
+tasks. GROUP shards are a group and are apportioned in one task as one small row
+each; so are the groups of a source, which are few up to 10^11 rows.
 
 Blocks: a shard's documents stand in MD5 order, and their words are cut into
 blocks of `block_words`. The shard's quota is taken as whole rounds over all its
@@ -33,7 +33,8 @@ SHARE = 1.5
 CAP = 2
 BLOCK_WORDS = 64
 SHARD_ROWS = 512
-MAX_SHARDS = 65_536
+#: Shards of a group.
+GROUP = 4096
 SEED = "mix-1"
 
 
@@ -97,16 +98,19 @@ def _placed(docs: DataFrame, size: Column, weights, share, cap, block_words, sha
     stats = rows.groupBy(F.col(q["key"]).alias("key")).agg(
         F.first("source").alias("source"), F.sum(q["size"]).alias("source_size"), F.count("*").alias("source_rows"))
     wanted = targets(stats, weights, share, cap)
-    house = F.floor(F.sum("target").over(Window.partitionBy("_one")) / block_words + 0.5).cast("long")
+    house = F.floor(F.sum("target").over(Window.partitionBy("_one")) + 0.5).cast("long")
     sources = _seats(wanted.withColumn("_house", house), ["_one"], "target", "_house", ["_at"])
-    shards = F.least(F.lit(MAX_SHARDS), F.ceil(F.col("source_rows") / shard_rows)).cast("long")
+    shards = F.ceil(F.col("source_rows") / shard_rows).cast("long")
     sources = stage(sources.select(
         F.col("key").alias(q["key"]), F.struct(F.struct("source_size", "target").alias("out"), "seats", shards.alias("shards")).alias(mixed)))
     dealt = rows.join(sources, q["key"]).withColumn(shard, F.pmod(_number(F.col(q["seed"])), F.col(mixed)["shards"]))
     totals = dealt.groupBy(F.col(q["key"]).alias("key"), F.col(shard).alias("shard")).agg(
-        F.sum(q["size"]).alias("words"), F.first(F.col(mixed)["seats"]).alias("house"))
-    quotas = _seats(totals, ["key"], "words", "house", ["shard"])
-    take = F.least(F.col("seats") * block_words, cap * F.col("words"))
+        F.sum(q["size"]).alias("words"), F.first(F.col(mixed)["seats"]).alias("house")).withColumn("group", F.floor(F.col("shard") / GROUP))
+    totals = stage(totals)
+    groups = totals.groupBy("key", "group").agg(F.sum("words").alias("words"), F.first("house").alias("house"))
+    of_group = _seats(groups, ["key"], "words", "house", ["group"]).select("key", "group", F.col("seats").alias("house"))
+    quotas = _seats(totals.drop("house").join(of_group, ["key", "group"]), ["key", "group"], "words", "house", ["shard"])
+    take = F.least(F.col("seats"), cap * F.col("words"))
     whole = F.when(F.col("words") > 0, F.floor(take / F.col("words"))).otherwise(F.lit(0)).cast("long")
     quotas = quotas.withColumn("whole", whole).withColumn("rest", take - F.col("whole") * F.col("words"))
     quotas = stage(quotas.select("key", "shard", "words", "whole", "rest"))
@@ -131,9 +135,8 @@ def _placed(docs: DataFrame, size: Column, weights, share, cap, block_words, sha
     e = F.col(end)
     value = lambda j: _rank(F.concat_ws("|", F.lit(seed), q["key"], shard, j), j)
     width = lambda v: F.when(v < e["first"], block_words).when(v == e["first"], e["n"]).when(v == e["second"], e["m"]).otherwise(0).cast("long")
-    blocks = F.transform(
-        F.sequence(F.floor(a / block_words).cast("long"), F.floor((b - 1) / block_words).cast("long")),
-        lambda j: F.struct((j * block_words).alias("from"), (j * block_words + width(value(j))).alias("to")))
+    ranks = F.transform(F.sequence(F.floor(a / block_words).cast("long"), F.floor((b - 1) / block_words).cast("long")), lambda j: F.struct(j.alias("j"), value(j).alias("v")))
+    blocks = F.transform(ranks, lambda x: F.struct((x["j"] * block_words).alias("from"), (x["j"] * block_words + width(x["v"])).alias("to")))
     run = lambda x: F.struct((F.greatest(a, x["from"]) - a).alias("at"), (F.least(b, x["to"]) - F.greatest(a, x["from"])).alias("n"))
     some = F.filter(F.transform(blocks, run), lambda x: x["n"] > 0)
     parts = F.when((F.col(q["size"]) > 0) & e.isNotNull(), some).otherwise(F.array().cast("array<struct<at:bigint,n:bigint>>"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from quern.llm.licenses import LEAST, MARKS, TEMPLATES
-from quern.llm.mixing import BLOCK_WORDS, MAX_SHARDS, SHARD_ROWS
+from quern.llm.mixing import BLOCK_WORDS, GROUP, SHARD_ROWS
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _EITHER = "".join
@@ -100,13 +100,16 @@ s4 AS (SELECT *, (CAST(1.5 AS DOUBLE) * CAST(_all AS DOUBLE)
    / sum(_w) OVER (ORDER BY _ratio, _at ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _level FROM s3),
 s5 AS (SELECT *, (SELECT _level FROM s4 WHERE _level <= _ratio ORDER BY _ratio, _at LIMIT 1) AS _lv FROM s4),
 s6 AS (SELECT *, least(CAST(_cap AS DOUBLE), coalesce(_lv, CAST('inf' AS DOUBLE)) * _w) AS target FROM s5),
-s7 AS (SELECT *, CAST(floor(sum(target) OVER () / {BLOCK_WORDS} + 0.5) AS BIGINT) AS _house FROM s6),
+s7 AS (SELECT *, CAST(floor(sum(target) OVER () + 0.5) AS BIGINT) AS _house FROM s6),
 {_seats("s7", "_one", "target", "_house", "_at", "s8").strip()},
-s9 AS (SELECT sk, source_size, target, seats AS q, CAST(least({MAX_SHARDS}, ceil(source_rows / {SHARD_ROWS}.0)) AS BIGINT) AS shards FROM s8),
+s9 AS (SELECT sk, source_size, target, seats AS q, CAST(ceil(source_rows / {SHARD_ROWS}.0) AS BIGINT) AS shards FROM s8),
 e AS (SELECT d.*, source_size, target, q, CAST('0x' || substr(m, 1, 8) AS BIGINT) % shards AS shard FROM d JOIN s9 USING (sk)),
-t0 AS (SELECT sk, shard, CAST(sum(size) AS BIGINT) AS words, any_value(q) AS _q FROM e GROUP BY sk, shard),
-{_seats("t0", "sk", "words", "_q", "shard", "t1").strip()},
-t2 AS (SELECT sk, shard, words, least(seats * {BLOCK_WORDS}, 2 * words) AS take FROM t1),
+t0 AS (SELECT sk, shard, sk || '/' || (shard // {GROUP}) AS sg, CAST(sum(size) AS BIGINT) AS words, any_value(q) AS _q FROM e GROUP BY sk, shard),
+g0 AS (SELECT sk, sg, CAST(sum(words) AS BIGINT) AS words, any_value(_q) AS _gq, min(shard) AS at FROM t0 GROUP BY sk, sg),
+{_seats("g0", "sk", "words", "_gq", "at", "g1").strip()},
+g2 AS (SELECT t0.sk, shard, t0.sg, t0.words, g1.seats AS _sq FROM t0 JOIN g1 ON t0.sg = g1.sg),
+{_seats("g2", "sg", "words", "_sq", "shard", "t1").strip()},
+t2 AS (SELECT sk, shard, words, least(seats, 2 * words) AS take FROM t1),
 t3 AS (SELECT sk, shard, words, CASE WHEN words > 0 THEN take // words ELSE 0 END AS whole, CASE WHEN words > 0 THEN take % words ELSE 0 END AS rest FROM t2),
 b0 AS (SELECT sk, shard, words, rest, unnest(range(0, (words + {BLOCK_WORDS - 1}) // {BLOCK_WORDS})) AS j FROM t3 WHERE rest > 0),
 b1 AS (SELECT sk, shard, j, rest, least({BLOCK_WORDS}, words - j * {BLOCK_WORDS}) AS len, substr(md5('mix-1|' || sk || '|' || shard || '|' || j), 1, 7) AS h FROM b0),
