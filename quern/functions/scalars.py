@@ -67,6 +67,11 @@ def url_cik(url: Column) -> Column:
     return F.when(text.rlike(r"^[0-9]{1,10}$") & (text.try_cast("long") > 0), text.try_cast("long"))
 
 
+def bound(value: Column, made) -> Column:
+    """made(value), an expression that may name the value often, with the value itself evaluated once."""
+    return F.get(F.transform(F.array(value), made), 0)
+
+
 def instant(text: Column) -> Column:
     """A timestamp from text that names its zone; null without one."""
     return F.when(text.rlike(ZONED), F.try_to_timestamp(text))

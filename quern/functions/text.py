@@ -80,41 +80,55 @@ SALES = (r"(?i)(?:global|worldwide)\s+(?:semiconductor(?:\s+industry)?\s+)?sales
 
 def monthly_sales(text: Column, least: float = 1.0, most: float = 1000.0) -> Column:
     """Struct (month as its first day, value in billions, sentence, error): the first sentence that states a month's worldwide sales within bounds."""
-    from quern.functions.scalars import number
+    from quern.functions.scalars import bound, number
 
     whole = F.trim(F.regexp_replace(text, r"[\s\u00A0]+", " "))
-    value = lambda s: number(F.regexp_extract(s, SALES, 1))
-    first = F.get(F.filter(sentences(whole), lambda s: F.coalesce(value(s).between(least, most), F.lit(False))), 0)
-    month = F.lower(F.regexp_extract(first, SALES, 2))
-    place = F.coalesce(*(F.when(month == m.lower(), i) for i, m in enumerate(MONTHS, 1)))
-    error = F.when(first.isNull(), "no unambiguous monthly sales fact")
-    return F.struct(F.make_date(F.regexp_extract(first, SALES, 3).try_cast("int"), place, F.lit(1)).alias("month"), value(first).alias("value"), first.alias("sentence"), error.alias("error"))
+
+    def fact(s: Column) -> Column:
+        part = lambda m, i: F.regexp_extract(m, SALES, i)  # noqa: E731  of the match alone, which is short
+        made = lambda m: F.when(m != "", F.struct(s.alias("sentence"), number(part(m, 1)).alias("value"), F.lower(part(m, 2)).alias("month"), part(m, 3).try_cast("int").alias("year")))
+        return bound(F.regexp_extract(s, SALES, 0), made)
+
+    good = F.filter(F.transform(sentences(whole), fact), lambda f: F.coalesce(f["value"].between(least, most), F.lit(False)))
+    place = lambda f: F.coalesce(*(F.when(f["month"] == m.lower(), i) for i, m in enumerate(MONTHS, 1)))
+    error = lambda f: F.when(f.isNull(), "no unambiguous monthly sales fact")
+    return bound(F.get(good, 0), lambda f: F.struct(
+        F.make_date(f["year"], place(f), F.lit(1)).alias("month"), f["value"].alias("value"), f["sentence"].alias("sentence"), error(f).alias("error")))
 
 
 #: Fixed wording of a paragraph that states two changes of a product: its volume, then its price.
 FALLS = ("declined", "decreased", "down")
 _CHANGE = r"((?:increased|were up|declined|decreased).*?percentage range)"
+_PARAGRAPH = r"(?i)\b{product}\b\s+Fiscal\s+Q[1-4]\s+{product}\s+revenue.{{0,700}}?(?:{product}\s+)?Bit shipments\s+{change}(?:\.\s+|,\s+and\s+)Prices\s+{change}"
 _BAND = r"((?:low|mid|high)(?:-to-(?:low|mid|high))?[- ]?(?:single[- ]digit|double[- ]digit|teens|\d{2}s))"
 
 
 def product_changes(text: Column, product: str) -> Column:
     """Struct (volume, price, error) of a product's own paragraph; each has its text, phrase, low and high. Another product's paragraph is not taken."""
-    from quern.operators.intervals import phrase_interval
+    from quern.functions.scalars import bound
+    from quern.operators.intervals import phrase_band
 
     plain = F.regexp_replace(F.regexp_replace(text, "[–—]", "-"), r"\s+", " ")
     plain = F.regexp_replace(plain, r"(?i)\b(low|mid|high)-\s*to-", "$1-to-")
-    pattern = rf"(?i)\b{product}\b\s+Fiscal\s+Q[1-4]\s+{product}\s+revenue.{{0,700}}?(?:{product}\s+)?Bit shipments\s+{_CHANGE}(?:\.\s+|,\s+and\s+)Prices\s+{_CHANGE}"
-
-    def change(group: int) -> Column:
-        said = F.trim(F.regexp_extract(plain, pattern, group))
-        phrase = F.regexp_extract(F.lower(said), _BAND, 1)
-        falls = F.greatest(*(F.contains(F.lower(said), F.lit(w)) for w in FALLS))
-        low, high, _ = phrase_interval(phrase, F.when(falls, "decline").otherwise("increase"))
-        return F.when(low.isNotNull(), F.struct(said.alias("text"), phrase.alias("phrase"), low.alias("low"), high.alias("high")))
-
-    volume, price = change(1), change(2)
-    error = F.when(F.coalesce(F.regexp_extract(plain, pattern, 1), F.lit("")) == "", "paragraph not found").when(volume.isNull() | price.isNull(), "no supported percentage phrase")
-    return F.struct(volume.alias("volume"), price.alias("price"), error.alias("error"))
+    pattern = _PARAGRAPH.format(product=product, change=_CHANGE)
+
+    def change(paragraph: Column, group: int) -> Column:
+        def read(said: Column) -> Column:
+            phrase = F.regexp_extract(F.lower(said), _BAND, 1)
+            falls = F.greatest(*(F.contains(F.lower(said), F.lit(w)) for w in FALLS))
+            made = lambda b: F.when(b["low"].isNotNull(), F.struct(said.alias("text"), phrase.alias("phrase"), b["low"].alias("low"), b["high"].alias("high")))
+            return bound(phrase_band(phrase, F.when(falls, "decline").otherwise("increase")), made)
+
+        return bound(F.trim(F.regexp_extract(paragraph, pattern, group)), read)
+
+    def both(paragraph: Column) -> Column:
+        return F.struct(change(paragraph, 1).alias("volume"), change(paragraph, 2).alias("price"), (F.coalesce(paragraph, F.lit("")) == "").alias("none"))
+
+    def judged(f: Column) -> Column:
+        error = F.when(f["none"], "paragraph not found").when(f["volume"].isNull() | f["price"].isNull(), "no supported percentage phrase")
+        return F.struct(f["volume"].alias("volume"), f["price"].alias("price"), error.alias("error"))
+
+    return bound(bound(F.regexp_extract(plain, pattern, 0), both), judged)
 
 
 def ids_of_page(html: Column, attribute: str = "data-event-id") -> Column:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.functions.scalars import bound
+
 #: Fixed reading of qualifiers: the digits that low, mid and high stand for after a ten, and those of double digits.
 DIGITS = {"low": (1, 3), "mid": (4, 6), "high": (7, 9)}
 DOUBLE = {"low": (10, 13), "mid": (14, 16), "high": (17, 19)}
@@ -20,32 +22,48 @@ def _bound(word: Column, of: dict[str, tuple[int, int]], at: int) -> Column:
     return F.coalesce(*(F.when(word == name, F.lit(pair[at])) for name, pair in of.items()))
 
 
-def phrase_interval(phrase: Column, direction: Column | str = "increase") -> tuple[Column, Column, Column]:
-    """(low, high, error) of a percentage phrase, as fractions; negative if the direction falls.
+#: Endings of a qualified phrase in the order that they are read, what they stand after, and the digits that qualifiers stand for.
+ENDINGS = ((r"(\d{2})s\b", None, DIGITS), (r"teens\b", 10, DIGITS), (r"single[- ]digit", 0, DIGITS), (r"double[- ]digit", 0, DOUBLE))
+
+
+def phrase_band(phrase: Column, direction: Column | str = "increase") -> Column:
+    """Struct (low, high, error) of a percentage phrase, as fractions; negative if the direction falls.
 
     Read in this order: an exact figure (with slack only where it says so), tens,
     teens, single digits, double digits; the qualifier may be a range such as
-    low-to-mid. Any other phrase has no bounds and an error.
+    low-to-mid. Any other phrase has no bounds and an error. Each pattern is matched
+    once, and only if those before it were not found.
     """
     text = F.lower(F.trim(F.regexp_replace(F.regexp_replace(phrase, "[–—]", "-"), r"\s+", " ")))
-    exact = F.regexp_extract(text, r"(\d+(?:\.\d+)?)\s*%", 1).try_cast("double") / 100
-    slack = F.when(F.lit(False), 0.0)
-    for word in ROUGHLY:
-        slack = slack.when(text.contains(word), POINT_SLACK)
-    slack = slack.otherwise(0.0)
-    low, high = [F.when(exact.isNotNull(), F.greatest(exact - slack, F.lit(0.0)))], [exact + slack]
-    kinds = ((r"(\d{2})s\b", None, DIGITS), (r"teens\b", 10, DIGITS), (r"single[- ]digit", 0, DIGITS), (r"double[- ]digit", 0, DOUBLE))
-    for ending, base, of in kinds:
+    pair = lambda low, high: F.struct(F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
+
+    def figure(t: Column) -> Column:
+        slack = F.greatest(*(F.when(t.contains(word), POINT_SLACK).otherwise(0.0) for word in ROUGHLY))
+        said = F.regexp_extract(t, r"(\d+(?:\.\d+)?)\s*%", 1).try_cast("double") / 100
+        return bound(said, lambda x: F.when(x.isNotNull(), pair(F.greatest(x - slack, F.lit(0.0)), x + slack)))
+
+    def qualified(t: Column, ending: str, base: int | None, of: dict[str, tuple[int, int]]) -> Column:
         pattern = r"\b(low|mid|high)(?:-to-(low|mid|high))?[- ]?" + ending
-        first, second = (F.regexp_extract(text, pattern, i) for i in (1, 2))
-        start = F.regexp_extract(text, pattern, 3).try_cast("int") if base is None else F.lit(base)
-        low.append((start + _bound(first, of, 0)) / 100)
-        high.append((start + _bound(F.when(second != "", second).otherwise(first), of, 1)) / 100)
-    a, b = F.coalesce(*low), F.coalesce(*high)
+
+        def read(m: Column) -> Column:
+            first, second = (F.regexp_extract(m, pattern, i) for i in (1, 2))
+            start = F.regexp_extract(m, pattern, 3).try_cast("int") if base is None else F.lit(base)
+            return F.when(m != "", pair((start + _bound(first, of, 0)) / 100, (start + _bound(F.when(second != "", second).otherwise(first), of, 1)) / 100))
+
+        return bound(F.regexp_extract(t, pattern, 0), read)
+
+    found = bound(text, lambda t: F.coalesce(figure(t), *(qualified(t, *e) for e in ENDINGS)))
     falls = (F.lit(direction) if isinstance(direction, str) else direction).isin(*FALLING)
-    error = F.when(a.isNull(), F.concat(F.lit("Unsupported qualitative percentage phrase: "), F.coalesce(phrase, F.lit(""))))
-    places = lambda c: F.round(c, 6)
-    return places(F.when(falls, -b).otherwise(a)), places(F.when(falls, -a).otherwise(b)), error
+    error = F.concat(F.lit("Unsupported qualitative percentage phrase: "), F.coalesce(phrase, F.lit("")))
+    turned = lambda b: F.struct(
+        F.when(falls, -b["high"]).otherwise(b["low"]).alias("low"), F.when(falls, -b["low"]).otherwise(b["high"]).alias("high"), F.when(b["low"].isNull(), error).alias("error"))
+    return bound(found, turned)
+
+
+def phrase_interval(phrase: Column, direction: Column | str = "increase") -> tuple[Column, Column, Column]:
+    """(low, high, error) of phrase_band; for many rows select the struct once and then its fields."""
+    band = phrase_band(phrase, direction)
+    return band["low"], band["high"], band["error"]
 
 
 def compounded(df: DataFrame, keys: Sequence[str], order: str, low: str, high: str, rows: int = 4, gap: tuple[int, int] = (70, 120)) -> DataFrame:

@@ -22,15 +22,12 @@ CAPEX_TAGS = ("PaymentsToAcquirePropertyPlantAndEquipment", "PaymentsForAddition
 BAND_ORDER = ("under_two_years", "two_to_five_years", "five_years_plus", "self_funding")
 
 
-def first_number(record: Column, names: Sequence[str]) -> Column:
-    """The first of some keys of a JSON record that holds a finite number."""
-    return F.coalesce(*(number(F.get_json_object(record, f"$.{n}")) for n in names))
-
-
 def bars(rows: DataFrame, record: str) -> DataFrame:
     """(date, code, open, high, low, close, volume) of JSON records; those without date, code or close are left out, (date, code) is unique."""
-    text = lambda k: F.trim(F.coalesce(F.get_json_object(record, f"$.{k}"), F.lit("")))
-    out = rows.select(text("Date").alias("date"), text("Code").alias("code"), *(first_number(F.col(record), names).alias(c) for c, names in BAR.items()))
+    named = ["Date", "Code", *(n for names in BAR.values() for n in names)]
+    parsed = rows.select(F.from_json(record, ", ".join(f"{n} string" for n in named)).alias("_j"))  # once a record
+    text = lambda k: F.trim(F.coalesce(F.col("_j")[k], F.lit("")))
+    out = parsed.select(text("Date").alias("date"), text("Code").alias("code"), *(F.coalesce(*(number(F.col("_j")[n]) for n in names)).alias(c) for c, names in BAR.items()))
     good = out.where((F.col("date") != "") & (F.col("code") != "") & F.col("close").isNotNull())
     return good.groupBy("date", "code").agg(F.min(F.struct(*BAR)).alias("_b")).select("date", "code", "_b.*")
 

@@ -158,5 +158,5 @@ def _number(x: float | None) -> str:
 def qualitative_band(spark, sf_dir):
     pick = lambda at: F.get(F.array(*(F.lit(p[at]) for p in PHRASES)), (F.col("o_orderkey") % len(PHRASES)).cast("int"))
     rows = table(spark, sf_dir, "orders").select("o_orderkey", pick(0).alias("phrase"), pick(1).alias("direction"))
-    low, high, error = intervals.phrase_interval(F.col("phrase"), F.col("direction"))
-    return rows.select("o_orderkey", "phrase", low.alias("low"), high.alias("high"), error.isNotNull().alias("unread"))
+    read = rows.select("o_orderkey", "phrase", intervals.phrase_band(F.col("phrase"), F.col("direction")).alias("_b"))
+    return read.select("o_orderkey", "phrase", "_b.low", "_b.high", F.col("_b.error").isNotNull().alias("unread"))
