@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.scalars import bound
+from quern.operators.bands import free_name
 
 #: Fixed reading of qualifiers: the digits that low, mid and high stand for after a ten, and those of double digits.
 DIGITS = {"low": (1, 3), "mid": (4, 6), "high": (7, 9)}
@@ -69,11 +70,12 @@ def phrase_interval(phrase: Column, direction: Column | str = "increase") -> tup
 def compounded(df: DataFrame, keys: Sequence[str], order: str, low: str, high: str, rows: int = 4, gap: tuple[int, int] = (70, 120)) -> DataFrame:
     """df with compound_low and compound_high over the last `rows` periods, if there are so many and each gap in days is in bounds."""
     w = Window.partitionBy(*keys).orderBy(order)
-    out = df.withColumn("_gap", F.datediff(F.col(order), F.lag(order).over(w)))
+    step = free_name(df.columns, "_gap")
+    out = df.withColumn(step, F.datediff(F.col(order), F.lag(order).over(w)))
     frame, gaps = w.rowsBetween(1 - rows, 0), w.rowsBetween(2 - rows, 0)
-    whole = (F.count(F.lit(1)).over(frame) == rows) & F.min("_gap").over(gaps).between(*gap) & F.max("_gap").over(gaps).between(*gap)
+    whole = (F.count(F.lit(1)).over(frame) == rows) & F.min(step).over(gaps).between(*gap) & F.max(step).over(gaps).between(*gap)
     total = lambda c: F.when(whole, F.round(F.product(F.lit(1) + F.col(c)).over(frame) - 1, 8))
-    return out.withColumn("compound_low", total(low)).withColumn("compound_high", total(high)).drop("_gap")
+    return out.withColumn("compound_low", total(low)).withColumn("compound_high", total(high)).drop(step)
 
 
 def compare(low_a: Column, high_a: Column, low_b: Column, high_b: Column) -> Column:

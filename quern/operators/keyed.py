@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.operators import ranges
+from quern.operators.bands import free_name
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key under a total order; one shuffle on the key, pruned by the window group limit."""
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where("_rank = 1").drop("_rank")
+    rank = free_name(df.columns, "_rank")
+    ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col(rank) == 1).drop(rank)
 
 
 def extreme_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str], keep: Sequence[str], newest: bool = True) -> DataFrame:
@@ -37,9 +39,10 @@ def semantic_dedup(df: DataFrame, keys: Sequence[str], fields: Sequence[str], or
 
 def last_write_wins(parts: Sequence[DataFrame], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Later parts beat earlier ones, and within a part later rows; columns by name."""
-    ranked = [p.withColumn("_part", F.lit(i)) for i, p in enumerate(parts)]
+    part = free_name([c for p in parts for c in p.columns], "_part")
+    ranked = [p.withColumn(part, F.lit(i)) for i, p in enumerate(parts)]
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
-    return latest_per_key(both, keys, [F.desc("_part"), *(F.desc(c) for c in order)]).drop("_part")
+    return latest_per_key(both, keys, [F.desc(part), *(F.desc(c) for c in order)]).drop(part)
 
 
 def merge_with_conflicts(base: DataFrame, new: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:

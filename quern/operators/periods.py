@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.scalars import safe_divide
+from quern.operators.bands import free_name
 
 
 def quarters_from_cumulative(df: DataFrame, keys: Sequence[str], year: str, quarter: str, value: str) -> DataFrame:
@@ -73,4 +74,5 @@ def aligned(parts: dict[str, DataFrame], optional: dict[str, DataFrame], keys: S
 def latest_periods(df: DataFrame, keys: Sequence[str], end: str, n: int) -> DataFrame:
     """The n latest periods of each key."""
     w = Window.partitionBy(*keys).orderBy(F.desc(end))
-    return df.withColumn("_at", F.row_number().over(w)).where(F.col("_at") <= n).drop("_at")
+    at = free_name(df.columns, "_at")
+    return df.withColumn(at, F.row_number().over(w)).where(F.col(at) <= n).drop(at)

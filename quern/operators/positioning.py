@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.operators.bands import free_name
+
 
 def _series(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*order)
@@ -75,7 +77,8 @@ def trailing_returns(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
     for n in spans:
         out = out.withColumn(f"return_{n}", (F.try_divide(F.col(value), F.lag(value, n).over(w)) - 1) * 100)
     last = F.row_number().over(Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in order)))
-    return out.withColumn("_last", last).where("_last = 1").drop("_last")
+    at = free_name(out.columns, "_last")
+    return out.withColumn(at, last).where(F.col(at) == 1).drop(at)
 
 
 def days_to_cover(positions: DataFrame, volumes: DataFrame, keys: Sequence[str], date: str, rows: int = 20) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.scalars import days, filing_url, number
+from quern.operators.bands import free_name
 
 #: Fixed names of a bar's figures in a record: adjusted ones first.
 BAR = {
@@ -134,7 +135,8 @@ def band_order(band: Column, runway: Column) -> list[Column]:
 def newest_filings(filings: DataFrame, keys: Sequence[str], forms: Sequence[str], most: int = 12) -> DataFrame:
     """The newest filings of some forms of each company, by filing date, then accession."""
     w = Window.partitionBy(*keys).orderBy(F.desc("filing_date"), F.desc("accession"))
-    return filings.where(F.col("form").isin(*forms)).withColumn("_at", F.row_number().over(w)).where(F.col("_at") <= most).drop("_at")
+    at = free_name(filings.columns, "_at")
+    return filings.where(F.col("form").isin(*forms)).withColumn(at, F.row_number().over(w)).where(F.col(at) <= most).drop(at)
 
 
 def compare_list(picks: DataFrame, key: str, item: str, at: str, most: int = 4) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quern.functions import markup
-from quern.operators import analytics, crawl, database, ranges
+from quern.operators import analytics, crawl, database, ranges, runs
 from quern.plans.common import Registry, events
 from quern.session import shared_path, table
 
@@ -146,3 +146,50 @@ def database_issues(spark, sf_dir):
         k.cast("string").alias("id"), F.when(k % 50 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey")).cast("string").alias("entity_id"), F.when(k % 40 != 0, F.col("o_orderpriority")).alias("concept_id"),
         F.when(k % 30 != 0, "actual").alias("value_type"), F.lit(0).alias("revision"), F.lit("https://a").alias("source_url"), F.lit(None).cast("string").alias("source_id"), F.lit("{}").alias("raw_json"))
     return database.violations({"entities": entities, "observations": rows}).select("table_name", "code", "column_name", "key")
+
+
+@query("""
+WITH o AS (SELECT o_custkey AS k, o_orderkey % 9 AS period, o_orderkey AS n FROM orders)
+SELECT k, period, min(n) AS n FROM o WHERE (k, period) IN (SELECT (k, max(period)) FROM o GROUP BY k) GROUP BY ALL""")
+def latest_kpi_row(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), (F.col("o_orderkey") % 9).alias("period"), F.col("o_orderkey").alias("n"))
+    return runs.latest_of(rows, "k", "period", "n")
+
+
+@query("""
+SELECT s_suppkey, CASE WHEN s_suppkey % 4 <> 0 THEN s_suppkey || '/' || s_name || '/' || coalesce(CAST(nullif(s_nationkey, 3) AS VARCHAR), '-') END AS record, s_suppkey % 4 = 0 AS absent FROM supplier""")
+def compact_records(spark, sf_dir):
+    s = F.col("s_suppkey")
+    record = F.when(s % 4 != 0, F.struct(s.alias("id"), F.col("s_name").alias("reported_text"), F.nullif("s_nationkey", F.lit(3)).alias("value"), F.lit(1).alias("hidden")))
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", record.alias("r"))
+    rows = rows.select("s_suppkey", runs.compact(F.col("r"), ["id", "reported_text", "value", "hidden"]).alias("c"))
+    text = F.concat_ws("/", F.col("c.id").cast("string"), "c.reported_text", F.coalesce(F.col("c.value").cast("string"), F.lit("-")))
+    return rows.select("s_suppkey", F.when(F.col("c").isNotNull(), text).alias("record"), F.col("c").isNull().alias("absent"))
+
+
+@query("""
+WITH e AS (SELECT user_id AS k, event_type AS source_id, event_id AS n, event_id % 1000 AS v FROM events WHERE event_id % 3 <> 0),
+w AS (SELECT user_id AS k, event_type AS source_id, event_id AS n, event_id % 1000 AS v FROM events WHERE event_id % 3 = 0 AND event_type <> 'click'),
+a AS (SELECT k, source_id, arg_max(v, (new, n)) AS v FROM (SELECT *, 0 AS new FROM e UNION ALL SELECT *, 1 FROM w) GROUP BY ALL)
+SELECT k, source_id, v FROM a UNION ALL SELECT k, 'derived_market_positioning', max(v) FROM a GROUP BY k""")
+def run_keeps_previous(spark, sf_dir):
+    """A run in which one source fails: its rows of before stay, the others' new ones win, and what is derived follows."""
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("k"), F.col("event_type").alias("source_id"), F.col("event_id").alias("n"), (F.col("event_id") % 1000).alias("v"))
+    derive = lambda of: of.groupBy("k").agg(F.max("n").alias("n"), F.max("v").alias("v")).withColumn("source_id", F.lit(runs.DERIVED))
+    new = rows.where((F.col("n") % 3 == 0) & (F.col("source_id") != "click"))
+    return runs.observed(rows.where("n % 3 <> 0"), [new], ["k", "source_id"], ["n"], derive).select("k", "source_id", "v")
+
+
+@query("""
+WITH p AS (SELECT 0 AS part, CAST(c_custkey AS VARCHAR) AS id, CASE WHEN c_custkey % 3 = 0 THEN 'T' || c_custkey END AS ticker, c_name AS name, c_mktsegment AS peer FROM customer
+  UNION ALL SELECT 1, CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 5 = 0 THEN 'U' || c_custkey ELSE ' ' END, NULL, NULL FROM customer WHERE c_custkey % 2 = 0
+  UNION ALL SELECT 2, 'n' || n_nationkey, NULL, NULL, 'nation' FROM nation)
+SELECT id, coalesce(arg_max(nullif(trim(ticker), ''), part) FILTER (trim(ticker) <> ''), id) AS ticker, coalesce(arg_max(name, part) FILTER (name IS NOT NULL), id) AS name, arg_max(coalesce(peer, 'demand'), part) AS peer FROM p GROUP BY id""")
+def company_context(spark, sf_dir):
+    c = F.col("c_custkey")
+    customer, none = table(spark, sf_dir, "customer"), F.lit(None).cast("string")
+    named = lambda letter: F.concat(F.lit(letter), c.cast("string"))
+    first = customer.select(c.cast("string").alias("id"), F.when(c % 3 == 0, named("T")).alias("ticker"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("peer"), c.alias("n"))
+    second = customer.where(c % 2 == 0).select(c.cast("string").alias("id"), F.when(c % 5 == 0, named("U")).otherwise(" ").alias("ticker"), none.alias("name"), none.alias("peer"), c.alias("n"))
+    third = table(spark, sf_dir, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"), none.alias("ticker"), none.alias("name"), F.lit("nation").alias("peer"), F.col("n_nationkey").alias("n"))
+    return runs.company_context([(first, "semiconductor"), (second, "demand"), (third, "semiconductor")])

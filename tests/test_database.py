@@ -5,7 +5,8 @@ from itertools import product
 
 import pytest
 
-from quern.operators import database, globs
+from quern.operators import database, globs, runs
+from quern.operators.audits import GateClosed
 
 
 def observations(spark, *rows):
@@ -41,3 +42,26 @@ def test_pattern_overlap_agrees_with_all_short_paths():
 def test_roots_that_overlap():
     roots = [("data/*.json", "a/b"), ("data/latest_*", "a/b/c"), ("docs/*.md", "x"), ("d?cs/[r]*", "ab")]
     assert globs.overlapping(roots) == [("destination", "a/b", "a/b/c"), ("path", "data/*.json", "data/latest_*"), ("path", "docs/*.md", "d?cs/[r]*")]
+
+
+def test_strict_runs_and_orders(spark):
+    states = spark.createDataFrame([("sia_wsts", "ok"), ("jquants_v2", "error"), ("kofia", "disabled_missing_secret")], "source string, status string")
+    runs.strict(states, ["sia_wsts", "kofia"])
+    with pytest.raises(GateClosed, match="jquants_v2"):
+        runs.strict(states, ["sia_wsts", "jquants_v2"])
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([("9",), ("10",), (" 2.5 ",), ("x",), (None,)], "v string")
+    assert [r.v for r in rows.orderBy(*runs.numeric_order(F.col("v"))).collect()][:3] == ["10", "9", " 2.5 "]
+    assert [r.v for r in rows.orderBy(*runs.numeric_order(F.col("v"), False)).collect()][:3] == [" 2.5 ", "9", "10"]
+
+
+def test_a_failed_source_keeps_its_past_and_private_rows_stay_out(spark):
+    from pyspark.sql import functions as F
+
+    schema = "k string, source_id string, n int, v int"
+    past = spark.createDataFrame([("a", "sia", 1, 1), ("b", "kofia", 1, 2), ("d", runs.DERIVED, 1, 3), ("e", runs.DERIVED, 1, 4)], schema)
+    new = spark.createDataFrame([("a", "sia", 2, 10), ("p", "jquants_v2_bars", 2, 100)], schema)
+    derive = lambda of: of.agg(F.sum("v").alias("v")).select(F.lit("d").alias("k"), F.lit(runs.DERIVED).alias("source_id"), F.lit(2).alias("n"), F.col("v").cast("int").alias("v"))
+    got = runs.observed(past, [new, new.limit(0)], ["k", "source_id"], ["n"], derive).collect()
+    assert {(r.k, r.v) for r in got} == {("a", 10), ("b", 2), ("d", 112), ("e", 4)}

@@ -309,6 +309,17 @@ def test_projections(spark):
         ("nand_asp_guidance_not_disclosed", None, "m"), ("nand_normalization_policy_missing", "2", None), ("nand_reported_text_missing", "2", None)]
 
 
+def test_callers_columns_keep_their_names(spark):
+    from quern.operators import projections
+
+    odd = [F.lit("mine").alias(c) for c in ("_rank", "_RANK_", "_at", "_part", "_gap", "_last")]
+    df = spark.createDataFrame([("k", date(2024, 1, 1), 1.0, "10-K", "a"), ("k", date(2024, 4, 1), 2.0, "10-K", "b")], "k string, d date, v double, form string, accession string").select("*", F.col("d").alias("filing_date"), *odd)
+    for made in (keyed.latest_per_key(df, ["k"], [F.desc("d")]), keyed.last_write_wins([df, df], ["k"], ["d"]), periods.latest_periods(df, ["k"], "d", 1), projections.newest_filings(df, ["k"], ["10-K"], 1),
+                 intervals.compounded(df, ["k"], "d", "v", "v"), positioning.trailing_returns(df, ["k"], ["d"], "v", [1])):
+        rows = made.collect()
+        assert rows and set(df.columns) <= set(made.columns) and all(r[c] == "mine" for r in rows for c in ("_rank", "_RANK_", "_at", "_part", "_gap", "_last"))
+
+
 def test_quarters_with_comparatives(spark):
     from quern.operators import projections
 
