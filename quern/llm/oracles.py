@@ -105,8 +105,8 @@ s7 AS (SELECT *, CAST(floor(sum(target) OVER () + 0.5) AS BIGINT) AS _house FROM
 s9 AS (SELECT sk, source_size, target, seats AS q, CAST(ceil(source_rows / {SHARD_ROWS}.0) AS BIGINT) AS shards FROM s8),
 e AS (SELECT d.*, source_size, target, q, CAST('0x' || substr(m, 1, 8) AS BIGINT) % shards AS shard FROM d JOIN s9 USING (sk)),
 t0 AS (SELECT sk, shard, sk || '/' || (shard // {GROUP}) AS sg, CAST(sum(size) AS BIGINT) AS words, any_value(q) AS _q FROM e GROUP BY sk, shard),
-g0 AS (SELECT sk, sg, CAST(sum(words) AS BIGINT) AS words, any_value(_q) AS _gq, min(shard) AS at FROM t0 GROUP BY sk, sg),
-{_seats("g0", "sk", "words", "_gq", "at", "g1").strip()},
+g0 AS (SELECT sk, sg, CAST(sum(words) AS BIGINT) AS words, any_value(_q) AS _gq, min(shard) AS first_shard FROM t0 GROUP BY sk, sg),
+{_seats("g0", "sk", "words", "_gq", "first_shard", "g1").strip()},
 g2 AS (SELECT t0.sk, shard, t0.sg, t0.words, g1.seats AS _sq FROM t0 JOIN g1 ON t0.sg = g1.sg),
 {_seats("g2", "sg", "words", "_sq", "shard", "t1").strip()},
 t2 AS (SELECT sk, shard, words, least(seats, 2 * words) AS take FROM t1),
