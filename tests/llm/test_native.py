@@ -130,6 +130,15 @@ def test_mix(spark):
     assert texts == {s: n for s, n in taken.items() if n}
 
 
+def test_bands_meet_as_often_as_the_formula_says(spark):
+    """Windows of four that share three, of three that share two, of two that share one: random hashes, 4,000 pairs each."""
+    for window in (4, 3, 2):
+        pair = spark.range(4000).select(*(F.array(*(F.xxhash64(F.lit(side if i == 0 else "both"), "id", F.lit(i)) for i in range(window))).alias(side) for side in ("a", "b")))
+        met = pair.select(F.arrays_overlap(licenses.bands(F.col("a"), window, 1), licenses.bands(F.col("b"), window, 1)).alias("m")).where("m").count()
+        j = (window - 1) / (window + 1)
+        assert abs(met / 4000 - (1 - (1 - j) ** licenses.BANDS)) < 0.015, window
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_every_source_is_within_a_word_of_its_target(spark, seed, monkeypatch):
     rng = random.Random(seed)
