@@ -55,10 +55,10 @@ def write(pages: DataFrame, path: str | None = None, least_bytes: int = 0, date:
     rows = rows.withColumn("digest", F.unhex(F.sha2("payload", 256)))
     records = stage(_facts(rows, "payload").drop("payload"))
     first = stage(records.groupBy("digest").agg(F.min("page_id").alias("first")))
-    # Copies drop out by their digests; what is left of one digest repeats its first page_id too.
-    of = first.select(F.col("digest").alias("of"), "first")
-    won = rows.select("page_id", "digest", "payload").join(of, (F.col("digest") == F.col("of")) & F.col("page_id").eqNullSafe(F.col("first")), "left_semi")
-    won.select("digest", "payload").dropDuplicates(["digest"]).write.option("compression", "zstd").parquet(f"{path}/payloads")
+    # Copies drop out by digest and id, so a payload that is everywhere is not one task; what is left of a digest repeats its first page_id too.
+    who = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("who")
+    won = rows.select("digest", who("page_id"), "payload").join(first.select("digest", who("first")), ["digest", "who"], "left_semi")
+    won.dropDuplicates(["digest", "who"]).select("digest", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
     records = records.join(first, "digest")
     again = (F.col("payload_bytes") >= least_bytes) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     kind = F.when(again, "revisit").otherwise("response")
