@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quern.functions import markup
-from quern.operators import analytics, crawl, database, ranges, runs
-from quern.plans.common import Registry, events
+from quern.operators import analytics, crawl, database, publication, ranges, runs
+from quern.plans.common import RUN_AT, Registry, events
 from quern.session import shared_path, table
 
 REGISTRY = Registry()
@@ -193,3 +193,34 @@ def company_context(spark, sf_dir):
     second = customer.where(c % 2 == 0).select(c.cast("string").alias("id"), F.when(c % 5 == 0, named("U")).otherwise(" ").alias("ticker"), none.alias("name"), none.alias("peer"), c.alias("n"))
     third = table(spark, sf_dir, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"), none.alias("ticker"), none.alias("name"), F.lit("nation").alias("peer"), F.col("n_nationkey").alias("n"))
     return runs.company_context([(first, "semiconductor"), (second, "demand"), (third, "semiconductor")])
+
+
+@query("""
+WITH e AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderkey % 13 = 5 THEN o_orderkey - 1 ELSE o_orderkey END AS id, CASE o_orderkey % 3 WHEN 0 THEN '10-K' WHEN 1 THEN '10-Q' ELSE '8-K' END AS form FROM orders),
+w AS (SELECT *, CASE WHEN k % 7 = 1 THEN 'freshness is not PASS' WHEN k % 7 = 2 THEN 'missing report_date' WHEN k % 7 = 3 THEN 'report_date is after published_at' WHEN k % 7 = 4 THEN 'missing accession_number' END AS why FROM e WHERE form <> '8-K'),
+s AS (SELECT *, min(k) OVER (PARTITION BY id) AS f FROM w WHERE why IS NULL)
+SELECT CAST(id AS VARCHAR) AS event_id, CASE form WHEN '10-K' THEN 'ANNUAL_REPORT_PERIOD_END' ELSE 'INTERIM_REPORT_PERIOD_END' END AS outcome, strftime(d, '%Y-%m-%d') AS detail FROM s WHERE k = f
+UNION ALL SELECT CAST(id AS VARCHAR), 'DUPLICATE_NORMALIZED_EVENT', '' FROM s WHERE k <> f UNION ALL SELECT CAST(id AS VARCHAR), 'INVALID_PRIMARY_PERIOD', why FROM w WHERE why IS NOT NULL""")
+def normalized_periods(spark, sf_dir):
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    at = F.date_format(F.date_add(day, F.when(k % 7 == 3, -2).otherwise(20)), "yyyy-MM-dd'T'00:00:00'Z'")
+    rows = table(spark, sf_dir, "orders").select(
+        k.alias("n"), F.when(k % 13 == 5, k - 1).otherwise(k).cast("string").alias("event_id"), F.lit("sec_edgar").alias("source_adapter"), F.lit("c").alias("company_id"),
+        F.when(k % 3 == 0, "10-K").when(k % 3 == 1, "10-Q").otherwise("8-K").alias("document_type"), F.when(k % 7 == 1, "STALE").otherwise("PASS").alias("freshness"),
+        F.when(k % 7 != 2, day.cast("string")).alias("report_date"), at.alias("published_at"), F.when(k % 7 != 4, "x").alias("accession_number"))
+    items, found = publication.normalized_periods(rows, "n")
+    return items.select("event_id", F.col("period_kind").alias("outcome"), F.col("period_end").cast("string").alias("detail")).unionByName(
+        found.select(F.col("key").alias("event_id"), F.col("code").alias("outcome"), "detail"))
+
+
+@query("""
+WITH e AS (SELECT event_id, ts FROM events WHERE ts <= TIMESTAMP '2024-01-30 12:00:00')
+SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(NULL AS BIGINT) AS expired FROM e WHERE ts >= TIMESTAMP '2024-01-29 12:00:00' UNION ALL SELECT NULL, count(*) FROM e WHERE ts < TIMESTAMP '2024-01-29 12:00:00'""")
+def ledger_publication(spark, sf_dir):
+    rows = events(spark, sf_dir).where(F.col("ts") <= F.lit(RUN_AT).cast("timestamp")).select(
+        F.col("event_id").cast("string").alias("event_id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("published_at"), F.lit("PASS").alias("freshness"), F.lit("c").alias("company_id"),
+        F.lit("C").alias("company_name"), F.lit("10-Q").alias("document_type"), F.lit("https://a.gov").alias("source_url"))
+    audits = rows.limit(1).select(F.lit("ledger").alias("name"), F.lit("PASS").alias("status"), F.lit(0).alias("issues"))
+    shown, totals, found = publication.publication(rows, audits, ["ledger"], F.lit(RUN_AT).cast("timestamp"), F.lit(rows.count()))
+    return publication.released(shown, found).select("event_id", F.lit(None).cast("long").alias("expired")).unionByName(
+        totals.select(F.lit(None).cast("string").alias("event_id"), F.col("expired_events_total").alias("expired")))
