@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -60,6 +60,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+_REMEMBERS: list[tuple[str, Callable[[], None]]] = []
+
+
+def owned(operator: str, forget: Callable[[], None] = lambda: None) -> None:
+    """Called by an operator's tasks: a Python worker outlives them, so what another operator's tasks remember in it is forgotten first."""
+    if _REMEMBERS and _REMEMBERS[0][0] == operator:
+        return
+    for _, other in _REMEMBERS:
+        other()
+    _REMEMBERS[:] = [(operator, forget)]
+    pa.default_memory_pool().release_unused()
+
+
 def own_name(taken: list[str], name: str) -> str:
     """name, or with further underscores so that no column of the input has it; case does not tell names apart."""
     held = {t.lower() for t in taken}

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_bytes, small_batches, stage
+from quern.llm.common import as_bytes, owned, small_batches, stage
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END = 1
@@ -114,6 +114,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     """This worker's encoder."""
+    owned("packing", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
