@@ -1,34 +1,29 @@
-"""State of crawled documents as a stream: one keyed state a document, with a timer that ends it when the document is gone."""
+"""State of crawled documents as a stream: keyed state of the living documents, with a timeout that ends a document's when it is gone."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import datetime, timezone
+import json
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: Statuses after which content of the same digest need not be parsed again.
 PARSED = ("parsed", "no_kpi", "unchanged")
-STATE = "sha256 string, status string, first_seen timestamp, last_checked timestamp, retries int"
+#: Documents of a bucket by url, as JSON: digest, first_seen and last_checked in microseconds, retries.
+STATE = "documents string"
 OUTPUT = "url string, sha256 string, status string, first_seen timestamp, last_checked timestamp, retries int, parse boolean"
+MICROS = OUTPUT.replace("timestamp", "long")
+COLUMNS = [c.split()[0] for c in OUTPUT.split(", ")]
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Keys that the documents are dealt over by their urls: a call into Python and a state are for a bucket, not for a document.
+BUCKETS = 4096
 
 
-def _plain(at) -> datetime:
-    """An instant as a naive datetime in UTC, as states hold it."""
-    at = pd.Timestamp(at)
-    return (at.tz_convert("UTC").tz_localize(None) if at.tzinfo else at).to_pydatetime()
-
-
-def _millis(at: datetime) -> int:
-    return int(at.replace(tzinfo=timezone.utc).timestamp() * 1000)
-
-
-class Documents(StatefulProcessor):
-    """Visits (url, sha256, ok, at) of a document, in order of time, to its state after each.
+def bucket(gone_after: float) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """Visits (url, sha256, ok, us) of a bucket's documents, of each in order of time, to the document's state after each.
 
     A first or different digest is `changed` and must be parsed; the same one is
     `unchanged` and need not; a failed visit keeps the digest and counts a retry,
@@ -36,54 +31,49 @@ class Documents(StatefulProcessor):
     `gone_after` seconds of event time is `gone`: it is put out once more and its
     state ends, so the store holds living documents only; a later visit finds it anew.
     """
-
-    def __init__(self, gone_after: float):
-        self.gone_after = gone_after
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("document", STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        visits = pd.concat(list(rows)).sort_values("at", kind="stable")
-        held = self.state.get() if self.state.exists() else None
-        out = []
-        for visit in visits.itertuples(index=False):
-            at = _plain(visit.at)
-            if held is not None and (at - _plain(held[3])).total_seconds() > self.gone_after:  # its timer has not fired yet
-                out.append((key[0], held[0], "gone", _plain(held[2]), _plain(held[3]), int(held[4]), False))
+    lives = int(gone_after * 1_000_000)
+
+    def gone(url: str, held: list) -> tuple:
+        return (url, held[0], "gone", *held[1:], False)
+
+    def follow(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        documents, out = json.loads(state.get[0]) if state.exists else {}, []
+        visits = [] if state.hasTimedOut else [v for r in rows for v in zip(r["us"].tolist(), r["url"], r["sha256"], r["ok"].tolist(), strict=True)]
+        for at, url, sha256, ok in sorted(visits, key=lambda v: v[0]):
+            held = documents.get(url)
+            if held and at - held[2] > lives:  # its timeout has not come yet
+                out.append(gone(url, held))
                 held = None
-            digest, _, first, _, retries = held or (None, None, at, None, 0)
-            first = _plain(first)
-            if not visit.ok:
-                held, parse = (digest, "failed", first, at, int(retries) + 1), False
+            digest, first, _, retries = held or (None, at, None, 0)
+            if ok:
+                status, held = "unchanged" if sha256 == digest else "changed", [sha256, first, at, 0]
             else:
-                same = visit.sha256 == digest
-                held, parse = (visit.sha256, "unchanged" if same else "changed", first, at, 0), not same
-            out.append((key[0], *held, parse))
-        self.state.update(held)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(_millis(held[3]) + int(self.gone_after * 1000))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        digest, _, first, last, retries = self.state.get()
-        self.state.clear()
-        yield pd.DataFrame([(key[0], digest, "gone", _plain(first), _plain(last), int(retries), False)], columns=[c.split()[0] for c in OUTPUT.split(", ")])
-
-    def close(self) -> None:
-        pass
-
-
-def tracked(visits: DataFrame, gone_after: float = 90 * 86400, late: str = "0 seconds") -> DataFrame:
+                status, held = "failed", [digest, first, at, retries + 1]
+            documents[url] = held
+            out.append((url, held[0], status, *held[1:], status == "changed"))
+        now, ends = state.getCurrentWatermarkMs(), lambda held: (held[2] + lives) // 1000
+        for url in [u for u, held in documents.items() if ends(held) <= now]:
+            out.append(gone(url, documents.pop(url)))
+        if documents:
+            state.update((json.dumps(documents, separators=(",", ":")),))
+            state.setTimeoutTimestamp(max(1, min(map(ends, documents.values())) - 1))  # fires once the watermark is past it
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(out, columns=COLUMNS)
+
+    return follow
+
+
+def tracked(visits: DataFrame, gone_after: float = 90 * 86400, late: str = "0 seconds", buckets: int = BUCKETS) -> DataFrame:
     """The stream of states (OUTPUT) of a stream of visits (url, sha256, ok, at); null urls take no part.
 
-    State lives in RocksDB, keyed by url, so it is as large as the documents alive
-    and a restart goes on from the checkpoint. The states of one visit more than
-    `late` behind the stream's time are dropped by the watermark.
+    State lives in RocksDB, keyed by buckets of urls, so it is as large as the
+    documents alive and a restart goes on from the checkpoint; a stream keeps its
+    number of buckets, as a batch rewrites those that it touches. The states of one
+    visit more than `late` behind the stream's time are dropped by the watermark.
     """
     visits.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     rows = visits.where(F.col("url").isNotNull()).select("url", "sha256", F.coalesce("ok", F.lit(False)).alias("ok"), "at").withWatermark("at", late)
-    return rows.groupBy("url").transformWithStateInPandas(
-        statefulProcessor=Documents(gone_after), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime")
+    dealt = rows.select(F.pmod(F.xxhash64("url"), F.lit(buckets)).alias("bucket"), "*", F.unix_micros("at").alias("us"))
+    states = dealt.groupBy("bucket").applyInPandasWithState(bucket(gone_after), MICROS, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return states.withColumns({c: F.timestamp_micros(c) for c in ("first_seen", "last_checked")})

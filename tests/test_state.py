@@ -55,6 +55,25 @@ def test_document_states_over_restarts_equal_the_batch_merge(spark, tmp_path):
     assert got["d"][1] == "gone" and got["c"][1] == "gone" and got["e"][1] == "changed" and got["a"] == ("h2", "changed", 31, 31, 0)
 
 
+def test_documents_of_one_bucket_share_a_state_and_end_on_their_own(spark, tmp_path):
+    many = [visit(f"u{i}", f"h{i}", 1 + i % 3) for i in range(200)]
+    days = [many, [visit("u0", "h0", 10), visit("u1", None, 10, False), visit("u0", "h0", 9)], [visit("u2", "h2", 25)], [visit("u3", "x", 27), visit("u0", "h9", 27)]]
+    found = {}
+    for buckets in (1, 7, 4096):
+        at = tmp_path / str(buckets)
+        for i, rows in enumerate(days):
+            put(spark, f"{at}/in", f"{i}.parquet", rows)
+        stream = spark.readStream.schema(VISITS).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+        query = ledger.run_available(documents.tracked(stream, 15 * 86400, "2 days", buckets), ledger.upsert(f"{at}/out", "url", "last_checked"), f"{at}/state")
+        held = query.lastProgress.stateOperators[0].numRowsTotal
+        rows = ledger.latest(spark, f"{at}/out", spark.createDataFrame([], documents.OUTPUT).schema, "url").collect()
+        found[buckets] = {r.url: (r.sha256, r.status, r.first_seen.day, r.last_checked.day, r.retries) for r in rows}
+        assert held <= min(buckets, 4) and len(rows) == 200  # u0, u2 and u3 live, u1 may
+    assert found[1] == found[7] == found[4096]
+    assert found[1]["u0"] == ("h9", "changed", 27, 27, 0) and found[1]["u2"] == ("h2", "changed", 25, 25, 0) and found[1]["u3"] == ("x", "changed", 27, 27, 0)
+    assert found[1]["u7"] == ("h7", "gone", 2, 2, 0) and found[1]["u199"][1] == "gone"
+
+
 class Service:
     """Pages 0 to n - 1 by cursor; counts what is asked for, and fails as told."""
 
