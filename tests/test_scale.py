@@ -3,11 +3,13 @@
 import statistics
 from datetime import date, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quern.operators import analytics, bands, growth, keyed, positioning, ranges
+from quern.plans.registry import ORACLES, QUERIES
 
 
 def test_numbers_and_sums_over_parts(spark):
@@ -97,6 +99,15 @@ def test_tree_hash_depends_on_order_only(spark):
     assert h(twice, 1) == h(twice.repartition(3), 4)
 
 
+def test_content_hash_of_a_table_of_several_second_level_nodes_equals_its_sql(spark, tmp_path):
+    for rows in (0, 3, ranges.LEAF + 1, ranges.LEAF * ranges.FAN + 1, 3 * ranges.LEAF * ranges.FAN):
+        path = f"{tmp_path}/{rows}"
+        spark.range(rows).select((F.col("id") * 7 + 1).alias("c_custkey"), F.concat(F.lit("n"), "id").alias("c_name"), (F.col("id") % 1000 / 4).alias("c_acctbal")).write.parquet(f"{path}/customer.parquet")
+        c = duckdb.connect()
+        c.execute(f"create view customer as select * from read_parquet('{path}/customer.parquet/*.parquet')")
+        assert [tuple(r) for r in QUERIES["ordered_content_hash"](spark, path).collect()] == c.execute(ORACLES["ordered_content_hash"]).fetchall()
+
+
 def test_chunks_of_values_with_one_beginning(spark):
     df = spark.range(2000).select(F.format_string("00%05d", F.col("id")).alias("v"))
     got = keyed.chunked(df, "v", 30).collect()
