@@ -211,6 +211,26 @@ def accounting_basis(artifacts: DataFrame, metrics: DataFrame, order: str) -> tu
     return items, of_artifacts.unionByName(bad)
 
 
+def stated_basis(metrics: DataFrame, raw: Sequence[str], derived: Sequence[str]) -> DataFrame:
+    """Metrics (event_id, metric, taxonomy, basis, inputs) outside any artifact: raw ones must come from a standard taxonomy, derived ones must say
+    so and name both inputs; other names fail. `accounting_basis` audits those of artifacts."""
+    name = F.col("metric")
+    return issues(metrics, "accounting_basis", F.col("event_id"), {
+        "UNKNOWN_METRIC": ~name.isin(*raw, *derived),
+        "NON_STANDARD_TAXONOMY": name.isin(*raw) & ~F.col("taxonomy").eqNullSafe("us-gaap"),
+        "NOT_LABELLED_DERIVED": name.isin(*derived) & ~F.col("basis").eqNullSafe("derived"),
+        "MISSING_INPUTS": name.isin(*derived) & (F.coalesce(F.size("inputs"), F.lit(0)) < 2)})
+
+
+def comparable_periods(growth: DataFrame, gap: tuple[int, int], slack: int = 7) -> DataFrame:
+    """Growth rows (event_id, period_start, period_end, prior_start, prior_end, percent) whose periods are not comparable after all, or that have no
+    percentage; every fault of a row is an issue. `growth_durations` audits a published artifact."""
+    between = days(F.col("prior_end"), F.col("period_end")).between(*gap)
+    own, other = days(F.col("period_start"), F.col("period_end")), days(F.col("prior_start"), F.col("prior_end"))
+    return issues(growth, "growth_durations", F.col("event_id"), {
+        "BAD_GAP": ~between, "BAD_DURATION": F.abs(own - other) > slack, "MISSING_PERCENT": F.col("percent").isNull()})
+
+
 #: Fixed contexts that a filing's form supports by itself.
 CONTEXTS = {
     "10-K": "US_GAAP_PRIMARY_FINANCIAL_STATEMENTS_PRESENT", "10-Q": "US_GAAP_PRIMARY_FINANCIAL_STATEMENTS_PRESENT",

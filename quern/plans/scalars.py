@@ -96,15 +96,25 @@ def multi_period_actuals(spark, sf_dir):
 
 @query("""
 SELECT 'published_at' AS audit, CASE WHEN event_id % 10 = 0 THEN 'NO_ACCEPTANCE_TIME' ELSE 'PUBLISHED_AT_MISMATCH' END AS code, CAST(event_id AS VARCHAR) AS key FROM events WHERE event_id % 10 = 0 OR event_id % 10 = 3
+UNION ALL SELECT 'growth_durations', c, CAST(o_orderkey AS VARCHAR) FROM (SELECT o_orderkey, unnest([CASE WHEN o_orderkey % 3 = 0 THEN 'BAD_GAP' END, CASE WHEN o_orderkey % 4 = 0 THEN 'BAD_DURATION' END, CASE WHEN o_orderkey % 5 = 0 THEN 'MISSING_PERCENT' END]) AS c FROM orders) WHERE c IS NOT NULL
+UNION ALL SELECT 'accounting_basis', c, CAST(o_orderkey AS VARCHAR) FROM (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN 'UNKNOWN_METRIC' WHEN 1 THEN 'NON_STANDARD_TAXONOMY' WHEN 3 THEN 'NOT_LABELLED_DERIVED' WHEN 4 THEN 'MISSING_INPUTS' END AS c FROM orders) WHERE c IS NOT NULL
 UNION ALL SELECT 'projection', 'UNKNOWN_FIELD', CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey % 2 = 1""")
 def row_audits(spark, sf_dir):
-    i = F.col("event_id")
+    i, k, day = F.col("event_id"), F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     shown = events(spark, sf_dir).select("event_id", F.col("ts").alias("published_at"))
     accepted = shown.select(F.when(i % 10 == 0, -i - 1).otherwise(i).alias("event_id"), F.when(i % 10 == 3, F.col("published_at") + F.expr("interval 1 second")).otherwise(F.col("published_at")).alias("accepted_at"))
+    orders = table(spark, sf_dir, "orders")
+    end = F.date_sub(day, F.when(k % 3 == 0, 300).otherwise(365))
+    rows = orders.select(
+        k.alias("event_id"), F.date_sub(day, 90).alias("period_start"), day.alias("period_end"), F.date_sub(end, F.when(k % 4 == 0, 100).otherwise(90)).alias("prior_start"), end.alias("prior_end"), F.when(k % 5 != 0, 1.0).alias("percent"))
+    at = k % 6
+    basis = orders.select(
+        k.alias("event_id"), F.when(at == 0, "other").when(at <= 2, "revenue").otherwise("fcf").alias("metric"), F.when(at == 2, "us-gaap").alias("taxonomy"), F.when(at != 3, "derived").alias("basis"),
+        F.when(at == 4, F.array(F.lit("a"))).otherwise(F.array(F.lit("a"), F.lit("b"))).alias("inputs"))
     s = F.col("s_suppkey")
     records = table(spark, sf_dir, "supplier").select(s.alias("id"), F.concat(F.lit('{"a":1'), F.when(s % 2 == 1, ',"z":2').otherwise(""), F.lit("}")).alias("record"))
     found = audits.report([
-        audits.published_at(shown, accepted, "event_id"), audits.projection_allowed(records, ["a"])])
+        audits.published_at(shown, accepted, "event_id"), audits.comparable_periods(rows, (350, 380)), audits.stated_basis(basis, ["revenue"], ["fcf"]), audits.projection_allowed(records, ["a"])])
     return found.select("audit", "code", "key")
 
 

@@ -5,6 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from quern.operators import analytics, audits, growth
+from quern.plans.registry import QUERIES
 from quern.sources import sinks
 
 
@@ -30,6 +31,20 @@ def test_evidence_and_times(spark):
     assert codes(audits.published_at(shown, accepted, "k")) == {("b", "PUBLISHED_AT_MISMATCH"), ("c", "NO_ACCEPTANCE_TIME")}
 
 
+def test_row_audits_are_all_four(spark):
+    periods = "event_id string, period_start date, period_end date, prior_start date, prior_end date, percent double"
+    d = date.fromisoformat
+    row = lambda e, now=("2024-01-01", "2024-03-31"), then=("2023-01-01", "2023-03-31"), percent=1.0: (e, *map(d, now), *map(d, then), percent)
+    found = audits.comparable_periods(spark.createDataFrame([row("ok"), row("gap", then=("2022-10-01", "2022-12-30")), row("long", then=("2022-12-01", "2023-03-31")), row("none", percent=None)], periods), (350, 380))
+    assert codes(found) == {("gap", "BAD_GAP"), ("long", "BAD_DURATION"), ("none", "MISSING_PERCENT")}
+    metrics = [("ok", "revenue", "us-gaap", None, None), ("ifrs", "revenue", "ifrs", None, None), ("made", "fcf", None, "derived", ["a", "b"]), ("unsaid", "fcf", None, None, ["a", "b"]), ("one", "fcf", None, "derived", ["a"]), ("what", "x", None, None, None)]
+    found = audits.stated_basis(spark.createDataFrame(metrics, "event_id string, metric string, taxonomy string, basis string, inputs array<string>"), ["revenue"], ["fcf"])
+    assert codes(found) == {("ifrs", "NON_STANDARD_TAXONOMY"), ("unsaid", "NOT_LABELLED_DERIVED"), ("one", "MISSING_INPUTS"), ("what", "UNKNOWN_METRIC")}
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    by = {r.audit: r["count"] for r in QUERIES["row_audits"](spark, "/root/testdata/sf0.001").groupBy("audit").count().collect()}
+    assert set(by) == {"published_at", "growth_durations", "accounting_basis", "projection"} and min(by["growth_durations"], by["accounting_basis"]) > orders // 2
+
+
 def test_basis(spark):
     names = [*audits.RAW_ARTIFACTS, *audits.DERIVED_ARTIFACTS]
     revenue, capex, inventory, fcf = names
