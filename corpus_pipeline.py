@@ -18,7 +18,7 @@ def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word similarity of 0.8 or more) the document of least doc_id stays."""
+    """Of each group of near copies, by SimHash and then MinHash, each pair of five-word similarity 0.8 or more, the document of least doc_id stays."""
     return nearcopies.one_per_component(docs)
 
 

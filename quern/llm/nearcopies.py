@@ -1,14 +1,19 @@
 """Near copies of five-word Jaccard similarity 0.8 or more, and one document of each group.
 
 A text is the set of its word shingles. Equal sets are one class from the start.
-MinHash of 20 bands of 4 finds candidates: a pair of similarity 0.8 shares a band
-with probability 0.99997. Every candidate is verified by the exact similarity of
-the two texts, so nothing is linked by an estimate.
-
-Pairs of a band's bucket are not all made. Buckets with one class drop out before
-sketches move. First each bucket is linked as stars around leaders, and the
-verified edges make components; then those outside a bucket's largest component
-are compared with another leader in it. At last the buckets that still hold
+SimHash comes first: classes whose fingerprints differ in at most 3 bits are found
+through pigeonhole blocks, as `simhash` does it. But texts of similarity 0.8 differ
+in about 10 of 64 bits, which no blocks can find, so what fingerprints leave apart
+goes on to MinHash of 20 bands of 4: a pair of similarity 0.8 shares a band with
+probability 0.99997. Every candidate of either is verified by the exact similarity
+of the two texts, so nothing is linked by an estimate.
+
+Pairs of a fingerprint's or a band's bucket are not all made. Close fingerprints
+are linked as a forest, classes of one fingerprint as a star. Buckets of a band
+with one class drop out before sketches move. Each of the rest is linked as stars
+around leaders, but for what is in one component already, and the verified edges
+make components; then those outside a bucket's largest component are compared with
+another leader in it. At last the buckets that still hold
 several components are read again, now with a bit of each of WIDE more hashes of
 their members' texts, and all likely pairs whose ends are still apart are verified,
 each found in the first bucket that its ends share. A pair that is
@@ -34,6 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.llm import simhash
 from quern.llm.common import as_bytes, own_name, owned, runs, small_batches, stage, whole_runs
 from quern.llm.components import components
 
@@ -72,26 +78,27 @@ def minima(hashes: np.ndarray, first: int = 0, last: int = BANDS * ROWS) -> np.n
 
 
 def marked(docs: DataFrame, added: list[str]) -> DataFrame:
-    """docs with the class of each row's set, its bands and a byte of each minimum, in columns of the added names."""
+    """docs with the class of each row's set, its fingerprint, its bands and a byte of each minimum, in columns of the added names."""
     small_batches(docs.sparkSession)
     names = [*docs.columns, *added]
 
     def mark(batches):
         owned("nearcopies")
         for batch in batches:
-            ids, bands, sketches = [], [], []
+            ids, fps, bands, sketches = [], [], [], []
             for text in as_bytes(batch.column("text")):
                 hashes = shingles(text)
                 low = minima(hashes)
                 ids.append(xxhash.xxh3_64_intdigest(hashes.tobytes()))
+                fps.append(simhash.majority(hashes))
                 bands.append([xxhash.xxh64_intdigest(low[ROWS * i : ROWS * (i + 1)].tobytes(), i) for i in range(BANDS)])
                 sketches.append((low & 255).astype(np.uint8).tobytes())
             signed = pa.array(np.array(bands, np.uint64).reshape(-1).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, BANDS * len(ids) + 1, BANDS, dtype=np.int32)), signed)
-            more = [pa.array(np.array(ids, np.uint64).view(np.int64)), lists, pa.array(sketches, pa.binary())]
+            more = [*(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (ids, fps)), lists, pa.array(sketches, pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names)
 
-    kinds = (F.lit(0).cast("long"), F.array().cast("array<long>"), F.lit(None).cast("binary"))
+    kinds = (F.lit(0).cast("long"), F.lit(0).cast("long"), F.array().cast("array<long>"), F.lit(None).cast("binary"))
     schema = docs.limit(0).withColumns(dict(zip(added, kinds, strict=True))).schema
     for field in schema:
         field.nullable = True
@@ -105,7 +112,8 @@ def likely(ids: np.ndarray, roots: np.ndarray, sketches: np.ndarray, kind: str)
         rest = np.arange(len(ids))
         while len(rest) > 1:
             near = (sketches[rest] == sketches[rest[0]]).sum(1) >= least
-            yield from ((int(ids[rest[0]]), int(x)) for x in ids[rest[near]][1:])
+            apart = near & (roots[rest] != roots[rest[0]])
+            yield from ((int(ids[rest[0]]), int(x)) for x in ids[rest[apart]])
             rest = rest[~near]
         return
     found, counts = np.unique(roots, return_counts=True)
@@ -128,6 +136,15 @@ def still_apart(ids: np.ndarray, roots: np.ndarray, wide: np.ndarray, buckets: n
         yield from ((int(min(ids[i], x)), int(max(ids[i], x))) for x in ids[near])
 
 
+def close(classes: DataFrame) -> DataFrame:
+    """Distinct pairs (u, v) of classes (id, fp) to verify: a forest of the fingerprints in reach of each other, by the least class of each, and stars around those."""
+    least = stage(classes.groupBy("fp").agg(F.min("id").alias("id")))
+    same = classes.select("fp", F.col("id").alias("v")).join(least.withColumnRenamed("id", "u"), "fp").where("u <> v").select("u", "v")
+    ends = simhash.links(least.select("fp")).toDF("_a", "_b")
+    of = lambda fp, name: least.select(F.col("fp").alias(fp), F.col("id").alias(name))
+    return same.union(ends.join(of("_a", "u"), "_a").join(of("_b", "v"), "_b").select("u", "v")).distinct()
+
+
 def busy(classes: DataFrame) -> DataFrame:
     """(id, sketch, bands) of the classes that share a bucket, with those buckets only."""
     rows = classes.select(F.explode("bands").alias("bucket"), "id")
@@ -147,7 +164,7 @@ def candidates(classes: DataFrame, kind: str) -> DataFrame:
             ids, roots = table["id"].to_numpy(), table["root"].to_numpy()
             bytes_ = table["sketch"].combine_chunks()
             for a, b in runs(table["bucket"].to_numpy()):
-                if b - a > 1 and (kind == "stars" or (roots[a:b] != roots[a]).any()):
+                if b - a > 1 and (roots[a:b] != roots[a]).any():
                     sketches = np.frombuffer(b"".join(bytes_[a:b].to_pylist()), np.uint8).reshape(b - a, -1)
                     if kind == "all":
                         held = table["buckets"].combine_chunks()[a:b].to_pylist()
@@ -235,14 +252,14 @@ def one_per_component(docs: DataFrame) -> DataFrame:
     Rows with a null doc_id have no identity to compare by and all stay; of rows
     that repeat a kept doc_id, all stay if they are in its component.
     """
-    of, bands, sketch = added = [own_name(docs.columns, x) for x in ("class", "bands", "sketch")]
+    of, fp, bands, sketch = added = [own_name(docs.columns, x) for x in ("class", "fp", "bands", "sketch")]
     rows = stage(marked(docs, added))
     texts = rows.select(F.col(of).alias("id"), "text")
     classes = stage(rows.groupBy(F.col(of).alias("id")).agg(
-        F.min("doc_id").alias("least"), F.first(bands).alias("bands"), F.first(sketch).alias("sketch")))
+        F.min("doc_id").alias("least"), F.first(fp).alias("fp"), F.first(bands).alias("bands"), F.first(sketch).alias("sketch")))
+    edges = verified(close(classes), texts)
     near = busy(classes)
-    edges = verified(candidates(near.withColumn("root", F.col("id")), "stars"), texts)
-    for kind in ("largest", "all"):
+    for kind in ("stars", "largest", "all"):
         labels = components(edges).withColumnRenamed("node", "id")
         apart = near.join(labels, "id", "left").withColumn("root", F.coalesce("root", "id"))
         edges = edges.union(verified(candidates(unsettled(apart, texts) if kind == "all" else apart, kind), texts))

@@ -46,7 +46,12 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     else:
         grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)), strict=False))
         n = len(words) - shingle + 1
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64, n)
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64, n))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The unsigned number of the bits that are set in over half of some hashes; of none it is zero."""
+    n = len(hashes)
     ones = np.zeros(64, np.int64)
     for at in range(0, n, 1 << 15):
         part = hashes[at : at + (1 << 15)].astype(">u8").view(np.uint8).reshape(-1, 8)

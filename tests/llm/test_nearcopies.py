@@ -3,7 +3,7 @@ import re
 import numpy as np
 
 import corpus_pipeline
-from quern.llm import nearcopies
+from quern.llm import nearcopies, simhash
 
 
 def brute_kept(rows):
@@ -47,3 +47,19 @@ def test_removal_is_by_row(spark):
     assert nearcopies.one_per_component(docs.limit(0)).count() == 0
     clash = docs.withColumns({"class": docs.text, "Bands": docs.text, "kept": docs.text, "id": docs.text, "least_id": docs.text})
     assert nearcopies.one_per_component(clash).columns == clash.columns and nearcopies.one_per_component(clash).count() == 3
+
+
+def test_fingerprints_find_and_texts_decide(spark, monkeypatch):
+    """With no candidates from MinHash, texts of close fingerprints are found by SimHash alone."""
+    rng = np.random.default_rng(5)
+    base = [list(map(str, rng.integers(0, 10**6, 3000))) for _ in range(3)]
+    rows = [(3 * i + j, " ".join([*words, *["more"] * j])) for i, words in enumerate(base) for j in range(3)]
+    rows += [(100, " ".join(base[0][:1500]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fps = {d: simhash.majority(nearcopies.shingles(t.encode())) for d, t in rows}
+    assert all((fps[3 * i] ^ fps[3 * i + j]).bit_count() <= simhash.DISTANCE for i in range(3) for j in range(3))
+    monkeypatch.setattr(nearcopies, "candidates", lambda classes, kind: classes.limit(0).selectExpr("id AS u", "id AS v"))
+    assert {r.doc_id for r in nearcopies.one_per_component(docs).collect()} == {0, 3, 6, 100}
+    classes = spark.createDataFrame([(1, 7), (2, 7), (3, 6), (4, -1), (5, 1 << 40)], "id long, fp long")
+    linked = {frozenset(r) for r in nearcopies.close(classes).collect()}
+    assert linked in ({frozenset((1, 2)), frozenset((1, 3)), frozenset(p)} for p in ((3, 5), (1, 5)))  # 1 << 40 is 3 bits from 6 and 4 from 7
